@@ -82,3 +82,109 @@ def q_unmatched_internal_anti(spark, sf_dir):
 def q_unmatched_external_anti(spark, sf_dir):
     i, e = staged(spark, sf_dir)
     return mart.unmatched_external(i, e).drop("reconciliation_timestamp")
+
+
+# ------------------------------------------------------- path A: the matcher
+
+from ledgermatch.operators.reconcile import MatchSpec, reconcile  # noqa: E402
+
+_LI = ["internal_tx_id", "date", "customer_id", "location_id", "amount"]
+_LE = ["external_tx_id", "date", "customer_id", "location_id", "net_amount"]
+_RI = ["transaction_id", "date", "customer_id", "location_id", "amount", "fee"]
+_RE = ["transaction_id", "date", "customer_id", "location_id", "amount"]
+_DCL = ["date", "customer_id", "location_id"]
+_CL = ["customer_id", "location_id"]
+_TOL = "abs(l.amount - r.net_amount) <= 5e-2"
+_DAYS1 = "abs(date_diff('day', strptime(r.date, '%Y-%m-%d'), strptime(l.date, '%Y-%m-%d'))) <= 1"
+
+
+def ledgers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return fixtures.ledger_internal(spark, sf_dir), fixtures.ledger_external(spark, sf_dir)
+
+
+def _path_a(ctes_body: str) -> str:
+    return V.with_ctes(V.PATH_A, ctes_body)
+
+
+@register("recon_exact", _path_a(V.outer_match_sql("ledger_internal", "ledger_external", ["date"], _LI, _LE)))
+def q_recon_exact(spark, sf_dir):
+    """Default spec: match_on falls back to ['date']; overlaps get suffixes."""
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=())).classified
+
+
+@register("outer_join_indicator", _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE)))
+def q_outer_join_indicator(spark, sf_dir):
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_DCL))).classified
+
+
+@register("outer_join_suffixes", V.with_ctes(V.LEDGERS, V.outer_match_sql("raw_internal", "raw_external", _DCL, _RI, _RE)))
+def q_outer_join_suffixes(spark, sf_dir):
+    """Colliding names: 'amount' is suffixed, so the amount tolerance is skipped."""
+    i, e = fixtures.raw_internal(spark, sf_dir), fixtures.raw_external(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_DCL), amount_tolerance=0.05)).classified
+
+
+@register("recon_filter_mode",
+          _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE, where=_TOL)))
+def q_recon_filter_mode(spark, sf_dir):
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_DCL), amount_tolerance=0.05)).classified
+
+
+@register("recon_classify_mode",
+          _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE, on_extra=_TOL)))
+def q_recon_classify_mode(spark, sf_dir):
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_DCL), amount_tolerance=0.05, mode="classify")).classified
+
+
+def _classified_split(which: str):
+    def fn(spark, sf_dir):
+        i, e = ledgers(spark, sf_dir)
+        res = reconcile(i, e, MatchSpec(match_on=tuple(_DCL), amount_tolerance=0.05, mode="classify"))
+        return getattr(res, which)
+    return fn
+
+
+for _name, _merge in (("matched", "both"), ("unmatched_internal", "left_only"), ("unmatched_external", "right_only")):
+    register(_name, _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE,
+                                              on_extra=_TOL, merge=_merge)))(_classified_split(_name))
+
+
+@register("amount_tolerance",
+          _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _CL, _LI, _LE, where=_TOL)))
+def q_amount_tolerance(spark, sf_dir):
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_CL), amount_tolerance=0.05)).classified
+
+
+@register("date_tolerance",
+          _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _CL, _LI, _LE, where=_DAYS1)))
+def q_date_tolerance(spark, sf_dir):
+    """Date outside match_on: date_internal / date_external within one (floored) day."""
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_CL), date_tolerance_days=1)).classified
+
+
+@register("many_to_many_match",
+          _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _CL, _LI, _LE, merge="both")))
+def q_many_to_many_match(spark, sf_dir):
+    """Duplicate keys pair every internal with every external row of the key."""
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_CL))).matched
+
+
+@register("amount_difference", V.with_ctes(V.MART, "SELECT internal_transaction_id, external_transaction_id, "
+                                                   "amount_difference FROM matched"))
+def q_amount_difference(spark, sf_dir):
+    i, e = staged(spark, sf_dir)
+    return mart.matched_pairs(i, e).select("internal_transaction_id", "external_transaction_id", "amount_difference")
+
+
+@register("match_status", V.with_ctes(V.MART, "SELECT internal_transaction_id, external_transaction_id, "
+                                              "match_status FROM matched"))
+def q_match_status(spark, sf_dir):
+    i, e = staged(spark, sf_dir)
+    return mart.matched_pairs(i, e).select("internal_transaction_id", "external_transaction_id", "match_status")

@@ -97,3 +97,34 @@ STREAMS = [STREAM_INTERNAL, STREAM_EXTERNAL]
 
 def with_ctes(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def outer_match_sql(left: str, right: str, keys: list[str], left_cols: list[str], right_cols: list[str],
+                    on_extra: str | None = None, where: str | None = None, merge: str | None = None,
+                    suffix_overlaps: bool = True) -> str:
+    """FULL OUTER JOIN with null-safe keys, coalesced keys and a ``_merge`` indicator.
+
+    Columns come out in the pandas order: left columns (keys coalesced), then the
+    right side's non-key columns; overlapping non-key names get suffixes.
+    """
+    overlap = (set(left_cols) & set(right_cols)) - set(keys) if suffix_overlaps else set()
+    sel = []
+    for c in left_cols:
+        if c in keys:
+            sel.append(f"CASE WHEN l.__l IS NOT NULL THEN l.{c} ELSE r.{c} END AS {c}")
+        else:
+            sel.append(f"l.{c} AS {c + '_internal' if c in overlap else c}")
+    for c in right_cols:
+        if c not in keys:
+            sel.append(f"r.{c} AS {c + '_external' if c in overlap else c}")
+    sel.append("CASE WHEN l.__l IS NOT NULL AND r.__r IS NOT NULL THEN 'both' "
+               "WHEN l.__l IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge")
+    on = " AND ".join(f"l.{k} IS NOT DISTINCT FROM r.{k}" for k in keys)
+    if on_extra:
+        on += f" AND ({on_extra})"
+    sql = (f"SELECT * FROM (SELECT {', '.join(sel)} FROM (SELECT *, 1 AS __l FROM {left}) l "
+           f"FULL OUTER JOIN (SELECT *, 1 AS __r FROM {right}) r ON {on}"
+           + (f" WHERE {where}" if where else "") + ") m")
+    if merge:
+        sql += f" WHERE _merge = '{merge}'"
+    return sql
