@@ -188,3 +188,111 @@ def q_amount_difference(spark, sf_dir):
 def q_match_status(spark, sf_dir):
     i, e = staged(spark, sf_dir)
     return mart.matched_pairs(i, e).select("internal_transaction_id", "external_transaction_id", "match_status")
+
+
+# ------------------------------------------------------- summaries, windows, sorts
+
+from ledgermatch.operators import quality, summary  # noqa: E402
+from ledgermatch.functions import StatusLabels  # noqa: E402
+
+
+def fct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, e = staged(spark, sf_dir)
+    return mart.fct_reconciled(i, e, tolerance=0.05)
+
+
+@register("status_counts", V.with_ctes(V.MART, "SELECT match_status, COUNT(*) AS count FROM fct GROUP BY match_status"))
+def q_status_counts(spark, sf_dir):
+    return summary.status_counts(fct(spark, sf_dir))
+
+
+@register("status_summary", V.with_ctes(V.MART, """SELECT match_status, COUNT(*) AS count,
+  ROUND(CAST(COUNT(*) AS DOUBLE) * 1e2 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS percentage
+FROM fct GROUP BY match_status ORDER BY count DESC"""))
+def q_status_summary(spark, sf_dir):
+    return summary.status_summary(fct(spark, sf_dir))
+
+
+@register("match_rate", V.with_ctes(V.MART, """SELECT COUNT(*) AS n_rows,
+  COUNT(*) FILTER (WHERE match_status = 'MATCHED') AS n_matched,
+  COUNT(*) FILTER (WHERE match_status = 'AMOUNT_VARIANCE') AS n_amount_variance,
+  COUNT(*) FILTER (WHERE match_status = 'UNMATCHED_INTERNAL') AS n_unmatched_internal,
+  COUNT(*) FILTER (WHERE match_status = 'UNMATCHED_EXTERNAL') AS n_unmatched_external,
+  CAST(COUNT(*) FILTER (WHERE match_status = 'MATCHED') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS match_rate
+FROM fct"""))
+def q_match_rate(spark, sf_dir):
+    return summary.match_rate(fct(spark, sf_dir))
+
+
+@register("output_counts", _path_a(
+    "SELECT COUNT(*) FILTER (WHERE _merge = 'both') AS matched, "
+    "COUNT(*) FILTER (WHERE _merge = 'left_only') AS unmatched_internal, "
+    "COUNT(*) FILTER (WHERE _merge = 'right_only') AS unmatched_external FROM ("
+    + V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE) + ") x"))
+def q_output_counts(spark, sf_dir):
+    i, e = ledgers(spark, sf_dir)
+    return summary.output_counts(reconcile(i, e, MatchSpec(match_on=tuple(_DCL))).classified)
+
+
+@register("ledger_preview", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal ORDER BY transaction_id LIMIT 5"))
+def q_ledger_preview(spark, sf_dir):
+    return summary.preview(fixtures.raw_internal(spark, sf_dir), ["transaction_id"], 5)
+
+
+# ------------------------------------------------------- data-quality tests (Q1-Q4)
+
+_RAW_COLS_I = ["transaction_id", "date", "customer_id", "location_id", "amount", "fee"]
+_RAW_COLS_E = ["transaction_id", "date", "customer_id", "location_id", "amount"]
+_MART_NOT_NULL = ["transaction_date", "customer_id", "location_id", "match_status"]
+
+
+def _dq_unique_sql(table: str, column: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, 'unique' AS test, COUNT(*) AS failures "
+            f"FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING COUNT(*) > 1) d")
+
+
+def _dq_not_null_sql(table: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'not_null' AS test, "
+        f"COUNT(*) FILTER (WHERE {c} IS NULL) AS failures FROM {table}" for c in columns)
+
+
+@register("dq_unique", V.with_ctes(V.LEDGERS, _dq_unique_sql("raw_internal", "transaction_id") + " UNION ALL "
+                                   + _dq_unique_sql("raw_external", "transaction_id") + " UNION ALL "
+                                   + _dq_unique_sql("raw_internal", "customer_id")))
+def q_dq_unique(spark, sf_dir):
+    """The two declared id tests, plus customer_id, which does repeat."""
+    ri, re_ = fixtures.raw_internal(spark, sf_dir), fixtures.raw_external(spark, sf_dir)
+    return (quality.unique(ri, "transaction_id", "raw_internal")
+            .unionByName(quality.unique(re_, "transaction_id", "raw_external"))
+            .unionByName(quality.unique(ri, "customer_id", "raw_internal")))
+
+
+@register("dq_not_null", V.with_ctes(V.MART, _dq_not_null_sql("raw_internal", _RAW_COLS_I) + " UNION ALL "
+                                     + _dq_not_null_sql("raw_external", _RAW_COLS_E) + " UNION ALL "
+                                     + _dq_not_null_sql("fct", _MART_NOT_NULL)))
+def q_dq_not_null(spark, sf_dir):
+    ri, re_ = fixtures.raw_internal(spark, sf_dir), fixtures.raw_external(spark, sf_dir)
+    return (quality.not_null(ri, _RAW_COLS_I, "raw_internal")
+            .unionByName(quality.not_null(re_, _RAW_COLS_E, "raw_external"))
+            .unionByName(quality.not_null(fct(spark, sf_dir), _MART_NOT_NULL, "fct")))
+
+
+@register("dq_accepted_values", V.with_ctes(V.MART, """SELECT 'fct' AS table_name, 'match_status' AS column_name,
+  'accepted_values' AS test, COUNT(*) FILTER (WHERE match_status IS NOT NULL AND match_status NOT IN
+  ('MATCHED', 'AMOUNT_VARIANCE', 'UNMATCHED_INTERNAL', 'UNMATCHED_EXTERNAL')) AS failures FROM fct"""))
+def q_dq_accepted_values(spark, sf_dir):
+    return quality.accepted_values(fct(spark, sf_dir), "match_status", StatusLabels().all(), "fct")
+
+
+@register("dq_conservation", _path_a("""SELECT n_internal, n_matched_rows, n_matched_internal_ids, n_unmatched_internal,
+  n_matched_rows + n_unmatched_internal = n_internal AS rows_conserved,
+  n_matched_internal_ids + n_unmatched_internal = n_internal AS ids_conserved
+FROM (SELECT (SELECT COUNT(*) FROM ledger_internal) AS n_internal,
+             COUNT(*) FILTER (WHERE _merge = 'both') AS n_matched_rows,
+             COUNT(DISTINCT CASE WHEN _merge = 'both' THEN internal_tx_id END) AS n_matched_internal_ids,
+             COUNT(*) FILTER (WHERE _merge = 'left_only') AS n_unmatched_internal
+      FROM (""" + V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE) + ") x) y"))
+def q_dq_conservation(spark, sf_dir):
+    i, e = ledgers(spark, sf_dir)
+    return quality.conservation(i, reconcile(i, e, MatchSpec(match_on=tuple(_DCL))).classified, "internal_tx_id")
