@@ -296,3 +296,166 @@ FROM (SELECT (SELECT COUNT(*) FROM ledger_internal) AS n_internal,
 def q_dq_conservation(spark, sf_dir):
     i, e = ledgers(spark, sf_dir)
     return quality.conservation(i, reconcile(i, e, MatchSpec(match_on=tuple(_DCL))).classified, "internal_tx_id")
+
+
+# ------------------------------------------------------- sources, sinks and jobs
+# Each query first writes a fixture view to a fresh folder under spark.checkpoint.dir,
+# then answers from what it reads back, so the scan / sink is on the measured path.
+
+from ledgermatch.plans import jobs  # noqa: E402
+from ledgermatch.session import scratch_path  # noqa: E402
+from ledgermatch.sinks import writers  # noqa: E402
+from ledgermatch.sources import files  # noqa: E402
+from ledgermatch.sources.dispatch import read_source  # noqa: E402
+from ledgermatch.spec import JobSpec, OutputSpec, SourceSpec  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+_CSV_ROWS_PER_FILE = 5000
+
+
+def _to_csv(df: DataFrame, path: str, sep: str = ",") -> str:
+    df.write.mode("overwrite").option("header", True).option("sep", sep) \
+        .option("maxRecordsPerFile", _CSV_ROWS_PER_FILE).csv(path)
+    return path
+
+
+def _raw_parsed(name: str) -> str:
+    cols = {"raw_internal": "transaction_id, strptime(date, '%Y-%m-%d') AS date, customer_id, location_id, amount, fee",
+            "raw_external": "transaction_id, strptime(date, '%Y-%m-%d') AS date, customer_id, location_id, amount"}
+    return f"SELECT {cols[name]} FROM {name}"
+
+
+_LEDGERS_PARSED = [
+    "li AS (SELECT internal_tx_id, strptime(date, '%Y-%m-%d') AS date, customer_id, location_id, amount "
+    "FROM ledger_internal)",
+    "le AS (SELECT external_tx_id, strptime(date, '%Y-%m-%d') AS date, customer_id, location_id, net_amount "
+    "FROM ledger_external)",
+]
+
+
+@register("scan_csv", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
+def q_scan_csv(spark, sf_dir):
+    path = _to_csv(fixtures.raw_internal(spark, sf_dir), scratch_path(spark, "raw_internal") + ".csv")
+    return files.read_delimited(spark, path, schema=files.RAW_INTERNAL_SCHEMA, parse_dates=())
+
+
+@register("scan_psv", V.with_ctes(V.LEDGERS, _raw_parsed("raw_external")))
+def q_scan_psv(spark, sf_dir):
+    path = _to_csv(fixtures.raw_external(spark, sf_dir), scratch_path(spark, "raw_external") + ".psv", sep="|")
+    return files.read_delimited(spark, path, schema=files.RAW_EXTERNAL_SCHEMA)
+
+
+@register("scan_parse_date", V.with_ctes(V.LEDGERS, "SELECT transaction_id, strptime(date, '%Y-%m-%d') AS date, "
+                                                    "customer_id, location_id FROM raw_internal"))
+def q_scan_parse_date(spark, sf_dir):
+    """No schema: text columns, NA tokens to null, then 'date' parsed to a timestamp."""
+    path = _to_csv(fixtures.raw_internal(spark, sf_dir), scratch_path(spark, "raw_internal_text") + ".csv")
+    return files.read_delimited(spark, path).select("transaction_id", "date", "customer_id", "location_id")
+
+
+@register("scan_typed_ledgers", V.with_ctes(
+    [V.DOC_EXTERNAL], "SELECT external_tx_id, gross_amount, fee, net_amount, strptime(date, '%Y-%m-%d') AS date, "
+                      "description, customer_id, location_id FROM doc_external"))
+def q_scan_typed_ledgers(spark, sf_dir):
+    path = _to_csv(fixtures.documented_external(spark, sf_dir), scratch_path(spark, "external_documented") + ".csv")
+    return files.load_external_typed(spark, path)
+
+
+@register("load_glob_fixed_schema", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
+def q_load_glob_fixed_schema(spark, sf_dir):
+    folder = scratch_path(spark, "internal_daily")
+    _to_csv(fixtures.raw_internal(spark, sf_dir), folder)
+    return files.read_glob(spark, f"{folder}/*.csv", files.RAW_INTERNAL_SCHEMA)
+
+
+@register("scan_pushdown_filter", V.with_ctes(V.LEDGERS, "SELECT date, customer_id, location_id, amount "
+                                                         "FROM raw_internal WHERE date >= '1995-01-01'"))
+def q_scan_pushdown_filter(spark, sf_dir):
+    """Projection and predicate of a source query reach the parquet scan."""
+    path = scratch_path(spark, "raw_internal_parquet")
+    writers.overwrite_table(fixtures.raw_internal(spark, sf_dir), path)
+    src = SourceSpec("parquet", path=path, options={"columns": ["date", "customer_id", "location_id", "amount"],
+                                                    "where": "date >= '1995-01-01'", "parse_dates": []})
+    return read_source(spark, src)
+
+
+@register("recon_mixed_sources", V.with_ctes(V.PATH_A + _LEDGERS_PARSED, V.outer_match_sql("li", "le", _DCL, _LI, _LE)))
+def q_recon_mixed_sources(spark, sf_dir):
+    """Internal side from parquet, external side from a pipe-separated file."""
+    i_path = scratch_path(spark, "ledger_internal_parquet")
+    writers.overwrite_table(fixtures.ledger_internal(spark, sf_dir), i_path)
+    e_path = _to_csv(fixtures.ledger_external(spark, sf_dir), scratch_path(spark, "ledger_external") + ".psv", "|")
+    internal = read_source(spark, SourceSpec("parquet", path=i_path))
+    external = read_source(spark, SourceSpec("file", path=e_path)).withColumn(
+        "net_amount", F.col("net_amount").cast("double"))
+    return reconcile(internal, external, MatchSpec(match_on=tuple(_DCL))).classified
+
+
+@register("sink_csv_roundtrip", _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE,
+                                                          on_extra=_TOL)))
+def q_sink_csv_roundtrip(spark, sf_dir):
+    """Three CSV outputs written in one pass, read back as one frame."""
+    i, e = ledgers(spark, sf_dir)
+    res = reconcile(i, e, MatchSpec(match_on=tuple(_DCL), amount_tolerance=0.05, mode="classify"))
+    out = OutputSpec(scratch_path(spark, "outputs"), "matched.csv", "unmatched_internal.csv",
+                     "unmatched_external.csv")
+    written = writers.write_outputs(res.classified, out)
+    return writers.read_outputs(spark, written, res.classified.schema)
+
+
+@register("sink_truncate_load", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
+def q_sink_truncate_load(spark, sf_dir):
+    """Loading twice into the same target leaves one copy (WRITE_TRUNCATE)."""
+    path = scratch_path(spark, "raw_internal_table")
+    raw = fixtures.raw_internal(spark, sf_dir)
+    writers.overwrite_table(raw, path)
+    writers.overwrite_table(raw, path)
+    return spark.read.parquet(path)
+
+
+_RUN_TS = "2024-06-30 05:00:00"
+
+
+@register("sink_partitioned_table", V.with_ctes(V.MART, "SELECT *, '2024-06-30' AS reconciliation_date FROM fct"))
+def q_sink_partitioned_table(spark, sf_dir):
+    i, e = staged(spark, sf_dir)
+    path = writers.write_partitioned(mart.fct_reconciled(i, e, run_ts=_RUN_TS), scratch_path(spark, "fct_partitioned"))
+    return (spark.read.parquet(path).where(F.col("reconciliation_date") == F.lit("2024-06-30").cast("date"))
+            .drop("reconciliation_timestamp")
+            .withColumn("reconciliation_date", F.col("reconciliation_date").cast("string")))
+
+
+@register("job_end_to_end", V.with_ctes(V.PATH_A + _LEDGERS_PARSED, V.outer_match_sql(
+    "li", "le", _DCL, _LI, _LE, where=_TOL)))
+def q_job_end_to_end(spark, sf_dir):
+    """Config-driven job: CSV + PSV files in, three CSV outputs, read back."""
+    i_path = _to_csv(fixtures.ledger_internal(spark, sf_dir), scratch_path(spark, "job_internal") + ".csv")
+    e_path = _to_csv(fixtures.ledger_external(spark, sf_dir), scratch_path(spark, "job_external") + ".psv", "|")
+    config = {
+        "sources": {"internal": {"type": "file", "path": i_path}, "external": {"type": "file", "path": e_path}},
+        "matching": {"match_on": _DCL, "internal_key": "amount", "external_key": "net_amount"},
+        "tolerances": {"amount": 0.05, "days": 0},
+        "output": {"path": scratch_path(spark, "job_out"), "reconciled_file": "matched.csv",
+                   "unmatched_internal_file": "unmatched_internal.csv",
+                   "unmatched_external_file": "unmatched_external.csv"},
+    }
+    spec = JobSpec.from_dict(config)
+    # Text amounts from a schema-less read are cast on load, as the typed loaders do.
+    internal = read_source(spark, spec.internal).withColumn("amount", F.col("amount").cast("double"))
+    external = read_source(spark, spec.external).withColumn("net_amount", F.col("net_amount").cast("double"))
+    res = reconcile(internal, external, spec.matching)
+    written = writers.write_outputs(res.classified, spec.output)
+    return writers.read_outputs(spark, written, res.classified.schema)
+
+
+@register("batch_pipeline", V.with_ctes(V.MART, "SELECT *, '2024-06-30' AS reconciliation_date FROM fct"))
+def q_batch_pipeline(spark, sf_dir):
+    """Nightly batch over daily CSV drops; returns the published partition."""
+    i_dir = scratch_path(spark, "stripe_daily")
+    e_dir = scratch_path(spark, "bank_daily")
+    _to_csv(fixtures.raw_internal(spark, sf_dir), i_dir)
+    _to_csv(fixtures.raw_external(spark, sf_dir), e_dir)
+    res = jobs.batch_pipeline(spark, f"{i_dir}/*.csv", f"{e_dir}/*.csv", scratch_path(spark, "marts"), run_ts=_RUN_TS)
+    return (spark.read.parquet(res.fact_path).where(F.col("reconciliation_date") == F.lit("2024-06-30").cast("date"))
+            .drop("reconciliation_timestamp")
+            .withColumn("reconciliation_date", F.col("reconciliation_date").cast("string")))

@@ -128,3 +128,12 @@ def outer_match_sql(left: str, right: str, keys: list[str], left_cols: list[str]
     if merge:
         sql += f" WHERE _merge = '{merge}'"
     return sql
+
+DOC_EXTERNAL = """doc_external AS (
+  SELECT printf('EXT%08d', o_orderkey) AS external_tx_id, o_totalprice AS gross_amount,
+         CAST(o_orderkey % 500 AS DOUBLE) / 1e2 AS fee,
+         o_totalprice - CAST(o_orderkey % 500 AS DOUBLE) / 1e2 AS net_amount,
+         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
+         'Payment from ' || printf('C%06d', o_custkey) AS description,
+         printf('C%06d', o_custkey) AS customer_id, printf('L%04d', o_orderkey % 20 + 1) AS location_id
+  FROM orders WHERE o_orderkey % 20 < 17)"""

@@ -105,3 +105,26 @@ def stream_external_shape(events: DataFrame) -> DataFrame:
     off = F.when(F.col("event_id") % 10 == 3, F.col("value") + F.lit(1e0)).otherwise(F.col("value"))
     return events.where(F.col("event_id") % 20 < 17).select(
         "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), off.alias("net_amount"))
+
+
+def documented_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documented internal layout: internal_tx_id, amount, date, customer_id, location_id."""
+    r = raw_internal(spark, sf_dir)
+    return r.select(F.col("transaction_id").alias("internal_tx_id"), "amount", "date", "customer_id", "location_id")
+
+
+def documented_external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documented external layout with gross, fee, net and a description."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    customer = _padded("C", 6, F.col("o_custkey"))
+    return o.where(key % 20 < 17).select(
+        _padded("EXT", 8, key).alias("external_tx_id"),
+        F.col("o_totalprice").alias("gross_amount"),
+        _fee(key).alias("fee"),
+        (F.col("o_totalprice") - _fee(key)).alias("net_amount"),
+        _day_string(F.col("o_orderdate")).alias("date"),
+        F.concat(F.lit("Payment from "), customer).alias("description"),
+        customer.alias("customer_id"),
+        _padded("L", 4, key % 20 + 1).alias("location_id"),
+    )
