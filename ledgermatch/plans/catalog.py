@@ -459,3 +459,98 @@ def q_batch_pipeline(spark, sf_dir):
     return (spark.read.parquet(res.fact_path).where(F.col("reconciliation_date") == F.lit("2024-06-30").cast("date"))
             .drop("reconciliation_timestamp")
             .withColumn("reconciliation_date", F.col("reconciliation_date").cast("string")))
+
+
+# ------------------------------------------------------- streaming
+# The events table is replayed as a file stream (available-now trigger) into
+# parquet under spark.checkpoint.dir; the query answers from the sink.
+
+from ledgermatch.spec import WindowSpec  # noqa: E402
+from ledgermatch.streaming import runner  # noqa: E402
+from ledgermatch.streaming.reconcile import reconcile_stream, window_metrics  # noqa: E402
+from ledgermatch.streaming.windows import window_counts  # noqa: E402
+
+_HOUR = WindowSpec("tumbling", "1 hour", grace="10 minutes")
+_SLIDE = WindowSpec("sliding", "1 hour", "15 minutes", "10 minutes")
+_STREAM_KEYS = ["user_id", "event_id"]
+
+
+def _event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    schema = fixtures.table(spark, sf_dir, "events").schema
+    ev_i = runner.file_stream(spark, sf_dir, schema, "events.parquet")
+    ev_e = runner.file_stream(spark, sf_dir, schema, "events.parquet")
+    return fixtures.stream_internal_shape(ev_i), fixtures.stream_external_shape(ev_e)
+
+
+def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, f"stream-{name}")
+    runner.run_to_parquet(stream, f"{path}/out", f"{path}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+def _window_counts_sql(slide: int | None) -> str:
+    return V.with_ctes(V.STREAMS + [V.stream_watermark(["s_int"]), V.windowed("s_int", "w", 60, slide)],
+                       "SELECT window_start, window_end, COUNT(*) AS n_records, MIN(amount) AS min_amount, "
+                       "MAX(amount) AS max_amount FROM w GROUP BY window_start, window_end "
+                       "HAVING window_end <= (SELECT wm FROM wm)")
+
+
+@register("stream_tumbling_counts", _window_counts_sql(None))
+def q_stream_tumbling_counts(spark, sf_dir):
+    internal, _ = _event_streams(spark, sf_dir)
+    return _run(spark, window_counts(internal, "ts", _HOUR, "amount"), "tumbling")
+
+
+@register("stream_sliding_counts", _window_counts_sql(15))
+def q_stream_sliding_counts(spark, sf_dir):
+    internal, _ = _event_streams(spark, sf_dir)
+    return _run(spark, window_counts(internal, "ts", _SLIDE, "amount"), "sliding")
+
+
+def _stream_join_sql(how: str, select_metrics: bool = False) -> str:
+    body = """SELECT COALESCE(i.window_start, e.window_start) AS window_start,
+         COALESCE(i.window_end, e.window_end) AS window_end,
+         CASE WHEN i.__l IS NOT NULL THEN i.user_id ELSE e.user_id END AS user_id,
+         CASE WHEN i.__l IS NOT NULL THEN i.event_id ELSE e.event_id END AS event_id,
+         i.ts AS ts_internal, i.amount, e.ts AS ts_external, e.net_amount,
+         CASE WHEN i.__l IS NOT NULL AND e.__r IS NOT NULL THEN 'both'
+              WHEN i.__l IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge
+  FROM (SELECT *, 1 AS __l FROM wi) i {JOIN} (SELECT *, 1 AS __r FROM we) e
+    ON i.user_id = e.user_id AND i.event_id = e.event_id AND i.window_start = e.window_start
+   AND abs(i.amount - e.net_amount) <= 5e-2""".replace("{JOIN}", "JOIN" if how == "inner" else "FULL OUTER JOIN")
+    if how != "inner":
+        body = (f"SELECT * FROM ({body}) j WHERE _merge = 'both' OR window_end <= (SELECT wm FROM wm)")
+    if select_metrics:
+        body = (f"SELECT window_start, window_end, COUNT(*) AS n_records, "
+                f"COUNT(*) FILTER (WHERE _merge = 'both') AS n_matched, "
+                f"COUNT(*) FILTER (WHERE _merge = 'left_only') AS n_unmatched_internal, "
+                f"COUNT(*) FILTER (WHERE _merge = 'right_only') AS n_unmatched_external, "
+                f"CAST(COUNT(*) FILTER (WHERE _merge = 'both') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS match_rate "
+                f"FROM ({body}) x GROUP BY window_start, window_end")
+    return V.with_ctes(V.STREAMS + [V.stream_watermark(["s_int", "s_ext"]), V.windowed("s_int", "wi", 60),
+                                    V.windowed("s_ext", "we", 60)], body)
+
+
+@register("stream_recon_inner", _stream_join_sql("inner"))
+def q_stream_recon_inner(spark, sf_dir):
+    internal, external = _event_streams(spark, sf_dir)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05, how="inner")
+    return _run(spark, s, "recon-inner")
+
+
+@register("stream_recon_outer", _stream_join_sql("full_outer"))
+def q_stream_recon_outer(spark, sf_dir):
+    """Matched pairs plus the unmatched rows of every window closed by the watermark."""
+    internal, external = _event_streams(spark, sf_dir)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
+    return _run(spark, s, "recon-outer")
+
+
+@register("stream_window_metrics", _stream_join_sql("full_outer", select_metrics=True))
+def q_stream_window_metrics(spark, sf_dir):
+    """Per-window match metrics over the three-way (foreachBatch) stream output."""
+    internal, external = _event_streams(spark, sf_dir)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
+    path = scratch_path(spark, "stream-split")
+    runner.run_split(s, f"{path}/out", f"{path}/checkpoint")
+    return window_metrics(spark.read.parquet(f"{path}/out"))

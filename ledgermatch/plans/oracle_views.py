@@ -137,3 +137,26 @@ DOC_EXTERNAL = """doc_external AS (
          'Payment from ' || printf('C%06d', o_custkey) AS description,
          printf('C%06d', o_custkey) AS customer_id, printf('L%04d', o_orderkey % 20 + 1) AS location_id
   FROM orders WHERE o_orderkey % 20 < 17)"""
+
+# Streams: Spark aligns windows to the epoch; time_bucket's default origin
+# (2000-01-01) gives the same boundaries for minute and hour sizes. The
+# watermark is max(ts) minus the grace, at millisecond precision, and a join's
+# watermark is the smaller of its two inputs'. Append mode emits aggregates
+# and unmatched join rows only for windows with window_end <= watermark.
+
+
+def stream_watermark(tables: list[str], grace: str = "10 MINUTE") -> str:
+    maxes = ", ".join(f"(SELECT date_trunc('millisecond', max(ts)) FROM {t})" for t in tables)
+    expr = maxes if len(tables) == 1 else f"LEAST({maxes})"
+    return f"wm AS (SELECT {expr} - INTERVAL {grace} AS wm)"
+
+
+def windowed(table: str, alias: str, size_min: int, slide_min: int | None = None) -> str:
+    if slide_min is None:
+        return (f"{alias} AS (SELECT *, time_bucket(INTERVAL {size_min} MINUTE, ts) AS window_start, "
+                f"time_bucket(INTERVAL {size_min} MINUTE, ts) + INTERVAL {size_min} MINUTE AS window_end "
+                f"FROM {table})")
+    k = size_min // slide_min
+    start = f"time_bucket(INTERVAL {slide_min} MINUTE, ts) - k * INTERVAL {slide_min} MINUTE"
+    return (f"{alias} AS (SELECT t.*, {start} AS window_start, {start} + INTERVAL {size_min} MINUTE AS window_end "
+            f"FROM {table} t, range(0, {k}) r(k))")
