@@ -11,9 +11,11 @@ from ledgermatch.operators.matching import INDICATOR
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, file_glob: str | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, recursive: bool = False) -> DataFrame:
     """Parquet files arriving in ``folder`` as a stream (a file path is not allowed)."""
     reader = spark.readStream.schema(schema)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
