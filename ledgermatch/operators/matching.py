@@ -27,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermatch.operators.partitioning import spread
+
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 INDICATOR = "_merge"
 
@@ -90,9 +92,9 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     key_idx = {k: i for i, k in enumerate(keys)}
 
     # Side frames with internal names: keys as __lk / __rk, the rest as output names.
-    lside = left.select([F.col(s).alias(_lk(key_idx[s]) if s in key_idx else o) for s, o in lay.left_out])
+    lside = spread(left.select([F.col(s).alias(_lk(key_idx[s]) if s in key_idx else o) for s, o in lay.left_out]))
     rcols = [F.col(k).alias(_rk(i)) for i, k in enumerate(keys)]
-    rside = right.select(rcols + [F.col(s).alias(o) for s, o in lay.right_out])
+    rside = spread(right.select(rcols + [F.col(s).alias(o) for s, o in lay.right_out]))
 
     def lref(frame: DataFrame) -> Callable[[str], Column]:
         return lambda c: frame[_lk(key_idx[c])] if c in key_idx else frame[lay.output_name("left", c)]
