@@ -432,20 +432,21 @@ def q_job_end_to_end(spark, sf_dir):
     i_path = _to_csv(fixtures.ledger_internal(spark, sf_dir), scratch_path(spark, "job_internal") + ".csv")
     e_path = _to_csv(fixtures.ledger_external(spark, sf_dir), scratch_path(spark, "job_external") + ".psv", "|")
     config = {
-        "sources": {"internal": {"type": "file", "path": i_path}, "external": {"type": "file", "path": e_path}},
+        "sources": {
+            "internal": {"type": "file", "path": i_path,
+                         "schema": "internal_tx_id string, date string, customer_id string, location_id string, "
+                                   "amount double"},
+            "external": {"type": "file", "path": e_path,
+                         "schema": "external_tx_id string, date string, customer_id string, location_id string, "
+                                   "net_amount double"}},
         "matching": {"match_on": _DCL, "internal_key": "amount", "external_key": "net_amount"},
         "tolerances": {"amount": 0.05, "days": 0},
         "output": {"path": scratch_path(spark, "job_out"), "reconciled_file": "matched.csv",
                    "unmatched_internal_file": "unmatched_internal.csv",
                    "unmatched_external_file": "unmatched_external.csv"},
     }
-    spec = JobSpec.from_dict(config)
-    # Text amounts from a schema-less read are cast on load, as the typed loaders do.
-    internal = read_source(spark, spec.internal).withColumn("amount", F.col("amount").cast("double"))
-    external = read_source(spark, spec.external).withColumn("net_amount", F.col("net_amount").cast("double"))
-    res = reconcile(internal, external, spec.matching)
-    written = writers.write_outputs(res.classified, spec.output)
-    return writers.read_outputs(spark, written, res.classified.schema)
+    result, written = jobs.run_job(spark, JobSpec.from_dict(config))
+    return writers.read_outputs(spark, written, result.classified.schema)
 
 
 @register("batch_pipeline", V.with_ctes(V.MART, "SELECT *, '2024-06-30' AS reconciliation_date FROM fct"))
@@ -553,4 +554,4 @@ def q_stream_window_metrics(spark, sf_dir):
     s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
     path = scratch_path(spark, "stream-split")
     runner.run_split(s, f"{path}/out", f"{path}/checkpoint")
-    return window_metrics(spark.read.parquet(f"{path}/out"))
+    return window_metrics(runner.read_split(spark, f"{path}/out", s.schema))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgermatch.operators.matching import INDICATOR
+from pyspark import StorageLevel
+
+from ledgermatch.operators.matching import BOTH, INDICATOR, LEFT_ONLY, RIGHT_ONLY
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, file_glob: str | None = None,
@@ -39,24 +41,47 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, output_mode: s
     return q
 
 
-def split_outputs(base: str):
-    """``foreachBatch`` function writing each batch once, split by ``_merge``.
+def split_outputs(base: str, names: dict[str, str] | None = None, fmt: str = "parquet"):
+    """``foreachBatch`` function writing each micro-batch to three named outputs.
 
-    Each micro-batch goes to ``base/batch=<id>`` with overwrite, so a batch
-    re-run after a failure replaces its own files instead of duplicating them.
-    Read ``base`` with ``where _merge = ...`` to get one of the three outputs.
+    ``names`` maps ``_merge`` values to folder names (default: the values).
+    The micro-batch is persisted while it is written three times (it is one
+    trigger's worth of rows) and each write goes to ``<name>/batch=<id>`` with
+    overwrite, so a batch re-run after a failure replaces its own files.
     """
+    names = names or {BOTH: BOTH, LEFT_ONLY: LEFT_ONLY, RIGHT_ONLY: RIGHT_ONLY}
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("__out", F.col(INDICATOR)).write.mode("overwrite")
-         .partitionBy("__out").parquet(f"{base}/batch={batch_id}"))
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for tag, name in names.items():
+                (batch.where(F.col(INDICATOR) == tag).write.mode("overwrite").format(fmt)
+                 .save(f"{base}/{name}/batch={batch_id}"))
+        finally:
+            batch.unpersist()
     return write
 
 
-def run_split(stream: DataFrame, base: str, checkpoint: str) -> StreamingQuery:
-    q = (stream.writeStream.foreachBatch(split_outputs(base)).outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+def run_split(stream: DataFrame, base: str, checkpoint: str, names: dict[str, str] | None = None,
+              available_now: bool = True) -> StreamingQuery:
+    q = (stream.writeStream.foreachBatch(split_outputs(base, names)).outputMode("append")
+         .option("checkpointLocation", checkpoint))
+    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
+    started = q.start()
+    if available_now:
+        started.awaitTermination()
+    return started
+
+
+def read_split(spark: SparkSession, base: str, schema: T.StructType,
+               names: dict[str, str] | None = None) -> DataFrame:
+    """The three outputs of ``run_split`` read back as one frame."""
+    names = names or {BOTH: BOTH, LEFT_ONLY: LEFT_ONLY, RIGHT_ONLY: RIGHT_ONLY}
+    frames = [spark.read.schema(schema).parquet(f"{base}/{n}") for n in names.values()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 _PROGRESS_SCHEMA = T.StructType([
