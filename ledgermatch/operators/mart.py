@@ -67,22 +67,24 @@ def _null(dtype: str) -> Column:
 def matched_pairs(internal: DataFrame, external: DataFrame, tolerance: float = 0.05,
                   labels: StatusLabels = StatusLabels(), run_ts: str | None = None) -> DataFrame:
     """Inner join on customer, location and ``DATE(transaction_date)`` with status."""
-    i = _keyed(internal, _INTERNAL).where(_keys_present())
-    e = _keyed(external, _EXTERNAL).where(_keys_present())
-    e = e.select([F.col(c).alias(f"e_{c}") for c in e.columns])
-    cond = [i[k] == e[f"e_{k}"] for k in KEY_COLUMNS]
+    # Both sides keep their own column names up to the join, so each side's
+    # exchange is the same plan as in the anti joins and is reused there.
+    i = _keyed(internal, _INTERNAL).where(_keys_present()).alias("i")
+    e = _keyed(external, _EXTERNAL).where(_keys_present()).alias("e")
+    cond = [F.col(f"i.{k}") == F.col(f"e.{k}") for k in KEY_COLUMNS]
+    s_net, b_net = F.col("i.net_amount"), F.col("e.net_amount")
     return i.join(e, cond, "inner").select(
-        F.col("transaction_id").alias("internal_transaction_id"),
-        F.col("e_transaction_id").alias("external_transaction_id"),
-        "transaction_date",
-        "customer_id",
-        "location_id",
-        F.col("gross_amount").alias("internal_gross_amount"),
-        F.col("fee").alias("internal_fee"),
-        F.col("net_amount").alias("internal_net_amount"),
-        F.col("e_net_amount").alias("external_amount"),
-        amount_difference("net_amount", "e_net_amount").alias("amount_difference"),
-        status_expr("net_amount", "e_net_amount", tolerance, labels).alias("match_status"),
+        F.col("i.transaction_id").alias("internal_transaction_id"),
+        F.col("e.transaction_id").alias("external_transaction_id"),
+        F.col("i.transaction_date").alias("transaction_date"),
+        F.col("i.customer_id").alias("customer_id"),
+        F.col("i.location_id").alias("location_id"),
+        F.col("i.gross_amount").alias("internal_gross_amount"),
+        F.col("i.fee").alias("internal_fee"),
+        s_net.alias("internal_net_amount"),
+        b_net.alias("external_amount"),
+        amount_difference(s_net, b_net).alias("amount_difference"),
+        status_expr(s_net, b_net, tolerance, labels).alias("match_status"),
         _run_ts(run_ts).alias("reconciliation_timestamp"),
     )
 

@@ -26,6 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.operators.partitioning import spread
 
@@ -69,11 +70,35 @@ def _rk(i: int) -> str:
     return f"__rk{i}"
 
 
-def _cond(a: DataFrame, a_name: Callable[[int], str], b: DataFrame, b_name: Callable[[int], str],
-          n: int, null_safe: bool) -> list[Column]:
-    def eq(x: Column, y: Column) -> Column:
-        return x.eqNullSafe(y) if null_safe else x == y
-    return [eq(a[a_name(i)], b[b_name(i)]) for i in range(n)]
+def _default(dtype: T.DataType) -> Column:
+    """A non-null stand-in of the key's type (Spark rewrites ``<=>`` the same way)."""
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(0).cast("timestamp").cast(dtype)
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    return F.lit(None).cast(dtype)
+
+
+def _match_keys(frame: DataFrame, names: list[str], prefix: str, null_safe: bool) -> tuple[DataFrame, list[str]]:
+    """Add the columns the join compares with plain equality.
+
+    Null-safe keys become (coalesce(k, default), isnull(k)) pairs. Joining and
+    de-duplicating on the same physical columns lets the distinct build side's
+    exchange serve the join directly, and lets every branch share one exchange.
+    """
+    if not null_safe:
+        return frame, names
+    cols, out = [], []
+    for i, n in enumerate(names):
+        dtype = frame.schema[n].dataType
+        cols += [F.coalesce(F.col(n), _default(dtype)).alias(f"{prefix}v{i}"),
+                 F.col(n).isNull().alias(f"{prefix}n{i}")]
+        out += [f"{prefix}v{i}", f"{prefix}n{i}"]
+    return frame.select("*", *cols), out
 
 
 def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -92,9 +117,11 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     key_idx = {k: i for i, k in enumerate(keys)}
 
     # Side frames with internal names: keys as __lk / __rk, the rest as output names.
-    lside = spread(left.select([F.col(s).alias(_lk(key_idx[s]) if s in key_idx else o) for s, o in lay.left_out]))
+    lside = left.select([F.col(s).alias(_lk(key_idx[s]) if s in key_idx else o) for s, o in lay.left_out])
     rcols = [F.col(k).alias(_rk(i)) for i, k in enumerate(keys)]
-    rside = spread(right.select(rcols + [F.col(s).alias(o) for s, o in lay.right_out]))
+    rside = right.select(rcols + [F.col(s).alias(o) for s, o in lay.right_out])
+    lside, ljoin = _match_keys(lside, [_lk(i) for i in range(n)], "__lm", null_safe)
+    rside, rjoin = _match_keys(rside, [_rk(i) for i in range(n)], "__rm", null_safe)
 
     def lref(frame: DataFrame) -> Callable[[str], Column]:
         return lambda c: frame[_lk(key_idx[c])] if c in key_idx else frame[lay.output_name("left", c)]
@@ -102,26 +129,26 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     def rref(frame: DataFrame) -> Callable[[str], Column]:
         return lambda c: frame[_rk(key_idx[c])] if c in key_idx else frame[lay.output_name("right", c)]
 
-    def keys_and_residual(a: DataFrame, b: DataFrame, a_is_left: bool) -> Column:
-        if a_is_left:
-            parts = _cond(a, _lk, b, _rk, n, null_safe)
-            if residual is not None:
-                parts.append(residual(lref(a), rref(b)))
-        else:
-            parts = _cond(a, _rk, b, _lk, n, null_safe)
-            if residual is not None:
-                parts.append(residual(lref(b), rref(a)))
+    def condition(lf: DataFrame, rf: DataFrame) -> Column:
+        parts = [lf[a] == rf[b] for a, b in zip(ljoin, rjoin)]
+        if residual is not None:
+            parts.append(residual(lref(lf), rref(rf)))
         return reduce(lambda x, y: x & y, parts)
 
-    # Build sides of the anti joins: distinct keys (plus residual inputs).
+    # Build sides of the anti joins: distinct match keys (plus residual inputs),
+    # aggregated map-side before the shuffle so a hot key shrinks to one row per task.
     l_extra = [lay.output_name("left", c) for c in residual_columns[0] if c not in key_idx]
     r_extra = [lay.output_name("right", c) for c in residual_columns[1] if c not in key_idx]
-    lkeys = lside.select([_lk(i) for i in range(n)] + l_extra).distinct()
-    rkeys = rside.select([_rk(i) for i in range(n)] + r_extra).distinct()
-
-    pairs = lside.join(rside, keys_and_residual(lside, rside, True), "inner")
-    lonly = lside.join(rkeys, keys_and_residual(lside, rkeys, True), "left_anti")
-    ronly = rside.join(lkeys, keys_and_residual(rside, lkeys, False), "left_anti")
+    lkeys = lside.select(ljoin + [_lk(key_idx[c]) for c in residual_columns[0] if c in key_idx] + l_extra)
+    rkeys = rside.select(rjoin + [_rk(key_idx[c]) for c in residual_columns[1] if c in key_idx] + r_extra)
+    if residual is None:
+        lkeys, rkeys = lkeys.distinct(), rkeys.distinct()
+
+    # Only the pairs can multiply rows, so only that join gets the parallelism guard.
+    lpairs, rpairs = spread(lside), spread(rside)
+    pairs = lpairs.join(rpairs, condition(lpairs, rpairs), "inner")
+    lonly = lside.join(rkeys, condition(lside, rkeys), "left_anti")
+    ronly = rside.join(lkeys, condition(lkeys, rside), "left_anti")
 
     ltypes = dict(lside.dtypes)
     rtypes = dict(rside.dtypes)
