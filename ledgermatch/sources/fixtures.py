@@ -17,7 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _padded(prefix: str, width: int, value: Column) -> Column:
-    return F.format_string(f"{prefix}%0{width}d", value)
+    """``prefix`` + zero-padded non-negative integer, like printf('%0Nd'); never truncates."""
+    digits = value.cast("string")
+    padded = F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+    return F.concat(F.lit(prefix), padded)
 
 
 def _day_string(ts: Column, shift_days: Column | int = 0) -> Column:
