@@ -19,8 +19,19 @@ def target_parallelism(df: DataFrame) -> int:
     return max(1, min(spark.sparkContext.defaultParallelism, shuffle))
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    """True when the input already shuffles (it then has shuffle-level parallelism).
+
+    Asking such a plan for its partition count could make AQE run stages while
+    the query is still being built, so it is left alone.
+    """
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` to the session's parallelism if it has fewer partitions."""
+    if df.isStreaming or _has_exchange(df):
+        return df
     target = target_parallelism(df)
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

@@ -90,6 +90,9 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
-def save_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Materialise a frame as a catalog table, replacing it."""
-    df.write.mode("overwrite").format(fmt).saveAsTable(name)
+def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
+    """Materialise a frame as a catalog table, replacing it (at ``path`` if given)."""
+    w = df.write.mode("overwrite").format(fmt)
+    if path:
+        w = w.option("path", resolve_path(path, check_exists=False))
+    w.saveAsTable(name)

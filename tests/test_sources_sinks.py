@@ -203,3 +203,18 @@ def test_overwrite_and_partitioned(spark, tmp_path):
 def test_ensure_database(spark, tmp_path):
     writers.ensure_database(spark, "recon_test_db", str(tmp_path / "db"))
     assert "recon_test_db" in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_save_table_replaces(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    writers.save_table(df, "recon_mart_test", path=str(tmp_path / "mart"))
+    writers.save_table(df.union(df), "recon_mart_test", path=str(tmp_path / "mart"))
+    assert spark.table("recon_mart_test").count() == 2
+
+
+def test_spread_leaves_shuffled_inputs_alone(spark):
+    from ledgermatch.operators.partitioning import spread
+    one = spark.range(10).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    shuffled = spark.range(10).groupBy((F.col("id") % 2).alias("k")).count()
+    assert spread(shuffled) is shuffled
