@@ -218,3 +218,10 @@ def test_spread_leaves_shuffled_inputs_alone(spark):
     assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     shuffled = spark.range(10).groupBy((F.col("id") % 2).alias("k")).count()
     assert spread(shuffled) is shuffled
+
+
+def test_typed_internal_loader(spark, tmp_path):
+    p = tmp_path / "int.csv"
+    p.write_text("internal_tx_id,amount,date,customer_id,location_id\nINT001,100,2024-08-01,C001,LOC01\n")
+    df = files.load_internal_typed(spark, str(p))
+    assert dict(df.dtypes)["amount"] == "double" and df.first()["amount"] == 100.0
