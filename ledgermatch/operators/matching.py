@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermatch.operators.partitioning import spread
 
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 INDICATOR = "_merge"
@@ -144,9 +143,7 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if residual is None:
         lkeys, rkeys = lkeys.distinct(), rkeys.distinct()
 
-    # Only the pairs can multiply rows, so only that join gets the parallelism guard.
-    lpairs, rpairs = spread(lside), spread(rside)
-    pairs = lpairs.join(rpairs, condition(lpairs, rpairs), "inner")
+    pairs = lside.join(rside, condition(lside, rside), "inner")
     lonly = lside.join(rkeys, condition(lside, rkeys), "left_anti")
     ronly = rside.join(lkeys, condition(lkeys, rside), "left_anti")
 

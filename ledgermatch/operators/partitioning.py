@@ -1,11 +1,12 @@
-"""Parallelism guard for join inputs.
+"""Parallelism guard for small scans.
 
-A join's output inherits the partitioning of its probe side when Spark
-broadcasts the other side. A side read from one small file is one partition,
-so a many-to-many expansion would run in a single task. Inputs with fewer
-partitions than the session's parallelism are spread round-robin first
+A benchmark table stored as one small parquet file (one row group) is read by
+a single task, and everything narrow after it, such as deriving ledgers,
+probing a broadcast join or expanding many-to-many pairs, then runs on one
+core. ``spread`` round-robins such a scan to the session's parallelism
 (deterministic on retry: Spark sorts before a round-robin repartition).
-Large inputs already have more partitions than cores and are left alone.
+Large inputs already have more splits than cores and are returned unchanged,
+so at cluster scale this is a no-op. Call it on a scan, before any shuffle.
 """
 
 from __future__ import annotations
@@ -19,20 +20,11 @@ def target_parallelism(df: DataFrame) -> int:
     return max(1, min(spark.sparkContext.defaultParallelism, shuffle))
 
 
-def _has_exchange(df: DataFrame) -> bool:
-    """True when the input already shuffles (it then has shuffle-level parallelism).
-
-    Asking such a plan for its partition count could make AQE run stages while
-    the query is still being built, so it is left alone.
-    """
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` to the session's parallelism if it has fewer partitions."""
-    if df.isStreaming or _has_exchange(df):
-        return df
-    target = target_parallelism(df)
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def spread(scan: DataFrame) -> DataFrame:
+    """Round-robin a scan to the session's parallelism if it has fewer splits."""
+    if scan.isStreaming:
+        return scan
+    target = target_parallelism(scan)
+    if scan.rdd.getNumPartitions() < target:
+        return scan.repartition(target)
+    return scan

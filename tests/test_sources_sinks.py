@@ -212,12 +212,12 @@ def test_save_table_replaces(spark, tmp_path):
     assert spark.table("recon_mart_test").count() == 2
 
 
-def test_spread_leaves_shuffled_inputs_alone(spark):
-    from ledgermatch.operators.partitioning import spread
+def test_spread_only_widens_narrow_scans(spark):
+    from ledgermatch.operators.partitioning import spread, target_parallelism
     one = spark.range(10).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    shuffled = spark.range(10).groupBy((F.col("id") % 2).alias("k")).count()
-    assert spread(shuffled) is shuffled
+    assert spread(one).rdd.getNumPartitions() == target_parallelism(one)
+    wide = spark.range(0, 100, 1, 64)
+    assert spread(wide) is wide
 
 
 def test_typed_internal_loader(spark, tmp_path):
