@@ -555,3 +555,16 @@ def q_stream_window_metrics(spark, sf_dir):
     path = scratch_path(spark, "stream-split")
     runner.run_split(s, f"{path}/out", f"{path}/checkpoint")
     return window_metrics(runner.read_split(spark, f"{path}/out", s.schema))
+
+
+# ------------------------------------------------------- the mart as Spark SQL
+
+from ledgermatch.plans import sql_models  # noqa: E402
+
+
+@register("fct_reconciled_sql", V.with_ctes(V.MART, "SELECT * FROM fct"))
+def q_fct_reconciled_sql(spark, sf_dir):
+    """The same fact table from SQL text over temp views."""
+    i_view, e_view = sql_models.register_staging(fixtures.raw_internal(spark, sf_dir),
+                                                 fixtures.raw_external(spark, sf_dir))
+    return sql_models.fct_reconciled_sql(spark, i_view, e_view)

@@ -49,3 +49,14 @@ def test_conservation_with_unique_keys(spark, ledgers):
     res = reconcile(*ledgers, MatchSpec(KEYS))
     row = quality.conservation(ledgers[0], res.classified, "internal_tx_id").first()
     assert row["n_internal"] == 1500 and row["rows_conserved"] and row["ids_conserved"]
+
+
+def test_sql_model_equals_dataframe_model(spark):
+    from ledgermatch.plans import sql_models
+    raw_i, raw_e = fixtures.raw_internal(spark, SF), fixtures.raw_external(spark, SF)
+    i_view, e_view = sql_models.register_staging(raw_i, raw_e)
+    via_sql = sql_models.fct_reconciled_sql(spark, i_view, e_view)
+    via_df = mart.fct_reconciled(staging.stage_internal(raw_i), staging.stage_external(raw_e)) \
+        .drop("reconciliation_timestamp")
+    assert via_sql.count() == via_df.count() == 1725
+    assert via_sql.exceptAll(via_df).count() == 0 and via_df.exceptAll(via_sql).count() == 0
