@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermatch.functions import StatusLabels, amount_difference, status_expr
+from ledgermatch.operators.partitioning import distinct_keys
 
 KEY_COLUMNS = ("customer_id", "location_id", "_day")
 
@@ -76,7 +77,10 @@ def matched_pairs(internal: DataFrame, external: DataFrame, tolerance: float = 0
     return i.join(e, cond, "inner").select(
         F.col("i.transaction_id").alias("internal_transaction_id"),
         F.col("e.transaction_id").alias("external_transaction_id"),
-        F.col("i.transaction_date").alias("transaction_date"),
+        # Always the internal date (its day is a join key, so it is not null); reading
+        # the external date as well keeps this join's external shuffle identical to
+        # the external anti join's, so Spark runs it once.
+        F.coalesce(F.col("i.transaction_date"), F.col("e.transaction_date")).alias("transaction_date"),
         F.col("i.customer_id").alias("customer_id"),
         F.col("i.location_id").alias("location_id"),
         F.col("i.gross_amount").alias("internal_gross_amount"),
@@ -91,21 +95,26 @@ def matched_pairs(internal: DataFrame, external: DataFrame, tolerance: float = 0
 
 def _unmatched_rows(side: DataFrame, other: DataFrame, side_cols: tuple[str, ...],
                     other_cols: tuple[str, ...], id_check: str) -> DataFrame:
-    """Rows of ``side`` reported unmatched under the id rule."""
+    """Rows of ``side`` reported unmatched under the id rule.
+
+    No filter is placed on the side itself before its key join, so that join
+    reads the same exchange as the pairs join (one shuffle of the side).
+    """
     if id_check not in ("exact", "trusted"):
         raise ValueError(f"id_check must be 'exact' or 'trusted', not {id_check!r}")
     s = _keyed(side, side_cols)
     s_nn = s.where(_keys_present())
-    partner_keys = _keyed(other, other_cols).where(_keys_present()).select(*KEY_COLUMNS).distinct()
+    partner_keys = distinct_keys(_keyed(other, other_cols).where(_keys_present()), list(KEY_COLUMNS))
     no_partner = s_nn.join(partner_keys, list(KEY_COLUMNS), "left_anti").unionByName(s.where(~_keys_present()))
-    with_id = no_partner.where(F.col("transaction_id").isNotNull())
     if id_check == "exact":
-        # An id also carried by a paired row (a duplicate id) is not unmatched.
-        paired_ids = (s_nn.join(partner_keys, list(KEY_COLUMNS), "left_semi")
-                      .select("transaction_id").where(F.col("transaction_id").isNotNull()).distinct())
-        with_id = with_id.join(paired_ids, "transaction_id", "left_anti")
-    # A null id never equals a paired id, so such rows are always reported.
-    return with_id.unionByName(s.where(F.col("transaction_id").isNull()))
+        # An id also carried by a paired row (a duplicate id) is not unmatched. The
+        # anti join compares with SQL equality, so null ids are kept, as they must be.
+        paired_ids = distinct_keys(s_nn.join(partner_keys, list(KEY_COLUMNS), "left_semi")
+                                   .where(F.col("transaction_id").isNotNull()), ["transaction_id"])
+        no_partner = no_partner.join(paired_ids, "transaction_id", "left_anti")
+    # A null id never equals a paired id, so a paired row with a null id is reported too.
+    paired_null_ids = s_nn.where(F.col("transaction_id").isNull()).join(partner_keys, list(KEY_COLUMNS), "left_semi")
+    return no_partner.unionByName(paired_null_ids)
 
 
 def unmatched_internal(internal: DataFrame, external: DataFrame, labels: StatusLabels = StatusLabels(),

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermatch.operators.partitioning import distinct_keys
+
 
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 INDICATOR = "_merge"
@@ -131,7 +133,11 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     def condition(lf: DataFrame, rf: DataFrame) -> Column:
         parts = [lf[a] == rf[b] for a, b in zip(ljoin, rjoin)]
         if residual is not None:
-            parts.append(residual(lref(lf), rref(rf)))
+            # A null residual fails in the inner and the anti join alike. Wrapped
+            # in coalesce it is no longer null-intolerant, so Catalyst does not
+            # push inferred IS NOT NULL filters into the pairs branch only, and
+            # all branches keep one shared exchange per side.
+            parts.append(F.coalesce(residual(lref(lf), rref(rf)), F.lit(False)))
         return reduce(lambda x, y: x & y, parts)
 
     # Build sides of the anti joins: distinct match keys (plus residual inputs),
@@ -141,7 +147,7 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     lkeys = lside.select(ljoin + [_lk(key_idx[c]) for c in residual_columns[0] if c in key_idx] + l_extra)
     rkeys = rside.select(rjoin + [_rk(key_idx[c]) for c in residual_columns[1] if c in key_idx] + r_extra)
     if residual is None:
-        lkeys, rkeys = lkeys.distinct(), rkeys.distinct()
+        lkeys, rkeys = distinct_keys(lkeys, lkeys.columns), distinct_keys(rkeys, rkeys.columns)
 
     pairs = lside.join(rside, condition(lside, rside), "inner")
     lonly = lside.join(rkeys, condition(lside, rkeys), "left_anti")
@@ -155,7 +161,13 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
         for s, o in lay.left_out:
             if s in key_idx:
                 i = key_idx[s]
-                src = F.col(_lk(i)) if has_left else F.col(_rk(i)).cast(ltypes[_lk(i)])
+                right_key = F.col(_rk(i)).cast(ltypes[_lk(i)])
+                if has_left and has_right:
+                    # The merged key, as pandas fills it; reading both sides also keeps
+                    # the pairs' exchange identical to the anti joins' (shared shuffle).
+                    src = F.coalesce(F.col(_lk(i)), right_key)
+                else:
+                    src = F.col(_lk(i)) if has_left else right_key
                 out.append(src.alias(o))
             else:
                 out.append((F.col(o) if has_left else F.lit(None).cast(ltypes[o])).alias(o))
