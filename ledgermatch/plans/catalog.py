@@ -559,12 +559,16 @@ def q_stream_window_metrics(spark, sf_dir):
 
 # ------------------------------------------------------- the mart as Spark SQL
 
+import uuid  # noqa: E402
+
 from ledgermatch.plans import sql_models  # noqa: E402
 
 
 @register("fct_reconciled_sql", V.with_ctes(V.MART, "SELECT * FROM fct"))
 def q_fct_reconciled_sql(spark, sf_dir):
     """The same fact table from SQL text over temp views."""
+    tag = uuid.uuid4().hex[:8]
     i_view, e_view = sql_models.register_staging(fixtures.raw_internal(spark, sf_dir),
-                                                 fixtures.raw_external(spark, sf_dir))
+                                                 fixtures.raw_external(spark, sf_dir),
+                                                 f"stg_internal_{tag}", f"stg_external_{tag}")
     return sql_models.fct_reconciled_sql(spark, i_view, e_view)

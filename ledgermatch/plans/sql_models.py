@@ -63,12 +63,11 @@ def register_staging(raw_internal: DataFrame, raw_external: DataFrame, internal_
                      external_view: str = "stg_external") -> tuple[str, str]:
     """Create the staging views from raw ledger frames; returns the view names."""
     spark = raw_internal.sparkSession
-    raw_internal.createOrReplaceTempView("__raw_internal")
-    raw_external.createOrReplaceTempView("__raw_external")
-    spark.sql(STAGING_INTERNAL.format(source="internal", raw="__raw_internal")) \
-        .createOrReplaceTempView(internal_view)
-    spark.sql(STAGING_EXTERNAL.format(source="external", raw="__raw_external")) \
-        .createOrReplaceTempView(external_view)
+    raw_i, raw_e = f"{internal_view}__raw", f"{external_view}__raw"
+    raw_internal.createOrReplaceTempView(raw_i)
+    raw_external.createOrReplaceTempView(raw_e)
+    spark.sql(STAGING_INTERNAL.format(source="internal", raw=raw_i)).createOrReplaceTempView(internal_view)
+    spark.sql(STAGING_EXTERNAL.format(source="external", raw=raw_e)).createOrReplaceTempView(external_view)
     return internal_view, external_view
 
 
