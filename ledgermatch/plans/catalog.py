@@ -7,13 +7,25 @@ result depends on run time, e.g. stream emission, and checked in tests).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgermatch.operators import mart, staging
+from ledgermatch.functions import StatusLabels
+from ledgermatch.operators import mart, quality, staging, summary
+from ledgermatch.operators.reconcile import MatchSpec, reconcile
+from ledgermatch.plans import jobs, sql_models
 from ledgermatch.plans import oracle_views as V
-from ledgermatch.sources import fixtures
+from ledgermatch.session import scratch_path
+from ledgermatch.sinks import writers
+from ledgermatch.sources import files, fixtures
+from ledgermatch.sources.dispatch import read_source
+from ledgermatch.spec import JobSpec, OutputSpec, SourceSpec, WindowSpec
+from ledgermatch.streaming import runner
+from ledgermatch.streaming.reconcile import reconcile_stream, window_metrics
+from ledgermatch.streaming.windows import window_counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +98,6 @@ def q_unmatched_external_anti(spark, sf_dir):
 
 # ------------------------------------------------------- path A: the matcher
 
-from ledgermatch.operators.reconcile import MatchSpec, reconcile  # noqa: E402
 
 _LI = ["internal_tx_id", "date", "customer_id", "location_id", "amount"]
 _LE = ["external_tx_id", "date", "customer_id", "location_id", "net_amount"]
@@ -192,9 +203,6 @@ def q_match_status(spark, sf_dir):
 
 # ------------------------------------------------------- summaries, windows, sorts
 
-from ledgermatch.operators import quality, summary  # noqa: E402
-from ledgermatch.functions import StatusLabels  # noqa: E402
-
 
 def fct(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, e = staged(spark, sf_dir)
@@ -302,13 +310,6 @@ def q_dq_conservation(spark, sf_dir):
 # Each query first writes a fixture view to a fresh folder under spark.checkpoint.dir,
 # then answers from what it reads back, so the scan / sink is on the measured path.
 
-from ledgermatch.plans import jobs  # noqa: E402
-from ledgermatch.session import scratch_path  # noqa: E402
-from ledgermatch.sinks import writers  # noqa: E402
-from ledgermatch.sources import files  # noqa: E402
-from ledgermatch.sources.dispatch import read_source  # noqa: E402
-from ledgermatch.spec import JobSpec, OutputSpec, SourceSpec  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 _CSV_ROWS_PER_FILE = 5000
 
@@ -466,10 +467,6 @@ def q_batch_pipeline(spark, sf_dir):
 # The events table is replayed as a file stream (available-now trigger) into
 # parquet under spark.checkpoint.dir; the query answers from the sink.
 
-from ledgermatch.spec import WindowSpec  # noqa: E402
-from ledgermatch.streaming import runner  # noqa: E402
-from ledgermatch.streaming.reconcile import reconcile_stream, window_metrics  # noqa: E402
-from ledgermatch.streaming.windows import window_counts  # noqa: E402
 
 _HOUR = WindowSpec("tumbling", "1 hour", grace="10 minutes")
 _SLIDE = WindowSpec("sliding", "1 hour", "15 minutes", "10 minutes")
@@ -559,10 +556,6 @@ def q_stream_window_metrics(spark, sf_dir):
 
 # ------------------------------------------------------- the mart as Spark SQL
 
-import uuid  # noqa: E402
-
-from ledgermatch.plans import sql_models  # noqa: E402
-
 
 @register("fct_reconciled_sql", V.with_ctes(V.MART, "SELECT * FROM fct"))
 def q_fct_reconciled_sql(spark, sf_dir):
