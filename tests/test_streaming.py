@@ -131,3 +131,23 @@ def test_stream_job_from_config(spark, tmp_path):
     # Matched rows are emitted at once, even for the still-open 03:00 window.
     assert {r["event_id"] for r in spark.read.parquet(str(tmp_path / "out" / "matched")).collect()} == {1, 3}
     assert {r["event_id"] for r in spark.read.parquet(str(tmp_path / "out" / "ui")).collect()} == {2}
+
+
+def test_join_state_keeps_only_open_windows(spark, tmp_path):
+    # Two rows a side per hour from 00:00 to 05:00; the watermark ends at 04:50,
+    # so windows up to 04:00 close and leave the state store.
+    rows_i = [(h * 10 + k, h, t(h, 5 + k), 1.0) for h in range(6) for k in range(2)]
+    rows_e = [(h * 10 + k, h, t(h, 6 + k), 9.0) for h in range(6) for k in range(2)]
+    drop(spark, str(tmp_path / "si"), rows_i, SCHEMA_I, "a")
+    drop(spark, str(tmp_path / "se"), rows_e, SCHEMA_E, "a")
+    si = runner.file_stream(spark, str(tmp_path / "si"), spark.createDataFrame([], SCHEMA_I).schema, recursive=True)
+    se = runner.file_stream(spark, str(tmp_path / "se"), spark.createDataFrame([], SCHEMA_E).schema, recursive=True)
+    s = reconcile_stream(si, se, ["user_id", "event_id"], HOUR, amount_tolerance=0.05)
+    q = runner.run_to_parquet(s, str(tmp_path / "o"), str(tmp_path / "ck"))
+    last = runner.progress_frame(spark, q).orderBy(F.desc("batch_id")).first()
+    out = spark.read.parquet(str(tmp_path / "o"))
+    # Every row is outside the tolerance: the closed windows (00:00-03:00, 4 hours x 2 rows) are reported.
+    assert out.where("_merge = 'left_only'").count() == 8 and out.where("_merge = 'right_only'").count() == 8
+    # State holds only the open windows' rows (hours 4 and 5, 2 rows x 2 sides x 2 hours),
+    # counted per side in the key-to-rows and key-index stores.
+    assert 0 < last["state_rows"] <= 4 * 2 * 2
