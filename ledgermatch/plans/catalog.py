@@ -523,7 +523,8 @@ def _stream_join_sql(how: str, select_metrics: bool = False) -> str:
                 f"COUNT(*) FILTER (WHERE _merge = 'both') AS n_matched, "
                 f"COUNT(*) FILTER (WHERE _merge = 'left_only') AS n_unmatched_internal, "
                 f"COUNT(*) FILTER (WHERE _merge = 'right_only') AS n_unmatched_external, "
-                f"CAST(COUNT(*) FILTER (WHERE _merge = 'both') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS match_rate "
+                f"CAST(COUNT(*) FILTER (WHERE _merge = 'both') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS match_rate, "
+                f"window_end <= (SELECT wm FROM wm) AS complete "
                 f"FROM ({body}) x GROUP BY window_start, window_end")
     return V.with_ctes(V.STREAMS + [V.stream_watermark(["s_int", "s_ext"]), V.windowed("s_int", "wi", 60),
                                     V.windowed("s_ext", "we", 60)], body)
@@ -550,8 +551,8 @@ def q_stream_window_metrics(spark, sf_dir):
     internal, external = _event_streams(spark, sf_dir)
     s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
     path = scratch_path(spark, "stream-split")
-    runner.run_split(s, f"{path}/out", f"{path}/checkpoint")
-    return window_metrics(runner.read_split(spark, f"{path}/out", s.schema))
+    q = runner.run_split(s, f"{path}/out", f"{path}/checkpoint")
+    return window_metrics(runner.read_split(spark, f"{path}/out", s.schema), runner.final_watermark(q))
 
 
 # ------------------------------------------------------- the mart as Spark SQL

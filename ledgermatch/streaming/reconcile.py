@@ -70,12 +70,13 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     return flatten_window(joined.select(out))
 
 
-def window_metrics(classified: DataFrame) -> DataFrame:
-    """Per window: records, matched and unmatched counts, match rate.
+def window_metrics(classified: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Per window: records, matched and unmatched counts, match rate, completion.
 
-    A batch function over reconciled rows (for example the table a stream
-    appends to); window completeness is implied, since unmatched rows only
-    exist for closed windows.
+    A batch function over reconciled rows (for example the folders a stream
+    appends to). ``watermark`` is the stream's event-time watermark (an ISO
+    instant, as in the query's progress report): a window is ``complete`` once
+    its end is at or before it, and its unmatched rows are then final.
     """
     m = F.col(INDICATOR)
     agg = classified.groupBy("window_start", "window_end").agg(
@@ -84,4 +85,9 @@ def window_metrics(classified: DataFrame) -> DataFrame:
         F.count_if(m == LEFT_ONLY).alias("n_unmatched_internal"),
         F.count_if(m == RIGHT_ONLY).alias("n_unmatched_external"),
     )
-    return agg.withColumn("match_rate", F.col("n_matched").cast("double") / F.col("n_records").cast("double"))
+    agg = agg.withColumn("match_rate", F.col("n_matched").cast("double") / F.col("n_records").cast("double"))
+    if watermark is not None:
+        # The watermark is an instant; window bounds are wall-clock in the session zone.
+        wm = F.to_timestamp(F.lit(watermark)).cast("timestamp_ntz")
+        agg = agg.withColumn("complete", F.col("window_end") <= wm)
+    return agg

@@ -95,6 +95,13 @@ _PROGRESS_SCHEMA = T.StructType([
 ])
 
 
+def final_watermark(query: StreamingQuery) -> str | None:
+    """The event-time watermark reported by the query's last micro-batch."""
+    progress = query.lastProgress or {}
+    wm = progress.get("eventTime", {}).get("watermark")
+    return None if wm in (None, "1970-01-01T00:00:00.000Z") else wm
+
+
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """Processing-time metrics of recent micro-batches as a small DataFrame.
 
