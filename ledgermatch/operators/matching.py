@@ -52,11 +52,34 @@ class MatchLayout:
         return next((o for s, o in pairs if s == column), None)
 
 
+def _key_family(dtype: T.DataType) -> str:
+    if isinstance(dtype, T.NumericType):
+        return "numeric"
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "temporal"
+    return dtype.simpleString()
+
+
+def check_key_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    """Refuse keys whose types differ in kind (e.g. integer ids on one side, text on the other).
+
+    Spark would cast one side silently and match '1001' with 1001 (or miss
+    '01001'); the keys should be aligned explicitly instead. Numbers of
+    different widths compare fine and are allowed.
+    """
+    for k in keys:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if _key_family(a) != _key_family(b):
+            raise TypeError(f"join key {k!r} is {a.simpleString()} on the internal side and "
+                            f"{b.simpleString()} on the external side; cast one side first")
+
+
 def layout(left: DataFrame, right: DataFrame, keys: Sequence[str],
            suffixes: tuple[str, str] = ("_internal", "_external")) -> MatchLayout:
     for k in keys:
         if k not in left.columns or k not in right.columns:
             raise ValueError(f"join key {k!r} must exist on both sides")
+    check_key_types(left, right, keys)
     overlap = (set(left.columns) & set(right.columns)) - set(keys)
     left_out = tuple((c, c + suffixes[0] if c in overlap else c) for c in left.columns)
     right_out = tuple((c, c + suffixes[1] if c in overlap else c) for c in right.columns if c not in keys)
