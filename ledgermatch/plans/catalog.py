@@ -566,3 +566,11 @@ def q_fct_reconciled_sql(spark, sf_dir):
                                                  fixtures.raw_external(spark, sf_dir),
                                                  f"stg_internal_{tag}", f"stg_external_{tag}")
     return sql_models.fct_reconciled_sql(spark, i_view, e_view)
+
+
+@register("stream_recon_outer_salted", _stream_join_sql("full_outer"))
+def q_stream_recon_outer_salted(spark, sf_dir):
+    """The outer stream reconciliation with each key's window state spread over 4 buckets."""
+    internal, external = _event_streams(spark, sf_dir)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05, salt_buckets=4)
+    return _run(spark, s, "recon-outer-salted")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermatch.operators.matching import BOTH, INDICATOR, LEFT_ONLY, RIGHT_ONLY
@@ -35,23 +35,59 @@ def _side(df: DataFrame, ts_col: str, spec: WindowSpec, prefix: str) -> DataFram
     return w.select(cols)
 
 
+def _salted(df: DataFrame, prefix: str, buckets: int) -> DataFrame:
+    """Each row in one bucket, chosen by a hash of its content (stable on retry)."""
+    content = F.xxhash64(*[F.col(c) for c in df.columns if c != f"{prefix}window"])
+    return df.withColumn(f"{prefix}salt", F.pmod(content, F.lit(buckets)).cast("int"))
+
+
+def _replicated(df: DataFrame, prefix: str, buckets: int) -> DataFrame:
+    """Each row once per bucket."""
+    return df.withColumn(f"{prefix}salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+
+
 def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[str], spec: WindowSpec,
                      internal_key: str = "amount", external_key: str = "net_amount",
                      amount_tolerance: float | None = None, ts_col: str = "ts",
-                     how: str = "full_outer") -> DataFrame:
+                     how: str = "full_outer", salt_buckets: int = 1) -> DataFrame:
     """Stream of reconciled rows with ``_merge`` in {both, left_only, right_only}.
 
     ``how="inner"`` emits matched pairs only; ``"full_outer"`` adds the
     unmatched rows of each closed window.
+
+    ``salt_buckets > 1`` spreads a hot key's window state over that many
+    state partitions. One join puts each internal row in one bucket and copies
+    the external rows to every bucket, which yields the pairs and the
+    internal-only rows exactly once. A second join does the mirror image and
+    keeps only its external-only rows. The price is ``salt_buckets`` copies of
+    the replicated side's state.
     """
     if how not in ("inner", "full_outer"):
         raise ValueError("how must be 'inner' or 'full_outer'")
+    if salt_buckets < 1:
+        raise ValueError("salt_buckets must be at least 1")
     left = _side(internal, ts_col, spec, "i_")
     right = _side(external, ts_col, spec, "e_")
-    cond = [left[f"i_{k}"] == right[f"e_{k}"] for k in keys] + [left["i_window"] == right["e_window"]]
-    if amount_tolerance is not None:
-        cond.append(F.abs(left[f"i_{internal_key}"] - right[f"e_{external_key}"]) <= F.lit(float(amount_tolerance)))
-    joined = left.join(right, reduce(lambda a, b: a & b, cond), how)
+
+    def condition(lf: DataFrame, rf: DataFrame, salted: bool) -> Column:
+        cond = [lf[f"i_{k}"] == rf[f"e_{k}"] for k in keys] + [lf["i_window"] == rf["e_window"]]
+        if salted:
+            cond.append(lf["i_salt"] == rf["e_salt"])
+        if amount_tolerance is not None:
+            cond.append(F.abs(lf[f"i_{internal_key}"] - rf[f"e_{external_key}"]) <= F.lit(float(amount_tolerance)))
+        return reduce(lambda a, b: a & b, cond)
+
+    if salt_buckets == 1:
+        joined = left.join(right, condition(left, right, False), how)
+    else:
+        ls, rr = _salted(left, "i_", salt_buckets), _replicated(right, "e_", salt_buckets)
+        joined = ls.join(rr, condition(ls, rr, True), "inner" if how == "inner" else "left_outer")
+        joined = joined.drop("i_salt", "e_salt")
+        if how == "full_outer":
+            lr, rs = _replicated(left, "i_", salt_buckets), _salted(right, "e_", salt_buckets)
+            right_only = (lr.join(rs, condition(lr, rs, True), "right_outer")
+                          .where(F.col("i_window").isNull()).drop("i_salt", "e_salt"))
+            joined = joined.unionByName(right_only)
     present_i = F.col("i_window").isNotNull()
     present_e = F.col("e_window").isNotNull()
     tag = F.when(present_i & present_e, F.lit(BOTH)).when(present_i, F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY))
@@ -59,7 +95,7 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     out += [F.coalesce(F.col(f"i_{k}"), F.col(f"e_{k}")).alias(k) for k in keys]
     overlap = (set(internal.columns) & set(external.columns)) - set(keys)
 
-    def named(side: str, c: str) -> DataFrame:
+    def named(side: str, c: str) -> Column:
         col = F.col(f"{side}_{c}")
         if c == ts_col:
             col = col.cast("timestamp_ntz")
