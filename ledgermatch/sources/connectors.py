@@ -8,7 +8,7 @@ through its storage API, Kafka by topic partition.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +77,7 @@ def read_jdbc(spark: SparkSession, src: JdbcSource, parse_dates: tuple[str, ...]
     if src.partition_column and (src.lower_bound is None or src.upper_bound is None):
         bounds = _bounds(spark, src)
         if bounds is not None:
-            src = JdbcSource(**{**src.__dict__, "lower_bound": bounds[0], "upper_bound": bounds[1]})
+            src = replace(src, lower_bound=bounds[0], upper_bound=bounds[1])
     df = spark.read.format("jdbc").options(**src.options()).load()
     from ledgermatch.sources.files import parse_date_columns
     return parse_date_columns(df, [c for c in parse_dates if c in df.columns])

@@ -21,6 +21,9 @@ import os
 from collections.abc import Sequence
 from urllib.parse import urlparse
 
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +48,17 @@ RAW_EXTERNAL_SCHEMA = T.StructType([
 ])
 
 
+@contextmanager
+def _missing_as_file_not_found(path: str):
+    """Spark reports a missing path (any scheme) as PATH_NOT_FOUND when the read resolves."""
+    try:
+        yield
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            raise FileNotFoundError(f"File not found: {path}") from exc
+        raise
+
+
 def delimiter_for(path: str) -> str:
     return "|" if path.endswith(".psv") else ","
 
@@ -80,12 +94,13 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str |
     real = resolve_path(path, check_exists)
     sep = sep or delimiter_for(path)
     reader = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST")
-    if schema is not None:
-        df = reader.schema(schema).csv(real)
-    elif infer_schema:
-        df = reader.option("inferSchema", True).csv(real)
-    else:
-        df = reader.schema(_all_strings(spark, real, sep)).csv(real)
+    with _missing_as_file_not_found(path):
+        if schema is not None:
+            df = reader.schema(schema).csv(real)
+        elif infer_schema:
+            df = reader.option("inferSchema", True).csv(real)
+        else:
+            df = reader.schema(_all_strings(spark, real, sep)).csv(real)
     if na_values:
         df = df.select([na_to_null(c, tuple(na_values)).alias(c) if t == "string" else F.col(c)
                         for c, t in df.dtypes])
@@ -107,7 +122,8 @@ def parse_date_columns(df: DataFrame, parse_dates: Sequence[str] = ("date",)) ->
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  where: str | None = None, parse_dates: Sequence[str] = (), check_exists: bool = True) -> DataFrame:
     """Parquet scan; ``columns`` and ``where`` reach the scan as pruning and pushed filters."""
-    df = spark.read.parquet(resolve_path(path, check_exists))
+    with _missing_as_file_not_found(path):
+        df = spark.read.parquet(resolve_path(path, check_exists))
     if where:
         df = df.where(where)
     if columns:
@@ -123,8 +139,9 @@ def read_glob(spark: SparkSession, pattern: str, schema: T.StructType, sep: str
     modification time, the load-time pseudo column.
     """
     real = resolve_path(pattern, check_exists=True)
-    df = (spark.read.option("header", True).option("sep", sep or delimiter_for(pattern))
-          .option("mode", "FAILFAST").schema(schema).csv(real))
+    with _missing_as_file_not_found(pattern):
+        df = (spark.read.option("header", True).option("sep", sep or delimiter_for(pattern))
+              .option("mode", "FAILFAST").schema(schema).csv(real))
     if with_ingestion_time:
         df = df.withColumn("ingestion_timestamp", F.col("_metadata.file_modification_time"))
     return df

@@ -225,3 +225,11 @@ def test_typed_internal_loader(spark, tmp_path):
     p.write_text("internal_tx_id,amount,date,customer_id,location_id\nINT001,100,2024-08-01,C001,LOC01\n")
     df = files.load_internal_typed(spark, str(p))
     assert dict(df.dtypes)["amount"] == "double" and df.first()["amount"] == 100.0
+
+
+def test_missing_path_under_any_scheme_is_file_not_found(spark, tmp_path):
+    # A file:// URL skips the local pre-check; Spark's own PATH_NOT_FOUND is translated.
+    with pytest.raises(FileNotFoundError):
+        files.read_delimited(spark, f"file://{tmp_path}/absent.csv", check_exists=False)
+    with pytest.raises(FileNotFoundError):
+        files.read_parquet(spark, str(tmp_path / "absent.parquet"), check_exists=False)
