@@ -15,8 +15,9 @@ def read_source(spark: SparkSession, src: SourceSpec) -> DataFrame:
     if src.type in ("file", "csv", "psv"):
         if src.path and (src.path.endswith(".parquet") or opts.get("format") == "parquet"):
             return files.read_parquet(spark, src.path, opts.get("columns"), opts.get("where"), parse_dates)
+        infer = opts.get("infer_schema", False)
         return files.read_delimited(spark, src.path, schema=opts.get("schema"),
-                                    infer_schema=bool(opts.get("infer_schema", False)), parse_dates=parse_dates)
+                                    infer_schema=infer if infer == "head" else bool(infer), parse_dates=parse_dates)
     if src.type == "parquet":
         return files.read_parquet(spark, src.path, opts.get("columns"), opts.get("where"), parse_dates)
     if src.type == "bigquery":

@@ -81,15 +81,45 @@ def _all_strings(spark: SparkSession, path: str, sep: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in header.columns])
 
 
+_HEAD_ROWS = 1000
+
+
+def _head_types(df: DataFrame, columns: Sequence[str], rows: int = _HEAD_ROWS) -> dict[str, str]:
+    """Column types from the first rows: long, then double, else text.
+
+    One small job over the first split(s), the way a pandas-style reader takes
+    its dtypes from the first block. A later value that does not fit then
+    fails the (ANSI) cast at run time instead of being silently nulled.
+    """
+    head = df.limit(rows)
+    checks = []
+    for c in columns:
+        v = F.col(c)
+        checks += [F.count(v).alias(f"n_{c}"), F.count(F.expr(f"try_cast(`{c}` AS BIGINT)")).alias(f"l_{c}"),
+                   F.count(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(f"d_{c}")]
+    if not checks:
+        return {}
+    r = head.agg(*checks).first()
+    out = {}
+    for c in columns:
+        n = r[f"n_{c}"]
+        if n and r[f"l_{c}"] == n:
+            out[c] = "bigint"
+        elif n and r[f"d_{c}"] == n:
+            out[c] = "double"
+    return out
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                   infer_schema: bool = False, parse_dates: Sequence[str] = ("date",),
+                   infer_schema: bool | str = False, parse_dates: Sequence[str] = ("date",),
                    na_values: Sequence[str] | None = PANDAS_NA_TOKENS, check_exists: bool = True,
                    sep: str | None = None) -> DataFrame:
     """CSV / PSV scan with header.
 
     With ``schema`` the text is parsed straight into those types. Without one,
-    every column is read as text, NA tokens become null, and (if
-    ``infer_schema``) Spark's inference pass picks the types first.
+    every column is read as text and NA tokens become null. ``infer_schema=True``
+    runs Spark's inference pass over all the data first; ``infer_schema="head"``
+    types the non-date columns from the first rows instead (cheap, pandas-like).
     """
     real = resolve_path(path, check_exists)
     sep = sep or delimiter_for(path)
@@ -97,13 +127,16 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str |
     with _missing_as_file_not_found(path):
         if schema is not None:
             df = reader.schema(schema).csv(real)
-        elif infer_schema:
+        elif infer_schema is True:
             df = reader.option("inferSchema", True).csv(real)
         else:
             df = reader.schema(_all_strings(spark, real, sep)).csv(real)
     if na_values:
         df = df.select([na_to_null(c, tuple(na_values)).alias(c) if t == "string" else F.col(c)
                         for c, t in df.dtypes])
+    if infer_schema == "head" and schema is None:
+        typed = _head_types(df, [c for c in df.columns if c not in (parse_dates or ())])
+        df = df.select([F.col(c).cast(typed[c]).alias(c) if c in typed else F.col(c) for c in df.columns])
     return parse_date_columns(df, parse_dates)
 
 

@@ -233,3 +233,12 @@ def test_missing_path_under_any_scheme_is_file_not_found(spark, tmp_path):
         files.read_delimited(spark, f"file://{tmp_path}/absent.csv", check_exists=False)
     with pytest.raises(FileNotFoundError):
         files.read_parquet(spark, str(tmp_path / "absent.parquet"), check_exists=False)
+
+
+def test_head_inference_types_like_a_pandas_reader(spark, csv_file, psv_file):
+    for path in (csv_file, psv_file):
+        df = files.read_delimited(spark, path, infer_schema="head")
+        assert df.columns == ["date", "customer_id", "location_id", "amount"]
+        assert dict(df.dtypes)["amount"] == "double" and dict(df.dtypes)["customer_id"] == "bigint"
+        assert df.orderBy("date").first()["amount"] == 100.50
+        assert dict(df.dtypes)["date"] == "timestamp_ntz"
