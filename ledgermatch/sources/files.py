@@ -17,6 +17,7 @@ nulls before casts, and ``date`` is parsed to a timestamp when requested.
 from __future__ import annotations
 
 import glob as _glob
+import logging
 import os
 from collections.abc import Sequence
 from urllib.parse import urlparse
@@ -30,6 +31,8 @@ from pyspark.sql import types as T
 
 from ledgermatch.functions import PANDAS_NA_TOKENS, na_to_null
 
+log = logging.getLogger(__name__)
+
 # The column layout of the nightly raw loads.
 RAW_INTERNAL_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.StringType()),
@@ -121,7 +124,12 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str |
     runs Spark's inference pass over all the data first; ``infer_schema="head"``
     types the non-date columns from the first rows instead (cheap, pandas-like).
     """
-    real = resolve_path(path, check_exists)
+    log.info("Reading delimited file %s", path)
+    try:
+        real = resolve_path(path, check_exists)
+    except FileNotFoundError:
+        log.error("Failed to load file %s: not found", path)
+        raise
     sep = sep or delimiter_for(path)
     reader = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST")
     with _missing_as_file_not_found(path):

@@ -242,3 +242,14 @@ def test_head_inference_types_like_a_pandas_reader(spark, csv_file, psv_file):
         assert dict(df.dtypes)["amount"] == "double" and dict(df.dtypes)["customer_id"] == "bigint"
         assert df.orderBy("date").first()["amount"] == 100.50
         assert dict(df.dtypes)["date"] == "timestamp_ntz"
+
+
+def test_loader_logs_attempt_and_failure(spark, csv_file, tmp_path, caplog):
+    import logging
+    with caplog.at_level(logging.INFO, logger="ledgermatch.sources.files"):
+        files.read_delimited(spark, csv_file)
+        with pytest.raises(FileNotFoundError):
+            files.read_delimited(spark, str(tmp_path / "gone.csv"))
+    messages = [r.getMessage() for r in caplog.records]
+    assert any(m.startswith("Reading delimited file") for m in messages)
+    assert any(m.startswith("Failed to load file") for m in messages)
