@@ -41,6 +41,7 @@ class MatchSpec:
     date_tolerance_days: int = 0
     mode: str = "filter"
     strict: bool = False
+    null_safe_keys: bool = True  # null keys match each other, as a pandas merge does
 
     def __post_init__(self):
         object.__setattr__(self, "match_on", tuple(self.match_on) if self.match_on else DEFAULT_MATCH_ON)
@@ -128,7 +129,7 @@ def reconcile(internal: DataFrame, external: DataFrame, spec: MatchSpec = MatchS
         return within_days(a, b, spec.date_tolerance_days)
 
     if spec.mode == "filter":
-        merged, _ = outer_match(internal, external, keys, suffixes=suffixes)
+        merged, _ = outer_match(internal, external, keys, suffixes=suffixes, null_safe=spec.null_safe_keys)
         if amounts:
             merged = merged.where(amount_ok(F.col))
         if dates:
@@ -138,7 +139,7 @@ def reconcile(internal: DataFrame, external: DataFrame, spec: MatchSpec = MatchS
     # classify: tolerances join the ON clause.
     checks = [c for c in (amounts, dates) if c]
     if not checks:
-        merged, _ = outer_match(internal, external, keys, suffixes=suffixes)
+        merged, _ = outer_match(internal, external, keys, suffixes=suffixes, null_safe=spec.null_safe_keys)
         return ReconResult(merged, lay)
     used = [_source_of(lay, m) for pair in checks for m in pair]
     lcols = [s for side, s in used if side == "left"]
@@ -160,7 +161,7 @@ def reconcile(internal: DataFrame, external: DataFrame, spec: MatchSpec = MatchS
         return out
 
     merged, _ = outer_match(internal, external, keys, residual=residual,
-                            residual_columns=(lcols, rcols), suffixes=suffixes)
+                            residual_columns=(lcols, rcols), suffixes=suffixes, null_safe=spec.null_safe_keys)
     return ReconResult(merged, lay)
 
 
