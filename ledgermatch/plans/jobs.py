@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgermatch.functions import StatusLabels
 from ledgermatch.operators import mart, quality, staging, summary
 from ledgermatch.operators.reconcile import ReconResult, reconcile
+from ledgermatch.session import ensure_checkpoint_dir
 from ledgermatch.sinks import writers
 from ledgermatch.sources import files
 from ledgermatch.sources.dispatch import read_source
@@ -61,7 +62,10 @@ def batch_pipeline(spark: SparkSession, internal_glob: str, external_glob: str,
     stg_i.createOrReplaceTempView("stg_internal_transactions")
     stg_e.createOrReplaceTempView("stg_external_transactions")
 
-    tests = raw_quality(raw_i.drop("ingestion_timestamp"), raw_e.drop("ingestion_timestamp"))
+    # One row per declared test. Checkpointed (written under spark.checkpoint.dir)
+    # so that choosing the id rule and reporting the results share one evaluation.
+    ensure_checkpoint_dir(spark)
+    tests = raw_quality(raw_i.drop("ingestion_timestamp"), raw_e.drop("ingestion_timestamp")).checkpoint()
     failures = tests.where(F.col("test").isin("unique") | F.col("column_name").isin("transaction_id")) \
         .agg(F.sum("failures").alias("n")).first()["n"]
     id_check = "trusted" if failures == 0 else "exact"

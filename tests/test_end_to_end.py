@@ -60,3 +60,21 @@ def test_sql_model_equals_dataframe_model(spark):
         .drop("reconciliation_timestamp")
     assert via_sql.count() == via_df.count() == 1725
     assert via_sql.exceptAll(via_df).count() == 0 and via_df.exceptAll(via_sql).count() == 0
+
+
+def test_batch_pipeline_picks_id_rule_from_tests(spark, tmp_path):
+    from ledgermatch.plans import jobs
+    i_dir, e_dir = str(tmp_path / "stripe"), str(tmp_path / "bank")
+    fixtures.raw_internal(spark, SF).write.option("header", True).csv(i_dir)
+    raw_e = fixtures.raw_external(spark, SF)
+    raw_e.write.option("header", True).csv(e_dir)
+    res = jobs.batch_pipeline(spark, f"{i_dir}/*.csv", f"{e_dir}/*.csv", str(tmp_path / "mart"),
+                              run_ts="2024-06-30 05:00:00")
+    assert res.id_check == "trusted"  # ids proved unique and non-null
+    assert {r["match_status"]: r["count"] for r in res.summary.collect()}["MATCHED"] == 1003
+    assert all(r["failures"] == 0 for r in res.quality.collect())
+    # A repeated external id makes the exact rule necessary.
+    dup_dir = str(tmp_path / "bank_dup")
+    raw_e.unionByName(raw_e.limit(1)).write.option("header", True).csv(dup_dir)
+    res2 = jobs.batch_pipeline(spark, f"{i_dir}/*.csv", f"{dup_dir}/*.csv", str(tmp_path / "mart2"))
+    assert res2.id_check == "exact"
