@@ -3,7 +3,7 @@
 Semantics (SQL equality, so null keys never match):
 
 * a pair is an internal and an external row with equal customer, location and
-  calendar day; it is MATCHED when ``abs(net - bank) <= tolerance`` and
+  calendar day; it is MATCHED when ``abs(internal net - external net) <= tolerance`` and
   AMOUNT_VARIANCE otherwise (a null amount is a variance);
 * an internal row is unmatched when its ``transaction_id`` is null or is not the
   id of any paired internal row (likewise for the external side).

@@ -453,8 +453,8 @@ def q_job_end_to_end(spark, sf_dir):
 @register("batch_pipeline", V.with_ctes(V.MART, "SELECT *, '2024-06-30' AS reconciliation_date FROM fct"))
 def q_batch_pipeline(spark, sf_dir):
     """Nightly batch over daily CSV drops; returns the published partition."""
-    i_dir = scratch_path(spark, "stripe_daily")
-    e_dir = scratch_path(spark, "bank_daily")
+    i_dir = scratch_path(spark, "internal_daily")
+    e_dir = scratch_path(spark, "external_daily")
     _to_csv(fixtures.raw_internal(spark, sf_dir), i_dir)
     _to_csv(fixtures.raw_external(spark, sf_dir), e_dir)
     res = jobs.batch_pipeline(spark, f"{i_dir}/*.csv", f"{e_dir}/*.csv", scratch_path(spark, "marts"), run_ts=_RUN_TS)

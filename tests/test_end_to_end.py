@@ -64,7 +64,7 @@ def test_sql_model_equals_dataframe_model(spark):
 
 def test_batch_pipeline_picks_id_rule_from_tests(spark, tmp_path):
     from ledgermatch.plans import jobs
-    i_dir, e_dir = str(tmp_path / "stripe"), str(tmp_path / "bank")
+    i_dir, e_dir = str(tmp_path / "internal_daily"), str(tmp_path / "external_daily")
     fixtures.raw_internal(spark, SF).write.option("header", True).csv(i_dir)
     raw_e = fixtures.raw_external(spark, SF)
     raw_e.write.option("header", True).csv(e_dir)
@@ -74,7 +74,7 @@ def test_batch_pipeline_picks_id_rule_from_tests(spark, tmp_path):
     assert {r["match_status"]: r["count"] for r in res.summary.collect()}["MATCHED"] == 1003
     assert all(r["failures"] == 0 for r in res.quality.collect())
     # A repeated external id makes the exact rule necessary.
-    dup_dir = str(tmp_path / "bank_dup")
+    dup_dir = str(tmp_path / "external_dup")
     raw_e.unionByName(raw_e.limit(1)).write.option("header", True).csv(dup_dir)
     res2 = jobs.batch_pipeline(spark, f"{i_dir}/*.csv", f"{dup_dir}/*.csv", str(tmp_path / "mart2"))
     assert res2.id_check == "exact"

@@ -72,10 +72,10 @@ def test_same_day_different_times_match(spark):
 
 
 def test_labels_and_timestamp(spark):
-    labels = StatusLabels(unmatched_internal="UNMATCHED_STRIPE", unmatched_external="UNMATCHED_BANK")
+    labels = StatusLabels(unmatched_internal="UNMATCHED_OURS", unmatched_external="UNMATCHED_THEIRS")
     out = fct(spark, [("I1", "2024-01-01", "C1", "L1", 1.0, 0.0)], [("E1", "2024-01-02", "C1", "L1", 1.0)],
               labels=labels)
-    assert {r["match_status"] for r in out.collect()} == {"UNMATCHED_STRIPE", "UNMATCHED_BANK"}
+    assert {r["match_status"] for r in out.collect()} == {"UNMATCHED_OURS", "UNMATCHED_THEIRS"}
     ts = out.select("reconciliation_timestamp").distinct().collect()
     assert len(ts) == 1 and ts[0][0] is not None
     pinned = fct(spark, [("I1", "2024-01-01", "C1", "L1", 1.0, 0.0)], [], run_ts="2024-06-30 05:00:00")
