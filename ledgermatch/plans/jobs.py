@@ -93,12 +93,13 @@ def stream_source(spark: SparkSession, src, value_schema) -> DataFrame:
     raise ValueError(f"Unsupported stream source type: {src.type}")
 
 
-def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external_schema, ts_col: str = "ts",
+def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external_schema, ts_col: str | None = None,
                    available_now: bool = True):
     """Streaming reconciliation from a job spec with a ``window`` section.
 
-    Keys are ``match_on`` minus the date (the window takes its place); the
-    amount tolerance joins the match condition. The three outputs go to the
+    Keys are ``match_on`` minus the date (the window takes its place). The
+    event time is ``ts_col``, by default ``date`` when the payload has it and
+    ``ts`` otherwise. The amount tolerance joins the match condition. The three outputs go to the
     configured names under ``output.path``, one folder per micro-batch; window
     state and offsets live in ``state.storage_path`` (or under the output).
     """
@@ -106,7 +107,10 @@ def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external
     from ledgermatch.streaming import runner
     from ledgermatch.streaming.reconcile import reconcile_stream
     window = spec.window or WindowSpec()
-    keys = [k for k in spec.matching.match_on if k != "date"]
+    if ts_col is None:
+        # A 'date' in match_on is the event time when the payload carries it.
+        ts_col = "date" if "date" in spec.matching.match_on and "date" in internal_schema.fieldNames() else "ts"
+    keys = [k for k in spec.matching.match_on if k not in ("date", ts_col)]
     internal = stream_source(spark, spec.internal, internal_schema)
     external = stream_source(spark, spec.external, external_schema)
     tol = spec.matching.amount_tolerance if spec.matching.amount_tolerance > 0 else None

@@ -171,3 +171,25 @@ def test_salted_stream_join_equals_plain(spark, tmp_path):
         rows = spark.read.parquet(out).collect()
         results.append(sorted(tuple("" if v is None else str(v) for v in r) for r in rows))
     assert results[0] == results[1] and len(results[0]) > 40
+
+
+def test_stream_job_uses_date_as_event_time(spark, tmp_path):
+    from ledgermatch.plans.jobs import run_stream_job
+    from ledgermatch.spec import JobSpec
+    schema = "customer_id string, location_id string, date timestamp, amount double"
+    schema_e = "customer_id string, location_id string, date timestamp, net_amount double"
+    drop(spark, str(tmp_path / "si"), [("C1", "L1", t(0, 5), 10.0), ("C2", "L1", t(0, 9), 5.0)], schema, "a")
+    drop(spark, str(tmp_path / "se"), [("C1", "L1", t(0, 20), 10.0)], schema_e, "a")
+    cfg = {
+        "sources": {"internal": {"type": "file", "path": str(tmp_path / "si"), "recursive": True},
+                    "external": {"type": "file", "path": str(tmp_path / "se"), "recursive": True}},
+        "window": {"type": "tumbling", "size": "1h", "grace": "0m"},
+        "matching": {"match_on": ["date", "customer_id", "location_id"], "internal_key": "amount",
+                     "external_key": "net_amount"},
+        "output": {"path": str(tmp_path / "out"), "reconciled_file": "m", "unmatched_internal_file": "ui",
+                   "unmatched_external_file": "ue"},
+    }
+    run_stream_job(spark, JobSpec.from_dict(cfg), spark.createDataFrame([], schema).schema,
+                   spark.createDataFrame([], schema_e).schema)
+    matched = spark.read.parquet(str(tmp_path / "out" / "m")).collect()
+    assert [(r["customer_id"], r["_merge"]) for r in matched] == [("C1", "both")]
