@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import mixing, pii
+from ledgermatch.llm import mixing, pii, simhash_near, superkmers
+from ledgermatch.llm.scratch import ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +26,16 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round(F.array_max(F.transform("pii", lambda x: x["score"])), 3).alias("max_score"))
 
 
+def op3_simhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_near.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op4_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superkmers.dedup_substrings(_table(spark, sf_dir, "documents"), window=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -64,11 +76,33 @@ SELECT doc_id, size, source_size, target,
 FROM ranked JOIN rates USING (src)
 """
 
+OP4_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS phrase
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY phrase) AS least FROM windows)
+  WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM later, (SELECT unnest(range(13)) AS j)),
+words AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT docs.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
+    "op3_simhash_near": op3_simhash_near,
+    "op4_superkmers": op4_superkmers,
     "op8_mixing": op8_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_superkmers": OP4_SQL,
     "op8_mixing": OP8_SQL,
 }

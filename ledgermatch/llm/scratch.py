@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +36,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application.
+
+    Does what ``--py-files`` does for sessions that were started without it.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgermatch_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="package-")) / "ledgermatch.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._ledgermatch_shipped = True
