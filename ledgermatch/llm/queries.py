@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import mixing, pii, simhash_near, superkmers
-from ledgermatch.llm.scratch import ship_package
+from ledgermatch.llm import decontaminate, fingerprints, mixing, pii, quality, simhash_near, superkmers
+from ledgermatch.llm.scratch import ship_package, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,20 @@ def op4_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written first, as the search for near fingerprints reads them again."""
+    found = written(fingerprints.edited_likeness(_table(spark, sf_dir, "documents")), "fingerprints")
+    near = fingerprints.near_counts(found.select("hi", "lo"))
+    text = lambda hi, lo: F.lower(F.concat(F.lpad(F.hex(hi), 16, "0"), F.lpad(F.hex(lo), 16, "0")))
+    return found.join(near, ["hi", "lo"]).select(
+        "doc_id", "n_chars", "edited_sha256", text("hi", "lo").alias("fingerprint"),
+        text("hi_edited", "lo_edited").alias("edited_fingerprint"), "near_edited", "near_next", "n_near")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -76,6 +90,14 @@ SELECT doc_id, size, source_size, target,
 FROM ranked JOIN rates USING (src)
 """
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.scores(docs, model).select(
+        "doc_id", F.coalesce(~quality.learnable(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 OP4_SQL = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -99,7 +121,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_simhash_near": op3_simhash_near,
     "op4_superkmers": op4_superkmers,
+    "op5_tiling": op5_tiling,
+    "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
