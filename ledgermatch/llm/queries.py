@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import decontaminate, fingerprints, mixing, pii, quality, simhash_near, superkmers
+from ledgermatch.llm import decontaminate, fingerprints, language, mixing, pii, quality, simhash_near, superkmers, token_counts
 from ledgermatch.llm.scratch import ship_package, written
 
 
@@ -40,6 +40,12 @@ def op5_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token files go to the shared folder; what is counted is read from them."""
+    blocks, end, kind = token_counts.token_blocks(_table(spark, sf_dir, "documents"))
+    return token_counts.counts(written(blocks, "tokens"), end, kind)
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written first, as the search for near fingerprints reads them again."""
     found = written(fingerprints.edited_likeness(_table(spark, sf_dir, "documents")), "fingerprints")
@@ -90,6 +96,10 @@ SELECT doc_id, size, source_size, target,
 FROM ranked JOIN rates USING (src)
 """
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
@@ -122,8 +132,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near": op3_simhash_near,
     "op4_superkmers": op4_superkmers,
     "op5_tiling": op5_tiling,
+    "op6_token_counts": op6_token_counts,
     "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
+    "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
 
