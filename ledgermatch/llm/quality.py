@@ -248,3 +248,18 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col))
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, that score at least ``threshold``; nothing is shuffled."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for batch in batches:
+            data, offs = textbytes.byte_arrays(batch.column(at))
+            s = [m.scores(pooled(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], m.vectors)) for i, j in textbytes.chunks(offs)]
+            if s:
+                yield batch.filter(pa.array(np.concatenate(s) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

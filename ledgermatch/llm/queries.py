@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import decontaminate, fingerprints, language, mixing, pii, quality, simhash_near, superkmers, token_counts
+from ledgermatch.llm import decontaminate, fingerprints, language, mixing, pii, quality, simhash_near, suffix_dedup, superkmers, token_counts
 from ledgermatch.llm.scratch import ship_package, written
 
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup_bytes(_table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.find_spans(_table(spark, sf_dir, "documents"))
     base = F.filter("pii", lambda x: x["kind"].isin(*pii.BASE_KINDS))
@@ -128,6 +133,7 @@ FROM docs LEFT JOIN kept USING (doc_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_pii": op2_pii,
     "op3_simhash_near": op3_simhash_near,
     "op4_superkmers": op4_superkmers,

@@ -83,17 +83,22 @@ def text_fingerprints(data: np.ndarray, offs: np.ndarray, shingle: int) -> np.nd
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id and ``fp``, the fingerprint as a signed 64-bit number."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    """``id``, ``rid`` (a hash of id and text) and ``fp``, the fingerprint as a signed 64-bit number."""
+    given, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    narrow = docs.select(given.alias("id"), text.alias("text"), _row(given, text).alias("rid"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = textbytes.byte_arrays(batch.column(1))
             found = [text_fingerprints(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], shingle) for i, j in textbytes.chunks(offs)]
             fps = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["id", "rid", "fp"])
 
-    return narrow.mapInArrow(run, "id long, fp long")
+    return narrow.mapInArrow(run, "id long, rid long, fp long")
+
+
+def _row(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id, text)
 
 
 def _cells(fp: Column) -> Column:
@@ -121,15 +126,33 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     return cells.join(other, "cell").where(near).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row a document: id, ``fp`` and ``component_id``, the smallest id that links reach from it."""
+def _named(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The documents' fingerprints, and for each different one the least id of its component."""
     fps = written(fingerprints(docs, shingle, id_col, text_col), "simhash-fps")
     nodes = written(fps.groupBy("fp").agg(F.min("id").alias("node_id")), "simhash-nodes")
-    edges = links(nodes.select("fp"), max_bits)
-    roots = components.connected(edges)
+    roots = components.connected(links(nodes.select("fp"), max_bits))
     named = (nodes.join(roots, nodes.fp == roots.node, "left")
              .select("fp", "node_id", F.coalesce("root", "fp").alias("root")))
     names = named.groupBy("root").agg(F.min("node_id").alias("component_id"))
-    by_fp = named.join(names, "root").select("fp", "component_id")
+    return fps, named.join(names, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row a document: id, ``fp`` and ``component_id``, the smallest id that links reach from it."""
+    fps, by_fp = _named(docs, shingle, max_bits, id_col, text_col)
     return fps.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, that have the least id of their component.
+
+    Of several rows with that id the one with the least hash of its text stays, and of rows equal in both any one.
+    """
+    fps, by_fp = _named(docs, shingle, max_bits, id_col, text_col)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("first")
+    stay = fps.join(by_fp, "fp").groupBy("root").agg(first).select(F.col("first.rid").alias("__row"))
+    tagged = docs.withColumn("__row", _row(F.col(id_col).cast("long"), F.col(text_col).cast("string")))
+    kept = tagged.join(stay, "__row", "left_semi")
+    return kept.dropDuplicates(["__row"]).select(*docs.columns)
