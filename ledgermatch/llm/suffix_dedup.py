@@ -9,7 +9,7 @@ among its runs of ``ANCHOR`` bytes. Equal strings have equal anchors, so only
 strings whose anchor stands in two places go on (about
 one anchor in 70 bytes is counted in place of all suffixes). Consecutive strings of one anchor
 overlap and go on as one *segment*, to the bucket of their anchor. Anchors in
-more than ``HEAVY`` places would overfill a bucket; their strings go one by one,
+more than ``heavy`` places would overfill a bucket; their strings go one by one,
 to buckets by the hash of the whole string.
 
 *Merging.* In a bucket, equal segments are one (their strings repeat if there
@@ -23,7 +23,7 @@ round, rows of a shard keep the order they have, and rows that stand alone drop
 out. Rows that still share a block at depth ``length`` have a common prefix of
 that length: each such block is a repeated interval.
 
-*Groups.* Texts are dealt to groups of about ``GROUP_BYTES`` by a hash of id and
+*Groups.* Texts are dealt to groups of a few megabytes by a hash of id and
 text, and shuffled once; anchors are counted, segments cut and results put
 together by group. Segments that occur more than once in a group are settled
 there and travel once, so a passage that a third of all texts share reaches its
@@ -43,16 +43,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import textbytes
+from ledgermatch.llm import anchors, textbytes
 
 ANCHOR = 64
-GROUP_BYTES = 16 << 20
 BUCKET_BYTES = 4 << 20
 SHARD_BYTES = 256 << 10
 #: Strings of one segment at most; longer runs are cut.
 RUN = 4096
-HEAVY = 1 << 15
-_NULL_ID = (1 << 63) - 1
 _U = np.uint64
 _MARK = "id long, rid long, start long, n long"
 
@@ -196,62 +193,31 @@ class _Piece:
         return self.hash[(most == self.hash) & (most > 0)]
 
 
-def _count(length: int, parts: int):
-    """Per group: its anchors by part of the hash range, those that stand in it twice flagged."""
+def _list(length: int, parts: int):
     def run(table: pa.Table) -> pa.Table:
-        data, offs = textbytes.byte_arrays(table["text"])
         found = []
-        for i, j in textbytes.chunks(offs):
-            p = _Piece(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], length)
+        for _, data, offs in anchors.pieces(table):
+            p = _Piece(data, offs, length)
             if len(p.begin):
                 found.append(p.anchors())
-        values, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, _U), np.zeros(0, np.int64))
-        n = np.minimum(n, HEAVY + 1).astype(np.int32)
-        part = (values >> _U(32)).astype(np.int64) * parts >> 32
-        cut = np.searchsorted(part, np.arange(parts + 1))
-        some = np.flatnonzero(np.diff(cut))
-        g = table["g"][0].as_py()
-        return pa.table({"part": pa.array(some, pa.int32()), "g": pa.array([g] * len(some), pa.int32()),
-                         "hashes": pa.array([values[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
-                         "counts": pa.array([n[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())})
+        return anchors.listing(table["g"][0].as_py(), found, parts)
 
     return run
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """Per part of the hash range: each group's anchors that stand in two places or more, too frequent ones flagged."""
-    values = [np.frombuffer(x.as_buffer(), _U) for x in table["hashes"]]
-    counts = [np.frombuffer(x.as_buffer(), np.int32) for x in table["counts"]]
-    every, inverse = np.unique(np.concatenate(values), return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate(counts))[inverse]
-    out, at = {"g": [], "hashes": [], "heavy": []}, 0
-    for g, v in zip(table["g"].to_pylist(), values, strict=True):
-        own = total[at:at + len(v)]
-        at += len(v)
-        if (own > 1).any():
-            out["g"].append(g)
-            out["hashes"].append(v[own > 1].tobytes())
-            out["heavy"].append((own[own > 1] > HEAVY).tobytes())
-    return pa.table({"g": pa.array(out["g"], pa.int32()), "hashes": pa.array(out["hashes"], pa.binary()),
-                     "heavy": pa.array(out["heavy"], pa.binary())})
-
-
 # ---- segments -------------------------------------------------------------------------------------------------------
 
 _SEGMENT = "bucket int, kind int, id binary, rid binary, start binary, n binary, anchor binary, twice binary, text binary"
 
 
-def _segments(length: int, buckets: int):
+def _segments(length: int, buckets: int, parts: int):
     names = [x.split()[0] for x in _SEGMENT.split(", ")]
     empty = pa.table({x: pa.array([], pa.int32() if x in ("bucket", "kind") else pa.binary()) for x in names})
 
     def run(texts: pa.Table, repeated: pa.Table) -> pa.Table:
         if not texts.num_rows or not repeated.num_rows:
             return empty
-        known = np.concatenate([np.frombuffer(x.as_buffer(), _U) for x in repeated["hashes"]])
-        heavy = np.concatenate([np.frombuffer(x.as_buffer(), bool) for x in repeated["heavy"]])
-        heavy = np.sort(known[heavy])
-        known = np.sort(known)
+        known = anchors.Known(repeated, parts)
         data, offs = textbytes.byte_arrays(texts["text"])
         ids, rids = texts["id"].to_numpy(), texts["rid"].to_numpy()
         kept: list[tuple[np.ndarray, ...]] = []
@@ -260,13 +226,11 @@ def _segments(length: int, buckets: int):
             if not len(p.begin):
                 continue
             least = p.least[p.begin]
-            go = np.flatnonzero(known[np.minimum(np.searchsorted(known, least), len(known) - 1)] == least)
+            go = np.flatnonzero(known.of(least))
             if not len(go):
                 continue
             begin, doc, key = p.begin[go], p.doc[go], least[go]
-            own = key
-            if len(heavy):
-                own = np.where(np.isin(key, heavy), textbytes.span_hash(p.prefix, begin, begin + length), key)
+            own = np.where(known.too_frequent(key), textbytes.span_hash(p.prefix, begin, begin + length), key)
             new = np.ones(len(go), bool)
             new[1:] = (np.diff(begin) != 1) | (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
             run_at = np.arange(len(go)) - np.maximum.accumulate(np.where(new, np.arange(len(go)), 0))
@@ -401,23 +365,18 @@ def _cut(length: int):
     return run
 
 
-def dedup_bytes(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_bytes(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text",
+                heavy: int = anchors.HEAVY) -> DataFrame:
     """One row a document: id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (the bytes that stay)."""
     if length < ANCHOR + 1:
         raise ValueError(f"strings must be longer than {ANCHOR} bytes")
-    given = F.col(id_col).cast("long")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    groups = max(1, -(-total // GROUP_BYTES))
-    rid = F.xxhash64(given, text)
-    rows = docs.select(F.pmod(rid, F.lit(groups)).cast("int").alias("g"), F.coalesce(given, F.lit(_NULL_ID)).alias("id"),
-                       given.isNull().alias("no_id"), rid.alias("rid"), text.alias("text"))
+    rows, groups, total = anchors.grouped_rows(docs, id_col, text_col)
     by_group = rows.groupBy("g")
-    anchors = by_group.applyInArrow(_count(length, max(8, groups)), "part int, g int, hashes binary, counts binary")
-    repeated = anchors.groupBy("part").applyInArrow(_repeated, "g int, hashes binary, heavy binary")
+    listed = by_group.applyInArrow(_list(length, groups), anchors.LISTED)
+    repeated = anchors.repeated(listed, heavy)
     buckets = max(16, -(-2 * total // BUCKET_BYTES))
-    segments = by_group.cogroup(repeated.groupBy("g")).applyInArrow(_segments(length, buckets), _SEGMENT)
+    segments = by_group.cogroup(repeated.groupBy("g")).applyInArrow(_segments(length, buckets, groups), _SEGMENT)
     marks = segments.groupBy("bucket").applyInArrow(_settle(length), _MARK)
-    marks = marks.withColumn("g", F.pmod("rid", F.lit(groups)).cast("int"))
+    marks = marks.withColumn("g", anchors.group_of(F.col("rid"), groups))
     found = by_group.cogroup(marks.groupBy("g")).applyInArrow(_cut(length), _RESULT)
     return found.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
