@@ -201,17 +201,24 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         own = own[np.lexsort((rid[own], ~key[own]))]
         guests = np.flatnonzero(extra)
         chain = np.append(own, guests[:1])  # equal heads are equal texts
-        texts = table["text"].combine_chunks().take(pa.array(chain))
-        words = texts.to_pylist()
-        edited = [t[:len(t) - len(t) // 2] + n[:len(t) // 2] for t, n in itertools.pairwise(words)]
-        fp, changed = _of_column(texts), _of_column(pa.array(edited, pa.large_string()))
-        n = len(own)
-        signed, signed_edited = fp.view(np.int64), changed.view(np.int64)
-        return pa.table({
-            "id": table["id"].take(pa.array(own)), "n_chars": pa.array([len(t) for t in words[:n]], pa.int64()),
-            "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-            "hi": signed[:n, 0], "lo": signed[:n, 1], "hi_edited": signed_edited[:, 0], "lo_edited": signed_edited[:, 1],
-            "near_edited": likeness(fp[:n], changed), "near_next": likeness(fp[:n], fp[1:n + 1])})
+        column = table["text"].combine_chunks()
+        sizes = np.cumsum(np.diff(textbytes.byte_arrays(column)[1])[chain])
+        out, at = [], 0
+        while at < len(own):
+            # a slice of about a chunk, and the document after it
+            to = min(len(own), max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + textbytes.CHUNK, "right"))))
+            texts = column.take(pa.array(chain[at:to + 1]))
+            words, n = texts.to_pylist(), to - at
+            edited = [t[:len(t) - len(t) // 2] + n[:len(t) // 2] for t, n in itertools.pairwise(words)]
+            fp, changed = _of_column(texts), _of_column(pa.array(edited, pa.large_string()))
+            signed, signed_edited = fp.view(np.int64), changed.view(np.int64)
+            out.append(pa.table({
+                "id": table["id"].take(pa.array(own[at:to])), "n_chars": pa.array([len(t) for t in words[:n]], pa.int64()),
+                "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+                "hi": signed[:n, 0], "lo": signed[:n, 1], "hi_edited": signed_edited[:, 0], "lo_edited": signed_edited[:, 1],
+                "near_edited": likeness(fp[:n], changed), "near_next": likeness(fp[:n], fp[1:n + 1])}))
+            at = to
+        return pa.concat_tables(out)
 
     return both.groupBy("range").applyInArrow(run, _ROW).withColumnRenamed("id", id_col)
 

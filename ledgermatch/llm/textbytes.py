@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _rng = np.random.RandomState(20240607)
