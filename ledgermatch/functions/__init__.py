@@ -3,7 +3,9 @@
 from ledgermatch.functions.expressions import (
     PANDAS_NA_TOKENS,
     StatusLabels,
+    amount_bucket,
     amount_difference,
+    day_bucket,
     day_distance,
     micros_between,
     na_to_null,
@@ -17,7 +19,9 @@ from ledgermatch.functions.expressions import (
 __all__ = [
     "PANDAS_NA_TOKENS",
     "StatusLabels",
+    "amount_bucket",
     "amount_difference",
+    "day_bucket",
     "day_distance",
     "micros_between",
     "na_to_null",

@@ -88,6 +88,24 @@ def within_days(a: Column, b: Column, days: int) -> Column:
     return day_distance(a, b) <= F.lit(int(days))
 
 
+def amount_bucket(amount: Column, tolerance: float) -> Column:
+    """Whole number that differs by at most 1 for amounts within ``tolerance``.
+
+    Buckets are four tolerances wide. While a double's neighbours are closer than
+    the tolerance, the quotient's rounding is at most an eighth, so amounts within
+    it have quotients less than 1 apart; beyond, only equal doubles are within it.
+    """
+    most = F.lit(2.0 ** 61)  # room for the neighbours; all beyond (and NaN) share the last bucket
+    return F.floor(F.least(F.greatest(amount.cast("double") / F.lit(4.0 * float(tolerance)), -most), most))
+
+
+def day_bucket(ts: Column, days: int) -> Column:
+    """Whole number that differs by at most 1 for timestamps ``within_days`` of each other."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    at, width = micros_between(ts, epoch), F.lit((int(days) + 1) * _MICROS_PER_DAY)
+    return F.round((at - F.pmod(at, width)) / width).cast("bigint")  # the quotient is whole but for rounding
+
+
 def parse_datetime(c: Column | str, fmt: str = "yyyy-MM-dd", lenient: bool = False) -> Column:
     """``PARSE_DATETIME``: zone-free timestamp; malformed text fails unless lenient."""
     column = _col(c)

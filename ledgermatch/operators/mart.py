@@ -8,14 +8,14 @@ Semantics (SQL equality, so null keys never match):
 * an internal row is unmatched when its ``transaction_id`` is null or is not the
   id of any paired internal row (likewise for the external side).
 
-Plan. The pairs are an inner sort-merge join on the three keys. Rows without a
-partner come from left-anti joins against the *distinct* keys of the other
-side, so a hot key collapses to one row per map task before the shuffle and
-the anti-join build side stays small. Both joins read the same exchange of
-each ledger (Spark reuses it), the null-key rows skip the shuffle entirely,
-and AQE may split a skewed probe partition. The id rule needs one more narrow
-shuffle (ids only) unless ``id_check="trusted"`` says ids were already proven
-unique and non-null (see ``quality.unique`` / ``quality.not_null``).
+Plan. Each ledger meets the other side's *distinct* keys once, in a left join
+that adds a ``_paired`` flag: a hot key is one row per map task there, and AQE
+may split the probe side. Unmatched rows are a filter on the flag (plus the
+null-key rows, which need no shuffle), and so are the paired ids that the id rule
+takes away; these are narrow and de-duplicated before their shuffle.
+``id_check="trusted"`` leaves that step out where ids were proven unique and
+non-null (see ``quality.unique`` / ``quality.not_null``). The pairs are an inner
+join that reads the same exchange of each ledger as the flag.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def matched_pairs(internal: DataFrame, external: DataFrame, tolerance: float = 0
     i = _keyed(internal, _INTERNAL).where(_keys_present()).alias("i")
     e = _keyed(external, _EXTERNAL).where(_keys_present()).alias("e")
     cond = [F.col(f"i.{k}") == F.col(f"e.{k}") for k in KEY_COLUMNS]
-    s_net, b_net = F.col("i.net_amount"), F.col("e.net_amount")
+    net_i, net_e = F.col("i.net_amount"), F.col("e.net_amount")
     return i.join(e, cond, "inner").select(
         F.col("i.transaction_id").alias("internal_transaction_id"),
         F.col("e.transaction_id").alias("external_transaction_id"),
@@ -85,36 +85,38 @@ def matched_pairs(internal: DataFrame, external: DataFrame, tolerance: float = 0
         F.col("i.location_id").alias("location_id"),
         F.col("i.gross_amount").alias("internal_gross_amount"),
         F.col("i.fee").alias("internal_fee"),
-        s_net.alias("internal_net_amount"),
-        b_net.alias("external_amount"),
-        amount_difference(s_net, b_net).alias("amount_difference"),
-        status_expr(s_net, b_net, tolerance, labels).alias("match_status"),
+        net_i.alias("internal_net_amount"),
+        net_e.alias("external_amount"),
+        amount_difference(net_i, net_e).alias("amount_difference"),
+        status_expr(net_i, net_e, tolerance, labels).alias("match_status"),
         _run_ts(run_ts).alias("reconciliation_timestamp"),
     )
 
 
+def _flagged(side: DataFrame, other: DataFrame, side_cols: tuple[str, ...], other_cols: tuple[str, ...]) -> DataFrame:
+    """Rows of ``side`` whose keys are all present, with ``_paired``: whether the other side has the same keys."""
+    partner_keys = distinct_keys(_keyed(other, other_cols).where(_keys_present()), list(KEY_COLUMNS))
+    rows = _keyed(side, side_cols).where(_keys_present())
+    found = rows.join(partner_keys.withColumn("_paired", F.lit(True)), list(KEY_COLUMNS), "left")
+    return found.withColumn("_paired", F.col("_paired").isNotNull())
+
+
 def _unmatched_rows(side: DataFrame, other: DataFrame, side_cols: tuple[str, ...],
                     other_cols: tuple[str, ...], id_check: str) -> DataFrame:
-    """Rows of ``side`` reported unmatched under the id rule.
-
-    No filter is placed on the side itself before its key join, so that join
-    reads the same exchange as the pairs join (one shuffle of the side).
-    """
+    """Rows of ``side`` reported unmatched under the id rule."""
     if id_check not in ("exact", "trusted"):
         raise ValueError(f"id_check must be 'exact' or 'trusted', not {id_check!r}")
-    s = _keyed(side, side_cols)
-    s_nn = s.where(_keys_present())
-    partner_keys = distinct_keys(_keyed(other, other_cols).where(_keys_present()), list(KEY_COLUMNS))
-    no_partner = s_nn.join(partner_keys, list(KEY_COLUMNS), "left_anti").unionByName(s.where(~_keys_present()))
-    if id_check == "exact":
-        # An id also carried by a paired row (a duplicate id) is not unmatched. The
-        # anti join compares with SQL equality, so null ids are kept, as they must be.
-        paired_ids = distinct_keys(s_nn.join(partner_keys, list(KEY_COLUMNS), "left_semi")
-                                   .where(F.col("transaction_id").isNotNull()), ["transaction_id"])
-        no_partner = no_partner.join(paired_ids, "transaction_id", "left_anti")
+    flagged = _flagged(side, other, side_cols, other_cols)
+    null_key = _keyed(side, side_cols).where(~_keys_present())
     # A null id never equals a paired id, so a paired row with a null id is reported too.
-    paired_null_ids = s_nn.where(F.col("transaction_id").isNull()).join(partner_keys, list(KEY_COLUMNS), "left_semi")
-    return no_partner.unionByName(paired_null_ids)
+    rows = (flagged.where(~F.col("_paired") | F.col("transaction_id").isNull()).drop("_paired")
+            .unionByName(null_key))
+    if id_check == "trusted":
+        return rows
+    # An id also carried by a paired row (a duplicate id) is not unmatched. The
+    # anti join compares with SQL equality, so null ids are kept, as they must be.
+    paired_ids = distinct_keys(flagged.where(F.col("_paired") & F.col("transaction_id").isNotNull()), ["transaction_id"])
+    return rows.join(paired_ids, "transaction_id", "left_anti")
 
 
 def unmatched_internal(internal: DataFrame, external: DataFrame, labels: StatusLabels = StatusLabels(),

@@ -16,6 +16,13 @@ so the result is the union of three joins that can:
 All three read one hash exchange per side (reused within the query), and a
 filter on ``_merge`` prunes the branches it does not need, so ``matched``
 alone never pays for the anti joins.
+
+With a tolerance, a *band* joins the keys: the value's bucket, wide enough that
+two values within the tolerance are in the same or in neighbouring buckets. One
+side of each join is put into its bucket and both neighbours, the other only
+into its own, and the exact condition stays as a residual. So a key that is hot
+on both sides is compared within neighbouring buckets, not as a whole; the anti
+joins' build sides are distinct (keys, value) rows there.
 """
 
 from __future__ import annotations
@@ -53,8 +60,10 @@ class MatchLayout:
 
 
 def _key_family(dtype: T.DataType) -> str:
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return "floating"
     if isinstance(dtype, T.NumericType):
-        return "numeric"
+        return "exact numeric"
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return "temporal"
     return dtype.simpleString()
@@ -64,8 +73,9 @@ def check_key_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> N
     """Refuse keys whose types differ in kind (e.g. integer ids on one side, text on the other).
 
     Spark would cast one side silently and match '1001' with 1001 (or miss
-    '01001'); the keys should be aligned explicitly instead. Numbers of
-    different widths compare fine and are allowed.
+    '01001'), or an integer with a floating-point number that merely rounds to
+    it; the keys should be aligned explicitly instead. Whole and decimal numbers
+    of different widths compare exactly and are allowed.
     """
     for k in keys:
         a, b = left.schema[k].dataType, right.schema[k].dataType
@@ -80,9 +90,12 @@ def layout(left: DataFrame, right: DataFrame, keys: Sequence[str],
         if k not in left.columns or k not in right.columns:
             raise ValueError(f"join key {k!r} must exist on both sides")
     check_key_types(left, right, keys)
-    overlap = (set(left.columns) & set(right.columns)) - set(keys)
-    left_out = tuple((c, c + suffixes[0] if c in overlap else c) for c in left.columns)
-    right_out = tuple((c, c + suffixes[1] if c in overlap else c) for c in right.columns if c not in keys)
+    # Names overlap as the session resolves them: by default whatever their case.
+    exact = left.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    same = (lambda c: c) if exact else str.lower
+    overlap = ({same(c) for c in left.columns} & {same(c) for c in right.columns}) - {same(k) for k in keys}
+    left_out = tuple((c, c + suffixes[0] if same(c) in overlap else c) for c in left.columns)
+    right_out = tuple((c, c + suffixes[1] if same(c) in overlap else c) for c in right.columns if c not in keys)
     return MatchLayout(tuple(keys), left_out, right_out)
 
 
@@ -100,6 +113,8 @@ def _default(dtype: T.DataType) -> Column:
         return F.lit("")
     if isinstance(dtype, T.BooleanType):
         return F.lit(False)
+    if isinstance(dtype, T.BinaryType):
+        return F.lit("").cast("binary")
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.lit(0).cast("timestamp").cast(dtype)
     if isinstance(dtype, T.NumericType):
@@ -129,12 +144,16 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
                 residual: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
                 residual_columns: tuple[Sequence[str], Sequence[str]] = ((), ()),
                 suffixes: tuple[str, str] = ("_internal", "_external"),
-                null_safe: bool = True) -> tuple[DataFrame, MatchLayout]:
+                null_safe: bool = True,
+                band: tuple[Callable[[Callable[[str], Column]], Column], Callable[[Callable[[str], Column]], Column]] | None = None,
+                ) -> tuple[DataFrame, MatchLayout]:
     """Full outer join on ``keys`` (and ``residual``) with a ``_merge`` indicator.
 
     ``residual(l, r)`` builds an extra pair condition from two resolvers that
     map a source column name of the left / right side to a ``Column``; the
     columns it reads must be listed in ``residual_columns`` (left, right).
+    ``band`` gives the bucket of a left and of a right row, as whole numbers that
+    differ by at most 1 wherever the residual holds.
     """
     lay = layout(left, right, keys, suffixes)
     n = len(keys)
@@ -153,8 +172,18 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     def rref(frame: DataFrame) -> Callable[[str], Column]:
         return lambda c: frame[_rk(key_idx[c])] if c in key_idx else frame[lay.output_name("right", c)]
 
+    if band is not None:
+        lside, rside = lside.withColumn("__lband", band[0](lref(lside))), rside.withColumn("__rband", band[1](rref(rside)))
+
+    def neighbours(frame: DataFrame, name: str) -> DataFrame:
+        """Each row in its bucket and both neighbours; rows without a value are in none."""
+        at = F.col(name)
+        return frame.withColumn(name, F.explode(F.when(at.isNotNull(), F.array(at - 1, at, at + 1))))
+
     def condition(lf: DataFrame, rf: DataFrame) -> Column:
         parts = [lf[a] == rf[b] for a, b in zip(ljoin, rjoin)]
+        if band is not None:
+            parts.append(lf["__lband"] == rf["__rband"])
         if residual is not None:
             # A null residual fails in the inner and the anti join alike. Wrapped
             # in coalesce it is no longer null-intolerant, so Catalyst does not
@@ -167,12 +196,15 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     # aggregated map-side before the shuffle so a hot key shrinks to one row per task.
     l_extra = [lay.output_name("left", c) for c in residual_columns[0] if c not in key_idx]
     r_extra = [lay.output_name("right", c) for c in residual_columns[1] if c not in key_idx]
-    lkeys = lside.select(ljoin + [_lk(key_idx[c]) for c in residual_columns[0] if c in key_idx] + l_extra)
-    rkeys = rside.select(rjoin + [_rk(key_idx[c]) for c in residual_columns[1] if c in key_idx] + r_extra)
-    if residual is None:
-        lkeys, rkeys = distinct_keys(lkeys, lkeys.columns), distinct_keys(rkeys, rkeys.columns)
-
-    pairs = lside.join(rside, condition(lside, rside), "inner")
+    l_band, r_band = (["__lband"], ["__rband"]) if band is not None else ([], [])
+    lkeys = lside.select(ljoin + l_band + [_lk(key_idx[c]) for c in residual_columns[0] if c in key_idx] + l_extra)
+    rkeys = rside.select(rjoin + r_band + [_rk(key_idx[c]) for c in residual_columns[1] if c in key_idx] + r_extra)
+    lkeys, rkeys = distinct_keys(lkeys, lkeys.columns), distinct_keys(rkeys, rkeys.columns)
+    rpairs = rside
+    if band is not None:
+        lkeys, rkeys, rpairs = neighbours(lkeys, "__lband"), neighbours(rkeys, "__rband"), neighbours(rside, "__rband")
+
+    pairs = lside.join(rpairs, condition(lside, rpairs), "inner")
     lonly = lside.join(rkeys, condition(lside, rkeys), "left_anti")
     ronly = rside.join(lkeys, condition(lkeys, rside), "left_anti")
 

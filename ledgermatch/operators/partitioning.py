@@ -1,35 +1,10 @@
-"""Parallelism guard for small scans.
-
-A benchmark table stored as one small parquet file (one row group) is read by
-a single task, and everything narrow after it, such as deriving ledgers,
-probing a broadcast join or expanding many-to-many pairs, then runs on one
-core. ``spread`` round-robins such a scan to the session's parallelism
-(deterministic on retry: Spark sorts before a round-robin repartition).
-Large inputs already have more splits than cores and are returned unchanged,
-so at cluster scale this is a no-op. Call it on a scan, before any shuffle.
-"""
+"""Distinct keys that keep their column order."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def target_parallelism(df: DataFrame) -> int:
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(spark.sparkContext.defaultParallelism, shuffle))
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Round-robin a scan to the session's parallelism if it has fewer splits."""
-    if scan.isStreaming:
-        return scan
-    target = target_parallelism(scan)
-    if scan.rdd.getNumPartitions() < target:
-        return scan.repartition(target)
-    return scan
-
-
 def distinct_keys(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct values of ``columns``, partitioned by them in this order.
 

@@ -3,9 +3,9 @@
 Two tolerance modes:
 
 ``filter`` (the original engine's behaviour)
-    Join on ``match_on`` only, then keep rows whose amounts / dates are within
-    tolerance. A one-sided row has a null on the other side, so the filter
-    drops it: with an active tolerance both unmatched outputs are empty.
+    The rows joined on ``match_on`` whose amounts / dates are within tolerance. A
+    one-sided row has a null on the other side, so such a filter drops it: with
+    an active tolerance both unmatched outputs are empty.
     A tolerance is *active* only when its columns exist in the merged frame
     (see ``amount_columns`` / ``date_columns``); otherwise it is skipped with a
     warning, or an error when ``strict``.
@@ -18,13 +18,14 @@ Two tolerance modes:
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermatch.functions import to_event_time, within_days
+from ledgermatch.functions import amount_bucket, day_bucket, to_event_time, within_days
 from ledgermatch.operators.matching import BOTH, INDICATOR, LEFT_ONLY, RIGHT_ONLY, MatchLayout, layout, outer_match
 
 log = logging.getLogger(__name__)
@@ -128,47 +129,38 @@ def reconcile(internal: DataFrame, external: DataFrame, spec: MatchSpec = MatchS
         b = to_event_time(get(dates[1]), dtypes[dates[1]])
         return within_days(a, b, spec.date_tolerance_days)
 
-    if spec.mode == "filter":
-        merged, _ = outer_match(internal, external, keys, suffixes=suffixes, null_safe=spec.null_safe_keys)
-        if amounts:
-            merged = merged.where(amount_ok(F.col))
-        if dates:
-            merged = merged.where(dates_ok(F.col))
-        return ReconResult(merged, lay)
-
-    # classify: tolerances join the ON clause.
     checks = [c for c in (amounts, dates) if c]
     if not checks:
         merged, _ = outer_match(internal, external, keys, suffixes=suffixes, null_safe=spec.null_safe_keys)
         return ReconResult(merged, lay)
-    used = [_source_of(lay, m) for pair in checks for m in pair]
-    lcols = [s for side, s in used if side == "left"]
-    rcols = [s for side, s in used if side == "right"]
-    name_to_src = {m: _source_of(lay, m) for pair in checks for m in pair}
+
+    # The tolerances join the ON clause, the first of them also as buckets.
+    source = {m: _source_of(lay, m) for pair in checks for m in pair}
+    lcols = [s for side, s in source.values() if side == "left"]
+    rcols = [s for side, s in source.values() if side == "right"]
 
     def residual(lget, rget) -> Column:
         def get(merged_name: str) -> Column:
-            side, src = name_to_src[merged_name]
+            side, src = source[merged_name]
             return lget(src) if side == "left" else rget(src)
-        parts = []
+        parts = ([amount_ok(get)] if amounts else []) + ([dates_ok(get)] if dates else [])
+        return reduce(lambda x, y: x & y, parts)
+
+    def bucket(merged_name: str) -> Callable[[Callable[[str], Column]], Column]:
+        _, src = source[merged_name]
         if amounts:
-            parts.append(amount_ok(get))
-        if dates:
-            parts.append(dates_ok(get))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out & p
-        return out
-
-    merged, _ = outer_match(internal, external, keys, residual=residual,
-                            residual_columns=(lcols, rcols), suffixes=suffixes, null_safe=spec.null_safe_keys)
+            return lambda get: amount_bucket(get(src), spec.amount_tolerance)
+        return lambda get: day_bucket(to_event_time(get(src), dtypes[merged_name]), spec.date_tolerance_days)
+
+    # A tolerance between two columns of one side cannot be a bucket of both.
+    sides = [source[m][0] for m in checks[0]]
+    band = None
+    if sorted(sides) == ["left", "right"]:
+        by_side = dict(zip(sides, checks[0]))
+        band = (bucket(by_side["left"]), bucket(by_side["right"]))
+    merged, _ = outer_match(internal, external, keys, residual=residual, residual_columns=(lcols, rcols),
+                            suffixes=suffixes, null_safe=spec.null_safe_keys, band=band)
+    if spec.mode == "filter":
+        # The tolerances as a filter of the joined rows: one-sided rows have a null there and go.
+        merged = merged.where(F.col(INDICATOR) == BOTH)
     return ReconResult(merged, lay)
-
-
-def reconcile_frames(internal: DataFrame, external: DataFrame, match_on: Sequence[str] | None = None,
-                     internal_key: str = "amount", external_key: str = "net_amount",
-                     amount_tolerance: float = 0.0, date_tolerance_days: int = 0,
-                     mode: str = "filter") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Keyword form returning (matched, unmatched_internal, unmatched_external)."""
-    spec = MatchSpec(tuple(match_on or ()), internal_key, external_key, amount_tolerance, date_tolerance_days, mode)
-    return tuple(reconcile(internal, external, spec))

@@ -7,7 +7,6 @@ result depends on run time, e.g. stream emission, and checked in tests).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ from ledgermatch.sources import files, fixtures
 from ledgermatch.sources.dispatch import read_source
 from ledgermatch.spec import JobSpec, OutputSpec, SourceSpec, WindowSpec
 from ledgermatch.streaming import runner
-from ledgermatch.streaming.reconcile import reconcile_stream, window_metrics
+from ledgermatch.streaming.reconcile import overall_metrics, reconcile_stream, window_metrics
 from ledgermatch.streaming.windows import window_counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +59,7 @@ def q_fct_reconciled(spark, sf_dir):
     return mart.fct_reconciled(i, e, tolerance=0.05).select(*_MART_OUT)
 
 
-@register("fct_reconciled_trusted_ids", V.with_ctes(V.MART, "SELECT * FROM fct"))
+@register("fct_reconciled_trusted_ids", V.with_ctes(V.MART_TRUSTED, "SELECT * FROM fct"))
 def q_fct_reconciled_trusted(spark, sf_dir):
     i, e = staged(spark, sf_dir)
     return mart.fct_reconciled(i, e, tolerance=0.05, id_check="trusted").select(*_MART_OUT)
@@ -117,11 +116,11 @@ def _path_a(ctes_body: str) -> str:
     return V.with_ctes(V.PATH_A, ctes_body)
 
 
-@register("recon_exact", _path_a(V.outer_match_sql("ledger_internal", "ledger_external", ["date"], _LI, _LE)))
+@register("recon_exact", _path_a(V.outer_match_sql("ledger_internal", "ledger_external", ["date", "customer_id"], _LI, _LE)))
 def q_recon_exact(spark, sf_dir):
-    """Default spec: match_on falls back to ['date']; overlaps get suffixes."""
+    """No tolerance: exact keys; the location is on both sides and gets suffixes."""
     i, e = ledgers(spark, sf_dir)
-    return reconcile(i, e, MatchSpec(match_on=())).classified
+    return reconcile(i, e, MatchSpec(match_on=("date", "customer_id"))).classified
 
 
 @register("outer_join_indicator", _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE)))
@@ -242,9 +241,9 @@ def q_output_counts(spark, sf_dir):
     return summary.output_counts(reconcile(i, e, MatchSpec(match_on=tuple(_DCL))).classified)
 
 
-@register("ledger_preview", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal ORDER BY transaction_id LIMIT 5"))
+@register("ledger_preview", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal ORDER BY transaction_id NULLS FIRST, date, customer_id LIMIT 5"))
 def q_ledger_preview(spark, sf_dir):
-    return summary.preview(fixtures.raw_internal(spark, sf_dir), ["transaction_id"], 5)
+    return summary.preview(fixtures.raw_internal(spark, sf_dir), ["transaction_id", "date", "customer_id"], 5)
 
 
 # ------------------------------------------------------- data-quality tests (Q1-Q4)
@@ -288,9 +287,15 @@ def q_dq_not_null(spark, sf_dir):
 
 @register("dq_accepted_values", V.with_ctes(V.MART, """SELECT 'fct' AS table_name, 'match_status' AS column_name,
   'accepted_values' AS test, COUNT(*) FILTER (WHERE match_status IS NOT NULL AND match_status NOT IN
-  ('MATCHED', 'AMOUNT_VARIANCE', 'UNMATCHED_INTERNAL', 'UNMATCHED_EXTERNAL')) AS failures FROM fct"""))
+  ('MATCHED', 'AMOUNT_VARIANCE', 'UNMATCHED_INTERNAL', 'UNMATCHED_EXTERNAL')) AS failures FROM fct
+UNION ALL SELECT 'fct_renamed', 'match_status', 'accepted_values',
+  COUNT(*) FILTER (WHERE match_status = 'UNMATCHED_EXTERNAL') FROM fct"""))
 def q_dq_accepted_values(spark, sf_dir):
-    return quality.accepted_values(fct(spark, sf_dir), "match_status", StatusLabels().all(), "fct")
+    """The declared list, and the same test on a table one of whose labels is not in it."""
+    i, e = staged(spark, sf_dir)
+    renamed = mart.fct_reconciled(i, e, labels=StatusLabels(unmatched_external="NOT_IN_OURS"))
+    return (quality.accepted_values(fct(spark, sf_dir), "match_status", StatusLabels().all(), "fct")
+            .unionByName(quality.accepted_values(renamed, "match_status", StatusLabels().all(), "fct_renamed")))
 
 
 @register("dq_conservation", _path_a("""SELECT n_internal, n_matched_rows, n_matched_internal_ids, n_unmatched_internal,
@@ -311,12 +316,8 @@ def q_dq_conservation(spark, sf_dir):
 # then answers from what it reads back, so the scan / sink is on the measured path.
 
 
-_CSV_ROWS_PER_FILE = 5000
-
-
 def _to_csv(df: DataFrame, path: str, sep: str = ",") -> str:
-    df.write.mode("overwrite").option("header", True).option("sep", sep) \
-        .option("maxRecordsPerFile", _CSV_ROWS_PER_FILE).csv(path)
+    df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').csv(path)
     return path
 
 
@@ -362,6 +363,41 @@ def q_scan_typed_ledgers(spark, sf_dir):
     return files.load_external_typed(spark, path)
 
 
+@register("scan_typed_internal", V.with_ctes(V.LEDGERS + [V.DOC_INTERNAL], "SELECT internal_tx_id, amount, strptime(date, '%Y-%m-%d') "
+                                             "AS date, customer_id, location_id FROM doc_internal"))
+def q_scan_typed_internal(spark, sf_dir):
+    path = _to_csv(fixtures.documented_internal(spark, sf_dir), scratch_path(spark, "internal_documented") + ".csv")
+    return files.load_internal_typed(spark, path)
+
+
+@register("scan_csv_quoted", V.with_ctes(V.LEDGERS, "SELECT transaction_id, 'paid \"' || customer_id || '\", on' || chr(10) || date AS note "
+                                                    "FROM raw_internal"))
+def q_scan_csv_quoted(spark, sf_dir):
+    """Quotes, separators and line breaks inside cells."""
+    raw = fixtures.raw_internal(spark, sf_dir)
+    note = F.concat(F.lit('paid "'), "customer_id", F.lit('", on\n'), "date")
+    path = _to_csv(raw.select("transaction_id", note.alias("note")), scratch_path(spark, "quoted") + ".csv")
+    return files.read_delimited(spark, path, schema="transaction_id string, note string", parse_dates=(), multiline=True)
+
+
+@register("scan_csv_reordered_header", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
+def q_scan_csv_reordered_header(spark, sf_dir):
+    """Columns are bound by name, whatever their order in the file."""
+    raw = fixtures.raw_internal(spark, sf_dir).select("fee", "location_id", "amount", "transaction_id", "customer_id", "date")
+    path = _to_csv(raw, scratch_path(spark, "reordered") + ".csv")
+    return files.read_delimited(spark, path, schema=files.RAW_INTERNAL_SCHEMA, parse_dates=())
+
+
+@register("scan_csv_na_typed", V.with_ctes(V.LEDGERS, "SELECT transaction_id, CASE WHEN amount > 1e5 THEN NULL ELSE amount END AS amount "
+                                                      "FROM raw_internal"))
+def q_scan_csv_na_typed(spark, sf_dir):
+    """NA tokens in a typed column are nulls."""
+    raw = fixtures.raw_internal(spark, sf_dir)
+    amount = F.when(F.col("amount") > F.lit(1e5), F.lit("NA")).otherwise(F.col("amount").cast("string"))
+    path = _to_csv(raw.select("transaction_id", amount.alias("amount")), scratch_path(spark, "na") + ".csv")
+    return files.read_delimited(spark, path, schema="transaction_id string, amount double", parse_dates=())
+
+
 @register("load_glob_fixed_schema", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
 def q_load_glob_fixed_schema(spark, sf_dir):
     folder = scratch_path(spark, "internal_daily")
@@ -370,13 +406,13 @@ def q_load_glob_fixed_schema(spark, sf_dir):
 
 
 @register("scan_pushdown_filter", V.with_ctes(V.LEDGERS, "SELECT date, customer_id, location_id, amount "
-                                                         "FROM raw_internal WHERE date >= '1995-01-01'"))
+                                                         "FROM raw_internal WHERE date >= '1998-06-30'"))
 def q_scan_pushdown_filter(spark, sf_dir):
     """Projection and predicate of a source query reach the parquet scan."""
     path = scratch_path(spark, "raw_internal_parquet")
     writers.overwrite_table(fixtures.raw_internal(spark, sf_dir), path)
     src = SourceSpec("parquet", path=path, options={"columns": ["date", "customer_id", "location_id", "amount"],
-                                                    "where": "date >= '1995-01-01'", "parse_dates": []})
+                                                    "where": "date >= '1998-06-30'", "parse_dates": []})
     return read_source(spark, src)
 
 
@@ -505,19 +541,22 @@ def q_stream_sliding_counts(spark, sf_dir):
     return _run(spark, window_counts(internal, "ts", _SLIDE, "amount"), "sliding")
 
 
-def _stream_join_sql(how: str, select_metrics: bool = False) -> str:
+def _stream_join_sql(how: str, select_metrics: bool = False, internal: str = "s_int", external: str = "s_ext",
+                     more: list[str] = [], keys: tuple[str, ...] = ()) -> str:
     body = """SELECT COALESCE(i.window_start, e.window_start) AS window_start,
          COALESCE(i.window_end, e.window_end) AS window_end,
          CASE WHEN i.__l IS NOT NULL THEN i.user_id ELSE e.user_id END AS user_id,
-         CASE WHEN i.__l IS NOT NULL THEN i.event_id ELSE e.event_id END AS event_id,
+         CASE WHEN i.__l IS NOT NULL THEN i.event_id ELSE e.event_id END AS event_id, {KEYS}
          i.ts AS ts_internal, i.amount, e.ts AS ts_external, e.net_amount,
          CASE WHEN i.__l IS NOT NULL AND e.__r IS NOT NULL THEN 'both'
               WHEN i.__l IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge
   FROM (SELECT *, 1 AS __l FROM wi) i {JOIN} (SELECT *, 1 AS __r FROM we) e
     ON i.user_id = e.user_id AND i.event_id = e.event_id AND i.window_start = e.window_start
    AND abs(i.amount - e.net_amount) <= 5e-2""".replace("{JOIN}", "JOIN" if how == "inner" else "FULL OUTER JOIN")
+    body = body.replace("{KEYS}", "".join(f"CASE WHEN i.__l IS NOT NULL THEN i.{k} ELSE e.{k} END AS {k}, " for k in keys))
+    body += "".join(f" AND i.{k} = e.{k}" for k in keys)
     if how != "inner":
-        body = (f"SELECT * FROM ({body}) j WHERE _merge = 'both' OR window_end <= (SELECT wm FROM wm)")
+        body = (f"SELECT * FROM ({body}) j WHERE _merge = 'both' OR window_end IS NULL OR window_end <= (SELECT wm FROM wm)")
     if select_metrics:
         body = (f"SELECT window_start, window_end, COUNT(*) AS n_records, "
                 f"COUNT(*) FILTER (WHERE _merge = 'both') AS n_matched, "
@@ -526,8 +565,8 @@ def _stream_join_sql(how: str, select_metrics: bool = False) -> str:
                 f"CAST(COUNT(*) FILTER (WHERE _merge = 'both') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS match_rate, "
                 f"window_end <= (SELECT wm FROM wm) AS complete "
                 f"FROM ({body}) x GROUP BY window_start, window_end")
-    return V.with_ctes(V.STREAMS + [V.stream_watermark(["s_int", "s_ext"]), V.windowed("s_int", "wi", 60),
-                                    V.windowed("s_ext", "we", 60)], body)
+    return V.with_ctes(V.STREAMS + more + [V.stream_watermark([internal, external]), V.windowed(internal, "wi", 60),
+                                           V.windowed(external, "we", 60)], body)
 
 
 @register("stream_recon_inner", _stream_join_sql("inner"))
@@ -555,17 +594,99 @@ def q_stream_window_metrics(spark, sf_dir):
     return window_metrics(runner.read_split(spark, f"{path}/out", s.schema), runner.final_watermark(q))
 
 
+@register("stream_overall_metrics", "SELECT COUNT(*) AS n_records, COUNT(*) FILTER (WHERE _merge = 'both') AS n_matched, "
+          "COUNT(*) FILTER (WHERE _merge = 'left_only') AS n_unmatched_internal, "
+          "COUNT(*) FILTER (WHERE _merge = 'right_only') AS n_unmatched_external, "
+          "CAST(COUNT(*) FILTER (WHERE _merge = 'both') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS match_rate "
+          f"FROM ({_stream_join_sql('full_outer')}) a")
+def q_stream_overall_metrics(spark, sf_dir):
+    internal, external = _event_streams(spark, sf_dir)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
+    return overall_metrics(_run(spark, s, "recon-overall"))
+
+
+_TIMELESS = ["s_int0 AS (SELECT event_id, user_id, CASE WHEN event_id % 23 = 6 THEN NULL ELSE ts END AS ts, amount FROM s_int)"]
+
+
+@register("stream_null_event_time", _stream_join_sql("full_outer", internal="s_int0", more=_TIMELESS))
+def q_stream_null_event_time(spark, sf_dir):
+    """Events without a time match nothing and are reported as unmatched, in no window."""
+    internal, external = _event_streams(spark, sf_dir)
+    internal = internal.withColumn("ts", F.when(F.col("event_id") % 23 != 6, F.col("ts")))
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
+    return _run(spark, s, "null-time")
+
+
+_DATED = ["s_int1 AS (SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, ts, amount FROM s_int)",
+          "s_ext1 AS (SELECT event_id, user_id, CAST(CAST(ts AS DATE) + CAST(event_id % 5 = 1 AS INT) AS VARCHAR) AS date, ts, "
+          "net_amount FROM s_ext)"]
+
+
+def _stream_job(spark, sf_dir, fmt: str):
+    """The configured stream job on folders of events with a date of their own beside the event time."""
+    internal, external = [f(fixtures.table(spark, sf_dir, "events")) for f in (fixtures.stream_internal_shape, fixtures.stream_external_shape)]
+    day = F.col("ts").cast("timestamp_ntz").cast("date")
+    internal = internal.withColumn("date", day.cast("string"))
+    external = external.withColumn("date", F.date_add(day, F.when(F.col("event_id") % 5 == 1, 1).otherwise(0)).cast("string"))
+    base = scratch_path(spark, f"stream-job-{fmt}")
+    for frame, side in ((internal, "internal"), (external, "external")):
+        frame.write.parquet(f"{base}/{side}")
+    config = {
+        "sources": {side: {"type": "file", "path": f"{base}/{side}"} for side in ("internal", "external")},
+        "matching": {"match_on": ["user_id", "event_id", "date"], "internal_key": "amount", "external_key": "net_amount"},
+        "tolerances": {"amount": 0.05},
+        "window": {"type": "tumbling", "size": "1h", "grace": "10m"},
+        "output": {"path": f"{base}/out", "reconciled_file": "matched", "unmatched_internal_file": "unmatched_internal",
+                   "unmatched_external_file": "unmatched_external", "format": fmt},
+    }
+    _, schema, names = jobs.run_stream_job(spark, JobSpec.from_dict(config), internal.schema, external.schema, ts_col="ts")
+    return runner.read_split(spark, f"{base}/out", schema, names, fmt)
+
+
+@register("stream_date_key", _stream_join_sql("full_outer", internal="s_int1", external="s_ext1", more=_DATED, keys=("date",)))
+def q_stream_date_key(spark, sf_dir):
+    """A key called date stays a key when the event time is another column."""
+    return _stream_job(spark, sf_dir, "parquet")
+
+
+@register("stream_split_csv", _stream_join_sql("full_outer", internal="s_int1", external="s_ext1", more=_DATED, keys=("date",)))
+def q_stream_split_csv(spark, sf_dir):
+    """The configured format reaches the three stream outputs."""
+    return _stream_job(spark, sf_dir, "csv")
+
+
+@register("stream_recon_days", V.with_ctes(V.STREAMS + [
+    "s_ext2 AS (SELECT event_id, user_id, ts + CASE event_id % 11 WHEN 3 THEN INTERVAL 20 HOUR WHEN 5 THEN INTERVAL 60 HOUR "
+    "ELSE INTERVAL 0 HOUR END AS ts, net_amount FROM s_ext)", V.stream_watermark(["s_int", "s_ext2"]),
+    V.windowed("s_int", "wi", 60), V.windowed("s_ext2", "we", 60)], """
+SELECT * FROM (
+  SELECT COALESCE(i.window_start, e.window_start) AS window_start, COALESCE(i.window_end, e.window_end) AS window_end,
+         COALESCE(i.user_id, e.user_id) AS user_id, COALESCE(i.event_id, e.event_id) AS event_id,
+         i.ts AS ts_internal, i.amount, e.ts AS ts_external, e.net_amount,
+         CASE WHEN i.user_id IS NULL THEN 'right_only' WHEN e.user_id IS NULL THEN 'left_only' ELSE 'both' END AS _merge
+  FROM wi i FULL OUTER JOIN we e ON i.user_id = e.user_id AND i.event_id = e.event_id
+   AND i.ts >= e.ts - INTERVAL 1 DAY AND i.ts < e.ts + INTERVAL 2 DAY AND abs(i.amount - e.net_amount) <= 5e-2) j
+WHERE _merge = 'both'
+   OR _merge = 'left_only' AND ts_internal <= (SELECT wm FROM wm) - INTERVAL 1 DAY - INTERVAL 1 MILLISECOND
+   OR _merge = 'right_only' AND ts_external <= (SELECT wm FROM wm) - INTERVAL 2 DAY"""))
+def q_stream_recon_days(spark, sf_dir):
+    """Events match across windows within one (floored) day; unmatched ones follow the watermark."""
+    internal, external = _event_streams(spark, sf_dir)
+    late = F.when(F.col("event_id") % 11 == 3, F.expr("INTERVAL 20 HOURS")).when(
+        F.col("event_id") % 11 == 5, F.expr("INTERVAL 60 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    external = external.withColumn("ts", F.col("ts") + late)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05, date_tolerance_days=1)
+    return _run(spark, s, "recon-days")
+
+
 # ------------------------------------------------------- the mart as Spark SQL
 
 
 @register("fct_reconciled_sql", V.with_ctes(V.MART, "SELECT * FROM fct"))
 def q_fct_reconciled_sql(spark, sf_dir):
-    """The same fact table from SQL text over temp views."""
-    tag = uuid.uuid4().hex[:8]
-    i_view, e_view = sql_models.register_staging(fixtures.raw_internal(spark, sf_dir),
-                                                 fixtures.raw_external(spark, sf_dir),
-                                                 f"stg_internal_{tag}", f"stg_external_{tag}")
-    return sql_models.fct_reconciled_sql(spark, i_view, e_view)
+    """The same fact table from SQL text."""
+    i, e = sql_models.staged(fixtures.raw_internal(spark, sf_dir), fixtures.raw_external(spark, sf_dir))
+    return sql_models.fct_reconciled_sql(i, e)
 
 
 @register("stream_recon_outer_salted", _stream_join_sql("full_outer"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgermatch.functions import StatusLabels
 from ledgermatch.operators import mart, quality, staging, summary
 from ledgermatch.operators.reconcile import ReconResult, reconcile
-from ledgermatch.session import ensure_checkpoint_dir
+from ledgermatch.session import ensure_checkpoint_dir, scratch_path
 from ledgermatch.sinks import writers
 from ledgermatch.sources import files
 from ledgermatch.sources.dispatch import read_source
@@ -46,17 +46,25 @@ def raw_quality(raw_i: DataFrame, raw_e: DataFrame) -> DataFrame:
             .unionByName(quality.not_null(raw_e, _RAW_TESTS_E, "raw_external")))
 
 
+def _landed(spark: SparkSession, pattern: str, schema, path: str) -> DataFrame:
+    """Truncate and load one raw table from the daily files."""
+    return spark.read.parquet(writers.overwrite_table(files.read_glob(spark, pattern, schema, with_ingestion_time=True), path))
+
+
 def batch_pipeline(spark: SparkSession, internal_glob: str, external_glob: str, fact_path: str,
                    run_ts: str | None = None, tolerance: float = 0.05,
-                   labels: StatusLabels = StatusLabels()) -> BatchResult:
-    """Nightly batch: glob loads -> staging views -> tests -> mart -> partitioned table.
+                   labels: StatusLabels = StatusLabels(), raw_path: str | None = None) -> BatchResult:
+    """Nightly batch: raw tables -> staging views -> tests -> mart -> partitioned table.
 
-    The raw tests run first as small aggregates. When ids are proven unique
+    The daily files are parsed once, into raw tables that each run replaces
+    (``raw_path``, by default a folder of the run's own); everything after reads
+    those. The raw tests run first as small aggregates. When ids are proven unique
     and non-null, the mart skips its own id shuffle (``id_check='trusted'``);
     otherwise it applies the exact id rule.
     """
-    raw_i = files.read_glob(spark, internal_glob, files.RAW_INTERNAL_SCHEMA, with_ingestion_time=True)
-    raw_e = files.read_glob(spark, external_glob, files.RAW_EXTERNAL_SCHEMA, with_ingestion_time=True)
+    raw_path = raw_path or scratch_path(spark, "raw")
+    raw_i = _landed(spark, internal_glob, files.RAW_INTERNAL_SCHEMA, f"{raw_path}/internal")
+    raw_e = _landed(spark, external_glob, files.RAW_EXTERNAL_SCHEMA, f"{raw_path}/external")
     stg_i = staging.stage_internal(raw_i)
     stg_e = staging.stage_external(raw_e)
     stg_i.createOrReplaceTempView("stg_internal_transactions")
@@ -97,11 +105,13 @@ def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external
                    available_now: bool = True):
     """Streaming reconciliation from a job spec with a ``window`` section.
 
-    Keys are ``match_on`` minus the date (the window takes its place). The
+    Keys are ``match_on`` minus the event time (the window takes its place). The
     event time is ``ts_col``, by default ``date`` when the payload has it and
-    ``ts`` otherwise. The amount tolerance joins the match condition. The three outputs go to the
-    configured names under ``output.path``, one folder per micro-batch; window
-    state and offsets live in ``state.storage_path`` (or under the output).
+    ``match_on`` names it, and ``ts`` otherwise. The tolerances join the match
+    condition: with days, events match across windows. The three outputs go to the
+    configured names under ``output.path`` in the configured format, one folder
+    per micro-batch; window state and offsets live in ``state.storage_path`` (or
+    under the output).
     """
     from ledgermatch.spec import WindowSpec
     from ledgermatch.streaming import runner
@@ -110,14 +120,16 @@ def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external
     if ts_col is None:
         # A 'date' in match_on is the event time when the payload carries it.
         ts_col = "date" if "date" in spec.matching.match_on and "date" in internal_schema.fieldNames() else "ts"
-    keys = [k for k in spec.matching.match_on if k not in ("date", ts_col)]
+    # A 'date' that the payload lacks stands for the event time, too.
+    keys = [k for k in spec.matching.match_on if k != ts_col and (k != "date" or k in internal_schema.fieldNames())]
     internal = stream_source(spark, spec.internal, internal_schema)
     external = stream_source(spark, spec.external, external_schema)
     tol = spec.matching.amount_tolerance if spec.matching.amount_tolerance > 0 else None
     stream = reconcile_stream(internal, external, keys, window, spec.matching.internal_key,
-                              spec.matching.external_key, tol, ts_col)
+                              spec.matching.external_key, tol, ts_col,
+                              date_tolerance_days=spec.matching.date_tolerance_days)
     out = spec.output
     names = {"both": out.reconciled_file, "left_only": out.unmatched_internal_file,
              "right_only": out.unmatched_external_file}
     checkpoint = spec.state_path or f"{out.path.rstrip('/')}/_checkpoint"
-    return runner.run_split(stream, out.path, checkpoint, names, available_now), stream.schema, names
+    return runner.run_split(stream, out.path, checkpoint, names, available_now, out.format), stream.schema, names

@@ -6,27 +6,37 @@ compared with the DataFrame implementation. Double literals are written
 ``1e2`` / ``5e-2`` because ``0.05`` is a decimal literal in both engines.
 """
 
-RAW_INTERNAL = """raw_internal AS (
-  SELECT printf('INT%08d', o_orderkey) AS transaction_id,
+import re
+
+_FEE = "CAST(o_orderkey % 400 AS DOUBLE) / 1e2"
+
+
+def _id(prefix: str) -> str:
+    return (f"CASE WHEN o_orderkey % 101 = 7 THEN NULL ELSE printf('{prefix}%09d', "
+            "CASE WHEN o_orderkey % 53 = 11 THEN o_orderkey - 1 ELSE o_orderkey END) END")
+
+
+_LOCATION = "CASE WHEN o_orderkey % 67 = 5 THEN NULL ELSE printf('LOC%03d', o_orderkey % 25 + 1) END"
+
+RAW_INTERNAL = f"""raw_internal AS (
+  SELECT {_id('IN')} AS transaction_id,
          CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
-         printf('C%06d', o_custkey) AS customer_id,
-         printf('L%04d', o_orderkey % 20 + 1) AS location_id,
-         o_totalprice AS amount,
-         CAST(o_orderkey % 500 AS DOUBLE) / 1e2 AS fee
+         printf('CU%07d', o_custkey) AS customer_id,
+         {_LOCATION} AS location_id,
+         CASE WHEN o_orderkey % 83 = 2 THEN NULL ELSE o_totalprice END AS amount,
+         {_FEE} AS fee
   FROM orders)"""
 
-RAW_EXTERNAL = """raw_external AS (
-  SELECT printf('EXT%08d', o_orderkey) AS transaction_id,
+RAW_EXTERNAL = f"""raw_external AS (
+  SELECT {_id('EX')} AS transaction_id,
          CAST(CAST(o_orderdate AS DATE)
-              + CASE WHEN o_orderkey % 20 = 7 THEN 1 WHEN o_orderkey % 20 = 8 THEN -2 ELSE 0 END
-              AS VARCHAR) AS date,
-         printf('C%06d', CASE WHEN o_orderkey % 20 = 11 THEN o_custkey + 900000 ELSE o_custkey END) AS customer_id,
-         printf('L%04d', o_orderkey % 20 + 1) AS location_id,
-         CASE WHEN o_orderkey % 10 = 3
-              THEN (o_totalprice - CAST(o_orderkey % 500 AS DOUBLE) / 1e2)
-                   + (CAST(o_orderkey % 150 - 3 AS DOUBLE) / 1e1 - 7e0) / 1e2
-              ELSE o_totalprice - CAST(o_orderkey % 500 AS DOUBLE) / 1e2 END AS amount
-  FROM orders WHERE o_orderkey % 20 < 17)"""
+              + CASE o_orderkey % 16 WHEN 3 THEN 1 WHEN 9 THEN -3 ELSE 0 END AS VARCHAR) AS date,
+         printf('CU%07d', CASE WHEN o_orderkey % 16 IN (5, 12) THEN o_custkey + 5000000 ELSE o_custkey END) AS customer_id,
+         {_LOCATION} AS location_id,
+         CASE WHEN o_orderkey % 16 = 6
+              THEN (o_totalprice - {_FEE}) + (CAST(o_orderkey % 120 AS DOUBLE) - 6e1) / 1e3
+              ELSE o_totalprice - {_FEE} END AS amount
+  FROM orders)"""
 
 LEDGER_INTERNAL = """ledger_internal AS (
   SELECT transaction_id AS internal_tx_id, date, customer_id, location_id, amount - fee AS amount
@@ -46,36 +56,51 @@ STG_EXTERNAL = """stg_external AS (
          amount AS net_amount, 'external' AS source_system
   FROM raw_external)"""
 
-# The mart in the shape of the original model: inner join, LEFT JOIN ... IS NULL, UNION ALL.
-MATCHED = """matched AS (
-  SELECT s.transaction_id AS internal_transaction_id, b.transaction_id AS external_transaction_id,
-         s.transaction_date, s.customer_id, s.location_id,
-         s.gross_amount AS internal_gross_amount, s.fee AS internal_fee, s.net_amount AS internal_net_amount,
-         b.net_amount AS external_amount, ABS(s.net_amount - b.net_amount) AS amount_difference,
-         CASE WHEN ABS(s.net_amount - b.net_amount) <= 5e-2 THEN 'MATCHED' ELSE 'AMOUNT_VARIANCE' END
+# The fact table from its rules: pairs share customer, location and day; a row is unmatched if its id is null or is
+# not among the ids of its side's paired rows.
+_DAYS = """day_i AS (SELECT *, CAST(transaction_date AS DATE) AS day FROM stg_internal),
+day_e AS (SELECT *, CAST(transaction_date AS DATE) AS day FROM stg_external)"""
+
+_PAIRED = """paired_i AS (
+  SELECT DISTINCT transaction_id FROM day_i SEMI JOIN day_e USING (customer_id, location_id, day)
+  WHERE transaction_id IS NOT NULL),
+paired_e AS (
+  SELECT DISTINCT transaction_id FROM day_e SEMI JOIN day_i USING (customer_id, location_id, day)
+  WHERE transaction_id IS NOT NULL)"""
+
+MATCHED = _DAYS + ",\n" + _PAIRED + """,
+matched AS (
+  SELECT day_i.transaction_id AS internal_transaction_id, day_e.transaction_id AS external_transaction_id,
+         day_i.transaction_date, customer_id, location_id,
+         gross_amount AS internal_gross_amount, fee AS internal_fee, day_i.net_amount AS internal_net_amount,
+         day_e.net_amount AS external_amount, abs(day_i.net_amount - day_e.net_amount) AS amount_difference,
+         if(coalesce(abs(day_i.net_amount - day_e.net_amount) <= 5e-2, false), 'MATCHED', 'AMOUNT_VARIANCE')
            AS match_status
-  FROM stg_internal s JOIN stg_external b
-    ON s.customer_id = b.customer_id AND s.location_id = b.location_id
-   AND CAST(s.transaction_date AS DATE) = CAST(b.transaction_date AS DATE))"""
+  FROM day_i JOIN day_e USING (customer_id, location_id, day))"""
 
 UNMATCHED_INTERNAL = """unmatched_int AS (
-  SELECT s.transaction_id AS internal_transaction_id, CAST(NULL AS VARCHAR) AS external_transaction_id,
-         s.transaction_date, s.customer_id, s.location_id,
-         s.gross_amount AS internal_gross_amount, s.fee AS internal_fee, s.net_amount AS internal_net_amount,
-         CAST(NULL AS DOUBLE) AS external_amount, CAST(NULL AS DOUBLE) AS amount_difference,
+  SELECT transaction_id AS internal_transaction_id, NULL::VARCHAR AS external_transaction_id, transaction_date,
+         customer_id, location_id, gross_amount AS internal_gross_amount, fee AS internal_fee,
+         net_amount AS internal_net_amount, NULL::DOUBLE AS external_amount, NULL::DOUBLE AS amount_difference,
          'UNMATCHED_INTERNAL' AS match_status
-  FROM stg_internal s LEFT JOIN matched m ON s.transaction_id = m.internal_transaction_id
-  WHERE m.internal_transaction_id IS NULL)"""
+  FROM stg_internal
+  WHERE NOT EXISTS (SELECT 1 FROM paired_i WHERE paired_i.transaction_id = stg_internal.transaction_id))"""
 
 UNMATCHED_EXTERNAL = """unmatched_ext AS (
-  SELECT CAST(NULL AS VARCHAR) AS internal_transaction_id, b.transaction_id AS external_transaction_id,
-         b.transaction_date, b.customer_id, b.location_id,
-         CAST(NULL AS DOUBLE) AS internal_gross_amount, CAST(NULL AS DOUBLE) AS internal_fee,
-         CAST(NULL AS DOUBLE) AS internal_net_amount,
-         b.net_amount AS external_amount, CAST(NULL AS DOUBLE) AS amount_difference,
+  SELECT NULL::VARCHAR AS internal_transaction_id, transaction_id AS external_transaction_id, transaction_date,
+         customer_id, location_id, NULL::DOUBLE AS internal_gross_amount, NULL::DOUBLE AS internal_fee,
+         NULL::DOUBLE AS internal_net_amount, net_amount AS external_amount, NULL::DOUBLE AS amount_difference,
          'UNMATCHED_EXTERNAL' AS match_status
-  FROM stg_external b LEFT JOIN matched m ON b.transaction_id = m.external_transaction_id
-  WHERE m.external_transaction_id IS NULL)"""
+  FROM stg_external
+  WHERE NOT EXISTS (SELECT 1 FROM paired_e WHERE paired_e.transaction_id = stg_external.transaction_id))"""
+
+# Where ids are trusted, a row is unmatched exactly if it has no partner (or a null id).
+_TRUSTED = """trusted_i AS (
+  SELECT * FROM stg_internal s WHERE transaction_id IS NULL OR NOT EXISTS (
+    SELECT 1 FROM day_e d WHERE d.customer_id = s.customer_id AND d.location_id = s.location_id AND d.day = CAST(s.transaction_date AS DATE))),
+trusted_e AS (
+  SELECT * FROM stg_external s WHERE transaction_id IS NULL OR NOT EXISTS (
+    SELECT 1 FROM day_i d WHERE d.customer_id = s.customer_id AND d.location_id = s.location_id AND d.day = CAST(s.transaction_date AS DATE)))"""
 
 FCT = """fct AS (
   SELECT * FROM matched UNION ALL SELECT * FROM unmatched_int UNION ALL SELECT * FROM unmatched_ext)"""
@@ -84,14 +109,16 @@ STREAM_INTERNAL = """s_int AS (
   SELECT event_id, user_id, ts, value AS amount FROM events)"""
 
 STREAM_EXTERNAL = """s_ext AS (
-  SELECT event_id, user_id, ts,
-         CASE WHEN event_id % 10 = 3 THEN value + 1e0 ELSE value END AS net_amount
-  FROM events WHERE event_id % 20 < 17)"""
+  SELECT CASE WHEN event_id % 7 = 2 THEN -event_id - 1 ELSE event_id END AS event_id, user_id, ts,
+         CASE WHEN event_id % 9 = 4 THEN value + 1e0 ELSE value END AS net_amount
+  FROM events)"""
 
 LEDGERS = [RAW_INTERNAL, RAW_EXTERNAL]
 PATH_A = LEDGERS + [LEDGER_INTERNAL, LEDGER_EXTERNAL]
 STAGED = LEDGERS + [STG_INTERNAL, STG_EXTERNAL]
 MART = STAGED + [MATCHED, UNMATCHED_INTERNAL, UNMATCHED_EXTERNAL, FCT]
+MART_TRUSTED = STAGED + [MATCHED, _TRUSTED, re.sub(r"(?s)FROM stg_internal.*", "FROM trusted_i)", UNMATCHED_INTERNAL),
+                         re.sub(r"(?s)FROM stg_external.*", "FROM trusted_e)", UNMATCHED_EXTERNAL), FCT]
 STREAMS = [STREAM_INTERNAL, STREAM_EXTERNAL]
 
 
@@ -129,14 +156,15 @@ def outer_match_sql(left: str, right: str, keys: list[str], left_cols: list[str]
         sql += f" WHERE _merge = '{merge}'"
     return sql
 
-DOC_EXTERNAL = """doc_external AS (
-  SELECT printf('EXT%08d', o_orderkey) AS external_tx_id, o_totalprice AS gross_amount,
-         CAST(o_orderkey % 500 AS DOUBLE) / 1e2 AS fee,
-         o_totalprice - CAST(o_orderkey % 500 AS DOUBLE) / 1e2 AS net_amount,
-         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
-         'Payment from ' || printf('C%06d', o_custkey) AS description,
-         printf('C%06d', o_custkey) AS customer_id, printf('L%04d', o_orderkey % 20 + 1) AS location_id
-  FROM orders WHERE o_orderkey % 20 < 17)"""
+DOC_EXTERNAL = f"""doc_external AS (
+  SELECT {_id('EX')} AS external_tx_id, o_totalprice AS gross_amount, {_FEE} AS fee,
+         o_totalprice - {_FEE} AS net_amount, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
+         'Payment from ' || printf('CU%07d', o_custkey) AS description,
+         printf('CU%07d', o_custkey) AS customer_id, {_LOCATION} AS location_id
+  FROM orders)"""
+
+DOC_INTERNAL = """doc_internal AS (
+  SELECT transaction_id AS internal_tx_id, amount, date, customer_id, location_id FROM raw_internal)"""
 
 # Streams: Spark aligns windows to the epoch; time_bucket's default origin
 # (2000-01-01) gives the same boundaries for minute and hour sizes. The

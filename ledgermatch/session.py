@@ -2,12 +2,14 @@
 
 Library code never invents storage locations. Anything written during a job
 (round-trip sinks, stream checkpoints, lineage cuts) goes under the folder the
-cluster names in ``spark.checkpoint.dir``. A private default is set only when
-the session has none, which is the case in unit tests.
+cluster names in ``spark.checkpoint.dir``. A session on a ``local`` master that
+has none gets a private one, as executors and driver are one process there; any
+other master without one is an error, since a driver's folder is not shared.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,9 +42,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only if unset."""
+    """Return the shared checkpoint folder; a local session without one gets its own."""
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="ledgermatch-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, configured)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -2,57 +2,46 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.operators.matching import BOTH, INDICATOR, LEFT_ONLY, RIGHT_ONLY
+from ledgermatch.session import scratch_path
 from ledgermatch.sources.files import resolve_path
 from ledgermatch.spec import OutputSpec
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+#: Written and read alike: quotes doubled, timestamps to the microsecond (Spark's default cuts them to milliseconds).
+CSV_OPTIONS = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"}
 
 
 def _writer(df: DataFrame, fmt: str):
     w = df.write.mode("overwrite").format(fmt)
-    return w.option("header", True) if fmt == "csv" else w
+    return w.options(**CSV_OPTIONS) if fmt == "csv" else w
 
 
 def write_outputs(classified: DataFrame, out: OutputSpec) -> dict[str, str]:
-    """Write matched / unmatched internal / unmatched external in ONE job.
+    """Write matched / unmatched internal / unmatched external from one evaluation.
 
-    The classified frame is written once, partitioned by a copy of ``_merge``;
-    the three partition folders are then renamed to the configured names, so
-    the join runs once instead of once per output. Each output folder holds
-    part files with a header (Spark writes folders, not single files).
+    The classified frame is landed once as parquet under ``spark.checkpoint.dir``,
+    in a folder for each kind; each output is then a plain copy of its folder,
+    written by Spark straight to its final path. Whatever fails in the
+    reconciliation fails before any earlier output is touched. Each output is a
+    folder of part files with a header (Spark writes folders, not single files).
     """
     spark = classified.sparkSession
-    base = resolve_path(out.path, check_exists=False).rstrip("/")
-    staging = f"{base}/_staging-{uuid.uuid4().hex[:12]}"
-    tagged = classified.withColumn("__out", F.col(INDICATOR))
-    _writer(tagged, out.format).partitionBy("__out").save(staging)
+    base = resolve_path(out.path).rstrip("/")
+    landed = scratch_path(spark, "classified")
+    classified.withColumn("__out", F.col(INDICATOR)).write.partitionBy("__out").parquet(landed)
+    schema = T.StructType([*classified.schema, T.StructField("__out", T.StringType())])
+    rows = spark.read.schema(schema).parquet(landed)
     names = {BOTH: out.reconciled_file, LEFT_ONLY: out.unmatched_internal_file,
              RIGHT_ONLY: out.unmatched_external_file}
-    fs, _ = _fs(spark, staging)
-    jvm = spark.sparkContext._jvm
-    written = {}
     for tag, name in names.items():
-        src = jvm.org.apache.hadoop.fs.Path(f"{staging}/__out={tag}")
-        dst = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        if fs.exists(src):
-            fs.rename(src, dst)
-        else:  # no rows of this kind: an empty output with the schema
-            _writer(classified.limit(0), out.format).save(f"{base}/{name}")
-        written[tag] = f"{base}/{name}"
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    return written
+        _writer(rows.where(F.col("__out") == tag).drop("__out"), out.format).save(f"{base}/{name}")
+    return {tag: f"{base}/{name}" for tag, name in names.items()}
 
 
 def read_outputs(spark: SparkSession, written: dict[str, str], schema, fmt: str = "csv") -> DataFrame:
@@ -60,7 +49,7 @@ def read_outputs(spark: SparkSession, written: dict[str, str], schema, fmt: str
     frames = []
     for path in written.values():
         r = spark.read.schema(schema)
-        r = r.option("header", True) if fmt == "csv" else r
+        r = r.options(**CSV_OPTIONS) if fmt == "csv" else r
         frames.append(r.format(fmt).load(path))
     out = frames[0]
     for f in frames[1:]:
@@ -70,7 +59,7 @@ def read_outputs(spark: SparkSession, written: dict[str, str], schema, fmt: str
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Truncate-and-load: the target holds exactly this frame afterwards."""
-    target = resolve_path(path, check_exists=False)
+    target = resolve_path(path)
     _writer(df, fmt).save(target)
     return target
 
@@ -78,7 +67,7 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 def write_partitioned(df: DataFrame, path: str, ts_col: str = "reconciliation_timestamp",
                       part_col: str = "reconciliation_date", fmt: str = "parquet") -> str:
     """CREATE OR REPLACE TABLE ... PARTITION BY DATE(ts): replace, partitioned by day."""
-    target = resolve_path(path, check_exists=False)
+    target = resolve_path(path)
     df.withColumn(part_col, F.to_date(F.col(ts_col))).write.mode("overwrite").format(fmt) \
         .partitionBy(part_col).save(target)
     return target
@@ -94,5 +83,5 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
     """Materialise a frame as a catalog table, replacing it (at ``path`` if given)."""
     w = df.write.mode("overwrite").format(fmt)
     if path:
-        w = w.option("path", resolve_path(path, check_exists=False))
+        w = w.option("path", resolve_path(path))
     w.saveAsTable(name)

@@ -8,12 +8,15 @@ through its storage API, Kafka by topic partition.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 REDSHIFT_PORT = 5439
 REDSHIFT_SCHEMA = "public"
 
@@ -78,6 +81,8 @@ def read_jdbc(spark: SparkSession, src: JdbcSource, parse_dates: tuple[str, ...]
         bounds = _bounds(spark, src)
         if bounds is not None:
             src = replace(src, lower_bound=bounds[0], upper_bound=bounds[1])
+    if "numPartitions" not in src.options() and src.num_partitions > 1:
+        log.warning("reading %s in one task: there is no column to split it on", src.url)
     df = spark.read.format("jdbc").options(**src.options()).load()
     from ledgermatch.sources.files import parse_date_columns
     return parse_date_columns(df, [c for c in parse_dates if c in df.columns])
@@ -99,10 +104,15 @@ def read_bigquery(spark: SparkSession, project_id: str, query: str, parse_dates:
 
 
 def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
-                  security: dict | None = None, starting_offsets: str = "earliest") -> dict[str, str]:
-    """Options for ``readStream.format("kafka")`` including SASL settings."""
+                  security: dict | None = None, starting_offsets: str = "earliest",
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Options for ``readStream.format("kafka")`` including SASL settings.
+
+    Records that expired before they were read stop the stream: skipped ones would
+    come out as unmatched rows of the other side. ``fail_on_data_loss=False`` skips them.
+    """
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if group_id:
         opts["kafka.group.id"] = group_id
     sec = security or {}
@@ -120,5 +130,10 @@ def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = Non
 def read_kafka_stream(spark: SparkSession, options: dict[str, str], value_schema: T.StructType) -> DataFrame:
     """Stream of JSON records; the Kafka timestamp is kept as ``kafka_ts``."""
     raw = spark.readStream.format("kafka").options(**options).load()
-    return raw.select(F.from_json(F.col("value").cast("string"), value_schema).alias("v"),
+    return parse_records(raw, value_schema)
+
+
+def parse_records(raw: DataFrame, value_schema: T.StructType) -> DataFrame:
+    """JSON in ``value`` to columns; a malformed record fails the stream rather than vanish as a row of nulls."""
+    return raw.select(F.from_json(F.col("value").cast("string"), value_schema, {"mode": "FAILFAST"}).alias("v"),
                       F.col("timestamp").alias("kafka_ts")).select("v.*", "kafka_ts")

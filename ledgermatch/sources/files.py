@@ -4,25 +4,29 @@ Path rules of the original loader, kept as behaviour:
 
 * a path ending in ``.psv`` (case-sensitive) is pipe-separated, anything else
   is comma-separated;
-* a local path must exist (``FileNotFoundError`` otherwise); globs are allowed
-  here as long as they match something;
-* ``s3://`` is read through Hadoop's ``s3a://`` file system, ``gs://`` as is
-  (the cluster must carry the connector); other URL schemes pass through.
-
-Reading: an explicit schema is the default (no inference pass over 100 TB);
-``infer_schema=True`` is opt-in. Text cells holding pandas' NA tokens become
-nulls before casts, and ``date`` is parsed to a timestamp when requested.
+* a path must exist (``FileNotFoundError`` otherwise); globs are allowed as long
+  as they match something. Spark resolves paths on their own file system, so
+  this holds for any scheme and for a cluster's default one;
+* ``s3://`` is read through Hadoop's ``s3a://`` file system, other URL schemes
+  as they are (the cluster must carry the connector).
+
+Reading. Columns are bound by their names in the header, whatever their order.
+A schema names and types the columns that are wanted (no inference pass over
+100 TB); all cells are read as text, pandas' NA tokens become nulls, and then
+the types are cast, so ``NA`` in a number column is a null and other text there
+fails the read. Without a schema all columns stay text; ``infer_schema=True`` is
+Spark's inference pass over all rows. Cells may be quoted, with doubled quotes
+inside; line breaks inside quotes need ``multiline=True``, since a file with them
+cannot be split. Files read together must have the same header; one that
+differs is an error, never a silent shift of columns.
 """
 
 from __future__ import annotations
 
-import glob as _glob
 import logging
-import os
 from collections.abc import Sequence
-from urllib.parse import urlparse
-
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +62,7 @@ def _missing_as_file_not_found(path: str):
         yield
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
+            log.error("Failed to load %s: not found", path)
             raise FileNotFoundError(f"File not found: {path}") from exc
         raise
 
@@ -66,85 +71,53 @@ def delimiter_for(path: str) -> str:
     return "|" if path.endswith(".psv") else ","
 
 
-def resolve_path(path: str, check_exists: bool = True) -> str:
-    """Apply the scheme rules; raise ``FileNotFoundError`` for a missing local path."""
-    scheme = urlparse(path).scheme
-    if scheme == "s3":
-        return "s3a://" + path[len("s3://"):]
-    if scheme in ("", "file"):
-        local = path[len("file://"):] if scheme == "file" else path
-        if check_exists and not (os.path.exists(local) or _glob.glob(local)):
-            raise FileNotFoundError(f"Local file not found: {path}")
-    return path
-
+def resolve_path(path: str) -> str:
+    """The path as Spark reads it."""
+    return "s3a://" + path[len("s3://"):] if urlparse(path).scheme == "s3" else path
 
-def _all_strings(spark: SparkSession, path: str, sep: str) -> T.StructType:
-    """Header-only read: column names without a data pass."""
-    header = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
-    return T.StructType([T.StructField(c, T.StringType()) for c in header.columns])
 
+def _wanted(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-_HEAD_ROWS = 1000
 
+def _cells(spark: SparkSession, path: str, sep: str, multiline: bool) -> DataFrame:
+    """All cells as text, columns named by the header. Every file must have that header."""
+    reader = (spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+              .option("mode", "FAILFAST").option("multiLine", multiline))
+    with _missing_as_file_not_found(path):
+        names = reader.option("inferSchema", False).csv(resolve_path(path)).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        return reader.schema(schema).option("enforceSchema", False).csv(resolve_path(path))
 
-def _head_types(df: DataFrame, columns: Sequence[str], rows: int = _HEAD_ROWS) -> dict[str, str]:
-    """Column types from the first rows: long, then double, else text.
 
-    One small job over the first split(s), the way a pandas-style reader takes
-    its dtypes from the first block. A later value that does not fit then
-    fails the (ANSI) cast at run time instead of being silently nulled.
-    """
-    head = df.limit(rows)
-    checks = []
-    for c in columns:
-        v = F.col(c)
-        checks += [F.count(v).alias(f"n_{c}"), F.count(F.expr(f"try_cast(`{c}` AS BIGINT)")).alias(f"l_{c}"),
-                   F.count(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(f"d_{c}")]
-    if not checks:
-        return {}
-    r = head.agg(*checks).first()
-    out = {}
-    for c in columns:
-        n = r[f"n_{c}"]
-        if n and r[f"l_{c}"] == n:
-            out[c] = "bigint"
-        elif n and r[f"d_{c}"] == n:
-            out[c] = "double"
-    return out
+def _typed(df: DataFrame, schema: T.StructType, path: str) -> DataFrame:
+    """The schema's columns by name, cast from text (a value that does not fit fails)."""
+    missing = [f.name for f in schema if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    # timestamps with a zone stay as Spark parses them; the rest are plain casts
+    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                   infer_schema: bool | str = False, parse_dates: Sequence[str] = ("date",),
-                   na_values: Sequence[str] | None = PANDAS_NA_TOKENS, check_exists: bool = True,
-                   sep: str | None = None) -> DataFrame:
-    """CSV / PSV scan with header.
-
-    With ``schema`` the text is parsed straight into those types. Without one,
-    every column is read as text and NA tokens become null. ``infer_schema=True``
-    runs Spark's inference pass over all the data first; ``infer_schema="head"``
-    types the non-date columns from the first rows instead (cheap, pandas-like).
-    """
+                   infer_schema: bool = False, parse_dates: Sequence[str] = ("date",),
+                   na_values: Sequence[str] | None = PANDAS_NA_TOKENS, sep: str | None = None,
+                   multiline: bool = False) -> DataFrame:
+    """CSV / PSV scan with header; see the module's description."""
     log.info("Reading delimited file %s", path)
-    try:
-        real = resolve_path(path, check_exists)
-    except FileNotFoundError:
-        log.error("Failed to load file %s: not found", path)
-        raise
     sep = sep or delimiter_for(path)
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST")
-    with _missing_as_file_not_found(path):
-        if schema is not None:
-            df = reader.schema(schema).csv(real)
-        elif infer_schema is True:
-            df = reader.option("inferSchema", True).csv(real)
-        else:
-            df = reader.schema(_all_strings(spark, real, sep)).csv(real)
+    if infer_schema and schema is None:
+        with _missing_as_file_not_found(path):
+            df = (spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+                  .option("mode", "FAILFAST").option("multiLine", multiline).option("inferSchema", True)
+                  .csv(resolve_path(path)))
+    else:
+        df = _cells(spark, path, sep, multiline)
     if na_values:
-        df = df.select([na_to_null(c, tuple(na_values)).alias(c) if t == "string" else F.col(c)
+        df = df.select([na_to_null(F.col(f"`{c}`"), tuple(na_values)).alias(c) if t == "string" else F.col(f"`{c}`")
                         for c, t in df.dtypes])
-    if infer_schema == "head" and schema is None:
-        typed = _head_types(df, [c for c in df.columns if c not in (parse_dates or ())])
-        df = df.select([F.col(c).cast(typed[c]).alias(c) if c in typed else F.col(c) for c in df.columns])
+    if schema is not None:
+        df = _typed(df, _wanted(schema), path)
     return parse_date_columns(df, parse_dates)
 
 
@@ -161,10 +134,10 @@ def parse_date_columns(df: DataFrame, parse_dates: Sequence[str] = ("date",)) ->
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                 where: str | None = None, parse_dates: Sequence[str] = (), check_exists: bool = True) -> DataFrame:
+                 where: str | None = None, parse_dates: Sequence[str] = ()) -> DataFrame:
     """Parquet scan; ``columns`` and ``where`` reach the scan as pruning and pushed filters."""
     with _missing_as_file_not_found(path):
-        df = spark.read.parquet(resolve_path(path, check_exists))
+        df = spark.read.parquet(resolve_path(path))
     if where:
         df = df.where(where)
     if columns:
@@ -172,31 +145,30 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return parse_date_columns(df, parse_dates)
 
 
-def read_glob(spark: SparkSession, pattern: str, schema: T.StructType, sep: str | None = None,
-              with_ingestion_time: bool = False) -> DataFrame:
+def read_glob(spark: SparkSession, pattern: str, schema: T.StructType | str, sep: str | None = None,
+              with_ingestion_time: bool = False, na_values: Sequence[str] | None = PANDAS_NA_TOKENS) -> DataFrame:
     """Multi-file load (e.g. ``daily/*.csv``) with a fixed schema, one split per file block.
 
     ``with_ingestion_time`` adds ``ingestion_timestamp`` from the file's
     modification time, the load-time pseudo column.
     """
-    real = resolve_path(pattern, check_exists=True)
-    with _missing_as_file_not_found(pattern):
-        df = (spark.read.option("header", True).option("sep", sep or delimiter_for(pattern))
-              .option("mode", "FAILFAST").schema(schema).csv(real))
-    if with_ingestion_time:
-        df = df.withColumn("ingestion_timestamp", F.col("_metadata.file_modification_time"))
-    return df
+    cells = _cells(spark, pattern, sep or delimiter_for(pattern), False)
+    wanted = _wanted(schema)
+    clean = cells.select([na_to_null(F.col(f"`{c}`"), tuple(na_values or ())).alias(c) for c in cells.columns]
+                         + ([F.col("_metadata.file_modification_time").alias("__loaded")] if with_ingestion_time else []))
+    df = _typed(clean, T.StructType([*wanted, T.StructField("__loaded", T.TimestampType())]) if with_ingestion_time else wanted, pattern)
+    return df.withColumnRenamed("__loaded", "ingestion_timestamp") if with_ingestion_time else df
 
 
 def load_internal_typed(spark: SparkSession, path: str) -> DataFrame:
     """Internal ledger file: ``amount`` as double, ``date`` parsed."""
-    df = read_delimited(spark, path)
-    return df.withColumn("amount", F.col("amount").cast("double"))
+    return _with_doubles(read_delimited(spark, path), ("amount",))
 
 
 def load_external_typed(spark: SparkSession, path: str) -> DataFrame:
     """External ledger file: gross, fee and net amounts as double, ``date`` parsed."""
-    df = read_delimited(spark, path)
-    for c in ("gross_amount", "fee", "net_amount"):
-        df = df.withColumn(c, F.col(c).cast("double"))
-    return df
+    return _with_doubles(read_delimited(spark, path), ("gross_amount", "fee", "net_amount"))
+
+
+def _with_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})

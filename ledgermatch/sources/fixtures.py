@@ -4,6 +4,11 @@ The ledgers are a deterministic function of ``orders`` (one row per unique
 ``o_orderkey``) and the streams of ``events``: integer modulus and plain double
 arithmetic only, so that any SQL engine computes the same values. They grow
 with the input tables, which is what the benchmarks and the oracle checks need.
+
+Every row of the table is on both sides. What does not match differs: dates are
+moved, customers replaced, amounts shifted around the tolerance. Some ids are
+null or repeated and some locations and amounts are null, so that every rule
+about them decides about rows of every query.
 """
 
 from __future__ import annotations
@@ -11,12 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.operators.partitioning import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table, spread over the session's cores when its file is a single split."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _padded(prefix: str, width: int, value: Column) -> Column:
@@ -31,7 +33,17 @@ def _day_string(ts: Column, shift_days: Column | int = 0) -> Column:
 
 
 def _fee(key: Column) -> Column:
-    return (key % 500).cast("double") / F.lit(1e2)
+    return (key % 400).cast("double") / F.lit(1e2)
+
+
+def _ledger_id(prefix: str, key: Column) -> Column:
+    """Null for one key in 101; the id of the key before for one in 53."""
+    return F.when(key % 101 == 7, F.lit(None).cast("string")).otherwise(
+        _padded(prefix, 9, F.when(key % 53 == 11, key - 1).otherwise(key)))
+
+
+def _location(key: Column) -> Column:
+    return F.when(key % 67 == 5, F.lit(None).cast("string")).otherwise(_padded("LOC", 3, key % 25 + 1))
 
 
 def raw_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,31 +51,30 @@ def raw_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     return o.select(
-        _padded("INT", 8, key).alias("transaction_id"),
+        _ledger_id("IN", key).alias("transaction_id"),
         _day_string(F.col("o_orderdate")).alias("date"),
-        _padded("C", 6, F.col("o_custkey")).alias("customer_id"),
-        _padded("L", 4, key % 20 + 1).alias("location_id"),
-        F.col("o_totalprice").alias("amount"),
+        _padded("CU", 7, F.col("o_custkey")).alias("customer_id"),
+        _location(key).alias("location_id"),
+        F.when(key % 83 == 2, F.lit(None).cast("double")).otherwise(F.col("o_totalprice")).alias("amount"),
         _fee(key).alias("fee"),
     )
 
 
 def raw_external(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """85 % of orders; some shifted dates, foreign customers and amount offsets."""
+    """All orders: some with moved dates, some with other customers, some with amounts around the tolerance."""
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    bucket = key % 20
-    shift = F.when(bucket == 7, F.lit(1)).when(bucket == 8, F.lit(-2)).otherwise(F.lit(0))
-    customer = F.when(bucket == 11, F.col("o_custkey") + 900000).otherwise(F.col("o_custkey"))
+    kind = key % 16
+    days = F.when(kind == 3, F.lit(1)).when(kind == 9, F.lit(-3)).otherwise(F.lit(0))
+    customer = F.when(kind.isin(5, 12), F.col("o_custkey") + 5000000).otherwise(F.col("o_custkey"))
     net = F.col("o_totalprice") - _fee(key)
-    offset = ((key % 150 - 3).cast("double") / F.lit(1e1) - F.lit(7e0)) / F.lit(1e2)
-    amount = F.when(key % 10 == 3, net + offset).otherwise(net)
-    return o.where(bucket < 17).select(
-        _padded("EXT", 8, key).alias("transaction_id"),
-        _day_string(F.col("o_orderdate"), shift).alias("date"),
-        _padded("C", 6, customer).alias("customer_id"),
-        _padded("L", 4, key % 20 + 1).alias("location_id"),
-        amount.alias("amount"),
+    off = ((key % 120).cast("double") - F.lit(6e1)) / F.lit(1e3)
+    return o.select(
+        _ledger_id("EX", key).alias("transaction_id"),
+        _day_string(F.col("o_orderdate"), days).alias("date"),
+        _padded("CU", 7, customer).alias("customer_id"),
+        _location(key).alias("location_id"),
+        F.when(kind == 6, net + off).otherwise(net).alias("amount"),
     )
 
 
@@ -87,30 +98,16 @@ def ledger_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
-
-
-def stream_internal_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch form of the internal stream (all events)."""
-    e = _events(spark, sf_dir)
-    return stream_internal_shape(e)
-
-
-def stream_external_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch form of the external stream (85 % of events, some amounts off by 1)."""
-    return stream_external_shape(_events(spark, sf_dir))
-
-
 def stream_internal_shape(events: DataFrame) -> DataFrame:
     return events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"),
                          F.col("value").alias("amount"))
 
 
 def stream_external_shape(events: DataFrame) -> DataFrame:
-    off = F.when(F.col("event_id") % 10 == 3, F.col("value") + F.lit(1e0)).otherwise(F.col("value"))
-    return events.where(F.col("event_id") % 20 < 17).select(
-        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), off.alias("net_amount"))
+    """The same events: some amounts off by one, some under another event id."""
+    off = F.when(F.col("event_id") % 9 == 4, F.col("value") + F.lit(1e0)).otherwise(F.col("value"))
+    event_id = F.when(F.col("event_id") % 7 == 2, -F.col("event_id") - 1).otherwise(F.col("event_id"))
+    return events.select(event_id.alias("event_id"), "user_id", F.col("ts").cast("timestamp").alias("ts"), off.alias("net_amount"))
 
 
 def documented_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,14 +120,14 @@ def documented_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documented external layout with gross, fee, net and a description."""
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    customer = _padded("C", 6, F.col("o_custkey"))
-    return o.where(key % 20 < 17).select(
-        _padded("EXT", 8, key).alias("external_tx_id"),
+    customer = _padded("CU", 7, F.col("o_custkey"))
+    return o.select(
+        _ledger_id("EX", key).alias("external_tx_id"),
         F.col("o_totalprice").alias("gross_amount"),
         _fee(key).alias("fee"),
         (F.col("o_totalprice") - _fee(key)).alias("net_amount"),
         _day_string(F.col("o_orderdate")).alias("date"),
         F.concat(F.lit("Payment from "), customer).alias("description"),
         customer.alias("customer_id"),
-        _padded("L", 4, key % 20 + 1).alias("location_id"),
+        _location(key).alias("location_id"),
     )

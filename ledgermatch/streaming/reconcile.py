@@ -8,6 +8,14 @@ both sides have arrived; unmatched rows are emitted when the watermark
 passes the window's end and its state is dropped, so state stays bounded by
 the open windows. With sliding windows a row belongs to several windows and
 its matches are reported once per window.
+
+With ``date_tolerance_days`` a pair need not share the window: its event times
+must be within that many whole days (floored, as in the batch matcher), a range
+condition on the two watermarked times that bounds the state all the same. A
+row's window is then its own (a pair's is the internal row's).
+
+A row without an event time is in no window. It can match nothing and is
+reported as unmatched at once, with null window bounds.
 """
 
 from __future__ import annotations
@@ -23,10 +31,15 @@ from ledgermatch.spec import WindowSpec
 from ledgermatch.streaming.windows import flatten_window, with_window
 
 
-def _side(df: DataFrame, ts_col: str, spec: WindowSpec, prefix: str) -> DataFrame:
+def _side(df: DataFrame, ts_col: str, spec: WindowSpec, prefix: str, by_time: bool = False) -> DataFrame:
     w = with_window(df, ts_col, spec)
-    # Keep one event-time column (the window); the raw time travels as a plain value.
+    # Keep one event-time column (the window, or the time itself where events match
+    # across windows); the raw time travels as a plain value.
     cols = [F.col("window").alias(f"{prefix}window")]
+    if by_time:
+        plain = F.struct((F.col("window.start") + F.expr("INTERVAL 0 SECONDS")).alias("start"),
+                         (F.col("window.end") + F.expr("INTERVAL 0 SECONDS")).alias("end"))
+        cols = [plain.alias(f"{prefix}window"), F.col(ts_col).alias(f"{prefix}time")]
     for c in df.columns:
         if c == ts_col:
             cols.append((F.col(c) + F.expr("INTERVAL 0 SECONDS")).alias(f"{prefix}{c}"))
@@ -49,7 +62,7 @@ def _replicated(df: DataFrame, prefix: str, buckets: int) -> DataFrame:
 def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[str], spec: WindowSpec,
                      internal_key: str = "amount", external_key: str = "net_amount",
                      amount_tolerance: float | None = None, ts_col: str = "ts",
-                     how: str = "full_outer", salt_buckets: int = 1) -> DataFrame:
+                     how: str = "full_outer", salt_buckets: int = 1, date_tolerance_days: int = 0) -> DataFrame:
     """Stream of reconciled rows with ``_merge`` in {both, left_only, right_only}.
 
     ``how="inner"`` emits matched pairs only; ``"full_outer"`` adds the
@@ -66,11 +79,21 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
         raise ValueError("how must be 'inner' or 'full_outer'")
     if salt_buckets < 1:
         raise ValueError("salt_buckets must be at least 1")
-    left = _side(internal, ts_col, spec, "i_")
-    right = _side(external, ts_col, spec, "e_")
+    by_time = date_tolerance_days > 0
+    if by_time and spec.type == "sliding":
+        raise ValueError("a day tolerance needs tumbling windows: a sliding one would report each pair several times")
+    left = _side(internal.where(F.col(ts_col).isNotNull()), ts_col, spec, "i_", by_time)
+    right = _side(external.where(F.col(ts_col).isNotNull()), ts_col, spec, "e_", by_time)
 
     def condition(lf: DataFrame, rf: DataFrame, salted: bool) -> Column:
-        cond = [lf[f"i_{k}"] == rf[f"e_{k}"] for k in keys] + [lf["i_window"] == rf["e_window"]]
+        cond = [lf[f"i_{k}"] == rf[f"e_{k}"] for k in keys]
+        if by_time:
+            # -days <= floor((internal - external) / 1 day) <= days
+            day = lambda n: F.expr(f"INTERVAL {n} DAYS")
+            cond += [lf["i_time"] >= rf["e_time"] - day(date_tolerance_days),
+                     lf["i_time"] < rf["e_time"] + day(date_tolerance_days + 1)]
+        else:
+            cond.append(lf["i_window"] == rf["e_window"])
         if salted:
             cond.append(lf["i_salt"] == rf["e_salt"])
         if amount_tolerance is not None:
@@ -92,7 +115,8 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     present_e = F.col("e_window").isNotNull()
     tag = F.when(present_i & present_e, F.lit(BOTH)).when(present_i, F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY))
     out = [F.coalesce(F.col("i_window"), F.col("e_window")).alias("window")]
-    out += [F.coalesce(F.col(f"i_{k}"), F.col(f"e_{k}")).alias(k) for k in keys]
+    # by presence, not by value: a null key of an internal row stays null
+    out += [F.when(present_i, F.col(f"i_{k}")).otherwise(F.col(f"e_{k}")).alias(k) for k in keys]
     overlap = (set(internal.columns) & set(external.columns)) - set(keys)
 
     def named(side: str, c: str) -> Column:
@@ -103,7 +127,39 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     out += [named("i", c) for c in internal.columns if c not in keys]
     out += [named("e", c) for c in external.columns if c not in keys]
     out.append(tag.alias(INDICATOR))
-    return flatten_window(joined.select(out))
+    done = flatten_window(joined.select(out))
+    if how == "inner":
+        return done
+    return (done.unionByName(_timeless(internal, ts_col, LEFT_ONLY, done, keys, overlap, "internal"))
+            .unionByName(_timeless(external, ts_col, RIGHT_ONLY, done, keys, overlap, "external")))
+
+
+def _timeless(side: DataFrame, ts_col: str, tag: str, like: DataFrame, keys: Sequence[str], overlap: set[str],
+              suffix: str) -> DataFrame:
+    """Rows without an event time, in the layout of ``like``: unmatched, in no window."""
+    rows = side.where(F.col(ts_col).isNull())
+    own = {c if c in keys else f"{c}_{suffix}" if c in overlap else c: c for c in side.columns}
+    cols = []
+    for f in like.schema:
+        value = F.lit(tag) if f.name == INDICATOR else F.col(own[f.name]) if f.name in own else F.lit(None)
+        cols.append(value.cast(f.dataType).alias(f.name))
+    return rows.select(cols)
+
+
+def overall_metrics(classified: DataFrame) -> DataFrame:
+    """One row over all windows: records, matched and unmatched counts, match rate."""
+    return _metrics(classified.groupBy())
+
+
+def _metrics(groups) -> DataFrame:
+    m = F.col(INDICATOR)
+    agg = groups.agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_if(m == BOTH).alias("n_matched"),
+        F.count_if(m == LEFT_ONLY).alias("n_unmatched_internal"),
+        F.count_if(m == RIGHT_ONLY).alias("n_unmatched_external"),
+    )
+    return agg.withColumn("match_rate", F.col("n_matched").cast("double") / F.col("n_records").cast("double"))
 
 
 def window_metrics(classified: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -114,14 +170,7 @@ def window_metrics(classified: DataFrame, watermark: str | None = None) -> DataF
     instant, as in the query's progress report): a window is ``complete`` once
     its end is at or before it, and its unmatched rows are then final.
     """
-    m = F.col(INDICATOR)
-    agg = classified.groupBy("window_start", "window_end").agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.count_if(m == BOTH).alias("n_matched"),
-        F.count_if(m == LEFT_ONLY).alias("n_unmatched_internal"),
-        F.count_if(m == RIGHT_ONLY).alias("n_unmatched_external"),
-    )
-    agg = agg.withColumn("match_rate", F.col("n_matched").cast("double") / F.col("n_records").cast("double"))
+    agg = _metrics(classified.groupBy("window_start", "window_end"))
     if watermark is not None:
         # The watermark is an instant; window bounds are wall-clock in the session zone.
         wm = F.to_timestamp(F.lit(watermark)).cast("timestamp_ntz")

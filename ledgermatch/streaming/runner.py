@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark import StorageLevel
 
 from ledgermatch.operators.matching import BOTH, INDICATOR, LEFT_ONLY, RIGHT_ONLY
+from ledgermatch.sinks.writers import CSV_OPTIONS
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, file_glob: str | None = None,
@@ -55,16 +56,18 @@ def split_outputs(base: str, names: dict[str, str] | None = None, fmt: str = "pa
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for tag, name in names.items():
-                (batch.where(F.col(INDICATOR) == tag).write.mode("overwrite").format(fmt)
-                 .save(f"{base}/{name}/batch={batch_id}"))
+                writer = batch.where(F.col(INDICATOR) == tag).write.mode("overwrite").format(fmt)
+                if fmt == "csv":
+                    writer = writer.options(**CSV_OPTIONS)
+                writer.save(f"{base}/{name}/batch={batch_id}")
         finally:
             batch.unpersist()
     return write
 
 
 def run_split(stream: DataFrame, base: str, checkpoint: str, names: dict[str, str] | None = None,
-              available_now: bool = True) -> StreamingQuery:
-    q = (stream.writeStream.foreachBatch(split_outputs(base, names)).outputMode("append")
+              available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
+    q = (stream.writeStream.foreachBatch(split_outputs(base, names, fmt)).outputMode("append")
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
     started = q.start()
@@ -74,10 +77,13 @@ def run_split(stream: DataFrame, base: str, checkpoint: str, names: dict[str, st
 
 
 def read_split(spark: SparkSession, base: str, schema: T.StructType,
-               names: dict[str, str] | None = None) -> DataFrame:
+               names: dict[str, str] | None = None, fmt: str = "parquet") -> DataFrame:
     """The three outputs of ``run_split`` read back as one frame."""
     names = names or {BOTH: BOTH, LEFT_ONLY: LEFT_ONLY, RIGHT_ONLY: RIGHT_ONLY}
-    frames = [spark.read.schema(schema).parquet(f"{base}/{n}") for n in names.values()]
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**CSV_OPTIONS)
+    frames = [reader.load(f"{base}/{n}").select(*schema.names) for n in names.values()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

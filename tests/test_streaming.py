@@ -115,9 +115,9 @@ def test_stream_job_from_config(spark, tmp_path):
                     "external": {"type": "kafka", "topic": "y", "connection": {"bootstrap_servers": "b:1"}}},
         "window": {"type": "tumbling", "size": "1h", "grace": "10m"},
         "matching": {"match_on": ["date", "user_id", "event_id"], "internal_key": "amount",
-                     "external_key": "net_amount", "tolerances": {"amount": 0.01, "days": 1}},
+                     "external_key": "net_amount", "tolerances": {"amount": 0.01}},
         "output": {"path": str(tmp_path / "out"), "reconciled_file": "matched", "unmatched_internal_file": "ui",
-                   "unmatched_external_file": "ue"},
+                   "unmatched_external_file": "ue", "format": "parquet"},
         "state": {"storage_path": str(tmp_path / "state")},
     }
     spec = JobSpec.from_dict(cfg)
@@ -191,5 +191,28 @@ def test_stream_job_uses_date_as_event_time(spark, tmp_path):
     }
     run_stream_job(spark, JobSpec.from_dict(cfg), spark.createDataFrame([], schema).schema,
                    spark.createDataFrame([], schema_e).schema)
-    matched = spark.read.parquet(str(tmp_path / "out" / "m")).collect()
+    matched = spark.read.option("header", True).csv(str(tmp_path / "out" / "m")).collect()  # the default format
     assert [(r["customer_id"], r["_merge"]) for r in matched] == [("C1", "both")]
+
+
+def test_events_without_a_time_are_reported(spark, tmp_path):
+    drop(spark, str(tmp_path / "si"), [(1, 7, t(0, 5), 10.0), (2, 7, None, 5.0)], SCHEMA_I, "a")
+    drop(spark, str(tmp_path / "se"), [(1, 7, t(0, 6), 10.0), (3, 7, None, 6.0)], SCHEMA_E, "a")
+    si = runner.file_stream(spark, str(tmp_path / "si"), spark.createDataFrame([], SCHEMA_I).schema, recursive=True)
+    se = runner.file_stream(spark, str(tmp_path / "se"), spark.createDataFrame([], SCHEMA_E).schema, recursive=True)
+    s = reconcile_stream(si, se, ["user_id", "event_id"], HOUR, amount_tolerance=0.05)
+    runner.run_to_parquet(s, str(tmp_path / "o"), str(tmp_path / "ck"))
+    got = {(r["event_id"], r["_merge"], r["window_start"] is None) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {(1, "both", False), (2, "left_only", True), (3, "right_only", True)}
+
+
+def test_day_tolerance_matches_across_windows(spark, tmp_path):
+    # 00:59 and 01:00 are in different windows; 20:00 a day before is still within one floored day.
+    drop(spark, str(tmp_path / "si"), [(1, 7, t(0, 59), 10.0), (2, 7, t(1, 0), 5.0)], SCHEMA_I, "a")
+    drop(spark, str(tmp_path / "se"), [(1, 7, t(1, 0), 10.0), (2, 7, t(23, 0), 5.0)], SCHEMA_E, "a")
+    si = runner.file_stream(spark, str(tmp_path / "si"), spark.createDataFrame([], SCHEMA_I).schema, recursive=True)
+    se = runner.file_stream(spark, str(tmp_path / "se"), spark.createDataFrame([], SCHEMA_E).schema, recursive=True)
+    s = reconcile_stream(si, se, ["user_id", "event_id"], HOUR, amount_tolerance=0.05, date_tolerance_days=1)
+    runner.run_to_parquet(s, str(tmp_path / "o"), str(tmp_path / "ck"))
+    got = {(r["event_id"], r["_merge"]) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {(1, "both"), (2, "both")}
