@@ -5,17 +5,18 @@ it lies in a window whose words also begin, in the same order, in a document
 with a smaller id; windows are judged on the input.
 
 The minimiser of a window is the least hash among its runs of ``MINIMISER``
-words, so equal windows have equal minimisers. Consecutive windows of one
-minimiser overlap in all but one word each and travel together, as one string
-(a super-k-mer), to the bucket of their minimiser. There all windows are sorted,
-equal ones are compared byte by byte, and each gets the smallest id it occurs
-in; what is larger is marked.
-
-Skew. Of windows that repeat within a chunk of a map task only those of the
-chunk's smallest id travel, the others being marked on the spot; so a passage
-that a third of all documents share travels once per chunk. Minimisers that
-would overfill their bucket (seen on a sample of ``SAMPLE_BYTES``, which only
-decides about placing) are not used: their windows go to buckets by the hash of
+words, so equal windows have equal minimisers. Minimisers are counted first:
+windows whose minimiser stands in one document only cannot repeat and stay where
+they are. Of the others, consecutive windows of one minimiser overlap in all but
+one word each and travel together, as one string (a super-k-mer), to the bucket
+of their minimiser. There all windows are sorted, equal ones are compared byte by
+byte, and each gets the smallest id it occurs in; what is larger is marked.
+
+Skew. Texts are shuffled once, to groups of a few megabytes. Of windows that
+repeat within a chunk of a group only those of the chunk's smallest id travel,
+the others being marked on the spot; so a passage that a third of all documents
+share travels once per chunk. The windows of a minimiser that stands in more than
+``heavy`` documents would overfill its bucket; they go to buckets by the hash of
 the whole window. The number of buckets follows the bytes of the input.
 
 Defined results: a null, empty or shorter text loses nothing; a null id counts
@@ -27,23 +28,16 @@ names, are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import textbytes
+from ledgermatch.llm import anchors, textbytes
 
-MINIMISER = 3
-BUCKET_BYTES = 8 << 20
-CHUNK = 4 << 20
-SAMPLE_BYTES = 48 << 20
-#: Times a bucket's fair share from which a minimiser counts as too frequent.
-HEAVY_SHARE = 0.25
-_NULL_ID = (1 << 63) - 1
+MINIMISER = 6
+BUCKET_BYTES = 4 << 20
 _PACKED = "bucket int, kind int, id binary, rid binary, start binary, n binary, text binary"
 _MARK = "id long, rid long, start int, n int"
 
@@ -94,28 +88,49 @@ def _marks(ids: np.ndarray, rids: np.ndarray, begin: np.ndarray, at: np.ndarray)
     return ids[first], rids[first], begin[first].astype(np.int32), n.astype(np.int32)
 
 
-def _pack(window: int, buckets: int, heavy: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            data, offs = textbytes.byte_arrays(batch.column(2))
-            all_ids, all_rids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for i, j in textbytes.chunks(offs, CHUNK):
-                c = _Chunk(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], window)
+def _list(window: int, parts: int):
+    def run(table: pa.Table) -> pa.Table:
+        found = []
+        for _, data, offs in anchors.pieces(table):
+            c = _Chunk(data, offs, window)
+            if len(c.begin):
+                # once for each document
+                value, doc = c.minimisers(), c.doc
+                order = np.lexsort((doc, value))
+                value, doc = value[order], doc[order]
+                found.append(value[np.append(True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1]))])
+        return anchors.listing(table["g"][0].as_py(), found, parts)
+
+    return run
+
+
+def _pack(window: int, buckets: int, parts: int):
+    names = [x.split()[0] for x in _PACKED.split(", ")]
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+
+    def run(texts: pa.Table, repeated: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        if texts.num_rows and repeated.num_rows:
+            known = anchors.Known(repeated, parts)
+            squeeze = zstandard.ZstdCompressor(level=1).compress
+            all_ids, all_rids = texts["id"].to_numpy(), texts["rid"].to_numpy()
+            for i, data, offs in anchors.pieces(texts):
+                c = _Chunk(data, offs, window)
                 if not len(c.begin):
                     continue
-                ids, rids = all_ids[i:j][c.doc], all_rids[i:j][c.doc]
+                ids, rids = all_ids[i:][c.doc], all_rids[i:][c.doc]
                 local = c.begin - c.first[c.doc]
+                key = c.minimisers()
+                maybe = known.of(key)
+                if not maybe.any():
+                    continue
                 later = ids > _least(ids, *c.groups())
-                rows: list[tuple] = []
                 if later.any():
                     m = _marks(ids, rids, local, np.flatnonzero(later))
                     # spread over negative buckets, which only pass them on
                     rows.append((-1 - int(rids[0] % buckets), 1, *[x.tobytes() for x in m], b""))
-                go = np.flatnonzero(~later)
-                key = c.minimisers()[go]
-                if len(heavy):
-                    key = np.where(np.isin(key, heavy), c.hash[go], key)
+                go = np.flatnonzero(maybe & ~later)
+                key = np.where(known.too_frequent(key[go]), c.hash[go], key[go])
                 follows = np.zeros(len(go), bool)
                 follows[1:] = (np.diff(c.begin[go]) == 1) & (key[1:] == key[:-1]) & (c.doc[go][1:] == c.doc[go][:-1])
                 at, n = _runs(follows)
@@ -130,10 +145,8 @@ def _pack(window: int, buckets: int, heavy: np.ndarray):
                 for x, y in zip(bound[:-1], bound[1:], strict=True):
                     rows.append((int(bucket[x]), 0, squeeze(ids[x:y].tobytes()), squeeze(rids[x:y].tobytes()), local[x:y].tobytes(),
                                  n[x:y].tobytes(), squeeze(text[cut[x]:cut[y]].tobytes())))
-                if rows:
-                    names = [x.split()[0] for x in _PACKED.split(", ")]
-                    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
-                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+        return pa.table({name: pa.array(v, k) for name, v, k in zip(names, columns, kinds, strict=True)})
 
     return run
 
@@ -167,79 +180,55 @@ def _settle(window: int):
     return run
 
 
-def _heavy(rows: DataFrame, window: int, total: int, buckets: int) -> np.ndarray:
-    """Minimisers of more windows than a bucket should hold, as far as a sample shows them."""
-    share = min(1.0, SAMPLE_BYTES / max(total, 1))
-    least = 64
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offs = textbytes.byte_arrays(batch.column(2))
-            for i, j in textbytes.chunks(offs, CHUNK):
-                c = _Chunk(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], window)
-                if len(c.begin):
-                    _, first = np.unique(c.hash, return_index=True)  # repeats do not travel
-                    value, n = np.unique(c.minimisers()[first], return_counts=True)
-                    often = n >= 8
-                    yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(n[often])], ["value", "n"])
-                    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([len(first)])], ["value", "n"])
-
-    # `sample` keeps whole documents; where all fit no sampling is needed
-    seen = rows if share == 1.0 else rows.sample(fraction=share, seed=7)
-    counts = seen.mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
-    windows = F.sum(F.when(F.col("value").isNull(), F.col("n")))
-    limit = (counts.agg(windows).first()[0] or 0) * HEAVY_SHARE / buckets
-    # each of them has at least `least` of the sample's windows, so their number is bounded by the sample's
-    found = counts.filter(F.col("value").isNotNull() & (F.col("n") > max(limit, least))).select("value").collect()
-    return np.sort(np.array([x[0] for x in found], np.int64).view(np.uint64))
-
-
-def removed_windows(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Marks (``id``, ``rid``, ``start``, ``n``): n windows from word ``start`` on of that row repeat a smaller id's."""
-    rows = _rows(docs, id_col, text_col)
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(32, -(-3 * total // BUCKET_BYTES))
-    heavy = _heavy(rows, window, total, buckets)
-    packed = rows.select("id", "rid", "text").mapInArrow(_pack(window, buckets, heavy), _PACKED)
-    return packed.groupBy("bucket").applyInArrow(_settle(window), _MARK)
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``rid`` tells rows of one id by their text."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    given = F.col(id_col).cast("long")
-    return docs.select(F.coalesce(given, F.lit(_NULL_ID)).alias("id"), F.xxhash64(given, text).alias("rid"), text.alias("text"),
-                       given.isNull().alias("no_id"))
-
-
-def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+_RESULT = "id long, no_id boolean, n_words long, n_removed long, kept binary"
+
+
+def _cut(window: int):
+    def run(texts: pa.Table, marks: pa.Table) -> pa.Table:
+        parts = [pa.table({"id": pa.array([], pa.int64()), "no_id": pa.array([], pa.bool_()), "n_words": pa.array([], pa.int64()),
+                           "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.binary())})]
+        ids, rids = texts["id"].to_numpy(), texts["rid"].to_numpy()
+        m_rid, m_id = marks["rid"].to_numpy(), marks["id"].to_numpy()
+        by = np.argsort(m_rid, kind="stable")
+        m_rid, m_id = m_rid[by], m_id[by]
+        m_start, m_n = marks["start"].to_numpy()[by].astype(np.int64), marks["n"].to_numpy()[by].astype(np.int64)
+        for i, data, offs in anchors.pieces(texts):
+            starts, ends, first = textbytes.word_bounds(data, offs)
+            n_docs = len(offs) - 1
+            cover = np.zeros(len(starts) + 1, np.int64)
+            low = np.searchsorted(m_rid, rids[i:i + n_docs], "left")
+            n = np.searchsorted(m_rid, rids[i:i + n_docs], "right") - low
+            doc = np.repeat(np.arange(n_docs), n)
+            at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - low, n)
+            same = m_id[at] == ids[i:][doc]
+            doc, at = doc[same], at[same]
+            np.add.at(cover, first[doc] + m_start[at], 1)
+            np.add.at(cover, first[doc] + m_start[at] + m_n[at] + window - 1, -1)
+            stay = np.cumsum(cover[:-1]) == 0
+            text, _, to = textbytes.joined_words(data, starts[stay], ends[stay])
+            bound = np.concatenate([[0], np.cumsum(stay)])[first]
+            cut = np.concatenate([[0], to + 1])[bound]
+            kept = [text[x:max(x, y - 1)].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]
+            n = np.diff(first)
+            parts.append(pa.table({"id": pa.array(ids[i:i + n_docs]), "no_id": texts["no_id"].slice(i, n_docs), "n_words": pa.array(n),
+                                   "n_removed": pa.array(n - np.diff(bound)), "kept": pa.array(kept, pa.binary())}))
+        return pa.concat_tables(parts)
+
+    return run
+
+
+def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text",
+                     heavy: int = anchors.HEAVY) -> DataFrame:
     """One row a document: id, ``kept`` (the words that stay, joined by one space), ``n_words`` and ``n_removed``."""
-    marks = removed_windows(docs, window, id_col, text_col).groupBy("id", "rid").agg(
-        F.collect_list(F.struct("start", "n")).alias("marks"))
-    joined = _rows(docs, id_col, text_col).join(marks, ["id", "rid"], "left").select("id", "no_id", "text", "marks")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offs = textbytes.byte_arrays(batch.column(2))
-            ids = batch.column(0).to_numpy()
-            ids = pa.array(ids, mask=batch.column(1).to_numpy(zero_copy_only=False))
-            for i, j in textbytes.chunks(offs, CHUNK):
-                part, cut = data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
-                starts, ends, first = textbytes.word_bounds(part, cut)
-                cover = np.zeros(len(starts) + 1, np.int64)
-                for d, m in enumerate(batch.column(3).slice(i, j - i).to_pylist()):
-                    for x in m or ():
-                        cover[first[d] + x["start"]] += 1
-                        cover[first[d] + x["start"] + x["n"] + window - 1] -= 1
-                stay = np.cumsum(cover[:-1]) == 0
-                text, _, to = textbytes.joined_words(part, starts[stay], ends[stay])
-                bound = np.concatenate([[0], np.cumsum(stay)])[first]
-                at = np.concatenate([[0], to + 1])[bound]
-                kept = [text[x:max(x, y - 1)].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]
-                n = np.diff(first)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(n), pa.array(n - np.diff(bound)), pa.array(kept, pa.binary())],
-                    ["id", "n_words", "n_removed", "kept"])
-
-    out = joined.mapInArrow(run, "id long, n_words long, n_removed long, kept binary")
-    return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept"))
+    if window <= MINIMISER:
+        raise ValueError(f"windows must be longer than {MINIMISER} words")
+    rows, groups, total = anchors.grouped_rows(docs, id_col, text_col)
+    by_group = rows.groupBy("g")
+    listed = by_group.applyInArrow(_list(window, groups), anchors.LISTED)
+    repeated = anchors.repeated(listed, heavy)
+    buckets = max(32, -(-2 * total // BUCKET_BYTES))
+    packed = by_group.cogroup(repeated.groupBy("g")).applyInArrow(_pack(window, buckets, groups), _PACKED)
+    marks = packed.groupBy("bucket").applyInArrow(_settle(window), _MARK)
+    marks = marks.withColumn("g", anchors.group_of(F.col("rid"), groups))
+    found = by_group.cogroup(marks.groupBy("g")).applyInArrow(_cut(window), _RESULT)
+    return found.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), "n_words", "n_removed", "kept")
