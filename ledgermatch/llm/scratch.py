@@ -1,4 +1,4 @@
-"""Folders for data that must outlive an executor."""
+"""Tables that must outlive an executor, in the folder named by ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
@@ -9,22 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
-
-    Where it is unset a local session gets a temporary folder of its own (as in
-    tests). A cluster must name one: a driver's own disk would be invisible to
-    the executors, so that case is an error.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="corpus-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+from ledgermatch.session import ensure_checkpoint_dir
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -33,7 +18,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: a lost executor costs a re-read of files, not a re-run.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,0 +1,141 @@
+"""Plain-Python versions of the operators, for small tables."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import xxhash
+
+WORD = "[^\x20\x09-\x0D]+"
+
+
+def words(text):
+    return re.findall(WORD, text or "")
+
+
+def byte_dedup(texts, length=200):
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(x[i:i + length] for x in raw for i in range(len(x) - length + 1))
+    out = []
+    for x in raw:
+        gone = bytearray(len(x))
+        for i in range(len(x) - length + 1):
+            if seen[x[i:i + length]] > 1:
+                gone[i:i + length] = b"\1" * length
+        kept = bytes(b for b, g in zip(x, gone, strict=True) if not g)
+        out.append((len(x), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def luhn(digits):
+    return sum((v * 2 - 9 if v > 4 else v * 2) if i % 2 else v for i, v in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def _digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+BASE = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(_digits(m)) <= 19 and luhn(_digits(m))),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(_digits(m)) <= 15),
+]
+
+
+def base_spans(text):
+    found = [(m.start(), k, f"{name}:{m.start()}:{m.end()}") for k, (name, pattern, ok) in enumerate(BASE)
+             for m in re.finditer(pattern, text or "") if ok(m.group())]
+    return [x[2] for x in sorted(found)]
+
+
+def fingerprint(text, k=4):
+    w = words(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    if not w:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(w[i:i + k]).encode(), 42) for i in range(max(1, len(w) - k + 1))]
+    return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+
+
+def components(n, linked):
+    """Least index of each one's component; ``linked(i, j)`` for i < j."""
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(n):
+        for j in range(i + 1, n):
+            if linked(i, j):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def window_dedup(rows, k=13):
+    least = {}
+    split = [(i, words(t)) for i, t in rows]
+    order = lambda i: float("inf") if i is None else i
+    for i, w in split:
+        for a in range(len(w) - k + 1):
+            key = tuple(w[a:a + k])
+            least[key] = min(least.get(key, float("inf")), order(i))
+    out = []
+    for i, w in split:
+        gone = [False] * len(w)
+        for a in range(len(w) - k + 1):
+            if order(i) > least[tuple(w[a:a + k])]:
+                gone[a:a + k] = [True] * k
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def _tokens(text):
+    return re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", (text or "").lower())
+
+
+def tiling(doc, item, k=5):
+    """Share of the item's tokens under greedy tiles, by trying all places again after each tile."""
+    a, b = _tokens(doc), _tokens(item)
+    used_a, used_b, covered = [False] * len(a), [False] * len(b), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not used_a[i + n] and not used_b[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < k:
+            return covered / len(b) if b else 0.0
+        for x in range(n):
+            used_a[i + x] = used_b[j + x] = True
+        covered += n
+
+
+def mix_targets(sizes, weights=(1, 2, 3), limit=3):
+    """Targets by dealing and cutting until no source is above its limit; ``sizes`` by source, None last."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    capped = {}
+    while True:
+        rest = sum(sizes.values()) - sum(capped.values())
+        free = [s for s in order if s not in capped]
+        total = sum(weight[s] for s in free)
+        target = {s: capped.get(s, weight[s] * rest / total if total else 0) for s in order}
+        over = [s for s in free if target[s] > limit * sizes[s] + 1e-9]
+        if not over:
+            return target
+        capped |= {s: limit * sizes[s] for s in over}
+
+
+def by_source(rows):
+    out = defaultdict(int)
+    for source, n in rows:
+        out[source] += n
+    return dict(out)
