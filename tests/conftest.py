@@ -12,7 +12,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[*]", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("checkpoint"))
+    session = build_session("local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": folder})
     yield session
     session.stop()
