@@ -113,10 +113,13 @@ def _unmatched_rows(side: DataFrame, other: DataFrame, side_cols: tuple[str, ...
             .unionByName(null_key))
     if id_check == "trusted":
         return rows
-    # An id also carried by a paired row (a duplicate id) is not unmatched. The
-    # anti join compares with SQL equality, so null ids are kept, as they must be.
+    # An id also carried by a paired row (a duplicate id) is not unmatched. The join
+    # compares with SQL equality, so null ids are kept, as they must be. An outer join
+    # with a filter, since an anti join would be pushed into both branches of the union
+    # and work out the paired ids twice.
     paired_ids = distinct_keys(flagged.where(F.col("_paired") & F.col("transaction_id").isNotNull()), ["transaction_id"])
-    return rows.join(paired_ids, "transaction_id", "left_anti")
+    marked = rows.join(paired_ids.withColumn("_id_paired", F.lit(True)), "transaction_id", "left")
+    return marked.where(F.col("_id_paired").isNull()).drop("_id_paired")
 
 
 def unmatched_internal(internal: DataFrame, external: DataFrame, labels: StatusLabels = StatusLabels(),
