@@ -25,6 +25,8 @@ NULL_ID = (1 << 63) - 1
 _U = np.uint64
 LISTED = "part int, g int, codes binary, counts binary"
 REPEATED = "g int, part int, codes binary, heavy binary"
+MARKS = "g int, id binary, rid binary, start binary, n binary"
+_FIELDS = ("id", "rid", "start", "n")
 
 
 def group_count(total_bytes: int) -> int:
@@ -59,11 +61,11 @@ def listing(g: int, values: list[np.ndarray], parts: int) -> pa.Table:
     codes, n = np.unique(_codes(np.concatenate(values), parts), return_counts=True) if values else (np.zeros(0, _U), np.zeros(0, np.int64))
     n = np.minimum(n, 65535).astype(np.uint16)
     part, low = (codes >> _U(32)).astype(np.int64), codes.astype(np.uint32)
-    cut = np.searchsorted(part, np.arange(parts + 1))
-    some = np.flatnonzero(np.diff(cut))
+    some, cut = textbytes.runs_of(part)
+    bounds = list(zip(cut[:-1], cut[1:], strict=True))
     return pa.table({"part": pa.array(some, pa.int32()), "g": pa.array([g] * len(some), pa.int32()),
-                     "codes": pa.array([low[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
-                     "counts": pa.array([n[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())})
+                     "codes": pa.array([low[a:b].tobytes() for a, b in bounds], pa.binary()),
+                     "counts": pa.array([n[a:b].tobytes() for a, b in bounds], pa.binary())})
 
 
 def _meet(heavy: int):
@@ -114,6 +116,25 @@ def _in(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
 
 
+def marks_by_group(marks: list[tuple[np.ndarray, ...]], groups: int) -> pa.Table:
+    """Marks (id, rid, start, n) as one row for each group of texts, as ``group_of`` deals them."""
+    cols = [np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in zip(*marks, strict=True)] if marks else [np.zeros(0, np.int64)] * 4
+    g = np.mod(cols[1], groups)
+    by = np.argsort(g, kind="stable")
+    some, cut = textbytes.runs_of(g[by])
+    packed = {"g": pa.array(some, pa.int32())}
+    for name, values in zip(_FIELDS, cols, strict=True):
+        packed[name] = pa.array([values[by[a:b]].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
+    return pa.table(packed)
+
+
+def marks_of(table: pa.Table) -> list[np.ndarray]:
+    """A group's marks, sorted by rid: id, rid, start and n."""
+    cols = [np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x.as_buffer(), np.int64) for x in table[name]]]) for name in _FIELDS]
+    by = np.argsort(cols[1], kind="stable")
+    return [c[by] for c in cols]
+
+
 def pieces(table: pa.Table):
     """The texts of a group in chunks: first row, bytes and offsets of each."""
     data, offs = textbytes.byte_arrays(table["text"])

@@ -51,7 +51,6 @@ SHARD_BYTES = 256 << 10
 #: Strings of one segment at most; longer runs are cut.
 RUN = 4096
 _U = np.uint64
-_MARK = "id long, rid long, start long, n long"
 
 
 # ---- Burrows-Wheeler transforms -------------------------------------------------------------------------------------
@@ -281,7 +280,7 @@ def _pairs(values: np.ndarray, spots: np.ndarray, wanted: np.ndarray, begin: np.
     return np.searchsorted(keys, base + np.minimum(end, wide - 1)) - np.searchsorted(keys, base + np.minimum(begin, wide - 1)) > 1
 
 
-def _settle(length: int):
+def _settle(length: int, groups: int):
     def run(table: pa.Table) -> pa.Table:
         wide = zstandard.ZstdDecompressor().decompress
         marks: list[tuple[np.ndarray, ...]] = []
@@ -321,8 +320,7 @@ def _settle(length: int):
                 times = size[seg]
                 member = order[np.repeat(first[seg], times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)]
                 marks.append((id_[member], rid[member], start[member] + np.repeat(shift, times), np.repeat(count, times)))
-        cols = [np.concatenate(x) for x in zip(*marks, strict=True)] if marks else [np.zeros(0, np.int64)] * 4
-        return pa.table(dict(zip(("id", "rid", "start", "n"), cols, strict=True)))
+        return anchors.marks_by_group(marks, groups)
 
     return run
 
@@ -337,10 +335,7 @@ def _cut(length: int):
         out: dict[str, list] = {x.split()[0]: [] for x in _RESULT.split(", ")}
         data, offs = textbytes.byte_arrays(texts["text"])
         ids, rids = texts["id"].to_numpy(), texts["rid"].to_numpy()
-        m_rid, m_id = marks["rid"].to_numpy(), marks["id"].to_numpy()
-        by = np.lexsort((m_id, m_rid))
-        m_rid, m_id = m_rid[by], m_id[by]
-        m_start, m_n = marks["start"].to_numpy()[by], marks["n"].to_numpy()[by]
+        m_id, m_rid, m_start, m_n = anchors.marks_of(marks)
         for d in range(texts.num_rows):
             a, b = np.searchsorted(m_rid, rids[d], "left"), np.searchsorted(m_rid, rids[d], "right")
             own = np.arange(a, b)[m_id[a:b] == ids[d]]
@@ -376,7 +371,6 @@ def dedup_bytes(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text
     repeated = anchors.repeated(listed, heavy)
     buckets = max(16, -(-2 * total // BUCKET_BYTES))
     segments = by_group.cogroup(repeated.groupBy("g")).applyInArrow(_segments(length, buckets, groups), _SEGMENT)
-    marks = segments.groupBy("bucket").applyInArrow(_settle(length), _MARK)
-    marks = marks.withColumn("g", anchors.group_of(F.col("rid"), groups))
+    marks = segments.groupBy("bucket").applyInArrow(_settle(length, groups), anchors.MARKS)
     found = by_group.cogroup(marks.groupBy("g")).applyInArrow(_cut(length), _RESULT)
     return found.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")

@@ -158,6 +158,14 @@ def spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return data[np.arange(int(offs[-1])) + np.repeat(begin - offs[:-1], size)], offs
 
 
+def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of a sorted array, and the bounds of each one's run."""
+    if not len(values):
+        return values, np.zeros(1, np.int64)
+    at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[at], np.append(at, len(values))
+
+
 def run_prefix(values: np.ndarray) -> np.ndarray:
     """``prefix_hash`` for 64-bit values in place of bytes; ``span_hash`` takes runs of them."""
     out = np.empty(len(values) + 1, _U)
