@@ -39,7 +39,6 @@ from ledgermatch.llm import anchors, textbytes
 MINIMISER = 6
 BUCKET_BYTES = 4 << 20
 _PACKED = "bucket int, kind int, id binary, rid binary, start binary, n binary, text binary"
-_MARK = "id long, rid long, start int, n int"
 
 
 class _Chunk:
@@ -151,7 +150,7 @@ def _pack(window: int, buckets: int, parts: int):
     return run
 
 
-def _settle(window: int):
+def _settle(window: int, groups: int):
     def run(table: pa.Table) -> pa.Table:
         wide = zstandard.ZstdDecompressor().decompress
         parts = table.to_pydict()
@@ -174,8 +173,7 @@ def _settle(window: int):
             place = start[c.doc] + (c.begin - c.first[c.doc])
             later = np.flatnonzero(ids > _least(ids, *c.groups()))
             out.append(_marks(ids, rids, place, later))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.int32)] * 2
-        return pa.table(dict(zip(("id", "rid", "start", "n"), cols, strict=True)))
+        return anchors.marks_by_group(out, groups)
 
     return run
 
@@ -188,10 +186,7 @@ def _cut(window: int):
         parts = [pa.table({"id": pa.array([], pa.int64()), "no_id": pa.array([], pa.bool_()), "n_words": pa.array([], pa.int64()),
                            "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.binary())})]
         ids, rids = texts["id"].to_numpy(), texts["rid"].to_numpy()
-        m_rid, m_id = marks["rid"].to_numpy(), marks["id"].to_numpy()
-        by = np.argsort(m_rid, kind="stable")
-        m_rid, m_id = m_rid[by], m_id[by]
-        m_start, m_n = marks["start"].to_numpy()[by].astype(np.int64), marks["n"].to_numpy()[by].astype(np.int64)
+        m_id, m_rid, m_start, m_n = anchors.marks_of(marks)
         for i, data, offs in anchors.pieces(texts):
             starts, ends, first = textbytes.word_bounds(data, offs)
             n_docs = len(offs) - 1
@@ -228,7 +223,6 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     repeated = anchors.repeated(listed, heavy)
     buckets = max(32, -(-2 * total // BUCKET_BYTES))
     packed = by_group.cogroup(repeated.groupBy("g")).applyInArrow(_pack(window, buckets, groups), _PACKED)
-    marks = packed.groupBy("bucket").applyInArrow(_settle(window), _MARK)
-    marks = marks.withColumn("g", anchors.group_of(F.col("rid"), groups))
+    marks = packed.groupBy("bucket").applyInArrow(_settle(window, groups), anchors.MARKS)
     found = by_group.cogroup(marks.groupBy("g")).applyInArrow(_cut(window), _RESULT)
     return found.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), "n_words", "n_removed", "kept")
