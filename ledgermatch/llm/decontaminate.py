@@ -1,13 +1,18 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts in lower case are cut into tokens (runs of letters or digits; other signs
-only separate). A document and a test item that share a run of ``min_match``
+Texts in lower case are cut into tokens by Unicode category: runs of letters,
+marks and numbers, while punctuation, symbols, spaces and control characters
+only separate. In scripts written without spaces (Chinese, Japanese, Thai, ...)
+each code point is a token. Format characters and variation selectors (soft
+hyphens, joiners) are left out. A document and a test item that share a run of ``min_match``
 tokens, their *seed*, are a candidate pair. Seeds that follow one another in
 both texts grow into maximal matches; the longest is marked as a tile, the
 matches that it cuts are cut back, and so on until no unmarked match of
 ``min_match`` tokens is left. Tiles never overlap in either text, but may come
 in any order, so a passage whose sentences were moved still counts. An item is
-found in a document if tiles cover at least ``threshold`` of its tokens.
+found in a document if tiles cover at least ``threshold`` of its tokens. An item
+of fewer tokens than ``min_match`` is its own seed: it is found where all of it
+stands in one run, as one tile.
 
 Seeds are running Karp-Rabin hashes of 64 bits. Tiles are compared byte by byte
 before they count, so a collision cannot flag a document.
@@ -17,8 +22,7 @@ An index of all items' seeds goes to every task while it has at most
 documents' seeds and items' seeds meet in a shuffled join, and each document
 then gets the texts of its own candidate items.
 
-Defined results: null, empty and token-less texts match nothing; items of fewer
-tokens than ``min_match`` have no seed and are never found; null ids are
+Defined results: null, empty and token-less texts match nothing; null ids are
 carried along; repeated rows give repeated results, repeated items are found one
 by one; texts are read whole; ties between equal matches go to the earlier
 place in the document, then in the item; other columns, whatever their names,
@@ -28,7 +32,10 @@ items nothing is found.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,9 +52,65 @@ MAX_INDEX_SEEDS = 2_000_000
 
 _SIGN = np.ones(256, bool)
 _SIGN[48:58] = _SIGN[65:91] = _SIGN[97:123] = _SIGN[128:] = False
+#: What a code point is: part of a token, a separator, a token of its own, or nothing.
+_PART, _SEPARATOR, _OWN, _NOTHING = range(4)
+#: Scripts written without spaces. All take three bytes or more a code point.
+_UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF),
+    (0x3005, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xA980, 0xA9FF),
+    (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x17000, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF))
 _HIT = "id long, rid long, item_id long, coverage double, n_tiles int, longest int"
 
 
+@functools.cache
+def _kinds() -> np.ndarray:
+    """What each code point is. Those without a category yet are parts of tokens."""
+    out = np.full(0x110000, _PART, np.uint8)
+    for low, high in _UNSPACED:
+        out[low:high + 1] = _OWN
+    # no other planes have categories
+    for c in (*range(0x20000), *range(0xE0000, 0xE0200)):
+        category = unicodedata.category(chr(c))
+        if category[0] in "PSZ" or category == "Cc":
+            out[c] = _SEPARATOR
+        elif category == "Cf":
+            out[c] = _NOTHING
+    # U+034F joins graphemes, the others select variants
+    out[0x034F] = out[0x180B:0x1810] = out[0xFE00:0xFE10] = out[0xE0100:0xE01F0] = _NOTHING
+    return out
+
+
+def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts and ends of the tokens in them, and the n + 1 indices of each text's first token."""
+    spaced = np.where(_SIGN[data], np.uint8(32), data)
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return spaced, *textbytes.word_bounds(spaced, offs)
+    head = data[lead].astype(np.int64)
+    size = 2 + (head >= 0xE0) + (head >= 0xF0)
+    code = head & (0x7F >> size)
+    for j in range(1, 4):
+        more = size > j
+        code[more] = code[more] << 6 | data[np.minimum(lead[more] + j, len(data) - 1)] & 0x3F
+    kind = _kinds()[np.minimum(code, 0x10FFFF)]
+
+    def places(which: int) -> np.ndarray:
+        at, n = lead[kind == which], size[kind == which]
+        at = np.concatenate([(at + j)[n > j] for j in range(4)])
+        return at[at < len(data)]
+
+    nothing = places(_NOTHING)
+    if len(nothing):
+        kept = np.ones(len(data), bool)
+        kept[nothing] = False
+        return _words(data[kept], np.concatenate([[0], np.cumsum(kept)])[offs])
+    spaced[places(_SEPARATOR)] = 32
+    own = kind == _OWN
+    cuts = np.concatenate([offs, lead[own], np.minimum(lead + size, len(data))[own]])
+    starts, ends, _ = textbytes.word_bounds(spaced, cuts)
+    return spaced, starts, ends, np.searchsorted(starts, offs)
+
+
 @dataclass
 class Tokens:
     """Tokens of some texts: bytes joined by spaces, bounds, hashes, and each text's first token."""
@@ -60,8 +123,7 @@ class Tokens:
 
     @classmethod
     def of(cls, data: np.ndarray, offs: np.ndarray) -> Tokens:
-        spaced = np.where(_SIGN[data], np.uint8(32), data)
-        starts, ends, first = textbytes.word_bounds(spaced, offs)
+        spaced, starts, ends, first = _words(data, offs)
         text, starts, ends = textbytes.joined_words(spaced, starts, ends)
         hashes = textbytes.span_hash(textbytes.prefix_hash(text), starts, ends)
         return cls(text, starts, ends, first, textbytes.run_prefix(hashes))
@@ -71,6 +133,11 @@ class Tokens:
         at = textbytes.window_starts(self.first, k)
         return at, textbytes.span_hash(self.prefix, at, at + k)
 
+    def whole(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Texts of exactly n tokens, and the hashes of all of each."""
+        of = np.flatnonzero(np.diff(self.first) == n)
+        return of, textbytes.span_hash(self.prefix, self.first[of], self.first[of] + n)
+
     def bytes(self, at: int, n: int) -> bytes:
         return self.text[self.starts[at]:self.ends[at + n - 1]].tobytes()
 
@@ -117,11 +184,30 @@ class Index:
         self.seed, self.at = seed[order], at[order]
         self.item = np.searchsorted(self.tokens.first, self.at, "right") - 1
         self.size = np.diff(self.tokens.first)
+        #: Items too short for a seed, by their number of tokens: hashes, and items by their bytes.
+        self.short: dict[int, tuple[np.ndarray, dict[bytes, list[int]]]] = {}
+        for n in np.unique(self.size[(self.size > 0) & (self.size < k)]).tolist():
+            of, whole = self.tokens.whole(n)
+            named = defaultdict(list)
+            for i in of.tolist():
+                named[self.tokens.bytes(self.tokens.first[i], n)].append(i)
+            self.short[n] = np.unique(whole), dict(named)
+
+    def find_short(self, t: Tokens, threshold: float) -> list[tuple[int, int, float, int, int]]:
+        """``find`` for the items of fewer tokens than a seed, which must be there whole."""
+        out = []
+        for n, (hashes, named) in self.short.items() if threshold <= 1 + 1e-9 else ():
+            at, seed = t.seeds(n)
+            at = at[hashes[np.minimum(np.searchsorted(hashes, seed), len(hashes) - 1)] == seed]
+            doc = np.searchsorted(t.first, at, "right") - 1
+            for d, text in dict.fromkeys((d, t.bytes(x, n)) for d, x in zip(doc.tolist(), at.tolist(), strict=True)):
+                out += [(d, i, 1.0, 1, n) for i in named.get(text, ())]
+        return out
 
     def find(self, data: np.ndarray, offs: np.ndarray, threshold: float) -> list[tuple[int, int, float, int, int]]:
         """(document, item, coverage, tiles, longest tile) of the texts of a chunk."""
-        k, out = self.k, []
-        t = Tokens.of(data, offs)
+        k, t = self.k, Tokens.of(data, offs)
+        out = self.find_short(t, threshold)
         at, seed = t.seeds(k)
         low = np.searchsorted(self.seed, seed, "left")
         n = np.searchsorted(self.seed, seed, "right") - low
@@ -162,7 +248,7 @@ def _hits(rows: list[tuple], ids: pa.Array, rids: pa.Array, items) -> pa.RecordB
 
 
 def _n_seeds(items: DataFrame, k: int) -> int:
-    """An upper bound from the items' lengths: a token has a byte, and another one beside it."""
+    """An upper bound from the items' lengths: a token has a byte, and another one beside it, or three bytes of its own."""
     return int(items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0)
 
 
@@ -184,18 +270,38 @@ def _with_index(docs: DataFrame, items: DataFrame, k: int, threshold: float) ->
     return docs.mapInArrow(run, _HIT)
 
 
+def _short_lengths(items: DataFrame, k: int) -> list[int]:
+    """Numbers of tokens, less than ``k``, that items have."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = textbytes.byte_arrays(batch.column(0))
+            for i, j in textbytes.chunks(offs):
+                n = np.unique(np.diff(Tokens.of(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]).first))
+                yield pa.RecordBatch.from_arrays([pa.array(n[(n > 0) & (n < k)].astype(np.int32))], ["n"])
+
+    return sorted(r.n for r in items.select("text").mapInArrow(run, "n int").distinct().collect())
+
+
 def _with_join(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> DataFrame:
-    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    short = _short_lengths(items, k)
+
+    def seeds(whole: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Seeds of each text; of the short lengths all runs, or ``whole`` texts only."""
         for batch in batches:
             data, offs = textbytes.byte_arrays(batch.column(1))
             for i, j in textbytes.chunks(offs):
                 t = Tokens.of(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-                at, seed = t.seeds(k)
-                owner = batch.column(0).slice(i, j - i).take(pa.array(np.searchsorted(t.first, at, "right") - 1))
-                yield pa.RecordBatch.from_arrays([owner, pa.array(seed.view(np.int64))], ["rid", "seed"])
-
-    of_docs = docs.select("rid", "text").mapInArrow(seeds, "rid long, seed long")
-    of_items = items.select("rid", "text").mapInArrow(seeds, "rid long, seed long").withColumnRenamed("rid", "item_rid")
+                for n in [*short, k]:
+                    if whole and n < k:
+                        of, seed = t.whole(n)
+                    else:
+                        at, seed = t.seeds(n)
+                        of = np.searchsorted(t.first, at, "right") - 1
+                    owner = batch.column(0).slice(i, j - i).take(pa.array(of))
+                    yield pa.RecordBatch.from_arrays([owner, pa.array(seed.view(np.int64))], ["rid", "seed"])
+
+    of_docs = docs.select("rid", "text").mapInArrow(functools.partial(seeds, False), "rid long, seed long")
+    of_items = items.select("rid", "text").mapInArrow(functools.partial(seeds, True), "rid long, seed long").withColumnRenamed("rid", "item_rid")
     pairs = of_docs.join(of_items.distinct(), "seed").select("rid", "item_rid").distinct()
     wanted = (pairs.join(items.select(F.col("rid").alias("item_rid"), F.col("id").alias("item_id"), F.col("text").alias("item_text")), "item_rid")
               .groupBy("rid").agg(F.collect_list(F.struct("item_id", "item_text")).alias("items")))

@@ -1,0 +1,81 @@
+"""Benchmark decontamination in any script, and of short items, against character-wise brute force."""
+
+import random
+import unicodedata
+
+import numpy as np
+import pytest
+
+from ledgermatch.llm import decontaminate
+from ledgermatch.llm.scratch import ship_package
+
+RNG = random.Random(8)
+HAN, NOISE = ["".join(chr(RNG.randrange(a, a + 3000)) for _ in range(4000)) for a in (0x4E00, 0x6800)]
+THAI = "".join(chr(RNG.randrange(0x0E01, 0x0E2E)) for _ in range(60))
+KANA = "".join(chr(RNG.randrange(0x3041, 0x3094)) for _ in range(12))
+PLAIN = " ".join(f"{w}{i}" for i, w in enumerate(["naïve", "straße", "word", "été"] * 8))
+ITEMS = [
+    (1, HAN[:40]), (2, HAN[50:53] + "，" + HAN[53:56] + "。"), (3, HAN[100:103]), (4, THAI), (5, KANA), (6, PLAIN), (7, "only three tokens"),
+    (8, "Paris"), (9, "“”—"), (7, "only three tokens"), (10, HAN[200]), (11, "हिन्दी में लिखा गया एक प्रश्न"), (12, "don't say so"),
+]
+CURLY = "“" + PLAIN.replace(" ", "” ", 3).replace(" ", " «", 6).replace(" ", "—", 9).replace(" ", "… ") + "»"
+DOCS = [
+    (1, NOISE[:300] + HAN[:40] + NOISE[300:]), (2, NOISE[:90] + HAN[:20] + NOISE[90:200]), (3, NOISE[:50] + HAN[20:40] + HAN[:20] + NOISE[50:60]),
+    (4, "x" + HAN[50:56] + "y"), (5, HAN[50:53] + NOISE[:1] + HAN[53:56]), (6, NOISE[:70] + "、" + HAN[100:103] + NOISE[70:140]),
+    (7, THAI[:9] + THAI + THAI[3:40]), (8, "ペ" + KANA + "ペ"), (9, CURLY), (10, PLAIN.replace("tra", "tra­")), (11, "Here are only  three, tokens."),
+    (12, "only three other tokens"), (13, "(paris)"), (14, "parish"), (15, NOISE[:9] + HAN[200]), (16, "“हिन्दी में लिखा गया—एक प्रश्न”"), (17, "say: don’t say so!"),
+    (18, None), (19, ""), (20, "“”—"), (None, "only three tokens only three tokens"),
+]
+
+
+def _plain(text):
+    """Lower case, letters, marks and digits only; what cuts words is one space."""
+    text = "".join(c for c in (text or "").lower() if unicodedata.category(c) != "Cf")
+    return " ".join("".join(c if unicodedata.category(c)[0] in "LMN" else " " for c in text).split())
+
+
+def _holds(doc, item):
+    """Share of the item's characters (or words) that stand in the document in runs of five, or all of it where it has fewer."""
+    doc, item = _plain(doc), _plain(item)
+    if any("฀" <= c <= "๿" or "぀" <= c <= "鿿" for c in item):
+        doc, item = list(doc.replace(" ", "")), list(item.replace(" ", ""))
+    else:
+        doc, item = doc.split(), item.split()
+    if not item:
+        return 0.0
+    k = min(5, len(item))
+    runs = {tuple(doc[i:i + k]) for i in range(len(doc) - k + 1)}
+    got = {i + j for i in range(len(item) - k + 1) if tuple(item[i:i + k]) in runs for j in range(k)}
+    return len(got) / len(item)
+
+
+@pytest.mark.parametrize("bound", [decontaminate.MAX_INDEX_SEEDS, 0])
+def test_any_script_and_short_items(spark, bound):
+    ship_package(spark)
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, round(r.coverage, 9)) for r in decontaminate.matches(docs, items, max_index_seeds=bound).collect()]
+    want = [(i, j, round(c, 9)) for i, t in DOCS for j, u in ITEMS if (c := _holds(t, u)) >= 0.8]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {(1, 1), (3, 1), (4, 2), (6, 3), (7, 4), (8, 5), (9, 6), (10, 6), (11, 7), (13, 8), (15, 10), (16, 11), (17, 12)} <= {x[:2] for x in got}
+    kept = {r.doc_id for r in decontaminate.decontaminated(docs, items, max_index_seeds=bound).collect()}
+    assert kept == {i for i, _ in DOCS} - {x[0] for x in want}
+
+
+def test_tokens_of_any_text():
+    """Cut one character at a time."""
+    rng = random.Random(4)
+    signs = "aZ09 é一ทัア々々。·— ­​́️😀𠀀ـ٣अि"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    raw = [t.encode() for t in texts]
+    t = decontaminate.Tokens.of(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    for i, text in enumerate(texts):
+        want = []
+        for c in text:
+            if c in "­​️":
+                continue
+            if c in "一ทัア々𠀀":
+                want += [" ", c, " "]
+            else:
+                want.append(c if unicodedata.category(c)[0] in "LMN" else " ")
+        assert [t.bytes(x, 1).decode() for x in range(t.first[i], t.first[i + 1])] == "".join(want).split()
