@@ -4,11 +4,13 @@ For each kind a regular expression proposes leftmost, non-overlapping matches
 over the whole text. A validator then drops what fails: address parts at most
 255, 14 to 19 digits with a Luhn sum for cards, 10 to 15 digits for phones, a
 mod-97 remainder of 1 for account numbers (IBAN). Dropped matches are not tried
-again at another place. A span's score starts from what its kind's checks are
+again at another place. An account number is as long as its country's are, so
+that a word or number after it is no part of it; for a country code that is not
+in ``IBAN_LENGTHS`` it is the longest match before the next listed one. A span's score starts from what its kind's checks are
 worth and rises with each context word of its kind in the ``CONTEXT_CHARS``
 characters on either side. The base kinds (email, ip, card, phone) stay
 whatever their score; the added kinds (iban, and ssn: bare groups of digits
-that no checksum confirms) need ``THRESHOLD``.
+that no checksum confirms, but one context word does) need ``THRESHOLD``.
 
 All of it is built-in column functions. ``split`` and ``regexp_extract_all``
 take a text apart into gaps and matches, whose running lengths are the
@@ -38,6 +40,26 @@ THRESHOLD = 0.6
 RUN = 256
 
 
+#: Characters of an account number by country: the ISO 13616 registry and the codes in use beside it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_pattern() -> str:
+    """Groups of four, spaced or not; of the listed countries as many as their length asks for."""
+    listed = "|".join(
+        rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, codes in IBAN_LENGTHS.items())
+    listed = rf"(?<![A-Za-z0-9])(?:{listed})(?![A-Za-z0-9])"
+    codes = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    other = (rf"(?<![A-Za-z0-9])(?!{codes})[A-Z]{{2}}[0-9]{{2}}(?:\x20?(?!{listed})[A-Z0-9]{{4}}){{2,7}}"
+             rf"(?:\x20?(?!{listed})[A-Z0-9]{{1,3}})?(?![A-Za-z0-9])")
+    return rf"(?:{listed}|{other})"
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -60,10 +82,10 @@ KINDS = (
          r"[0-9](?:[\x20-]?[0-9]){13}", 0.8, r"(?i)\b(card|visa|credit|debit|payment|pay)\b", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]",
          r"\+[0-9][\x20().0-9-]", 0.7, r"(?i)\b(phone|tel|call|mobile|fax)\b", True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    Kind("iban", _iban_pattern(),
          r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}", 0.8, r"(?i)\b(iban|account|bank|transfer|konto|compte)\b", False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-         r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.4, r"(?i)\b(ssn|social|security|insurance)\b", False),
+         r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.5, r"(?i)\b(ssn|social|security|insurance)\b", False),
 )
 BASE_KINDS = tuple(k.name for k in KINDS if k.always)
 
