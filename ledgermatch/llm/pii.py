@@ -29,6 +29,7 @@ other columns, whatever their names, are ignored by ``find_spans`` and kept by
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,8 @@ CONTEXT_CHARS = 40
 THRESHOLD = 0.6
 #: Lengths are summed up in runs of this many matches, so that the work does not grow with their square.
 RUN = 256
+#: Code points of the pieces from which contexts and kept text are cut.
+CHUNK = 256
 
 
 #: Characters of an account number by country: the ISO 13616 registry and the codes in use beside it.
@@ -125,17 +128,38 @@ def _sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0), lambda s, x: s + x)
 
 
-def _with_running(df: DataFrame, lengths: str, out: str) -> DataFrame:
-    """Sums of the array ``lengths`` before each element, in runs of RUN.
+def _with_running(df: DataFrame, values: str, out: str, combine: Callable[[Column], Column] = _sum) -> DataFrame:
+    """``combine`` of the elements of the array ``values`` before each element, in runs of RUN.
 
     Each step is a column of its own: an expression inside a lambda would be worked out again for every element.
     """
-    n_runs = F.greatest(F.ceil(F.size(lengths) / RUN), F.lit(1)).cast("int")
-    df = df.withColumn("__runs", F.transform(F.sequence(F.lit(0), n_runs - 1), lambda r: F.slice(lengths, r * RUN + 1, F.lit(RUN))))
-    df = df.withColumn("__sums", F.transform("__runs", _sum))
-    df = df.withColumn("__starts", F.transform("__sums", lambda x, r: _sum(F.slice("__sums", F.lit(1), r))))
+    n_runs = F.greatest(F.ceil(F.size(values) / RUN), F.lit(1)).cast("int")
+    df = df.withColumn("__runs", F.transform(F.sequence(F.lit(0), n_runs - 1), lambda r: F.slice(values, r * RUN + 1, F.lit(RUN))))
+    df = df.withColumn("__sums", F.transform("__runs", combine))
+    df = df.withColumn("__starts", F.transform("__sums", lambda x, r: combine(F.slice("__sums", F.lit(1), r))))
     return df.withColumn(out, F.flatten(F.zip_with("__runs", "__starts", lambda run, start: F.transform(
-        run, lambda x, i: start + _sum(F.slice(run, F.lit(1), i)))))).drop("__runs", "__sums", "__starts")
+        run, lambda x, i: combine(F.array(start, combine(F.slice(run, F.lit(1), i)))))))).drop("__runs", "__sums", "__starts")
+
+
+def _most(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0), lambda s, x: F.greatest(s, x))
+
+
+def _chunked(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``__chunks``: the text in pieces of CHUNK code points, in which a place is found without a walk from the start."""
+    return df.withColumn("__chunks", F.when(_any_hint(text), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+                         .otherwise(F.array().cast("array<string>")))
+
+
+def _any_hint(text: str) -> Column:
+    return F.col(text).rlike("|".join(f"(?:{k.hint})" for k in KINDS))
+
+
+def _cut(begin: Column, end: Column) -> Column:
+    """Code points ``begin`` to ``end`` (exclusive) of the chunks."""
+    first = F.floor(begin / CHUNK).cast("int")
+    n = F.floor((end - 1) / CHUNK).cast("int") - first + 1
+    return F.when(end > begin, F.substring(F.array_join(F.slice("__chunks", first + 1, n), ""), begin - first * CHUNK + 1, end - begin)).otherwise("")
 
 
 def _with_spans(df: DataFrame, text: str, kind: Kind) -> DataFrame:
@@ -157,12 +181,14 @@ def _with_spans(df: DataFrame, text: str, kind: Kind) -> DataFrame:
                         lambda x: F.struct(x["start"].alias("start"), (x["start"] + F.length(x["match"])).alias("end"),
                                            x["match"].alias("match")))
     df = df.withColumn(f"{k}_f", F.when(some, found).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>")))
+    # a context word may stand at the text's very end: the last chunk is shorter, and slices end there
+    around = lambda x: F.concat(
+        _cut(F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0)), x["start"]), F.lit(" "), _cut(x["end"], x["end"] + CONTEXT_CHARS))
     scored = F.transform(f"{k}_f", lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), F.lit(kind.name).alias("kind"),
         F.lit(KINDS.index(kind)).alias("order"),
-        F.least(F.lit(1.0), F.lit(kind.base) + 0.1 * F.least(F.lit(3), F.size(F.regexp_extract_all(F.concat(
-            F.substring(F.col(text), F.greatest(x["start"] - CONTEXT_CHARS + 1, F.lit(1)), F.least(x["start"], F.lit(CONTEXT_CHARS))),
-            F.lit(" "), F.substring(F.col(text), x["end"] + 1, F.lit(CONTEXT_CHARS))), F.lit(kind.context), F.lit(0))))).alias("score")))
+        F.least(F.lit(1.0), F.lit(kind.base) + 0.1 * F.least(F.lit(3), F.size(F.regexp_extract_all(
+            around(x), F.lit(kind.context), F.lit(0))))).alias("score")))
     kept = scored if kind.always else F.filter(scored, lambda x: x["score"] >= THRESHOLD)
     shape = "array<struct<start:int,end:int,kind:string,order:int,score:double>>"
     return df.withColumn(k, F.when(F.size(f"{k}_f") > 0, kept).otherwise(F.array().cast(shape)).cast(shape)).drop(
@@ -177,6 +203,8 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _spans(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``__chunks`` and ``__pii`` to a frame of columns that are all this module's own."""
+    df = _chunked(df, text)
     for kind in KINDS:
         df = _with_spans(df, text, kind)
     names = [f"__{k.name}" for k in KINDS]
@@ -194,23 +222,25 @@ def span_list(spans: Column) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "<{}>") -> DataFrame:
     """All columns, spans in the text replaced by their kind's mask; overlapping spans become one, named by the first.
 
-    The kept pieces are cut out between the spans, so the text is read once however many there are.
+    A span begins a new cut where no span before it reaches beyond its start. The kept pieces are put together from
+    the chunks between the cuts, so the work grows with the text and the spans, not with their product.
     """
-    df = _spans(docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))), "__text")
-    some = F.size("__pii") > 0
-    shape = "array<struct<start:int,end:int,kind:string>>"
-    joined = F.aggregate(
-        F.col("__pii"), F.array().cast(shape),
-        lambda acc, x: F.when((F.size(acc) > 0) & (x["start"] < F.element_at(acc, -1)["end"]),
-                              F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
-                                  F.element_at(acc, -1)["start"].alias("start"),
-                                  F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"),
-                                  F.element_at(acc, -1)["kind"].alias("kind")))))
-        .otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))))
-    df = df.withColumn("__cut", F.when(some, joined).otherwise(F.array().cast(shape)))
-    piece = F.transform("__cut", lambda x, i: F.concat(
-        F.substring(F.col("__text"), F.when(i == 0, 0).otherwise(F.element_at("__cut", F.greatest(i, F.lit(1)))["end"]) + 1,
-                    x["start"] - F.when(i == 0, 0).otherwise(F.element_at("__cut", F.greatest(i, F.lit(1)))["end"])),
-        F.format_string(mask.replace("{}", "%s"), x["kind"])))
-    clean = F.concat(F.array_join(piece, ""), F.substring(F.col("__text"), F.element_at("__cut", -1)["end"] + 1, F.length("__text")))
-    return df.withColumn(text_col, F.when(some, clean).otherwise(F.col(text_col))).drop("__text", "__pii", "__cut")
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+                     F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
+    df = _spans(df, "__text")
+    df = df.withColumn("__ends", F.transform("__pii", lambda x: x["end"]))
+    df = _with_running(df, "__ends", "__reach", _most)
+    # where the cuts begin among the spans, and how far all spans before that reach
+    df = df.withColumn("__first", F.filter(F.transform("__pii", lambda x, i: F.when(x["start"] >= F.element_at("__reach", i + 1), i).otherwise(-1)),
+                                           lambda i: i >= 0))
+    df = df.withColumn("__all", _most(F.col("__ends")))
+    df = df.withColumn("__stop", F.transform("__first", lambda i, j: F.when(
+        j + 1 < F.size("__first"), F.element_at("__reach", F.coalesce(F.get("__first", j + 1), F.lit(0)) + 1)).otherwise(F.col("__all"))))
+    df = df.withColumn("__cuts", F.zip_with("__first", "__stop", lambda i, stop: F.struct(
+        F.get("__pii", i)["start"].alias("start"), stop.alias("end"), F.get("__pii", i)["kind"].alias("kind"))))
+    pieces = F.transform("__cuts", lambda x, j: F.concat(
+        _cut(F.when(j == 0, 0).otherwise(F.get("__stop", j - 1)), x["start"]), F.format_string(mask.replace("{}", "%s"), x["kind"])))
+    clean = F.concat(F.array_join(pieces, ""), _cut(F.col("__all"), F.length("__text")))
+    df = df.withColumn("__clean", F.when(F.size("__pii") > 0, clean))
+    given = {c: F.col("__row").getField(c) for c in docs.columns}
+    return df.select(*[(F.coalesce("__clean", value) if c == text_col else value).alias(c) for c, value in given.items()])
