@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermatch.llm import textbytes
+from ledgermatch.llm.scratch import row_key, unused
 
 MIN_MATCH = 5
 THRESHOLD = 0.8
@@ -59,7 +60,7 @@ _UNSPACED = (
     (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF),
     (0x3005, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xA980, 0xA9FF),
     (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x17000, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF))
-_HIT = "id long, rid long, item_id long, coverage double, n_tiles int, longest int"
+_HIT = "id long, rid struct<h: long, g: long>, item_id long, coverage double, n_tiles int, longest int"
 
 
 @functools.cache
@@ -236,7 +237,7 @@ class Index:
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     given = F.col(id_col).cast("long")
     text = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    return df.select(given.alias("id"), F.xxhash64(given, F.col(text_col)).alias("rid"), text.alias("text"))
+    return df.select(given.alias("id"), row_key(given, F.col(text_col)).alias("rid"), text.alias("text"))
 
 
 def _hits(rows: list[tuple], ids: pa.Array, rids: pa.Array, items) -> pa.RecordBatch:
@@ -253,9 +254,9 @@ def _n_seeds(items: DataFrame, k: int) -> int:
 
 
 def _with_index(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> DataFrame:
-    known = items.toPandas()  # at most MAX_INDEX_SEEDS tokens
-    ids = [None if x != x else int(x) for x in known["id"]]
-    data, offs = textbytes.byte_arrays(pa.array(known["text"].tolist(), pa.large_string()))
+    known = items.select("id", "text").toArrow()  # at most MAX_INDEX_SEEDS tokens; ids stay whole numbers beside nulls
+    ids = known["id"].to_pylist()
+    data, offs = textbytes.byte_arrays(known["text"].cast(pa.large_string()).combine_chunks())
     sent = docs.sparkSession.sparkContext.broadcast((ids, Index(np.arange(len(ids)), data, offs, k)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,8 +301,8 @@ def _with_join(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> D
                     owner = batch.column(0).slice(i, j - i).take(pa.array(of))
                     yield pa.RecordBatch.from_arrays([owner, pa.array(seed.view(np.int64))], ["rid", "seed"])
 
-    of_docs = docs.select("rid", "text").mapInArrow(functools.partial(seeds, False), "rid long, seed long")
-    of_items = items.select("rid", "text").mapInArrow(functools.partial(seeds, True), "rid long, seed long").withColumnRenamed("rid", "item_rid")
+    of_docs = docs.select("rid", "text").mapInArrow(functools.partial(seeds, False), "rid struct<h: long, g: long>, seed long")
+    of_items = items.select("rid", "text").mapInArrow(functools.partial(seeds, True), "rid struct<h: long, g: long>, seed long").withColumnRenamed("rid", "item_rid")
     pairs = of_docs.join(of_items.distinct(), "seed").select("rid", "item_rid").distinct()
     wanted = (pairs.join(items.select(F.col("rid").alias("item_rid"), F.col("id").alias("item_id"), F.col("text").alias("item_text")), "item_rid")
               .groupBy("rid").agg(F.collect_list(F.struct("item_id", "item_text")).alias("items")))
@@ -341,6 +342,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_M
                    max_index_seeds: int = MAX_INDEX_SEEDS) -> DataFrame:
     """The documents, with all their columns, in which no item is found."""
     found = _found(docs, benchmark, min_match, threshold, id_col, text_col, item_col, item_text_col, max_index_seeds)
-    bad = found.select(F.col("rid").alias("__rid")).distinct()
-    tagged = docs.withColumn("__rid", F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)))
-    return tagged.join(bad, "__rid", "left_anti").select(*docs.columns)
+    key = unused(docs, "rid")
+    bad = found.select(F.col("rid").alias(key)).distinct()
+    tagged = docs.withColumn(key, row_key(F.col(id_col).cast("long"), F.col(text_col)))
+    return tagged.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

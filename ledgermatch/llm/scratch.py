@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgermatch.session import ensure_checkpoint_dir
 
@@ -38,3 +39,16 @@ def ship_package(spark: SparkSession) -> None:
             archive.write(file, file.relative_to(package.parent))
     sc.addPyFile(str(target))
     sc._ledgermatch_shipped = True
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(*cols: Column) -> Column:
+    """128 bits that tell rows apart: two hashes of ``cols``, with different seeds."""
+    return F.struct(F.xxhash64(*cols).alias("h"), F.xxhash64(F.lit("second"), *reversed(cols)).alias("g"))

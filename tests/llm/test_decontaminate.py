@@ -79,3 +79,13 @@ def test_tokens_of_any_text():
             else:
                 want.append(c if unicodedata.category(c)[0] in "LMN" else " ")
         assert [t.bytes(x, 1).decode() for x in range(t.first[i], t.first[i + 1])] == "".join(want).split()
+
+
+@pytest.mark.parametrize("bound", [decontaminate.MAX_INDEX_SEEDS, 0])
+def test_large_ids_beside_a_null_stay_exact(spark, bound):
+    ship_package(spark)
+    big = (1 << 53) + 1
+    docs = spark.createDataFrame([(big, f"see {PLAIN} there"), (None, PLAIN), (-big, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(big, PLAIN), (None, PLAIN), (big + 2, None)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in decontaminate.matches(docs, items, max_index_seeds=bound).collect()), key=str)
+    assert got == sorted([(d, i) for d in (big, None) for i in (big, None)], key=str)
