@@ -59,9 +59,9 @@ def _offset(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), key)), 1, 4), 16, 10).cast("double") / 65536
 
 
-def _block(doc_id: Column, blocks: Column | int) -> Column:
-    """Pseudo-random in [0, blocks) and the same at every run."""
-    h = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
+def _block(doc_id: Column, row_hash: Column, blocks: Column | int) -> Column:
+    """Pseudo-random in [0, blocks) and the same at every run; rows without an id are dealt by what they hold."""
+    h = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.hex(row_hash))), 1, 8), 16, 10).cast("long")
     return h % blocks
 
 
@@ -100,7 +100,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeat: float
 def _ranked(rows: DataFrame, keys: list[str], n_rows: int) -> DataFrame:
     """``rows`` with ``rank``: the number of rows of the same source that stand before."""
     blocks = max(1, -(-n_rows // BLOCK_ROWS))
-    rows = rows.withColumn("__block", _block(F.col("__id"), blocks))
+    rows = rows.withColumn("__block", _block(F.col("__id"), F.col("row_hash"), blocks))
     counts = rows.groupBy(_KEY, "__class", "__block").agg(F.count(F.lit(1)).alias("n"))
     within = Window.partitionBy(_KEY, "__class").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     classes = counts.groupBy(_KEY, "__class").agg(F.sum("n").alias("n"))
@@ -143,18 +143,20 @@ def _row_hashes(*cols: str) -> list[Column]:
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeat: float = 3.0, seed: str = "mix",
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         copy_col: str = "copy") -> DataFrame:
-    """The mix itself: the documents with all their columns, each repeated as planned, numbered in ``copy_col``."""
+    """The mix itself: the documents with all their columns, each repeated as planned, numbered in ``copy_col``.
+
+    A column of the documents that is already called ``copy_col`` is replaced.
+    """
     plan = plan_mix(docs, weights, max_repeat, seed, id_col, text_col, source_col)
-    keys = ["__hash", "__check"]
-    plan = (plan.groupBy(F.col("row_hash").alias("__hash"), F.col("row_check").alias("__check"))
-            .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-            .filter(F.col("__copies") > 0))
-    hashes = [c.alias(k) for c, k in zip(_row_hashes(id_col, text_col, source_col), keys, strict=True)]
-    joined = docs.select("*", *hashes).join(plan, keys)
-    # equal rows share their copies evenly; the first of them take what is left over
+    keys = ["row_hash", "row_check"]
+    plan = (plan.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+            .filter(F.col("copies") > 0))
+    carried = [c for c in docs.columns if c.lower() != copy_col.lower()]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), *_row_hashes(id_col, text_col, source_col))
+    # equal rows share their copies evenly; the first of them take what is left over (the join has sorted them together)
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    each = F.floor(F.col("__copies") / F.col("__rows"))
-    n = each + (nth <= F.col("__copies") - each * F.col("__rows")).cast("long")
-    out = joined.withColumn("__n", n).filter(F.col("__n") > 0)
-    out = out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-    return out.select(*docs.columns, F.col("__copy").alias(copy_col))
+    each = F.floor(F.col("copies") / F.col("rows"))
+    n = each + (nth <= F.col("copies") - each * F.col("rows")).cast("long")
+    out = packed.join(plan, keys).select("row", n.alias("n")).filter("n > 0")
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in carried], F.col("copy").alias(copy_col))
