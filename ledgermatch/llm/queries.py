@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import decontaminate, fingerprints, language, mixing, pii, quality, simhash_near, suffix_dedup, superkmers, token_counts
+from ledgermatch.llm import (decontaminate, fingerprints, infill, language, licenses, mixing, pii, quality, simhash_near, suffix_dedup, superkmers,
+                             token_counts, whitening)
 from ledgermatch.llm.scratch import ship_package, written
 
 
@@ -113,6 +114,41 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), n_components=8)
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units are code points; the text is restored from the output to be hashed again."""
+    found = infill.transform(_table(spark, sf_dir, "documents"), unit="code_point", rate=90, spm_rate=20, seed="1")
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+OP13_SQL = """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+numbers AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+         ('0x' || substr(h, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS h4 FROM docs),
+forms AS (
+  SELECT *, least(a, b) AS low, greatest(a, b) AS high,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+              WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+pieces AS (
+  SELECT *, substr(text, 1, low) AS prefix, substr(text, low + 1, high - low) AS middle, substr(text, high + 1) AS suffix FROM forms)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars, CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM pieces
+"""
+
+
 OP4_SQL = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -143,9 +179,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_licenses": op12_licenses,
+    "op13_infill": op13_infill,
 }
 
 ORACLE: dict[str, str] = {
     "op4_superkmers": OP4_SQL,
     "op8_mixing": OP8_SQL,
+    "op12_licenses": licenses.scan_sql(),
+    "op13_infill": OP13_SQL,
 }
