@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import sys
 from pathlib import Path
 
@@ -130,8 +131,53 @@ def test_pii_checksums_and_context(spark):
 
 def test_pii_redacts_in_place(spark):
     df = spark.createDataFrame([("x", "ü a@b.cc, 1.2.3.4!", 5), ("y", None, 1), ("z", "", 2), ("w", "11.22.33.44-4111 1111 1111 1111", 3)], "pii string, text string, __cut int")
-    df = df.drop("__cut")
-    assert [tuple(r) for r in pii.redact(df).collect()][:3] == [("x", "ü <email>, <ip>!"), ("y", None), ("z", "")]
+    out = pii.redact(df)
+    assert out.columns == df.columns
+    assert [tuple(r) for r in out.collect()][:3] == [("x", "ü <email>, <ip>!", 5), ("y", None, 1), ("z", "", 2)]
+
+
+#: Every name that the pipeline's operators use inside, as columns of a user's table.
+INSIDE = ["__cut", "__text", "__row", "__rid", "__hash", "__check", "__copies", "__rows", "__n", "__copy", "__pii", "__chunks", "row", "rid", "rid_",
+          "key", "root", "fp", "row_hash", "row_check", "copies", "rows", "n", "copy", "size", "target", "h", "g", "a.b", "Text_"]
+
+
+def test_columns_with_names_used_inside_are_kept(spark):
+    ship_package(spark)
+    rows = [(i, f"word{i} mail a{i}@b.cc " + " ".join(f"t{i}x{j}" for j in range(9)), "s") for i in range(6)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    df = df.select("*", *[F.concat(F.lit(c), F.coalesce("doc_id", F.lit(-1))).alias(c) for c in INSIDE])
+    items = spark.createDataFrame([(1, rows[0][1])], "item_id long, text string")
+    for got in (pii.redact(df), simhash_near.representatives(df), decontaminate.decontaminated(df, items), mixing.mix(df), mixing.mix(mixing.mix(df))):
+        want = df.columns if "copy" in got.columns[:-1] or got.columns == df.columns else [c for c in df.columns if c != "copy"] + ["copy"]
+        assert got.columns == want
+        for r in got.collect():
+            assert all(r[c] == f"{c}{-1 if r.doc_id is None else r.doc_id}" for c in INSIDE if c != "copy" or want == df.columns)
+
+
+def test_pii_many_spans_and_masks(spark):
+    """Overlaps, masks at both ends, spans and chunks that meet, and context words far into a long text."""
+    many = " ".join(f"u{i}@ex.com" for i in range(4000))
+    edge = "é" * (pii.CHUNK - 5) + " a@b.cc" + "x" * 300 + " mail me at 1.2.3.4"
+    over = "mail 1.2.3.4@x.yy 4111 1111 1111 1111 +4111 1111 1111 1111"
+    df = spark.createDataFrame([(0, many), (1, edge), (2, over), (3, "a@b.cc"), (4, "z" * 3 * pii.CHUNK)], "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find_spans(df).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    for i, r in found.items():
+        spans, text = [], r.text
+        for x in r.pii:
+            if spans and x.start < spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], x.end)
+            else:
+                spans.append([x.start, x.end, x.kind])
+        for a, b, kind in reversed(spans):
+            text = text[:a] + f"<{kind}>" + text[b:]
+        assert clean[i] == text
+        assert [f"{x.kind}:{x.start}:{x.end}" for x in r.pii if x.kind in pii.BASE_KINDS] == brute.base_spans(r.text)
+        for x in r.pii:
+            kind = next(k for k in pii.KINDS if k.name == x.kind)
+            near = r.text[max(0, x.start - 40):x.start] + " " + r.text[x.end:x.end + 40]
+            words = kind.context.removeprefix("(?i)")
+            assert x.score == pytest.approx(min(1.0, kind.base + 0.1 * min(3, len(re.findall(words, near, re.I)))))
 
 
 def test_op2_whole_table(spark, local):
@@ -152,14 +198,50 @@ def test_simhash_fingerprints_and_components(docs):
     assert _sorted(got) == _sorted((i, f, least.get(r)) for (i, _, _), f, r in zip(ROWS, fps, roots, strict=True))
 
 
-@pytest.mark.parametrize("bits", [0, 3, 4, 5])
-def test_grid_join_finds_all_links(spark, bits):
+def _signed(fps):
+    return sorted({f - (1 << 64) if f >> 63 else f for f in fps})
+
+
+@pytest.mark.parametrize("bits, cell_rows", [(0, 100), (3, 100), (4, 100), (5, 100), (4, 8), (5, 8), (4, 2), (3, 2)])
+def test_grid_forests_join_up_all_links(spark, bits, cell_rows):
+    """Cells of more than ``cell_rows`` are split by the other half, then by pairs of blocks."""
     rng = random.Random(bits)
     fps = [rng.getrandbits(64) for _ in range(60)]
     fps += [f ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 7))) for f in fps for _ in range(4)] + [0, (1 << 64) - 1]
-    signed = sorted({f - (1 << 64) if f >> 63 else f for f in fps})
-    got = {tuple(r) for r in simhash_near.links(spark.createDataFrame([(f,) for f in signed], "fp long"), bits).collect()}
-    assert got == {(a, b) for i, a in enumerate(signed) for b in signed[i + 1:] if ((a ^ b) % (1 << 64)).bit_count() <= bits}
+    fps += [fps[0] ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 3))) for _ in range(60)]
+    signed = _signed(fps)
+    ship_package(spark)
+    got = [tuple(r) for r in simhash_near.spanning_links(spark.createDataFrame([(f,) for f in signed], "fp long"), bits, cell_rows).collect()]
+    near = lambda a, b: ((a ^ b) % (1 << 64)).bit_count() <= bits
+    assert len(got) == len(set(got)) and all(a < b and near(a, b) for a, b in got)
+    want = brute.components(len(signed), lambda i, j: near(signed[i], signed[j]))
+    found = set(got)
+    assert brute.components(len(signed), lambda i, j: (min(signed[i], signed[j]), max(signed[i], signed[j])) in found) == want
+
+
+def test_dense_fingerprints_give_linearly_many_links(spark):
+    """5,000 and 20,000 fingerprints within two bits of one: all link within each cell, but a cell yields a forest."""
+    ship_package(spark)
+    made = {}
+    flips = [(i, j, k) for i in range(64) for j in range(i) for k in range(j)]
+    for n in (5_000, 20_000):
+        fps = _signed([sum(1 << b for b in f) for f in flips[:n]])
+        rows = spark.createDataFrame([(f,) for f in fps], "fp long").repartition(4)
+        found = simhash_near.spanning_links(rows, 4)
+        made[n] = found.count()
+        assert {r.root for r in components.connected(found).collect()} == {fps[0]}
+    assert made[20_000] < 6 * made[5_000] < 6 * 40 * 5_000
+
+
+def test_forest_of_a_group():
+    rng = random.Random(2)
+    for bits in (0, 2, 5):
+        fps = sorted({rng.getrandbits(10) for _ in range(80)})
+        a, b = simhash_near.forest(np.array(fps, np.uint64), bits)
+        linked = {(int(x), int(y)) for x, y in zip(a, b, strict=True)}
+        roots = brute.components(len(fps), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= bits)
+        assert len(linked) == len(fps) - len(set(roots)) and all((x ^ y).bit_count() <= bits for x, y in linked)
+        assert brute.components(len(fps), lambda i, j: (fps[i], fps[j]) in linked or (fps[j], fps[i]) in linked) == roots
 
 
 def test_components_of_chains_and_stars(spark):
