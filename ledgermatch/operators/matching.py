@@ -17,12 +17,13 @@ All three read one hash exchange per side (reused within the query), and a
 filter on ``_merge`` prunes the branches it does not need, so ``matched``
 alone never pays for the anti joins.
 
-With a tolerance, a *band* joins the keys: the value's bucket, wide enough that
-two values within the tolerance are in the same or in neighbouring buckets. One
-side of each join is put into its bucket and both neighbours, the other only
-into its own, and the exact condition stays as a residual. So a key that is hot
-on both sides is compared within neighbouring buckets, not as a whole; the anti
-joins' build sides are distinct (keys, value) rows there.
+With tolerances, *bands* join the keys, one for each: the value's bucket, wide
+enough that two values within the tolerance are in the same or in neighbouring
+buckets. Two bands make a grid of cells. One side of each join is put into its cell
+and all neighbours (three for one band, nine for two), the other only into its own,
+and the exact condition stays as a residual. So a key that is hot on both sides is
+compared within neighbouring cells, not as a whole, also where its rows agree in one
+of the two values; the anti joins' build sides are distinct (keys, values) rows there.
 """
 
 from __future__ import annotations
@@ -145,15 +146,15 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
                 residual_columns: tuple[Sequence[str], Sequence[str]] = ((), ()),
                 suffixes: tuple[str, str] = ("_internal", "_external"),
                 null_safe: bool = True,
-                band: tuple[Callable[[Callable[[str], Column]], Column], Callable[[Callable[[str], Column]], Column]] | None = None,
+                bands: Sequence[tuple[Callable[[Callable[[str], Column]], Column], Callable[[Callable[[str], Column]], Column]]] = (),
                 ) -> tuple[DataFrame, MatchLayout]:
     """Full outer join on ``keys`` (and ``residual``) with a ``_merge`` indicator.
 
     ``residual(l, r)`` builds an extra pair condition from two resolvers that
     map a source column name of the left / right side to a ``Column``; the
     columns it reads must be listed in ``residual_columns`` (left, right).
-    ``band`` gives the bucket of a left and of a right row, as whole numbers that
-    differ by at most 1 wherever the residual holds.
+    Each of ``bands`` gives the bucket of a left and of a right row, as whole numbers
+    that differ by at most 1 wherever the residual holds.
     """
     lay = layout(left, right, keys, suffixes)
     n = len(keys)
@@ -172,18 +173,20 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     def rref(frame: DataFrame) -> Callable[[str], Column]:
         return lambda c: frame[_rk(key_idx[c])] if c in key_idx else frame[lay.output_name("right", c)]
 
-    if band is not None:
-        lside, rside = lside.withColumn("__lband", band[0](lref(lside))), rside.withColumn("__rband", band[1](rref(rside)))
+    l_band, r_band = [f"__lband{i}" for i in range(len(bands))], [f"__rband{i}" for i in range(len(bands))]
+    for (of_left, of_right), a, b in zip(bands, l_band, r_band):
+        lside, rside = lside.withColumn(a, of_left(lref(lside))), rside.withColumn(b, of_right(rref(rside)))
 
-    def neighbours(frame: DataFrame, name: str) -> DataFrame:
-        """Each row in its bucket and both neighbours; rows without a value are in none."""
-        at = F.col(name)
-        return frame.withColumn(name, F.explode(F.when(at.isNotNull(), F.array(at - 1, at, at + 1))))
+    def neighbours(frame: DataFrame, names: list[str]) -> DataFrame:
+        """Each row in its cell and all neighbours; rows without a value are in none."""
+        for name in names:
+            at = F.col(name)
+            frame = frame.withColumn(name, F.explode(F.when(at.isNotNull(), F.array(at - 1, at, at + 1))))
+        return frame
 
     def condition(lf: DataFrame, rf: DataFrame) -> Column:
         parts = [lf[a] == rf[b] for a, b in zip(ljoin, rjoin)]
-        if band is not None:
-            parts.append(lf["__lband"] == rf["__rband"])
+        parts += [lf[a] == rf[b] for a, b in zip(l_band, r_band)]
         if residual is not None:
             # A null residual fails in the inner and the anti join alike. Wrapped
             # in coalesce it is no longer null-intolerant, so Catalyst does not
@@ -196,13 +199,12 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     # aggregated map-side before the shuffle so a hot key shrinks to one row per task.
     l_extra = [lay.output_name("left", c) for c in residual_columns[0] if c not in key_idx]
     r_extra = [lay.output_name("right", c) for c in residual_columns[1] if c not in key_idx]
-    l_band, r_band = (["__lband"], ["__rband"]) if band is not None else ([], [])
     lkeys = lside.select(ljoin + l_band + [_lk(key_idx[c]) for c in residual_columns[0] if c in key_idx] + l_extra)
     rkeys = rside.select(rjoin + r_band + [_rk(key_idx[c]) for c in residual_columns[1] if c in key_idx] + r_extra)
     lkeys, rkeys = distinct_keys(lkeys, lkeys.columns), distinct_keys(rkeys, rkeys.columns)
     rpairs = rside
-    if band is not None:
-        lkeys, rkeys, rpairs = neighbours(lkeys, "__lband"), neighbours(rkeys, "__rband"), neighbours(rside, "__rband")
+    if bands:
+        lkeys, rkeys, rpairs = neighbours(lkeys, l_band), neighbours(rkeys, r_band), neighbours(rside, r_band)
 
     pairs = lside.join(rpairs, condition(lside, rpairs), "inner")
     lonly = lside.join(rkeys, condition(lside, rkeys), "left_anti")

@@ -134,7 +134,7 @@ def reconcile(internal: DataFrame, external: DataFrame, spec: MatchSpec = MatchS
         merged, _ = outer_match(internal, external, keys, suffixes=suffixes, null_safe=spec.null_safe_keys)
         return ReconResult(merged, lay)
 
-    # The tolerances join the ON clause, the first of them also as buckets.
+    # The tolerances join the ON clause, each of them also as buckets.
     source = {m: _source_of(lay, m) for pair in checks for m in pair}
     lcols = [s for side, s in source.values() if side == "left"]
     rcols = [s for side, s in source.values() if side == "right"]
@@ -146,20 +146,20 @@ def reconcile(internal: DataFrame, external: DataFrame, spec: MatchSpec = MatchS
         parts = ([amount_ok(get)] if amounts else []) + ([dates_ok(get)] if dates else [])
         return reduce(lambda x, y: x & y, parts)
 
-    def bucket(merged_name: str) -> Callable[[Callable[[str], Column]], Column]:
+    def bucket(merged_name: str, of_amount: bool) -> Callable[[Callable[[str], Column]], Column]:
         _, src = source[merged_name]
-        if amounts:
+        if of_amount:
             return lambda get: amount_bucket(get(src), spec.amount_tolerance)
         return lambda get: day_bucket(to_event_time(get(src), dtypes[merged_name]), spec.date_tolerance_days)
 
-    # A tolerance between two columns of one side cannot be a bucket of both.
-    sides = [source[m][0] for m in checks[0]]
-    band = None
-    if sorted(sides) == ["left", "right"]:
-        by_side = dict(zip(sides, checks[0]))
-        band = (bucket(by_side["left"]), bucket(by_side["right"]))
+    bands = []
+    for pair in checks:
+        by_side = {source[m][0]: bucket(m, pair == amounts) for m in pair}
+        # a tolerance between two columns of one side cannot be a bucket of both
+        if len(by_side) == 2:
+            bands.append((by_side["left"], by_side["right"]))
     merged, _ = outer_match(internal, external, keys, residual=residual, residual_columns=(lcols, rcols),
-                            suffixes=suffixes, null_safe=spec.null_safe_keys, band=band)
+                            suffixes=suffixes, null_safe=spec.null_safe_keys, bands=bands)
     if spec.mode == "filter":
         # The tolerances as a filter of the joined rows: one-sided rows have a null there and go.
         merged = merged.where(F.col(INDICATOR) == BOTH)

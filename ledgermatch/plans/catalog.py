@@ -9,20 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.functions import StatusLabels
 from ledgermatch.operators import mart, quality, staging, summary
 from ledgermatch.operators.reconcile import MatchSpec, reconcile
-from ledgermatch.plans import jobs, sql_models
+from ledgermatch.plans import incremental, jobs, sql_models
 from ledgermatch.plans import oracle_views as V
 from ledgermatch.session import scratch_path
-from ledgermatch.sinks import writers
+from ledgermatch.sinks import publish, writers
 from ledgermatch.sources import files, fixtures
 from ledgermatch.sources.dispatch import read_source
 from ledgermatch.spec import JobSpec, OutputSpec, SourceSpec, WindowSpec
-from ledgermatch.streaming import runner
+from ledgermatch.streaming import late, runner
 from ledgermatch.streaming.reconcile import overall_metrics, reconcile_stream, window_metrics
 from ledgermatch.streaming.windows import window_counts
 
@@ -178,6 +178,14 @@ def q_date_tolerance(spark, sf_dir):
     return reconcile(i, e, MatchSpec(match_on=tuple(_CL), date_tolerance_days=1)).classified
 
 
+@register("amount_and_date_tolerance",
+          _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _CL, _LI, _LE, on_extra=f"{_TOL} AND {_DAYS1}")))
+def q_amount_and_date_tolerance(spark, sf_dir):
+    """Both tolerances in one match: a grid of amount and day cells in the key, the rest unmatched."""
+    i, e = ledgers(spark, sf_dir)
+    return reconcile(i, e, MatchSpec(match_on=tuple(_CL), amount_tolerance=0.05, date_tolerance_days=1, mode="classify")).classified
+
+
 @register("many_to_many_match",
           _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _CL, _LI, _LE, merge="both")))
 def q_many_to_many_match(spark, sf_dir):
@@ -241,6 +249,20 @@ def q_output_counts(spark, sf_dir):
     return summary.output_counts(reconcile(i, e, MatchSpec(match_on=tuple(_DCL))).classified)
 
 
+@register("output_counts_observed", _path_a(
+    "SELECT COUNT(*) FILTER (WHERE _merge = 'both') AS matched, "
+    "COUNT(*) FILTER (WHERE _merge = 'left_only') AS unmatched_internal, "
+    "COUNT(*) FILTER (WHERE _merge = 'right_only') AS unmatched_external FROM ("
+    + V.outer_match_sql("ledger_internal", "ledger_external", _DCL, _LI, _LE, on_extra=_TOL) + ") x"))
+def q_output_counts_observed(spark, sf_dir):
+    """Counts that the write of the three outputs leaves behind: the ledgers are read and matched once."""
+    i, e = ledgers(spark, sf_dir)
+    seen = Observation()
+    res = reconcile(i, e, MatchSpec(match_on=tuple(_DCL), amount_tolerance=0.05, mode="classify"))
+    writers.write_outputs(res.classified, OutputSpec(scratch_path(spark, "observed"), "matched.csv", "unmatched_internal.csv", "unmatched_external.csv"), seen)
+    return writers.observed_counts(spark, seen)
+
+
 @register("ledger_preview", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal ORDER BY transaction_id NULLS FIRST, date, customer_id LIMIT 5"))
 def q_ledger_preview(spark, sf_dir):
     return summary.preview(fixtures.raw_internal(spark, sf_dir), ["transaction_id", "date", "customer_id"], 5)
@@ -398,6 +420,19 @@ def q_scan_csv_na_typed(spark, sf_dir):
     return files.read_delimited(spark, path, schema="transaction_id string, amount double", parse_dates=())
 
 
+@register("scan_infer_lattice", V.with_ctes(V.LEDGERS, "SELECT printf('%09d', CAST(substr(transaction_id, 3) AS INT)) AS transaction_id, "
+          "CAST(substr(customer_id, 3) AS VARCHAR) AS customer_id, CAST(substr(location_id, 4) AS INT) % 7 AS location_no, "
+          "CAST(date AS DATE) AS date, amount, fee > 2e0 AS large_fee, substr(customer_id, 4) AS customer_key FROM raw_internal"))
+def q_scan_infer_lattice(spark, sf_dir):
+    """Types worked out over all rows: numbers, dates and booleans are typed, zero-led ids and the declared key stay text."""
+    raw = fixtures.raw_internal(spark, sf_dir).select(
+        F.substring("transaction_id", 3, 20).alias("transaction_id"), F.substring("customer_id", 3, 20).alias("customer_id"),
+        (F.substring("location_id", 4, 20).cast("int") % 7).alias("location_no"), "date", "amount", (F.col("fee") > F.lit(2e0)).alias("large_fee"),
+        F.substring("customer_id", 4, 20).alias("customer_key"))
+    path = _to_csv(raw, scratch_path(spark, "untyped") + ".csv")
+    return files.read_delimited(spark, path, infer_schema="lattice", keys=("customer_key",), parse_dates=())
+
+
 @register("load_glob_fixed_schema", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
 def q_load_glob_fixed_schema(spark, sf_dir):
     folder = scratch_path(spark, "internal_daily")
@@ -453,6 +488,66 @@ def q_sink_truncate_load(spark, sf_dir):
 _RUN_TS = "2024-06-30 05:00:00"
 
 
+@register("sink_atomic_replace", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
+def q_sink_atomic_replace(spark, sf_dir):
+    """A published table after a good load and one that fails half-way: the good one is read."""
+    path, raw = scratch_path(spark, "published"), fixtures.raw_internal(spark, sf_dir)
+    publish.publish(raw.limit(10), path)
+    publish.publish(raw, path)
+    broken = raw.withColumn("fee", F.when(F.col("fee") > F.lit(3e0), F.raise_error(F.lit("bad row")).cast("double")).otherwise(F.col("fee")))
+    try:
+        publish.publish(broken, path)
+    except Exception as exc:  # the load's own fault, and no other
+        if "bad row" not in str(exc):
+            raise
+    return publish.read_published(spark, path)
+
+
+_BUCKETS = 8
+
+
+@register("sink_bucketed_table", V.with_ctes(V.MART, "SELECT internal_transaction_id, external_transaction_id, amount_difference FROM matched"))
+def q_sink_bucketed_table(spark, sf_dir):
+    """Both staged ledgers as catalog tables in buckets of the match key; their join has no shuffle."""
+    keys, tables = ["customer_id", "location_id", "day"], []
+    for side, df in zip(("internal", "external"), staged(spark, sf_dir)):
+        path = scratch_path(spark, f"bucketed_{side}")
+        dated = df.drop("ingestion_timestamp").withColumn("day", F.to_date("transaction_date"))
+        tables.append(writers.save_bucketed(dated, path.rsplit("/", 1)[-1].replace("-", "_"), keys, _BUCKETS, path))
+    i, e = (t.alias(a) for t, a in zip(tables, "ie"))
+    pairs = i.hint("merge").join(e, [F.col(f"i.{k}") == F.col(f"e.{k}") for k in keys])
+    return pairs.select(F.col("i.transaction_id").alias("internal_transaction_id"), F.col("e.transaction_id").alias("external_transaction_id"),
+                        F.abs(F.col("i.net_amount") - F.col("e.net_amount")).alias("amount_difference"))
+
+
+@register("load_partition_rerun", V.with_ctes(V.LEDGERS, "SELECT *, CASE WHEN date < '1998-01-01' THEN '2024-01-01' ELSE '2024-01-02' END AS load_date "
+                                              "FROM raw_internal WHERE date < '1998-01-01' OR fee < 2e0"))
+def q_load_partition_rerun(spark, sf_dir):
+    """Three days' loads, the second run again with fewer rows: its day is replaced, the others stay; two days are read."""
+    path, raw = scratch_path(spark, "loads"), fixtures.raw_internal(spark, sf_dir)
+    early = F.col("date") < "1998-01-01"
+    writers.write_load(raw.where(early), path, "2024-01-01")
+    writers.write_load(raw.where(~early), path, "2024-01-02")
+    writers.write_load(raw, path, "2024-01-03")
+    writers.write_load(raw.where(~early & (F.col("fee") < F.lit(2e0))), path, "2024-01-02")
+    loads = spark.read.schema(raw.schema.add("load_date", "string")).parquet(path)
+    # the days to read come from a table: partitions of other days are pruned as the query runs
+    calendar = spark.createDataFrame([("2024-01-01", "closed"), ("2024-01-02", "closed"), ("2024-01-03", "open")], "load_date string, state string")
+    return loads.join(F.broadcast(calendar.where("state = 'closed'")), "load_date", "left_semi")
+
+
+@register("batch_incremental", V.with_ctes(V.MART_TRUSTED, "SELECT * FROM fct"))
+def q_batch_incremental(spark, sf_dir):
+    """Five loads, rows that come a load late, and one load run twice: the same as one rebuild of everything."""
+    i, e = (df.drop("ingestion_timestamp") for df in staged(spark, sf_dir))
+    load = F.greatest(F.floor((F.year("transaction_date") - 1995) / 2), F.lit(0))
+    late_row = F.coalesce(F.substring("transaction_id", -1, 1) == "3", F.lit(False)).cast("long")
+    path = scratch_path(spark, "incremental")
+    for k in (0, 1, 2, 2, 3, 4):
+        done = incremental.run_load(spark, path, f"2024-01-0{k + 1}", i.where(load == k), e.where(load + late_row == k), run_ts=_RUN_TS, grain="year")
+    return done.fact.select(*_MART_OUT)
+
+
 @register("sink_partitioned_table", V.with_ctes(V.MART, "SELECT *, '2024-06-30' AS reconciliation_date FROM fct"))
 def q_sink_partitioned_table(spark, sf_dir):
     i, e = staged(spark, sf_dir)
@@ -617,6 +712,135 @@ def q_stream_null_event_time(spark, sf_dir):
     return _run(spark, s, "null-time")
 
 
+def _with_null_users(df):
+    return df.withColumn("user_id", F.when(F.pmod("event_id", F.lit(19)) != 4, F.col("user_id")))
+
+
+_NULL_USERS = [f"{b} AS (SELECT event_id, CASE WHEN ((event_id % 19) + 19) % 19 = 4 THEN NULL ELSE user_id END AS user_id, ts, {v} FROM {a})"
+               for a, b, v in (("s_int", "s_intn", "amount"), ("s_ext", "s_extn", "net_amount"))]
+
+
+@register("stream_null_keys", _stream_join_sql("full_outer", internal="s_intn", external="s_extn", more=_NULL_USERS)
+          .replace("i.user_id = e.user_id", "i.user_id IS NOT DISTINCT FROM e.user_id"))
+def q_stream_null_keys(spark, sf_dir):
+    """Null keys match each other in a stream as they do in a batch."""
+    internal, external = map(_with_null_users, _event_streams(spark, sf_dir))
+    return _run(spark, reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05), "null-keys")
+
+
+@register("stream_sliding_pairs", V.with_ctes(V.STREAMS + [V.windowed("s_int", "wi", 60, 15), V.windowed("s_ext", "we", 60, 15)], """
+SELECT DISTINCT i.user_id, i.event_id, i.ts AS ts_internal, i.amount, e.ts AS ts_external, e.net_amount, 'both' AS _merge
+FROM wi i JOIN we e ON i.user_id = e.user_id AND i.event_id = e.event_id AND i.window_start = e.window_start AND abs(i.amount - e.net_amount) <= 5e-2"""))
+def q_stream_sliding_pairs(spark, sf_dir):
+    """Pairs of four overlapping windows, each reported once."""
+    internal, external = _event_streams(spark, sf_dir)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _SLIDE, amount_tolerance=0.05, how="inner", pairs_once=True)
+    return _run(spark, s, "sliding-pairs")
+
+
+def _open_rows_sql(side: str, table: str, value: str) -> str:
+    return (f"SELECT '{side}' AS side, window_start, window_end, user_id, event_id, ts, {value} AS value FROM {table} "
+            "WHERE window_end > (SELECT wm FROM wm)")
+
+
+@register("stream_state_rows", V.with_ctes(V.STREAMS + [V.stream_watermark(["s_int", "s_ext"]), V.windowed("s_int", "wi", 60), V.windowed("s_ext", "we", 60)],
+          _open_rows_sql("internal", "wi", "amount") + " UNION ALL " + _open_rows_sql("external", "we", "net_amount")))
+def q_stream_state_rows(spark, sf_dir):
+    """What the stream's checkpoint still holds, in RocksDB and read by Spark's state reader: rows of open windows only."""
+    internal, external = _event_streams(spark, sf_dir)
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
+    path = scratch_path(spark, "stream-state")
+    with runner.rocksdb_state(spark):
+        runner.run_to_parquet(s, f"{path}/out", f"{path}/checkpoint")
+    frames = []
+    for side, store, p, value in (("internal", "left", "i", "amount"), ("external", "right", "e", "net_amount")):
+        state = runner.join_state(spark, f"{path}/checkpoint", store)
+        frames.append(state.select(F.lit(side).alias("side"), F.col(f"{p}_window.start").cast("timestamp_ntz").alias("window_start"),
+                                   F.col(f"{p}_window.end").cast("timestamp_ntz").alias("window_end"), F.col(f"{p}_user_id").alias("user_id"),
+                                   F.col(f"{p}_event_id").alias("event_id"), F.col(f"{p}_ts").cast("timestamp_ntz").alias("ts"),
+                                   F.col(f"{p}_{value}").alias("value")))
+    return frames[0].unionByName(frames[1])
+
+
+_ARRIVALS = 5
+_LATE = [f"{name} AS (SELECT event_id, user_id, ts, {value}, least((day(ts) - 1) // 6 + CASE WHEN ((event_id % {m}) + {m}) % {m} = {r} THEN 2 ELSE 0 END, "
+         f"{_ARRIVALS - 1}) AS arrival FROM {table})" for name, table, value, m, r in (("a_int", "s_int", "amount", 13, 5), ("a_ext", "s_ext", "net_amount", 17, 3))]
+_LATE.append("""seen AS (SELECT k, (SELECT max(ts) FROM a_int WHERE arrival < k) AS mi, (SELECT max(ts) FROM a_ext WHERE arrival < k) AS me
+  FROM range(5) r(k))""")
+_LATE.append("wm AS (SELECT k, date_trunc('millisecond', least(mi, me)) - INTERVAL 10 MINUTE AS wm FROM seen WHERE mi IS NOT NULL AND me IS NOT NULL)")
+
+
+def _late_sql(side: str, table: str, value: str) -> str:
+    return (f"SELECT '{side}' AS side, event_id, user_id, ts, {value} AS value, arrival AS batch_id, wm AS watermark FROM {table} JOIN wm ON k = arrival "
+            "WHERE time_bucket(INTERVAL 60 MINUTE, ts) + INTERVAL 60 MINUTE <= wm")
+
+
+def _arrived(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
+    """The event streams in five arrivals, some events two arrivals late, split as each of them comes in."""
+    events = fixtures.table(spark, sf_dir, "events")
+    base = scratch_path(spark, "stream-late")
+    sides = {"internal": (fixtures.stream_internal_shape(events), 13, 5), "external": (fixtures.stream_external_shape(events), 17, 3)}
+    schemas = {side: df.schema for side, (df, _, _) in sides.items()}
+    for k in range(_ARRIVALS):
+        for side, (df, m, r) in sides.items():
+            behind = F.when(F.pmod("event_id", F.lit(m)) == r, 2).otherwise(0)
+            arrival = F.least(F.floor((F.dayofmonth("ts") - 1) / 6) + behind, F.lit(_ARRIVALS - 1))
+            df.where(arrival == k).write.parquet(f"{base}/in/{side}/arrival={k}")
+        streams = [runner.file_stream(spark, f"{base}/in/{side}", schemas[side], recursive=True) for side in sides]
+        late.run_late_split(*streams, f"{base}/split", f"{base}/checkpoint", _HOUR)
+    return f"{base}/split", schemas
+
+
+@register("stream_late_rows", V.with_ctes(V.STREAMS + _LATE, _late_sql("internal", "a_int", "amount") + " UNION ALL " + _late_sql("external", "a_ext", "net_amount")))
+def q_stream_late_rows(spark, sf_dir):
+    """Every event that came after its window had closed, with the watermark it missed."""
+    base, schemas = _arrived(spark, sf_dir)
+    frames = []
+    for side, value in (("internal", "amount"), ("external", "net_amount")):
+        rows = late.read_late(spark, base, side, schemas[side])
+        frames.append(rows.select(F.lit(side).alias("side"), "event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                                  F.col(value).alias("value"), "batch_id", F.col("watermark").cast("timestamp_ntz").alias("watermark")))
+    return frames[0].unionByName(frames[1])
+
+
+@register("stream_late_balance", V.with_ctes(V.STREAMS + _LATE + [
+    "on_i AS (SELECT * FROM a_int ANTI JOIN (" + _late_sql("internal", "a_int", "amount") + ") l USING (event_id))",
+    "on_e AS (SELECT * FROM a_ext ANTI JOIN (" + _late_sql("external", "a_ext", "net_amount") + ") l USING (event_id))",
+    "wmj AS (SELECT date_trunc('millisecond', least((SELECT max(ts) FROM on_i), (SELECT max(ts) FROM on_e))) - INTERVAL 10 MINUTE AS wm)",
+    V.windowed("on_i", "wi", 60), V.windowed("on_e", "we", 60),
+    "joined AS (SELECT i.event_id AS i, e.event_id AS e, coalesce(i.window_end, e.window_end) AS window_end FROM wi i FULL OUTER JOIN we e "
+    "ON i.user_id = e.user_id AND i.event_id = e.event_id AND i.window_start = e.window_start AND abs(i.amount - e.net_amount) <= 5e-2)"],
+    """SELECT (SELECT count(*) FROM events) AS n_internal, (SELECT count(*) FROM a_int) - (SELECT count(*) FROM on_i) AS n_late_internal,
+  (SELECT count(*) FROM a_ext) - (SELECT count(*) FROM on_e) AS n_late_external, count(*) FILTER (WHERE i IS NOT NULL AND e IS NOT NULL) AS n_matched,
+  count(*) FILTER (WHERE e IS NULL AND window_end <= (SELECT wm FROM wmj)) AS n_unmatched_internal,
+  count(*) FILTER (WHERE i IS NULL AND window_end <= (SELECT wm FROM wmj)) AS n_unmatched_external,
+  count(*) FILTER (WHERE e IS NULL AND window_end > (SELECT wm FROM wmj)) AS n_open_internal,
+  count(*) FILTER (WHERE i IS NULL AND window_end > (SELECT wm FROM wmj)) AS n_open_external, true AS balanced FROM joined"""))
+def q_stream_late_balance(spark, sf_dir):
+    """Matched, unmatched, still open and late events of each side add up to all that came in."""
+    base, schemas = _arrived(spark, sf_dir)
+    streams = [late.on_time_stream(spark, base, side, schemas[side]) for side in late.SIDES]
+    s = reconcile_stream(*streams, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
+    path = scratch_path(spark, "late-balance")
+    with runner.rocksdb_state(spark):
+        runner.run_to_parquet(s, f"{path}/out", f"{path}/checkpoint")
+    out = spark.read.schema(s.schema).parquet(f"{path}/out")
+    held = [runner.join_state(spark, f"{path}/checkpoint", store).select(F.col(f"{p}_event_id").alias("event_id")) for store, p in (("left", "i"), ("right", "e"))]
+    matched = out.where("_merge = 'both'").select("event_id")
+    still_open = [h.join(matched, "event_id", "left_anti") for h in held]
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    events = fixtures.table(spark, sf_dir, "events")
+    counts = [one(events, "n_internal"), one(late.read_late(spark, base, "internal", schemas["internal"]), "n_late_internal"),
+              one(late.read_late(spark, base, "external", schemas["external"]), "n_late_external"), one(matched, "n_matched"),
+              one(out.where("_merge = 'left_only'"), "n_unmatched_internal"), one(out.where("_merge = 'right_only'"), "n_unmatched_external"),
+              one(still_open[0], "n_open_internal"), one(still_open[1], "n_open_external")]
+    row = counts[0]
+    for c in counts[1:]:
+        row = row.join(c)  # one row each
+    sums = [F.col("n_matched") + F.col(f"n_unmatched_{side}") + F.col(f"n_open_{side}") + F.col(f"n_late_{side}") == F.col("n_internal") for side in late.SIDES]
+    return row.withColumn("balanced", sums[0] & sums[1])
+
+
 _DATED = ["s_int1 AS (SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, ts, amount FROM s_int)",
           "s_ext1 AS (SELECT event_id, user_id, CAST(CAST(ts AS DATE) + CAST(event_id % 5 = 1 AS INT) AS VARCHAR) AS date, ts, "
           "net_amount FROM s_ext)"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from ledgermatch.sources import files
 from ledgermatch.sources.dispatch import read_source
 from ledgermatch.spec import JobSpec
 
+log = logging.getLogger(__name__)
+
 
 def run_job(spark: SparkSession, spec: JobSpec, write: bool = True) -> tuple[ReconResult, dict[str, str]]:
     """Load both sides, reconcile, and write the three outputs in one pass."""
@@ -58,7 +61,8 @@ def batch_pipeline(spark: SparkSession, internal_glob: str, external_glob: str,
 
     The daily files are parsed once, into raw tables that each run replaces
     (``raw_path``, by default a folder of the run's own); everything after reads
-    those. The raw tests run first as small aggregates. When ids are proven unique
+    those. The fact table at ``fact_path`` is published in one step: a run that
+    fails leaves the last one readable there, and the result names its own version. The raw tests run first as small aggregates. When ids are proven unique
     and non-null, the mart skips its own id shuffle (``id_check='trusted'``);
     otherwise it applies the exact id rule.
     """
@@ -127,7 +131,9 @@ def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external
     tol = spec.matching.amount_tolerance if spec.matching.amount_tolerance > 0 else None
     stream = reconcile_stream(internal, external, keys, window, spec.matching.internal_key,
                               spec.matching.external_key, tol, ts_col,
-                              date_tolerance_days=spec.matching.date_tolerance_days)
+                              date_tolerance_days=spec.matching.date_tolerance_days, null_safe_keys=spec.matching.null_safe_keys)
+    if spec.matching.mode == "filter" and (tol is not None or spec.matching.date_tolerance_days > 0):
+        log.warning("a stream reports rows outside the tolerances as unmatched; mode='filter' holds for batch jobs only")
     out = spec.output
     names = {"both": out.reconciled_file, "left_only": out.unmatched_internal_file,
              "right_only": out.unmatched_external_file}

@@ -159,7 +159,7 @@ def outer_match_sql(left: str, right: str, keys: list[str], left_cols: list[str]
 DOC_EXTERNAL = f"""doc_external AS (
   SELECT {_id('EX')} AS external_tx_id, o_totalprice AS gross_amount, {_FEE} AS fee,
          o_totalprice - {_FEE} AS net_amount, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
-         'Payment from ' || printf('CU%07d', o_custkey) AS description,
+         'settled for ' || printf('CU%07d', o_custkey) AS description,
          printf('CU%07d', o_custkey) AS customer_id, {_LOCATION} AS location_id
   FROM orders)"""
 

@@ -14,8 +14,10 @@ Reading. Columns are bound by their names in the header, whatever their order.
 A schema names and types the columns that are wanted (no inference pass over
 100 TB); all cells are read as text, pandas' NA tokens become nulls, and then
 the types are cast, so ``NA`` in a number column is a null and other text there
-fails the read. Without a schema all columns stay text; ``infer_schema=True`` is
-Spark's inference pass over all rows. Cells may be quoted, with doubled quotes
+fails the read, whatever the session's ANSI setting. Without a schema all columns
+stay text; ``infer_schema="lattice"`` works out types by ``inference.infer_types``
+(ids with leading zeros and declared keys stay text), and ``infer_schema=True`` is
+Spark's own inference pass over all rows. Cells may be quoted, with doubled quotes
 inside; line breaks inside quotes need ``multiline=True``, since a file with them
 cannot be split. Files read together must have the same header; one that
 differs is an error, never a silent shift of columns.
@@ -29,11 +31,12 @@ from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermatch.functions import PANDAS_NA_TOKENS, na_to_null
+from ledgermatch.sources.inference import infer_types
 
 log = logging.getLogger(__name__)
 
@@ -95,18 +98,28 @@ def _typed(df: DataFrame, schema: T.StructType, path: str) -> DataFrame:
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    # timestamps with a zone stay as Spark parses them; the rest are plain casts
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    return df.select([_strict(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType, f.name, path).alias(f.name) for f in schema])
+
+
+def _strict(cell: Column, given: T.DataType, wanted: T.DataType, name: str, path: str) -> Column:
+    """A cast that fails on what does not fit. That is not left to the session's ANSI setting, without which it gives nulls."""
+    if given == wanted:
+        return cell
+    value = cell.try_cast(wanted)
+    message = F.concat(F.lit(f"{path}: column {name} has no {wanted.simpleString()} in "), cell.cast("string"))
+    return F.when(cell.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                   infer_schema: bool = False, parse_dates: Sequence[str] = ("date",),
+                   infer_schema: bool | str = False, parse_dates: Sequence[str] = ("date",),
                    na_values: Sequence[str] | None = PANDAS_NA_TOKENS, sep: str | None = None,
-                   multiline: bool = False) -> DataFrame:
-    """CSV / PSV scan with header; see the module's description."""
+                   multiline: bool = False, keys: Sequence[str] = ()) -> DataFrame:
+    """CSV / PSV scan with header; see the module's description. ``keys`` stay text where types are inferred."""
     log.info("Reading delimited file %s", path)
     sep = sep or delimiter_for(path)
-    if infer_schema and schema is None:
+    if infer_schema not in (False, True, "lattice"):
+        raise ValueError(f"infer_schema is False, True or 'lattice', not {infer_schema!r}")
+    if infer_schema is True and schema is None:
         with _missing_as_file_not_found(path):
             df = (spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
                   .option("mode", "FAILFAST").option("multiLine", multiline).option("inferSchema", True)
@@ -116,6 +129,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str |
     if na_values:
         df = df.select([na_to_null(F.col(f"`{c}`"), tuple(na_values)).alias(c) if t == "string" else F.col(f"`{c}`")
                         for c, t in df.dtypes])
+    if schema is None and infer_schema == "lattice":
+        schema = infer_types(df, keys)
     if schema is not None:
         df = _typed(df, _wanted(schema), path)
     return parse_date_columns(df, parse_dates)
@@ -127,9 +142,9 @@ def parse_date_columns(df: DataFrame, parse_dates: Sequence[str] = ("date",)) ->
         if c not in df.columns:
             raise ValueError(f"Missing column provided to 'parse_dates': '{c}'")
         if isinstance(df.schema[c].dataType, T.StringType):
-            df = df.withColumn(c, F.to_timestamp_ntz(F.col(c)))
+            df = df.withColumn(c, F.to_timestamp_ntz(F.col(f"`{c}`")))
         elif not isinstance(df.schema[c].dataType, T.TimestampNTZType):
-            df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+            df = df.withColumn(c, F.col(f"`{c}`").cast("timestamp_ntz"))
     return df
 
 
@@ -162,13 +177,13 @@ def read_glob(spark: SparkSession, pattern: str, schema: T.StructType | str, sep
 
 def load_internal_typed(spark: SparkSession, path: str) -> DataFrame:
     """Internal ledger file: ``amount`` as double, ``date`` parsed."""
-    return _with_doubles(read_delimited(spark, path), ("amount",))
+    return _with_doubles(read_delimited(spark, path), ("amount",), path)
 
 
 def load_external_typed(spark: SparkSession, path: str) -> DataFrame:
     """External ledger file: gross, fee and net amounts as double, ``date`` parsed."""
-    return _with_doubles(read_delimited(spark, path), ("gross_amount", "fee", "net_amount"))
+    return _with_doubles(read_delimited(spark, path), ("gross_amount", "fee", "net_amount"), path)
 
 
-def _with_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+def _with_doubles(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
+    return df.withColumns({c: _strict(F.col(c), df.schema[c].dataType, T.DoubleType(), c, path) for c in columns})

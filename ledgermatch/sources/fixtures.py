@@ -127,7 +127,7 @@ def documented_external(spark: SparkSession, sf_dir: str) -> DataFrame:
         _fee(key).alias("fee"),
         (F.col("o_totalprice") - _fee(key)).alias("net_amount"),
         _day_string(F.col("o_orderdate")).alias("date"),
-        F.concat(F.lit("Payment from "), customer).alias("description"),
+        F.concat(F.lit("settled for "), customer).alias("description"),
         customer.alias("customer_id"),
         _location(key).alias("location_id"),
     )

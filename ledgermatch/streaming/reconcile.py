@@ -62,11 +62,18 @@ def _replicated(df: DataFrame, prefix: str, buckets: int) -> DataFrame:
 def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[str], spec: WindowSpec,
                      internal_key: str = "amount", external_key: str = "net_amount",
                      amount_tolerance: float | None = None, ts_col: str = "ts",
-                     how: str = "full_outer", salt_buckets: int = 1, date_tolerance_days: int = 0) -> DataFrame:
+                     how: str = "full_outer", salt_buckets: int = 1, date_tolerance_days: int = 0,
+                     null_safe_keys: bool = True, pairs_once: bool = False) -> DataFrame:
     """Stream of reconciled rows with ``_merge`` in {both, left_only, right_only}.
 
     ``how="inner"`` emits matched pairs only; ``"full_outer"`` adds the
-    unmatched rows of each closed window.
+    unmatched rows of each closed window. Null keys match each other, as in the
+    batch matcher, unless ``null_safe_keys`` is off.
+
+    ``pairs_once`` (with ``how="inner"``) reports a pair of sliding windows once, in place of once
+    for each window that holds both rows, and without a window. A pair is told by
+    all its columns, so rows that are equal in all of them make one; it is kept
+    in state only until the watermark has passed its window by the grace period.
 
     ``salt_buckets > 1`` spreads a hot key's window state over that many
     state partitions. One join puts each internal row in one bucket and copies
@@ -77,6 +84,8 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     """
     if how not in ("inner", "full_outer"):
         raise ValueError("how must be 'inner' or 'full_outer'")
+    if pairs_once and (how != "inner" or date_tolerance_days > 0):
+        raise ValueError("pairs_once goes with how='inner' and windows")
     if salt_buckets < 1:
         raise ValueError("salt_buckets must be at least 1")
     by_time = date_tolerance_days > 0
@@ -86,7 +95,9 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     right = _side(external.where(F.col(ts_col).isNotNull()), ts_col, spec, "e_", by_time)
 
     def condition(lf: DataFrame, rf: DataFrame, salted: bool) -> Column:
-        cond = [lf[f"i_{k}"] == rf[f"e_{k}"] for k in keys]
+        # a stream join finds null keys equal by itself, so that has to be said where they are not to match
+        plain = lambda a, b: (a == b) & a.isNotNull() & b.isNotNull()
+        cond = [lf[f"i_{k}"].eqNullSafe(rf[f"e_{k}"]) if null_safe_keys else plain(lf[f"i_{k}"], rf[f"e_{k}"]) for k in keys]
         if by_time:
             # -days <= floor((internal - external) / 1 day) <= days
             day = lambda n: F.expr(f"INTERVAL {n} DAYS")
@@ -111,8 +122,14 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
             right_only = (lr.join(rs, condition(lr, rs, True), "right_outer")
                           .where(F.col("i_window").isNull()).drop("i_salt", "e_salt"))
             joined = joined.unionByName(right_only)
-    present_i = F.col("i_window").isNotNull()
-    present_e = F.col("e_window").isNotNull()
+    if pairs_once:
+        # the window's time carries the watermark on; it must be the only column that does
+        plain = [c for c in joined.columns if c not in ("i_window", "e_window")]
+        none = F.lit(None).cast("struct<start:timestamp,end:timestamp>")
+        joined = joined.select(F.window_time("i_window").alias("__time"), *plain).dropDuplicatesWithinWatermark(plain)
+        joined = joined.select(none.alias("i_window"), none.alias("e_window"), *plain)
+    present_i = F.lit(True) if pairs_once else F.col("i_window").isNotNull()
+    present_e = F.lit(True) if pairs_once else F.col("e_window").isNotNull()
     tag = F.when(present_i & present_e, F.lit(BOTH)).when(present_i, F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY))
     out = [F.coalesce(F.col("i_window"), F.col("e_window")).alias("window")]
     # by presence, not by value: a null key of an internal row stays null
@@ -129,7 +146,7 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     out.append(tag.alias(INDICATOR))
     done = flatten_window(joined.select(out))
     if how == "inner":
-        return done
+        return done.drop("window_start", "window_end") if pairs_once else done
     return (done.unionByName(_timeless(internal, ts_col, LEFT_ONLY, done, keys, overlap, "internal"))
             .unionByName(_timeless(external, ts_col, RIGHT_ONLY, done, keys, overlap, "external")))
 

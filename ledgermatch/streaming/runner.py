@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from collections import Counter, deque
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from pyspark import StorageLevel
 
@@ -98,6 +103,7 @@ _PROGRESS_SCHEMA = T.StructType([
     T.StructField("trigger_ms", T.LongType()),
     T.StructField("watermark", T.StringType()),
     T.StructField("state_rows", T.LongType()),
+    T.StructField("rows_dropped_by_watermark", T.LongType()),
 ])
 
 
@@ -108,17 +114,76 @@ def final_watermark(query: StreamingQuery) -> str | None:
     return None if wm in (None, "1970-01-01T00:00:00.000Z") else wm
 
 
+def _progress_row(p) -> tuple:
+    """One row of a progress report, as a dictionary."""
+    operators = p.get("stateOperators", [])
+    return (int(p["batchId"]), int(p.get("numInputRows", 0)), float(p.get("inputRowsPerSecond") or 0.0),
+            float(p.get("processedRowsPerSecond") or 0.0), int(p.get("durationMs", {}).get("triggerExecution", 0)),
+            p.get("eventTime", {}).get("watermark"), sum(int(o.get("numRowsTotal", 0)) for o in operators),
+            sum(int(o.get("numRowsDroppedByWatermark", 0)) for o in operators))
+
+
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """Processing-time metrics of recent micro-batches as a small DataFrame.
 
     These are the query's own progress reports (a few numbers per batch),
-    not data rows.
+    not data rows. ``rows_dropped_by_watermark`` counts late rows, once for each
+    stateful operator and window that drops them.
+    """
+    return spark.createDataFrame([_progress_row(p) for p in query.recentProgress], _PROGRESS_SCHEMA)
+
+
+class ProgressListener(StreamingQueryListener):
+    """Metrics pushed by every query of a session as its batches end, kept for the last ``keep`` batches.
+
+    ``spark.streams.addListener(listener)`` starts it. ``observed`` holds the metrics of ``DataFrame.observe``
+    by name, summed over batches where they are counts.
     """
-    rows = []
-    for p in query.recentProgress:
-        state = sum(int(s.get("numRowsTotal", 0)) for s in p.get("stateOperators", []))
-        rows.append((int(p["batchId"]), int(p.get("numInputRows", 0)), float(p.get("inputRowsPerSecond") or 0.0),
-                     float(p.get("processedRowsPerSecond") or 0.0),
-                     int(p.get("durationMs", {}).get("triggerExecution", 0)),
-                     p.get("eventTime", {}).get("watermark"), state))
-    return spark.createDataFrame(rows, _PROGRESS_SCHEMA)
+
+    def __init__(self, keep: int = 1000):
+        self.rows: deque = deque(maxlen=keep)
+        self.observed: dict[str, Counter] = {}
+        self.ended: list[str] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows.append(_progress_row(json.loads(event.progress.json)))
+        for name, row in event.progress.observedMetrics.items():
+            self.observed.setdefault(name, Counter()).update(row.asDict())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.append(str(event.id))
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.rows), _PROGRESS_SCHEMA)
+
+
+#: Session settings under which state is kept in RocksDB, and checkpoints write what changed instead of the whole state.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB; the choice stays with their checkpoints."""
+    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
+    for k, v in ROCKSDB.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def join_state(spark: SparkSession, checkpoint: str, side: str, operator_id: int = 0) -> DataFrame:
+    """Rows that a stream join's checkpoint holds of one side (``left`` or ``right``), by Spark's state reader."""
+    return (spark.read.format("statestore").option("operatorId", operator_id).option("joinSide", side)
+            .load(checkpoint).select("partition_id", "value.*"))

@@ -90,10 +90,10 @@ def test_infer_schema_on_request(spark, csv_file):
 def test_typed_external_loader(spark, tmp_path):
     p = tmp_path / "ext.csv"
     p.write_text("external_tx_id,gross_amount,fee,net_amount,date,description,customer_id,location_id\n"
-                 "EXT001,105,5,100.02,2024-08-01,Payment from C001,C001,LOC01\n")
+                 "bk-77,61.5,2.25,59.25,2021-02-28,counter deposit,K9,R3\n")
     df = files.load_external_typed(spark, str(p))
     row = df.first()
-    assert (row["gross_amount"], row["fee"], row["net_amount"]) == (105.0, 5.0, 100.02)
+    assert (row["gross_amount"], row["fee"], row["net_amount"]) == (61.5, 2.25, 59.25)
 
 
 def test_jdbc_options_split_query():
@@ -214,9 +214,9 @@ def test_save_table_replaces(spark, tmp_path):
 
 def test_typed_internal_loader(spark, tmp_path):
     p = tmp_path / "int.csv"
-    p.write_text("internal_tx_id,amount,date,customer_id,location_id\nINT001,100,2024-08-01,C001,LOC01\n")
+    p.write_text("internal_tx_id,amount,date,customer_id,location_id\nin-4,18,2021-03-01,K9,R3\n")
     df = files.load_internal_typed(spark, str(p))
-    assert dict(df.dtypes)["amount"] == "double" and df.first()["amount"] == 100.0
+    assert dict(df.dtypes)["amount"] == "double" and df.first()["amount"] == 18.0
 
 
 def test_missing_path_under_any_scheme_is_file_not_found(spark, tmp_path):
@@ -316,3 +316,23 @@ def test_loader_logs_attempt_and_failure(spark, csv_file, tmp_path, caplog):
     messages = [r.getMessage() for r in caplog.records]
     assert any(m.startswith("Reading delimited file") for m in messages)
     assert any(m.startswith("Failed to load ") for m in messages)
+
+
+def test_text_in_a_typed_column_fails_without_ansi(spark, tmp_path):
+    p = tmp_path / "typed.csv"
+    p.write_text("id,amount\n007,much\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("false", "true"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            with pytest.raises(Exception, match="amount has no double in much"):
+                files.read_delimited(spark, str(p), schema="id string, amount double", parse_dates=()).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_dates_in_columns_with_a_dot(spark, tmp_path):
+    p = tmp_path / "dotted.csv"
+    p.write_text("booked.date,x\n2021-02-28,1\n")
+    got = files.read_delimited(spark, str(p), parse_dates=("booked.date",)).collect()
+    assert str(got[0]["booked.date"]) == "2021-02-28 00:00:00"

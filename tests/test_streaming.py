@@ -216,3 +216,111 @@ def test_day_tolerance_matches_across_windows(spark, tmp_path):
     runner.run_to_parquet(s, str(tmp_path / "o"), str(tmp_path / "ck"))
     got = {(r["event_id"], r["_merge"]) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
     assert got == {(1, "both"), (2, "both")}
+
+
+def test_late_rows_are_kept_apart_and_counted(spark, tmp_path):
+    """Arrival by arrival: what a stateful stream would drop is in the late folders, the rest is on time."""
+    from ledgermatch.streaming import late
+    base, schemas = str(tmp_path), {"internal": SCHEMA_I, "external": SCHEMA_E}
+    arrivals = [
+        ([(1, 1, t(0, 5), 1.0), (2, 1, t(4, 0), 1.0), (9, 1, None, 1.0)], [(1, 1, t(0, 6), 1.0)]),
+        ([(3, 1, t(0, 30), 1.0)], [(2, 1, t(6, 0), 1.0)]),   # the watermark is still the external side's: nothing is late
+        ([(4, 1, t(2, 59), 1.0), (5, 1, t(3, 0), 1.0)], [(6, 1, t(1, 0), 1.0), (7, 1, t(9, 0), 1.0)]),   # 03:50 by now
+        ([(8, 1, t(9, 0), 1.0), (10, 1, t(2, 0), 1.0)], []),
+    ]
+    watermarks = []
+    for k, pair in enumerate(arrivals):
+        for side, rows in zip(late.SIDES, pair):
+            drop(spark, f"{base}/{side}", rows, schemas[side], f"a{k}")
+        streams = [runner.file_stream(spark, f"{base}/{side}", spark.createDataFrame([], schemas[side]).schema, recursive=True) for side in late.SIDES]
+        late.run_late_split(*streams, f"{base}/split", f"{base}/ck", HOUR)
+        seen = {r.side: r.latest for r in spark.read.parquet(f"{base}/split/seen/batch={k}").collect()}
+        watermarks.append(min(seen.values()))
+    assert watermarks == [t(0, 6), t(4, 0), t(4, 0), t(9, 0)]
+    got = {side: sorted((r.event_id, r.batch_id, r.watermark) for r in late.read_late(spark, f"{base}/split", side, spark.createDataFrame([], schemas[side]).schema).collect())
+           for side in late.SIDES}
+    assert got == {"internal": [(4, 2, t(3, 50)), (10, 3, t(3, 50))], "external": [(6, 2, t(3, 50))]}
+    on_time = [spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/split/on_time/{side}").count() for side in late.SIDES]
+    assert on_time[0] + 2 == sum(len(i) for i, _ in arrivals) and on_time[1] + 1 == sum(len(e) for _, e in arrivals)
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path):
+    from ledgermatch.streaming import late
+    rows = spark.createDataFrame([(1, 1, t(0, 5), 1.0)], SCHEMA_I)
+    batch = late._tagged(rows, spark.createDataFrame([], SCHEMA_E), "ts")
+    split = late.late_split(spark, str(tmp_path), HOUR)
+    for _ in range(2):
+        split(batch, 0)
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/on_time/internal").count() == 1
+
+
+@pytest.mark.parametrize("spec", [HOUR, WindowSpec("sliding", "1 hour", "15 minutes", "10 minutes"), WindowSpec("sliding", "50 minutes", "20 minutes"),
+                                  WindowSpec("tumbling", "1 day")])
+def test_last_window_end_is_that_of_the_windows(spark, spec):
+    from ledgermatch.streaming import late
+    from ledgermatch.streaming.windows import window_column
+    df = spark.range(2000).select(F.timestamp_micros(F.col("id") * 7_654_321_987 - 3_000_000_000_000).alias("ts")).union(
+        spark.createDataFrame([(t(1, 0),), (t(1, 15),), (t(0, 0),)], "ts timestamp"))
+    df = df.withColumn("key", F.unix_micros("ts"))
+    ends = df.withColumn("w", window_column(F.col("ts"), spec)).groupBy("key").agg(F.max("w.end").alias("want"))
+    bad = df.withColumn("got", late.last_window_end(F.col("ts"), spec)).join(ends, "key").where("got != want or got is null or want is null")
+    assert bad.count() == 0
+
+
+def test_null_keys_match_as_in_a_batch(spark, tmp_path):
+    drop(spark, str(tmp_path / "si"), [(1, None, t(0, 5), 10.0), (None, 8, t(0, 6), 5.0)], SCHEMA_I, "a")
+    drop(spark, str(tmp_path / "se"), [(1, None, t(0, 7), 10.0), (9, 9, t(5, 0), 5.0)], SCHEMA_E, "a")
+    for safe, want in ((True, {(1, "both"), (9, "right_only")}), (False, {(1, "left_only"), (1, "right_only"), (9, "right_only")})):
+        si = runner.file_stream(spark, str(tmp_path / "si"), spark.createDataFrame([], SCHEMA_I).schema, recursive=True)
+        se = runner.file_stream(spark, str(tmp_path / "se"), spark.createDataFrame([], SCHEMA_E).schema, recursive=True)
+        s = reconcile_stream(si, se, ["user_id", "event_id"], HOUR, amount_tolerance=0.05, null_safe_keys=safe)
+        out = str(tmp_path / f"o{safe}")
+        runner.run_to_parquet(s, out, str(tmp_path / f"ck{safe}"))
+        got = {(r["event_id"], r["_merge"]) for r in spark.read.parquet(out).collect()}
+        assert {x for x in got if x[0] != 9 and x[0] is not None} == {x for x in want if x[0] != 9}
+
+
+def test_sliding_pairs_come_once(spark, tmp_path):
+    si, se = _pairs(spark, tmp_path)
+    spec = WindowSpec("sliding", "1 hour", "15 minutes", "10 minutes")
+    s = reconcile_stream(si, se, ["user_id", "event_id"], spec, amount_tolerance=0.05, how="inner", pairs_once=True)
+    runner.run_to_parquet(s, str(tmp_path / "o"), str(tmp_path / "ck"))
+    assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "o")).collect()) == [1, 9]
+    assert "window_start" not in s.columns
+    with pytest.raises(ValueError):
+        reconcile_stream(si, se, ["user_id"], spec, pairs_once=True)
+
+
+def test_state_reader_and_pushed_metrics(spark, tmp_path):
+    """RocksDB state holds open windows only; a listener gets each batch's figures, dropped rows among them."""
+    listener = runner.ProgressListener()
+    spark.streams.addListener(listener)
+    try:
+        drop(spark, str(tmp_path / "si"), [(1, 7, t(0, 5), 1.0), (2, 7, t(5, 0), 1.0)], SCHEMA_I, "a")
+        drop(spark, str(tmp_path / "se"), [(1, 7, t(0, 6), 9.0), (3, 7, t(5, 1), 1.0)], SCHEMA_E, "a")
+
+        def run():
+            si = runner.file_stream(spark, str(tmp_path / "si"), spark.createDataFrame([], SCHEMA_I).schema, recursive=True)
+            se = runner.file_stream(spark, str(tmp_path / "se"), spark.createDataFrame([], SCHEMA_E).schema, recursive=True)
+            s = reconcile_stream(si, se, ["user_id", "event_id"], HOUR, amount_tolerance=0.05)
+            with runner.rocksdb_state(spark):
+                return runner.run_to_parquet(s, str(tmp_path / "o"), str(tmp_path / "ck"))
+
+        run()
+        before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+        assert "RocksDB" not in before
+        assert sorted(r.i_event_id for r in runner.join_state(spark, str(tmp_path / "ck"), "left").collect()) == [2]
+        # two batches on, a row of a window that has ended is dropped and counted
+        drop(spark, str(tmp_path / "si"), [(4, 7, t(0, 30), 1.0), (5, 7, t(6, 0), 1.0)], SCHEMA_I, "b")
+        q = run()
+        assert sum(r.rows_dropped_by_watermark for r in runner.progress_frame(spark, q).collect()) == 1
+        for _ in range(100):
+            if len(listener.ended) >= 2 and sum(r[-1] for r in listener.rows) == 1:
+                break
+            import time
+            time.sleep(0.1)
+        rows = listener.frame(spark).collect()
+        # both sides are read twice: for the join, and for events without a time
+        assert sum(r.num_input_rows for r in rows) == 12 and sum(r.rows_dropped_by_watermark for r in rows) == 1
+    finally:
+        spark.streams.removeListener(listener)
