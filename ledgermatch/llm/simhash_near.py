@@ -279,7 +279,9 @@ def representatives(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
     fps, by_fp = _named(docs, shingle, max_bits, id_col, text_col)
     first = F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("first")
     stay = fps.join(by_fp, "fp").groupBy("root").agg(first).select("first.rid")
-    key = unused(docs, "rid")
-    tagged = docs.withColumn(key, row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string")))
-    kept = tagged.join(stay.select(F.col("rid").alias(key)), key, "left_semi")
-    return kept.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # two plain columns: of equal rows one stays, and the join has brought them together already
+    keys = [unused(docs, "rid_h"), unused(docs, "rid_g")]
+    own = row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    tagged = docs.withColumns({k: own.getField(f) for k, f in zip(keys, "hg", strict=True)})
+    stay = stay.select(*[F.col(f"rid.{f}").alias(k) for k, f in zip(keys, "hg", strict=True)])
+    return tagged.join(stay, keys, "left_semi").dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
