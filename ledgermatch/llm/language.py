@@ -80,7 +80,7 @@ def text_model(training: DataFrame, lang_col: str = "lang", text_col: str = "tex
                     sums[name] = sums.get(name, 0) + np.bincount(slots[code[doc] == k], minlength=SLOTS)
         for name, n in sums.items():
             some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array(some), pa.array(n[some])], ["lang", "slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some), pa.array(n[some])], ["lang", "slot", "n"])
 
     known = training.select(F.col(lang_col).cast("string"), F.col(text_col).cast("string")).filter(F.col(lang_col).isNotNull())
     table = known.mapInArrow(run, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
@@ -91,10 +91,26 @@ def text_model(training: DataFrame, lang_col: str = "lang", text_col: str = "tex
     return langs, np.log(counts / counts.sum(axis=1, keepdims=True)) if langs else counts
 
 
+#: What begins and ends text that is not shown.
+_HIDDEN = ((r"<script\b", r"</script\s*+>"), (r"<style\b", r"</style\s*+>"), (r"<!--", r"-->"))
+#: A private-use code point that marks beginnings without an end.
+_MARK = "\ue000"
+
+
+def _marked(html: Column, begin: str, end: str) -> Column:
+    """A mark in every beginning behind the last end. None of them can match, and each try would read on to the text's end."""
+    closed = F.regexp_extract(html, f"(?is)^.*{end}", 0)
+    rest = F.substring(html, F.length(closed) + 1, F.length(html))
+    return F.when(html.rlike(f"(?i){begin}"), F.concat(closed, F.regexp_replace(rest, f"(?i)<(?={begin[1:]})", f"<{_MARK}"))).otherwise(html)
+
+
 def visible_text(html: Column) -> Column:
-    """Without scripts, styles, comments and tags."""
-    return F.regexp_replace(F.regexp_replace(
-        html, r"(?is)<(script|style)\b[^<>]*+>.*?</\1\s*+>|<!--.*?-->", " "), r"<[^<>]*+>", " ")
+    """Without scripts, styles, comments and tags; one left open hides nothing but its own tag. Linear in the text's length."""
+    for begin, end in _HIDDEN:
+        html = _marked(html, begin, end)
+    hidden = r"(?is)<(script|style)\b[^<>]*+>.*?</\1\s*+>|<!--.*?-->"
+    shown = F.replace(F.regexp_replace(html, hidden, " "), F.lit(f"<{_MARK}"), F.lit("<"))
+    return F.regexp_replace(shown, r"<[^<>]*+>", " ")
 
 
 def declared_language(html: Column) -> Column:
