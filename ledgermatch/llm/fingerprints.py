@@ -14,9 +14,12 @@ or. More blocks make longer keys and more tables: the least number is taken at
 which the key has a few bits more than the fingerprints' number, which changes
 the work and never the result.
 
-*Neighbours in id order.* Documents go to ranges of ids, split at quantiles so
-that each has about ``RANGE_BYTES`` of text; the first document of each range
-is sent to the range before as well. No task sees more than its range.
+*Neighbours in id order.* Documents go to ranges of ids. A histogram of the bytes
+of text by id is refined where a bin is too full, until every bin is small or a
+single id; neighbouring bins then make up ranges of about the same number of bytes.
+The first document of each range is sent to the range before as well. A range is
+sorted and read in order, with one document held back until its next one comes,
+so a task holds a batch and not its range.
 
 Defined results: null and empty texts, and those without words, have the
 fingerprint zero; null ids come after all others; rows of equal ids follow one
@@ -39,10 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermatch.llm import textbytes
+from ledgermatch.llm.scratch import written
 from ledgermatch.llm.simhash_near import _SPREAD
 
 BITS = 128
-RANGE_BYTES = 16 << 20
+#: Bytes of text of a range, and its least where ranges are few.
+RANGE_BYTES, LEAST_BYTES = 16 << 20, 1 << 16
+#: Beyond so many, ranges grow instead: the driver holds one number for each, and for each bin of the histogram.
+MAX_RANGES, MAX_BINS = 1 << 15, 1 << 18
 _LAST = -(1 << 63)
 
 
@@ -161,14 +168,49 @@ def near_counts(fps: DataFrame, radius: int = 3, blocks: int | None = None) -> D
     return groups.join(more, ["hi", "lo"], "left").select("hi", "lo", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n_near"))
 
 
-def _ranges(rows: DataFrame) -> list[int]:
-    """Ids at which a range ends, in descending order: as many as the text fills ranges."""
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // RANGE_BYTES)
-    if n < 2:
-        return []
-    cuts = rows.stat.approxQuantile("key", [i / n for i in range(1, n)], 1 / (8 * n))
-    return sorted({int(x) for x in cuts}, reverse=True)
+def _range_of(keys: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Number of the interval that holds each key, where ``edges`` are the least keys of all intervals but the first."""
+    return np.searchsorted(edges, keys, "right").astype(np.int32)
+
+
+def _histogram(narrow: DataFrame, edges: np.ndarray) -> np.ndarray:
+    """Bytes of text in each interval of keys."""
+    place = F.pandas_udf(lambda key: pd.Series(_range_of(key.to_numpy(), edges)), "int")
+    out = np.zeros(len(edges) + 1, np.int64)
+    for r in narrow.groupBy(place("key").alias("at")).agg(F.sum("bytes").alias("bytes")).collect():  # at most MAX_BINS
+        out[r["at"]] = r["bytes"]
+    return out
+
+
+def range_edges(narrow: DataFrame, n_ranges: int) -> np.ndarray:
+    """Least keys of all ranges but the first, for about ``n_ranges`` of the same number of ``bytes``.
+
+    ``narrow`` has ``key`` and ``bytes``. Bins over half a range are split into equal intervals, round by round; a bin of one key stays whole.
+    """
+    span = narrow.agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("bytes").alias("bytes")).first()
+    none = np.zeros(0, np.int64)
+    if span["low"] is None or n_ranges < 2 or not span["bytes"]:
+        return none
+    bounds, sizes = [(span["low"], span["high"])], np.array([span["bytes"]])
+    target = span["bytes"] / n_ranges
+    while True:
+        full = [i for i, (low, high) in enumerate(bounds) if sizes[i] > target / 2 and high > low]
+        room = MAX_BINS - len(bounds)
+        if not full or room < len(full):
+            break
+        each = max(2, min(room // len(full), 4 * n_ranges // len(full) + 64))
+        finer = []
+        for i, (low, high) in enumerate(bounds):
+            step = -(-(high - low + 1) // each) if i in set(full) else high - low + 1
+            finer += [(x, min(x + step - 1, high)) for x in range(low, high + 1, step)]
+        bounds = finer
+        sizes = _histogram(narrow, np.array([low for low, _ in bounds[1:]], np.int64))
+        # no key lies in an empty bin; the least one is in the first
+        keep = np.flatnonzero(sizes)
+        bounds, sizes = [bounds[i] for i in keep], sizes[keep]
+    # a range begins where the bytes before it have passed a multiple of the target
+    number = ((np.cumsum(sizes) - sizes) // max(target, 1)).astype(np.int64)
+    return np.array([bounds[i][0] for i in range(1, len(bounds)) if number[i] != number[i - 1]], np.int64)
 
 
 _ROW = "id long, n_chars long, edited_sha256 string, hi long, lo long, hi_edited long, lo_edited long, near_edited double, near_next double"
@@ -182,11 +224,16 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     given = F.col(id_col).cast("long")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(given.alias("id"), F.coalesce(given, F.lit(_LAST)).alias("key"), F.xxhash64(given, text).alias("rid"), text.alias("text"))
-    cuts = np.array(_ranges(rows), np.int64)  # one number for each RANGE_BYTES of text
-    place = F.pandas_udf(lambda key: pd.Series(np.searchsorted(~cuts, ~key.to_numpy(), "left").astype(np.int32)), "int")
+    narrow = written(rows.select("key", "rid", F.octet_length("text").alias("bytes")), "fingerprint-sizes")
+    total = narrow.agg(F.sum("bytes")).first()[0] or 0
+    few = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = range_edges(narrow, min(max(total // RANGE_BYTES, min(few, total // LEAST_BYTES), 1), MAX_RANGES))
+    n = len(edges)
+    # ids descend, and so do the numbers of ranges
+    place = F.pandas_udf(lambda key: pd.Series(n - _range_of(key.to_numpy(), edges)), "int")
     placed = rows.withColumn("range", place("key"))
     heads = {r["range"]: (r["m"]["key"], r["m"]["rid"]) for r in
-             rows.select("key", "rid").withColumn("range", place("key")).groupBy("range")
+             narrow.select("key", "rid").withColumn("range", place("key")).groupBy("range")
              .agg(F.max_by(F.struct("key", "rid"), F.struct("key", -F.col("rid").cast("decimal(20,0)"))).alias("m")).collect()}
     order = sorted(heads)
     before = {heads[r]: order[i - 1] for i, r in enumerate(order)}  # the first one's is sent to the last range
@@ -194,31 +241,38 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     extra = rows.join(F.broadcast(sent), ["key", "rid"]).select("id", "key", "rid", "text", F.col("to").alias("range"), F.lit(True).alias("extra"))
     both = placed.select("id", "key", "rid", "text", "range", F.lit(False).alias("extra")).unionByName(extra)
 
-    def run(table: pa.Table) -> pa.Table:
-        key, rid = table["key"].to_numpy(), table["rid"].to_numpy()
-        extra = table["extra"].to_numpy().astype(bool)
-        own = np.flatnonzero(~extra)
-        own = own[np.lexsort((rid[own], ~key[own]))]
-        guests = np.flatnonzero(extra)
-        chain = np.append(own, guests[:1])  # equal heads are equal texts
-        column = table["text"].combine_chunks()
-        sizes = np.cumsum(np.diff(textbytes.byte_arrays(column)[1])[chain])
-        out, at = [], 0
-        while at < len(own):
-            # a slice of about a chunk, and the document after it
-            to = min(len(own), max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + textbytes.CHUNK, "right"))))
-            texts = column.take(pa.array(chain[at:to + 1]))
-            words, n = texts.to_pylist(), to - at
-            edited = [t[:len(t) - len(t) // 2] + n[:len(t) // 2] for t, n in itertools.pairwise(words)]
-            fp, changed = _of_column(texts), _of_column(pa.array(edited, pa.large_string()))
-            signed, signed_edited = fp.view(np.int64), changed.view(np.int64)
-            out.append(pa.table({
-                "id": table["id"].take(pa.array(own[at:to])), "n_chars": pa.array([len(t) for t in words[:n]], pa.int64()),
-                "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-                "hi": signed[:n, 0], "lo": signed[:n, 1], "hi_edited": signed_edited[:, 0], "lo_edited": signed_edited[:, 1],
-                "near_edited": likeness(fp[:n], changed), "near_next": likeness(fp[:n], fp[1:n + 1])}))
-            at = to
-        return pa.concat_tables(out)
-
-    return both.groupBy("range").applyInArrow(run, _ROW).withColumnRenamed("id", id_col)
+    # the guest comes last in its range
+    ordered = both.repartition("range").sortWithinPartitions("range", "extra", F.desc("key"), "rid").select("id", "text", "range", "extra")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row so far, whose next one is yet to come
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # in slices of about a chunk; each begins with the row that the one before it held back
+            offs = textbytes.byte_arrays(batch.column(1))[1]
+            for i, j in textbytes.chunks(offs):
+                part = pa.Table.from_batches([batch.slice(i, j - i)])
+                part = part if held is None else pa.concat_tables([held, part])
+                found = _beside_next(part)
+                held = part.slice(part.num_rows - 1)
+                if found.num_rows:
+                    yield found
+
+    return ordered.mapInArrow(run, _ROW).withColumnRenamed("id", id_col)
+
+
+def _beside_next(part: pa.Table) -> pa.RecordBatch:
+    """What comes of all rows of a sorted part but the last, each beside the row after it; guests and last rows of ranges give none."""
+    texts = part["text"].combine_chunks()
+    ranges, extra = part["range"].to_numpy(), part["extra"].to_numpy().astype(bool)
+    at = np.flatnonzero(~extra[:-1] & (ranges[:-1] == ranges[1:]))
+    words = texts.to_pylist()
+    edited = [words[i][:len(words[i]) - len(words[i]) // 2] + words[i + 1][:len(words[i]) // 2] for i in at.tolist()]
+    fp, changed = _of_column(texts), _of_column(pa.array(edited, pa.large_string()))
+    signed, signed_edited = fp.view(np.int64), changed.view(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [part["id"].combine_chunks().take(pa.array(at)), pa.array([len(words[i]) for i in at.tolist()], pa.int64()),
+         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()), pa.array(signed[at, 0]), pa.array(signed[at, 1]),
+         pa.array(signed_edited[:, 0]), pa.array(signed_edited[:, 1]), pa.array(likeness(fp[at], changed)), pa.array(likeness(fp[at], fp[at + 1]))],
+        [f.split()[0] for f in _ROW.split(", ")])
