@@ -19,8 +19,9 @@ before they count, so a collision cannot flag a document.
 
 An index of all items' seeds goes to every task while it has at most
 ``MAX_INDEX_SEEDS`` seeds (16 bytes each), which is counted first. Beyond that,
-documents' seeds and items' seeds meet in a shuffled join, and each document
-then gets the texts of its own candidate items.
+documents' different seeds and items' seeds meet in a shuffled join, without the
+commonest seeds of each item (as many as a found item can do without), and each
+candidate document then meets each of its candidate items in a row of its own.
 
 Defined results: null, empty and token-less texts match nothing; null ids are
 carried along; repeated rows give repeated results, repeated items are found one
@@ -43,9 +44,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgermatch.llm import textbytes
-from ledgermatch.llm.scratch import row_key, unused
+from ledgermatch.llm.scratch import row_key, unused, written
 
 MIN_MATCH = 5
 THRESHOLD = 0.8
@@ -287,37 +289,52 @@ def _with_join(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> D
     short = _short_lengths(items, k)
 
     def seeds(whole: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Seeds of each text; of the short lengths all runs, or ``whole`` texts only."""
+        """Different seeds of each text and how often it has them; of the short lengths all runs, or ``whole`` texts only."""
         for batch in batches:
             data, offs = textbytes.byte_arrays(batch.column(1))
             for i, j in textbytes.chunks(offs):
                 t = Tokens.of(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+                size = np.diff(t.first)
                 for n in [*short, k]:
                     if whole and n < k:
                         of, seed = t.whole(n)
                     else:
                         at, seed = t.seeds(n)
                         of = np.searchsorted(t.first, at, "right") - 1
-                    owner = batch.column(0).slice(i, j - i).take(pa.array(of))
-                    yield pa.RecordBatch.from_arrays([owner, pa.array(seed.view(np.int64))], ["rid", "seed"])
-
-    of_docs = docs.select("rid", "text").mapInArrow(functools.partial(seeds, False), "rid struct<h: long, g: long>, seed long")
-    of_items = items.select("rid", "text").mapInArrow(functools.partial(seeds, True), "rid struct<h: long, g: long>, seed long").withColumnRenamed("rid", "item_rid")
-    pairs = of_docs.join(of_items.distinct(), "seed").select("rid", "item_rid").distinct()
-    wanted = (pairs.join(items.select(F.col("rid").alias("item_rid"), F.col("id").alias("item_id"), F.col("text").alias("item_text")), "item_rid")
-              .groupBy("rid").agg(F.collect_list(F.struct("item_id", "item_text")).alias("items")))
-    both = docs.join(wanted, "rid").select("id", "rid", "text", "items")
+                    order = np.lexsort((seed, of))
+                    of, seed = of[order], seed[order]
+                    new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (seed[1:] != seed[:-1])])) if len(of) else np.zeros(0, np.int64)
+                    times = np.diff(np.append(new, len(of)))
+                    owner = batch.column(0).slice(i, j - i).take(pa.array(of[new]))
+                    yield pa.RecordBatch.from_arrays([owner, pa.array(seed[new].view(np.int64)), pa.array(times), pa.array(size[of[new]])],
+                                                     ["rid", "seed", "times", "size"])
+
+    shape = "rid struct<h: long, g: long>, seed long, times long, size long"
+    of_items = written(items.select("rid", "text").mapInArrow(functools.partial(seeds, True), shape).distinct(), "item-seeds")
+    known = of_items.select("seed").distinct()
+    hits = written(docs.select("rid", "text").mapInArrow(functools.partial(seeds, False), shape).join(known, "seed", "left_semi").select("rid", "seed"), "seed-hits")
+    # tiles cover ``need`` tokens at least, a seed's place k of them; so of an item's places all but that many may be left
+    # out of the search and no pair is lost: the commonest seeds are
+    common = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
+    least = F.greatest(F.ceil((threshold * F.col("size") - 1e-9) / k), F.lit(1))
+    rarest_first = Window.partitionBy("rid").orderBy("docs", "seed")
+    ranked = of_items.join(common, "seed").withColumn("before", F.sum("times").over(rarest_first) - F.col("times"))
+    places = F.greatest(F.col("size") - k + 1, F.lit(1))
+    sought = ranked.where(F.col("before") <= places - least).select(F.col("rid").alias("item_rid"), "seed")
+    pairs = hits.join(sought, "seed").select("rid", "item_rid").distinct()
+    texts = items.select(F.col("rid").alias("item_rid"), F.col("id").alias("item_id"), F.col("text").alias("item_text"))
+    # one document and one item a row, however many there are of either
+    both = docs.join(pairs, "rid").join(texts, "item_rid").select("id", "rid", "text", "item_id", "item_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                own = batch.column(3)[r].as_py()
-                data, offs = textbytes.byte_arrays(pa.array([x["item_text"] for x in own], pa.large_string()))
-                index = Index(np.arange(len(own)), data, offs, k)
+                data, offs = textbytes.byte_arrays(batch.column(4).slice(r, 1))
+                index = Index(np.arange(1), data, offs, k)
                 data, offs = textbytes.byte_arrays(batch.column(2).slice(r, 1))
                 rows = index.find(data, offs, threshold)
                 if rows:
-                    yield _hits([(r, *x[1:]) for x in rows], batch.column(0), batch.column(1), [x["item_id"] for x in own])
+                    yield _hits([(r, *x[1:]) for x in rows], batch.column(0), batch.column(1), batch.column(3).slice(r, 1).to_pylist())
 
     return both.mapInArrow(run, _HIT)
 
