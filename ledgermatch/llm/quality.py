@@ -208,9 +208,10 @@ def _pooled_rows(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
             data, offs = textbytes.byte_arrays(batch.column(1))
             x = [pooled(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], table.value) for i, j in textbytes.chunks(offs)]
             rows = np.concatenate(x) if x else np.zeros((0, 2 * DIM))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(rows), pa.list_(pa.float64()))], ["id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(list(rows), pa.list_(pa.float64()))], ["id", "mark", "x"])
 
-    return docs.mapInArrow(run, "id long, x array<double>")
+    # the mark tells rows of one id apart, so that a rerun takes the same of them
+    return docs.select("id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, "id long, mark long, x array<double>")
 
 
 def learnable(doc_id) -> object:
@@ -229,8 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: st
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .join(F.broadcast(known.select("id")), "id", "left_semi"))
     got = _pooled_rows(rows, vectors).join(F.broadcast(known), "id").select(
-        "id", "y", "x", (F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 1).alias("aside")).toPandas()
-    got = got.sort_values("id", kind="stable").drop_duplicates("id")
+        "id", "mark", "y", "x", (F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 1).alias("aside")).toPandas()
+    got = got.sort_values(["id", "mark"], kind="stable").drop_duplicates("id")
     x = np.array(got["x"].tolist()) if len(got) else np.zeros((0, 2 * DIM))
     return fit_network(vectors, x, got["y"].to_numpy(), got["aside"].to_numpy(dtype=bool))
 
