@@ -9,11 +9,14 @@ among its runs of ``ANCHOR`` bytes. Equal strings have equal anchors, so only
 strings whose anchor stands in two places go on (about
 one anchor in 70 bytes is counted in place of all suffixes). Consecutive strings of one anchor
 overlap and go on as one *segment*, to the bucket of their anchor. Anchors in
-more than ``heavy`` places would overfill a bucket; their strings go one by one,
-to buckets by the hash of the whole string.
-
-*Merging.* In a bucket, equal segments are one (their strings repeat if there
-were several). Segments that share an anchor with another one, or hold it twice,
+more than ``heavy`` places would overfill a bucket (a ruled line, say, in ever
+other surroundings); their strings are cut into segments by a second anchor
+instead, the least hash among their runs of four fifths of ``length``, which as
+good as tells the surroundings.
+
+*Merging.* In a bucket, equal segments are one: they were found by hash and compared
+byte by byte, and their strings repeat if there were several, without a merge.
+Segments that share an anchor with another one, or hold it twice,
 are dealt to shards of ``SHARD_BYTES``. Each shard's Burrows-Wheeler transform
 is built by itself. All shards are then merged by refining their interleave:
 rows are blocks of equal first symbols to begin with; a round tells rows of one
@@ -211,6 +214,7 @@ _SEGMENT = "bucket int, kind int, id binary, rid binary, start binary, n binary,
 
 def _segments(length: int, buckets: int, parts: int):
     names = [x.split()[0] for x in _SEGMENT.split(", ")]
+    wide = max(ANCHOR, 4 * length // 5)
     empty = pa.table({x: pa.array([], pa.int32() if x in ("bucket", "kind") else pa.binary()) for x in names})
 
     def run(texts: pa.Table, repeated: pa.Table) -> pa.Table:
@@ -228,21 +232,30 @@ def _segments(length: int, buckets: int, parts: int):
             go = np.flatnonzero(known.of(least))
             if not len(go):
                 continue
-            begin, doc, key = p.begin[go], p.doc[go], least[go]
-            own = np.where(known.too_frequent(key), textbytes.span_hash(p.prefix, begin, begin + length), key)
-            new = np.ones(len(go), bool)
-            new[1:] = (np.diff(begin) != 1) | (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
-            run_at = np.arange(len(go)) - np.maximum.accumulate(np.where(new, np.arange(len(go)), 0))
-            at = np.flatnonzero(new | (run_at % RUN == 0))
-            n = np.diff(np.append(at, len(go)))
-            a, b = begin[at], begin[at] + n + length - 1
-            # places of the anchor's hash in the segment: two may repeat a string inside it
-            spots = np.flatnonzero(np.isin(p.hash, np.unique(key[at])))
-            order = np.lexsort((spots, p.hash[spots]))
-            spots, values = spots[order], p.hash[spots][order]
-            twice = _pairs(values, spots, key[at], a, b - ANCHOR + 1)
-            kept.append((ids[i + doc[at]], rids[i + doc[at]], a - (offs[i + doc[at]] - offs[i]), n, own[at], twice,
-                         textbytes.span_hash(p.prefix, a, b), a + offs[i], b + offs[i]))
+            hot = known.too_frequent(least[go])
+            for part, hashes, width in ((go[~hot], p.hash, ANCHOR), (go[hot], None, wide)):
+                if not len(part):
+                    continue
+                if hashes is None:
+                    at = np.arange(len(p.data) - wide + 1)
+                    hashes = textbytes.span_hash(p.prefix, at, at + wide)
+                    key = textbytes.sliding_min(hashes, length - wide + 1)[p.begin[part]]
+                else:
+                    key = least[part]
+                begin, doc = p.begin[part], p.doc[part]
+                new = np.ones(len(part), bool)
+                new[1:] = (np.diff(begin) != 1) | (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+                run_at = np.arange(len(part)) - np.maximum.accumulate(np.where(new, np.arange(len(part)), 0))
+                at = np.flatnonzero(new | (run_at % RUN == 0))
+                n = np.diff(np.append(at, len(part)))
+                a, b = begin[at], begin[at] + n + length - 1
+                # places of the anchor's hash in the segment: two may repeat a string inside it
+                spots = np.flatnonzero(np.isin(hashes, np.unique(key[at])))
+                order = np.lexsort((spots, hashes[spots]))
+                spots, values = spots[order], hashes[spots][order]
+                twice = _pairs(values, spots, key[at], a, b - width + 1)
+                kept.append((ids[i + doc[at]], rids[i + doc[at]], a - (offs[i + doc[at]] - offs[i]), n, key[at], twice,
+                             textbytes.span_hash(p.prefix, a, b), a + offs[i], b + offs[i]))
         if not kept:
             return empty
         id_, rid, start, n, anchor, twice, hashes, a, b = [np.concatenate(x) for x in zip(*kept, strict=True)]
@@ -259,11 +272,11 @@ def _segments(length: int, buckets: int, parts: int):
         by = np.argsort(bucket, kind="stable")
         go, bucket = go[by], bucket[by]
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-        text, offs = textbytes.spans(data, a[go], b[go])
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for x, y in zip(cut[:-1], cut[1:], strict=True):
             part = go[x:y]
-            rows.append((int(bucket[x]), 0, *[v[part].tobytes() for v in (id_, rid, start, n, anchor, twice)], squeeze(text[offs[x]:offs[y]].tobytes())))
+            text, _ = textbytes.spans(data, a[part], b[part])
+            rows.append((int(bucket[x]), 0, *[v[part].tobytes() for v in (id_, rid, start, n, anchor, twice)], squeeze(text.tobytes())))
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 7]
         return pa.table({name: pa.array(v, k) for name, v, k in zip(names, zip(*rows, strict=True), kinds, strict=True)})
 
