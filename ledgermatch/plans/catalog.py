@@ -186,6 +186,20 @@ def q_amount_and_date_tolerance(spark, sf_dir):
     return reconcile(i, e, MatchSpec(match_on=tuple(_CL), amount_tolerance=0.05, date_tolerance_days=1, mode="classify")).classified
 
 
+_POSTED = ["lp AS (SELECT *, CAST(CAST(date AS DATE) + 1 AS VARCHAR) AS posted_date FROM ledger_internal)",
+           "ep AS (SELECT external_tx_id, CAST(CAST(date AS DATE) + 2 AS VARCHAR) AS posted_date, date, customer_id, location_id, net_amount FROM ledger_external)"]
+
+
+@register("date_columns_first_pair", V.with_ctes(V.PATH_A + _POSTED, V.outer_match_sql(
+    "lp", "ep", _CL, [*_LI, "posted_date"], ["external_tx_id", "posted_date", *_LE[1:]], where=_DAYS1.replace("r.date", "r.posted_date"))))
+def q_date_columns_first_pair(spark, sf_dir):
+    """Of several columns named after dates the first of each side decides: ``date`` of one, ``posted_date`` of the other."""
+    i, e = ledgers(spark, sf_dir)
+    i = i.withColumn("posted_date", F.date_add(F.col("date").cast("date"), 1).cast("string"))
+    e = e.select("external_tx_id", F.date_add(F.col("date").cast("date"), 2).cast("string").alias("posted_date"), "date", "customer_id", "location_id", "net_amount")
+    return reconcile(i, e, MatchSpec(match_on=tuple(_CL), date_tolerance_days=1)).classified
+
+
 @register("many_to_many_match",
           _path_a(V.outer_match_sql("ledger_internal", "ledger_external", _CL, _LI, _LE, merge="both")))
 def q_many_to_many_match(spark, sf_dir):
@@ -313,10 +327,13 @@ def q_dq_not_null(spark, sf_dir):
 UNION ALL SELECT 'fct_renamed', 'match_status', 'accepted_values',
   COUNT(*) FILTER (WHERE match_status = 'UNMATCHED_EXTERNAL') FROM fct"""))
 def q_dq_accepted_values(spark, sf_dir):
-    """The declared list, and the same test on a table one of whose labels is not in it."""
-    i, e = staged(spark, sf_dir)
-    renamed = mart.fct_reconciled(i, e, labels=StatusLabels(unmatched_external="NOT_IN_OURS"))
-    return (quality.accepted_values(fct(spark, sf_dir), "match_status", StatusLabels().all(), "fct")
+    """The declared list on the mart as it was published, and the same test where one of its labels is not in the list."""
+    path = scratch_path(spark, "fct_labels")
+    publish.publish(fct(spark, sf_dir).select("match_status"), path)
+    table = publish.read_published(spark, path)
+    status = F.col("match_status")
+    renamed = table.withColumn("match_status", F.when(status == StatusLabels().unmatched_external, "NOT_IN_OURS").otherwise(status))
+    return (quality.accepted_values(table, "match_status", StatusLabels().all(), "fct")
             .unionByName(quality.accepted_values(renamed, "match_status", StatusLabels().all(), "fct_renamed")))
 
 
@@ -363,6 +380,22 @@ def q_scan_csv(spark, sf_dir):
     return files.read_delimited(spark, path, schema=files.RAW_INTERNAL_SCHEMA, parse_dates=())
 
 
+@register("scan_path_rules", V.with_ctes(V.LEDGERS, "SELECT rule, COUNT(*) FILTER (WHERE rule <> 'missing') AS n_rows, "
+          "COUNT(amount) FILTER (WHERE rule <> 'missing') AS n_amounts FROM raw_internal, (VALUES ('plain'), ('scheme'), ('glob'), ('missing')) r(rule) GROUP BY rule"))
+def q_scan_path_rules(spark, sf_dir):
+    """One file set by its path, by a path with a scheme and by a glob; a path that is not there is an error."""
+    path = _to_csv(fixtures.raw_internal(spark, sf_dir), scratch_path(spark, "paths") + ".csv")
+    whole = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    read = lambda p: files.read_delimited(spark, p, schema=files.RAW_INTERNAL_SCHEMA, parse_dates=())
+    counts = lambda df, rule: df.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("n_rows"), F.count("amount").alias("n_amounts"))
+    out = counts(read(path), "plain").unionByName(counts(read(whole), "scheme")).unionByName(counts(read(f"{path}/*.csv"), "glob"))
+    try:
+        read(f"{path}-missing").count()
+    except FileNotFoundError:
+        return out.unionByName(counts(read(path).limit(0), "missing"))
+    raise AssertionError("a missing path was read")
+
+
 @register("scan_psv", V.with_ctes(V.LEDGERS, _raw_parsed("raw_external")))
 def q_scan_psv(spark, sf_dir):
     path = _to_csv(fixtures.raw_external(spark, sf_dir), scratch_path(spark, "raw_external") + ".psv", sep="|")
@@ -488,6 +521,33 @@ def q_sink_truncate_load(spark, sf_dir):
 _RUN_TS = "2024-06-30 05:00:00"
 
 
+@register("run_timestamp", V.with_ctes(V.MART, f"SELECT TIMESTAMP '{_RUN_TS}' AS reconciliation_timestamp, COUNT(*) AS n_rows FROM fct"))
+def q_run_timestamp(spark, sf_dir):
+    """All rows of a run carry its timestamp."""
+    i, e = staged(spark, sf_dir)
+    stamp = F.col("reconciliation_timestamp").cast("timestamp_ntz").alias("reconciliation_timestamp")
+    return mart.fct_reconciled(i, e, run_ts=_RUN_TS).groupBy(stamp).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("sink_database_table", V.with_ctes(V.MART, "SELECT * FROM fct"))
+def q_sink_database_table(spark, sf_dir):
+    """The mart as a table of a database that is created if missing: loaded, loaded again, and kept when a load fails."""
+    folder = scratch_path(spark, "warehouse")
+    database = folder.rsplit("/", 1)[-1].replace("-", "_")
+    for _ in range(2):
+        writers.ensure_database(spark, database, folder)
+    table, rows = f"{database}.fct_reconciled", fct(spark, sf_dir).select(*_MART_OUT)
+    for load in (rows.limit(5), rows):
+        writers.save_table(load, table, path=f"{folder}/fct_reconciled")
+    broken = rows.withColumn("match_status", F.when(F.col("match_status") == "MATCHED", F.raise_error(F.lit("bad row"))).otherwise(F.col("match_status")))
+    try:
+        writers.save_table(broken, table, path=f"{folder}/fct_reconciled")
+    except Exception as exc:  # the load's own fault, and no other
+        if "bad row" not in str(exc):
+            raise
+    return spark.table(table)
+
+
 @register("sink_atomic_replace", V.with_ctes(V.LEDGERS, "SELECT * FROM raw_internal"))
 def q_sink_atomic_replace(spark, sf_dir):
     """A published table after a good load and one that fails half-way: the good one is read."""
@@ -700,6 +760,23 @@ def q_stream_overall_metrics(spark, sf_dir):
     return overall_metrics(_run(spark, s, "recon-overall"))
 
 
+@register("stream_observed_counts", "SELECT COUNT(*) FILTER (WHERE _merge = 'both') AS matched, COUNT(*) FILTER (WHERE _merge = 'left_only') AS unmatched_internal, "
+          f"COUNT(*) FILTER (WHERE _merge = 'right_only') AS unmatched_external FROM ({_stream_join_sql('full_outer')}) a")
+def q_stream_observed_counts(spark, sf_dir):
+    """Counts that each micro-batch pushes to a listener as it is written; the output is not read again."""
+    internal, external = _event_streams(spark, sf_dir)
+    path, listener = scratch_path(spark, "stream-observed"), runner.ProgressListener()
+    s = reconcile_stream(internal, external, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
+    name = path.rsplit("/", 1)[-1]
+    s = s.observe(name, *[F.count_if(F.col("_merge") == tag).alias(n) for tag, n in writers.COUNTS.items()])
+    spark.streams.addListener(listener)
+    try:
+        listener.wait(runner.run_to_parquet(s, f"{path}/out", f"{path}/checkpoint"))
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.createDataFrame([tuple(listener.observed[name][n] for n in writers.COUNTS.values())], ", ".join(f"{n} long" for n in writers.COUNTS.values()))
+
+
 _TIMELESS = ["s_int0 AS (SELECT event_id, user_id, CASE WHEN event_id % 23 = 6 THEN NULL ELSE ts END AS ts, amount FROM s_int)"]
 
 

@@ -12,7 +12,7 @@ from ledgermatch.functions import StatusLabels
 from ledgermatch.operators import mart, quality, staging, summary
 from ledgermatch.operators.reconcile import ReconResult, reconcile
 from ledgermatch.session import ensure_checkpoint_dir, scratch_path
-from ledgermatch.sinks import writers
+from ledgermatch.sinks import publish, writers
 from ledgermatch.sources import files
 from ledgermatch.sources.dispatch import read_source
 from ledgermatch.spec import JobSpec
@@ -106,7 +106,7 @@ def stream_source(spark: SparkSession, src, value_schema) -> DataFrame:
 
 
 def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external_schema, ts_col: str | None = None,
-                   available_now: bool = True):
+                   available_now: bool = True, late_path: str | None = None):
     """Streaming reconciliation from a job spec with a ``window`` section.
 
     Keys are ``match_on`` minus the event time (the window takes its place). The
@@ -116,8 +116,13 @@ def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external
     configured names under ``output.path`` in the configured format, one folder
     per micro-batch; window state and offsets live in ``state.storage_path`` (or
     under the output).
+
+    With ``late_path`` late events are kept: a query of its own splits both sides
+    by the watermark, on-time events are reconciled from there, and late ones are
+    read by ``late.read_late(spark, late_path, side, schema)``.
     """
     from ledgermatch.spec import WindowSpec
+    from ledgermatch.streaming import late
     from ledgermatch.streaming import runner
     from ledgermatch.streaming.reconcile import reconcile_stream
     window = spec.window or WindowSpec()
@@ -128,6 +133,12 @@ def run_stream_job(spark: SparkSession, spec: JobSpec, internal_schema, external
     keys = [k for k in spec.matching.match_on if k != ts_col and (k != "date" or k in internal_schema.fieldNames())]
     internal = stream_source(spark, spec.internal, internal_schema)
     external = stream_source(spark, spec.external, external_schema)
+    if late_path:
+        schemas = internal.schema, external.schema
+        for side in late.SIDES:
+            publish.make_folder(spark, f"{late_path}/on_time/{side}")
+        late.run_late_split(internal, external, late_path, f"{late_path}/_checkpoint", window, ts_col, available_now)
+        internal, external = [late.on_time_stream(spark, late_path, side, schema) for side, schema in zip(late.SIDES, schemas)]
     tol = spec.matching.amount_tolerance if spec.matching.amount_tolerance > 0 else None
     stream = reconcile_stream(internal, external, keys, window, spec.matching.internal_key,
                               spec.matching.external_key, tol, ts_col,

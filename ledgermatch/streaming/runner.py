@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections import Counter, deque
 from contextlib import contextmanager
 
@@ -159,6 +160,14 @@ class ProgressListener(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         self.ended.append(str(event.id))
 
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until the events of a query that has ended are in; they come a little after it."""
+        end = time.monotonic() + seconds
+        while str(query.id) not in self.ended:
+            if time.monotonic() > end:
+                raise TimeoutError(f"no event of the end of query {query.id}")
+            time.sleep(0.05)
+
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.rows), _PROGRESS_SCHEMA)
 
