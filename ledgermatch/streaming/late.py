@@ -12,8 +12,10 @@ one of the four folders.
 The watermark is the lesser of both sides' largest event times so far, less the
 grace period. Each batch writes what it has seen to ``seen/batch=<id>``, so the
 next one reads one small file, however long the stream has run, and a restart
-goes on where it stopped. All folders of a batch are written with overwrite: a
-batch that runs again after a failure replaces its own rows.
+goes on where it stopped. Each folder of a batch lands under a hidden name and
+appears by one rename, whole or not at all; a batch that runs again after a failure
+writes what is not there yet. So a stream that reads the on-time rows gets each of
+them once. (The rename has to be atomic, as on HDFS and local disks.)
 
 Defined results: an event without a time is on time (the reconciliation reports it
 as unmatched); until both sides have had an event nothing is late; an event is
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgermatch.sinks.publish import exists, replace_folder
 from ledgermatch.spec import WindowSpec
 from ledgermatch.streaming.windows import event_time
 
@@ -62,6 +65,11 @@ def late_split(spark: SparkSession, base: str, spec: WindowSpec) -> Callable[[Da
     def seen_before(batch_id: int) -> DataFrame:
         return spark.read.schema(_SEEN).parquet(f"{base}/seen/batch={batch_id - 1}") if batch_id else spark.createDataFrame([], _SEEN)
 
+    def once(rows: DataFrame, folder: str) -> None:
+        """Offsets and watermark of a batch are the same at every try, so a folder that is there is right."""
+        if not exists(spark, folder):
+            replace_folder(rows, folder)
+
     def split(batch: DataFrame, batch_id: int) -> None:
         before = seen_before(batch_id)
         known = before.where("latest is not null").agg(F.count(F.lit(1)).alias("n"), F.min("latest").alias("least")).first()
@@ -74,12 +82,11 @@ def late_split(spark: SparkSession, base: str, spec: WindowSpec) -> Callable[[Da
             late = F.coalesce(last_window_end(F.col("at"), spec) <= watermark, F.lit(False))
             for side in SIDES:
                 rows = batch.where(F.col("side") == side)
-                rows.where(~late).select(f"{side}.*").write.mode("overwrite").parquet(f"{base}/on_time/{side}/batch={batch_id}")
-                (rows.where(late).select(f"{side}.*", F.lit(batch_id).cast("long").alias("batch_id"), watermark.alias("watermark"))
-                 .write.mode("overwrite").parquet(f"{base}/late/{side}/batch={batch_id}"))
+                once(rows.where(~late).select(f"{side}.*"), f"{base}/on_time/{side}/batch={batch_id}")
+                once(rows.where(late).select(f"{side}.*", F.lit(batch_id).cast("long").alias("batch_id"), watermark.alias("watermark")),
+                     f"{base}/late/{side}/batch={batch_id}")
             now = batch.groupBy("side").agg(F.max("at").alias("latest"))
-            (before.unionByName(now).groupBy("side").agg(F.max("latest").alias("latest")).coalesce(1)
-             .write.mode("overwrite").parquet(f"{base}/seen/batch={batch_id}"))
+            once(before.unionByName(now).groupBy("side").agg(F.max("latest").alias("latest")).coalesce(1), f"{base}/seen/batch={batch_id}")
         finally:
             batch.unpersist()
 

@@ -244,14 +244,29 @@ def test_late_rows_are_kept_apart_and_counted(spark, tmp_path):
     assert on_time[0] + 2 == sum(len(i) for i, _ in arrivals) and on_time[1] + 1 == sum(len(e) for _, e in arrivals)
 
 
-def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path):
+def test_a_batch_that_runs_again_writes_what_is_missing(spark, tmp_path, monkeypatch):
+    """A batch that broke off between two folders: the first one's files stay, so who read them gets no row twice."""
+    from ledgermatch.sinks import publish
     from ledgermatch.streaming import late
     rows = spark.createDataFrame([(1, 1, t(0, 5), 1.0)], SCHEMA_I)
-    batch = late._tagged(rows, spark.createDataFrame([], SCHEMA_E), "ts")
+    batch = late._tagged(rows, spark.createDataFrame([(2, 1, t(0, 5), 1.0)], SCHEMA_E), "ts")
     split = late.late_split(spark, str(tmp_path), HOUR)
+
+    def broken(df, folder):
+        if "external" in folder:
+            raise RuntimeError("lost")
+        return publish.replace_folder(df, folder)
+
+    monkeypatch.setattr(late, "replace_folder", broken)
+    with pytest.raises(RuntimeError):
+        split(batch, 0)
+    monkeypatch.setattr(late, "replace_folder", publish.replace_folder)
+    files = sorted(str(p) for p in (tmp_path / "on_time").rglob("*.parquet"))
     for _ in range(2):
         split(batch, 0)
-    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/on_time/internal").count() == 1
+    assert files and set(files) < {str(p) for p in (tmp_path / "on_time").rglob("*.parquet")}
+    for side in late.SIDES:
+        assert spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/on_time/{side}").count() == 1
 
 
 @pytest.mark.parametrize("spec", [HOUR, WindowSpec("sliding", "1 hour", "15 minutes", "10 minutes"), WindowSpec("sliding", "50 minutes", "20 minutes"),
