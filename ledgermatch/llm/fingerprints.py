@@ -241,8 +241,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     extra = rows.join(F.broadcast(sent), ["key", "rid"]).select("id", "key", "rid", "text", F.col("to").alias("range"), F.lit(True).alias("extra"))
     both = placed.select("id", "key", "rid", "text", "range", F.lit(False).alias("extra")).unionByName(extra)
 
-    # the guest comes last in its range
-    ordered = both.repartition("range").sortWithinPartitions("range", "extra", F.desc("key"), "rid").select("id", "text", "range", "extra")
+    # a task for each range; the guest comes last in it
+    ordered = both.repartitionById(n + 1, "range").sortWithinPartitions("range", "extra", F.desc("key"), "rid").select("id", "text", "range", "extra")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row so far, whose next one is yet to come
