@@ -511,7 +511,8 @@ def test_sql_of_queries(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     for name, sql in queries.ORACLE.items():
-        got = queries.QUERIES[name](spark, SF).toPandas()
-        want = con.sql(sql).df()[list(got.columns)]
-        key = list(got.columns)
-        assert got.sort_values(key).reset_index(drop=True).equals(want.sort_values(key).reset_index(drop=True)), name
+        df = queries.QUERIES[name](spark, SF)
+        # plain values: pandas would turn whole numbers beside nulls to floats
+        got = [tuple(r) for r in df.collect()]
+        want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({sql.rstrip()}) q").fetchall()
+        assert sorted(got, key=repr) == sorted(want, key=repr) and len(got) > 0, name
