@@ -5,8 +5,10 @@ from ledgermatch.functions.expressions import (
     StatusLabels,
     amount_bucket,
     amount_difference,
+    amount_reach,
     day_bucket,
     day_distance,
+    day_reach,
     micros_between,
     na_to_null,
     parse_datetime,
@@ -21,8 +23,10 @@ __all__ = [
     "StatusLabels",
     "amount_bucket",
     "amount_difference",
+    "amount_reach",
     "day_bucket",
     "day_distance",
+    "day_reach",
     "micros_between",
     "na_to_null",
     "parse_datetime",

@@ -91,21 +91,54 @@ def within_days(a: Column, b: Column, days: int) -> Column:
 def amount_bucket(amount: Column, tolerance: float) -> Column:
     """Whole number that differs by at most 1 for amounts within ``tolerance``.
 
-    Buckets are four tolerances wide. While a double's neighbours are closer than
-    the tolerance, the quotient's rounding is at most an eighth, so amounts within
-    it have quotients less than 1 apart; beyond, only equal doubles are within it.
+    Buckets are sixteen tolerances wide. While a double's neighbours are no farther apart than
+    the tolerance, each quotient's rounding is at most a sixteenth, so amounts within it have
+    quotients no more than three sixteenths apart; beyond, only equal doubles are within it.
     """
+    return F.floor(_amount_quotient(amount, tolerance))
+
+
+def _amount_quotient(amount: Column, tolerance: float) -> Column:
     most = F.lit(2.0 ** 61)  # room for the neighbours; all beyond (and NaN) share the last bucket
-    return F.floor(F.least(F.greatest(amount.cast("double") / F.lit(4.0 * float(tolerance)), -most), most))
+    return F.least(F.greatest(amount.cast("double") / F.lit(16.0 * float(tolerance)), -most), most)
 
 
-def day_bucket(ts: Column, days: int) -> Column:
-    """Whole number that differs by at most 1 for timestamps ``within_days`` of each other."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    at, width = micros_between(ts, epoch), F.lit((int(days) + 1) * _MICROS_PER_DAY)
+def amount_reach(amount: Column, tolerance: float) -> Column:
+    """Array of the buckets that may hold amounts within ``tolerance``: its own, and a neighbour less than a quarter away."""
+    at = _amount_quotient(amount, tolerance)
+    own = F.floor(at)
+    part = at - own
+    cells = F.when(part < 0.25, F.array(own, own - 1)).when(part >= 0.75, F.array(own, own + 1)).otherwise(F.array(own))
+    return F.when(amount.isNotNull(), cells)
+
+
+def _day_cell(at: Column, days: int) -> Column:
+    width = F.lit(4 * (int(days) + 1) * _MICROS_PER_DAY)
     return F.round((at - F.pmod(at, width)) / width).cast("bigint")  # the quotient is whole but for rounding
 
 
+def _epoch_micros(ts: Column) -> Column:
+    return micros_between(ts, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def day_bucket(ts: Column, days: int) -> Column:
+    """Whole number that differs by at most 1 for timestamps ``within_days`` of each other; four times their span wide."""
+    return _day_cell(_epoch_micros(ts), days)
+
+
+def day_reach(ts: Column, days: int, of_first: bool) -> Column:
+    """Array of the buckets that may hold partners of a timestamp: of a first one ``a`` those of ``b``, or the other way round.
+
+    ``within_days(a, b, days)`` is ``-days <= (a - b) / 1 day < days + 1``.
+    """
+    before, after = (int(days) + 1) * _MICROS_PER_DAY - 1, int(days) * _MICROS_PER_DAY
+    if not of_first:
+        before, after = after, before
+    at = _epoch_micros(ts)
+    low, high = _day_cell(at - before, days), _day_cell(at + after, days)
+    return F.when(ts.isNotNull(), F.when(low == high, F.array(low)).otherwise(F.array(low, high)))
+
+
 def parse_datetime(c: Column | str, fmt: str = "yyyy-MM-dd", lenient: bool = False) -> Column:
     """``PARSE_DATETIME``: zone-free timestamp; malformed text fails unless lenient."""
     column = _col(c)

@@ -17,11 +17,11 @@ All three read one hash exchange per side (reused within the query), and a
 filter on ``_merge`` prunes the branches it does not need, so ``matched``
 alone never pays for the anti joins.
 
-With tolerances, *bands* join the keys, one for each: the value's bucket, wide
-enough that two values within the tolerance are in the same or in neighbouring
-buckets. Two bands make a grid of cells. One side of each join is put into its cell
-and all neighbours (three for one band, nine for two), the other only into its own,
-and the exact condition stays as a residual. So a key that is hot on both sides is
+With tolerances, *bands* join the keys, one for each: the value's bucket, several
+tolerances wide, so that two values within the tolerance are in the same or, near an
+edge, in neighbouring buckets. Two bands make a grid of cells. One side of each join is
+put into its cell and the neighbours that it reaches (about one and a half cells for a
+band, two for two bands), the other only into its own, and the exact condition stays as a residual. So a key that is hot on both sides is
 compared within neighbouring cells, not as a whole, also where its rows agree in one
 of the two values; the anti joins' build sides are distinct (keys, values) rows there.
 """
@@ -43,6 +43,16 @@ BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 INDICATOR = "_merge"
 
 
+@dataclass(frozen=True)
+class Band:
+    """Buckets of one side's rows, from a resolver of its source columns."""
+
+    #: The bucket of a row: a whole number, or null for a row that can match nothing.
+    of: Callable[[Callable[[str], Column]], Column]
+    #: Array of the other side's buckets that its partners may be in; null with ``of``.
+    reach: Callable[[Callable[[str], Column]], Column]
+
+
 @dataclass(frozen=True)
 class MatchLayout:
     """Output naming of an outer match: keys once, overlaps suffixed."""
@@ -146,15 +156,16 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
                 residual_columns: tuple[Sequence[str], Sequence[str]] = ((), ()),
                 suffixes: tuple[str, str] = ("_internal", "_external"),
                 null_safe: bool = True,
-                bands: Sequence[tuple[Callable[[Callable[[str], Column]], Column], Callable[[Callable[[str], Column]], Column]]] = (),
+                bands: Sequence[tuple[Band, Band]] = (),
                 ) -> tuple[DataFrame, MatchLayout]:
     """Full outer join on ``keys`` (and ``residual``) with a ``_merge`` indicator.
 
     ``residual(l, r)`` builds an extra pair condition from two resolvers that
     map a source column name of the left / right side to a ``Column``; the
     columns it reads must be listed in ``residual_columns`` (left, right).
-    Each of ``bands`` gives the bucket of a left and of a right row, as whole numbers
-    that differ by at most 1 wherever the residual holds.
+    Each of ``bands`` says for left and for right rows which bucket a row is in and which
+    of the other side it reaches; wherever the residual holds, a row reaches the other's bucket.
+    They read key and residual columns only.
     """
     lay = layout(left, right, keys, suffixes)
     n = len(keys)
@@ -175,13 +186,12 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     l_band, r_band = [f"__lband{i}" for i in range(len(bands))], [f"__rband{i}" for i in range(len(bands))]
     for (of_left, of_right), a, b in zip(bands, l_band, r_band):
-        lside, rside = lside.withColumn(a, of_left(lref(lside))), rside.withColumn(b, of_right(rref(rside)))
+        lside, rside = lside.withColumn(a, of_left.of(lref(lside))), rside.withColumn(b, of_right.of(rref(rside)))
 
-    def neighbours(frame: DataFrame, names: list[str]) -> DataFrame:
-        """Each row in its cell and all neighbours; rows without a value are in none."""
-        for name in names:
-            at = F.col(name)
-            frame = frame.withColumn(name, F.explode(F.when(at.isNotNull(), F.array(at - 1, at, at + 1))))
+    def reaching(frame: DataFrame, names: list[str], side: int, ref) -> DataFrame:
+        """Each row in the cells that its partners may be in; rows without a value are in none."""
+        for band, name in zip(bands, names):
+            frame = frame.withColumn(name, F.explode(band[side].reach(ref(frame))))
         return frame
 
     def condition(lf: DataFrame, rf: DataFrame) -> Column:
@@ -204,7 +214,7 @@ def outer_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     lkeys, rkeys = distinct_keys(lkeys, lkeys.columns), distinct_keys(rkeys, rkeys.columns)
     rpairs = rside
     if bands:
-        lkeys, rkeys, rpairs = neighbours(lkeys, l_band), neighbours(rkeys, r_band), neighbours(rside, r_band)
+        lkeys, rkeys, rpairs = reaching(lkeys, l_band, 0, lref), reaching(rkeys, r_band, 1, rref), reaching(rside, r_band, 1, rref)
 
     pairs = lside.join(rpairs, condition(lside, rpairs), "inner")
     lonly = lside.join(rkeys, condition(lside, rkeys), "left_anti")
