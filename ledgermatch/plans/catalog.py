@@ -22,7 +22,7 @@ from ledgermatch.sinks import publish, writers
 from ledgermatch.sources import files, fixtures
 from ledgermatch.sources.dispatch import read_source
 from ledgermatch.spec import JobSpec, OutputSpec, SourceSpec, WindowSpec
-from ledgermatch.streaming import late, runner
+from ledgermatch.streaming import late, replay, runner
 from ledgermatch.streaming.reconcile import overall_metrics, reconcile_stream, window_metrics
 from ledgermatch.streaming.windows import window_counts
 
@@ -669,9 +669,15 @@ _STREAM_KEYS = ["user_id", "event_id"]
 
 
 def _event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    schema = fixtures.table(spark, sf_dir, "events").schema
-    ev_i = runner.file_stream(spark, sf_dir, schema, "events.parquet")
-    ev_e = runner.file_stream(spark, sf_dir, schema, "events.parquet")
+    """The table as a stream for each side; one of more rows than a trigger should hold comes in the order of its times."""
+    events = fixtures.table(spark, sf_dir, "events")
+    files = replay.file_count(events.count())
+    folder, glob, bound = sf_dir, "events.parquet", None
+    if files > 1:
+        events = events.select("event_id", "user_id", "ts", "value")
+        folder, glob = scratch_path(spark, "events-by-time"), None
+        bound = replay.land(events, folder, "ts", files)
+    ev_i, ev_e = [runner.file_stream(spark, folder, events.schema, glob, bound) for _ in late.SIDES]
     return fixtures.stream_internal_shape(ev_i), fixtures.stream_external_shape(ev_e)
 
 

@@ -66,6 +66,24 @@ def remove(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Files of a folder by name, without hidden ones, and their modification times in milliseconds."""
+    files = [s for s in _fs(spark, path).listStatus(_path(spark, path)) if s.isFile() and s.getPath().getName()[0] not in "._"]
+    return sorted((s.getPath().getName(), s.getModificationTime()) for s in files)
+
+
+def in_name_order(spark: SparkSession, path: str) -> None:
+    """Set the modification times of a folder's files along their names, by which a stream takes them.
+
+    The times begin now, a millisecond each. They are past when this returns, so what is written next is later.
+    """
+    fs, names = _fs(spark, path), [name for name, _ in data_files(spark, path)]
+    start = time.time_ns() // 1_000_000
+    for k, name in enumerate(names):
+        fs.setTimes(_path(spark, f"{path}/{name}"), start + k, -1)
+    time.sleep(max(0.0, (start + len(names) + 1) / 1e3 - time.time()))
+
+
 def _written(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str], options: dict) -> None:
     writer = df.write.format(fmt).options(**options)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
@@ -136,18 +154,32 @@ def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(current_version(spark, path))
 
 
-def replace_folder(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), **options) -> str:
-    """Replace the folder at ``path``; a plan that fails leaves it as it was."""
+def land(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), **options) -> str:
+    """Write ``df`` to a hidden folder beside ``path``, which it may replace by ``take_place``."""
     spark, target = df.sparkSession, resolve_path(path).rstrip("/")
     parent, name = target.rsplit("/", 1)
-    mark = uuid.uuid4().hex[:12]
-    landed, aside = f"{parent}/.{name}-next-{mark}", f"{parent}/.{name}-old-{mark}"
-    fs = _fs(spark, target)
+    landed = f"{parent}/.{name}-next-{uuid.uuid4().hex[:12]}"
     try:
         _written(df, landed, fmt, partition_by, options)
     except Exception:
-        fs.delete(_path(spark, landed), True)
+        remove(spark, landed)
         raise
+    return landed
+
+
+def replace_folder(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), **options) -> str:
+    """Replace the folder at ``path``; a plan that fails leaves it as it was. Its files' times follow their names."""
+    landed = land(df, path, fmt, partition_by, **options)
+    in_name_order(df.sparkSession, landed)
+    return take_place(df.sparkSession, landed, path)
+
+
+def take_place(spark: SparkSession, landed: str, path: str) -> str:
+    """Move a landed folder to ``path``, in place of what is there."""
+    target = resolve_path(path).rstrip("/")
+    parent, name = target.rsplit("/", 1)
+    aside = f"{parent}/.{name}-old-{uuid.uuid4().hex[:12]}"
+    fs = _fs(spark, target)
     had = fs.exists(_path(spark, target))
     if had and not fs.rename(_path(spark, target), _path(spark, aside)):
         raise OSError(f"could not move {target} aside")

@@ -27,14 +27,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgermatch.sinks.publish import exists, replace_folder
+from ledgermatch.sinks.publish import exists, folders, replace_folder
 from ledgermatch.spec import WindowSpec
-from ledgermatch.streaming.windows import event_time
+from ledgermatch.streaming.replay import by_time, file_count, kept_order
+from ledgermatch.streaming.runner import file_stream
+from ledgermatch.streaming.windows import event_time, last_window_end
 
 SIDES = ("internal", "external")
 _SEEN = "side string, latest timestamp"
@@ -52,14 +54,6 @@ def _tagged(internal: DataFrame, external: DataFrame, ts_col: str) -> DataFrame:
     return one(0).unionByName(one(1))
 
 
-def last_window_end(at: Column, spec: WindowSpec) -> Column:
-    """End of the last window that holds an event time (the windows of one slide begin at multiples of it since the epoch)."""
-    step = F.unix_micros(F.lit("1970-01-01 00:00:00 UTC").cast("timestamp") + F.expr(f"INTERVAL {spec.slide or spec.size}"))
-    size = F.unix_micros(F.lit("1970-01-01 00:00:00 UTC").cast("timestamp") + F.expr(f"INTERVAL {spec.size}"))
-    micros = F.unix_micros(at)
-    return F.timestamp_micros(micros - F.pmod(micros, step) + size)
-
-
 def late_split(spark: SparkSession, base: str, spec: WindowSpec) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that writes a tagged batch's on-time and late rows under ``base``."""
     def seen_before(batch_id: int) -> DataFrame:
@@ -68,7 +62,7 @@ def late_split(spark: SparkSession, base: str, spec: WindowSpec) -> Callable[[Da
     def once(rows: DataFrame, folder: str) -> None:
         """Offsets and watermark of a batch are the same at every try, so a folder that is there is right."""
         if not exists(spark, folder):
-            replace_folder(rows, folder)
+            replace_folder(rows, folder)  # the files are taken in the order of their names
 
     def split(batch: DataFrame, batch_id: int) -> None:
         before = seen_before(batch_id)
@@ -80,9 +74,11 @@ def late_split(spark: SparkSession, base: str, spec: WindowSpec) -> Callable[[Da
                 # in milliseconds, as a stream's own watermark
                 watermark = F.date_trunc("millisecond", F.lit(known["least"])) - F.expr(f"INTERVAL {spec.grace}")
             late = F.coalesce(last_window_end(F.col("at"), spec) <= watermark, F.lit(False))
+            sizes = {r["side"]: r["count"] for r in batch.groupBy("side").count().collect()}  # two at most
             for side in SIDES:
                 rows = batch.where(F.col("side") == side)
-                once(rows.where(~late).select(f"{side}.*"), f"{base}/on_time/{side}/batch={batch_id}")
+                ordered = by_time(rows.where(~late), "at", file_count(sizes.get(side, 0)))
+                once(ordered.select(f"{side}.*"), f"{base}/on_time/{side}/batch={batch_id}")
                 once(rows.where(late).select(f"{side}.*", F.lit(batch_id).cast("long").alias("batch_id"), watermark.alias("watermark")),
                      f"{base}/late/{side}/batch={batch_id}")
             now = batch.groupBy("side").agg(F.max("at").alias("latest"))
@@ -105,9 +101,16 @@ def run_late_split(internal: DataFrame, external: DataFrame, base: str, checkpoi
     return query
 
 
-def on_time_stream(spark: SparkSession, base: str, side: str, schema: T.StructType) -> DataFrame:
-    """One side's on-time rows as a stream, as ``reconcile_stream`` takes them."""
-    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/on_time/{side}")
+def on_time_stream(spark: SparkSession, base: str, side: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """One side's on-time rows as a stream, as ``reconcile_stream`` takes them.
+
+    ``max_files_per_trigger`` bounds what a trigger brings into state. A batch's files are by time and batches follow each
+    other, so whatever part of them was taken, the rest is on time. Where the file system did not keep that order there is no bound.
+    """
+    folder = f"{base}/on_time/{side}"
+    batches = sorted(folders(spark, folder), key=lambda name: int(name.removeprefix("batch=")))
+    bound = max_files_per_trigger if kept_order(spark, [f"{folder}/{name}" for name in batches]) else None
+    return file_stream(spark, folder, schema, max_files_per_trigger=bound, recursive=True)
 
 
 def read_late(spark: SparkSession, base: str, side: str, schema: T.StructType) -> DataFrame:

@@ -21,14 +21,14 @@ reported as unmatched at once, with null window bounds.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermatch.operators.matching import BOTH, INDICATOR, LEFT_ONLY, RIGHT_ONLY
 from ledgermatch.spec import WindowSpec
-from ledgermatch.streaming.windows import flatten_window, with_window
+from ledgermatch.streaming.windows import event_time, flatten_window, last_window_end, with_window
 
 
 def _side(df: DataFrame, ts_col: str, spec: WindowSpec, prefix: str, by_time: bool = False) -> DataFrame:
@@ -48,9 +48,16 @@ def _side(df: DataFrame, ts_col: str, spec: WindowSpec, prefix: str, by_time: bo
     return w.select(cols)
 
 
+def _timed(df: DataFrame, ts_col: str, spec: WindowSpec, prefix: str) -> DataFrame:
+    """The event time as the watermarked column, in place of windows; beside it the columns of ``_side``."""
+    df = event_time(df, ts_col).withWatermark(ts_col, spec.grace)
+    plain = [(F.col(c) + F.expr("INTERVAL 0 SECONDS") if c == ts_col else F.col(c)).alias(f"{prefix}{c}") for c in df.columns]
+    return df.select(F.col(ts_col).alias(f"{prefix}time"), *plain)
+
+
 def _salted(df: DataFrame, prefix: str, buckets: int) -> DataFrame:
     """Each row in one bucket, chosen by a hash of its content (stable on retry)."""
-    content = F.xxhash64(*[F.col(c) for c in df.columns if c != f"{prefix}window"])
+    content = F.xxhash64(*[F.col(c) for c in df.columns if c not in (f"{prefix}window", f"{prefix}time")])
     return df.withColumn(f"{prefix}salt", F.pmod(content, F.lit(buckets)).cast("int"))
 
 
@@ -71,9 +78,10 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     batch matcher, unless ``null_safe_keys`` is off.
 
     ``pairs_once`` (with ``how="inner"``) reports a pair of sliding windows once, in place of once
-    for each window that holds both rows, and without a window. A pair is told by
-    all its columns, so rows that are equal in all of them make one; it is kept
-    in state only until the watermark has passed its window by the grace period.
+    for each window that holds both rows, and without a window. State has a row once, whatever
+    the number of its windows: two rows share a window if the later one is in the last window
+    of the earlier one. A pair is told by all its columns, so rows that are equal in all of them
+    make one; it is kept in state only until the watermark has passed its time by a window and the grace period.
 
     ``salt_buckets > 1`` spreads a hot key's window state over that many
     state partitions. One join puts each internal row in one bucket and copies
@@ -91,14 +99,20 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
     by_time = date_tolerance_days > 0
     if by_time and spec.type == "sliding":
         raise ValueError("a day tolerance needs tumbling windows: a sliding one would report each pair several times")
-    left = _side(internal.where(F.col(ts_col).isNotNull()), ts_col, spec, "i_", by_time)
-    right = _side(external.where(F.col(ts_col).isNotNull()), ts_col, spec, "e_", by_time)
+    side = _timed if pairs_once else partial(_side, by_time=by_time)
+    left = side(internal.where(F.col(ts_col).isNotNull()), ts_col, spec, "i_")
+    right = side(external.where(F.col(ts_col).isNotNull()), ts_col, spec, "e_")
 
     def condition(lf: DataFrame, rf: DataFrame, salted: bool) -> Column:
         # a stream join finds null keys equal by itself, so that has to be said where they are not to match
         plain = lambda a, b: (a == b) & a.isNotNull() & b.isNotNull()
         cond = [lf[f"i_{k}"].eqNullSafe(rf[f"e_{k}"]) if null_safe_keys else plain(lf[f"i_{k}"], rf[f"e_{k}"]) for k in keys]
-        if by_time:
+        if pairs_once:
+            # the last window that holds the earlier row holds the later one; the first two lines bound the state
+            size = F.expr(f"INTERVAL {spec.size}")
+            cond += [lf["i_time"] > rf["e_time"] - size, rf["e_time"] > lf["i_time"] - size,
+                     last_window_end(F.least(lf["i_time"], rf["e_time"]), spec) > F.greatest(lf["i_time"], rf["e_time"])]
+        elif by_time:
             # -days <= floor((internal - external) / 1 day) <= days
             day = lambda n: F.expr(f"INTERVAL {n} DAYS")
             cond += [lf["i_time"] >= rf["e_time"] - day(date_tolerance_days),
@@ -123,10 +137,10 @@ def reconcile_stream(internal: DataFrame, external: DataFrame, keys: Sequence[st
                           .where(F.col("i_window").isNull()).drop("i_salt", "e_salt"))
             joined = joined.unionByName(right_only)
     if pairs_once:
-        # the window's time carries the watermark on; it must be the only column that does
-        plain = [c for c in joined.columns if c not in ("i_window", "e_window")]
+        # one side's time carries the watermark on; it must be the only column that does
+        plain = [c for c in joined.columns if c not in ("i_time", "e_time")]
         none = F.lit(None).cast("struct<start:timestamp,end:timestamp>")
-        joined = joined.select(F.window_time("i_window").alias("__time"), *plain).dropDuplicatesWithinWatermark(plain)
+        joined = joined.select(F.col("i_time").alias("__time"), *plain).dropDuplicatesWithinWatermark(plain)
         joined = joined.select(none.alias("i_window"), none.alias("e_window"), *plain)
     present_i = F.lit(True) if pairs_once else F.col("i_window").isNotNull()
     present_e = F.lit(True) if pairs_once else F.col("e_window").isNotNull()

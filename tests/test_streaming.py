@@ -362,3 +362,70 @@ def test_stream_job_keeps_late_events(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "out" / "m")).collect()) == [1, 3]
     held = [late.read_late(spark, str(tmp_path / "split"), side, schema).collect() for side, schema in zip(late.SIDES, (schema_i, schema_e))]
     assert [[(r.event_id, r.batch_id, r.watermark) for r in rows] for rows in held] == [[(4, 1, t(4, 50))], [(4, 1, t(4, 50))]]
+
+
+def _out_of_order(spark, folder, n=400):
+    """Four days of events in no order of time, some without a time; one file."""
+    ts = F.timestamp_seconds(1_704_067_200 + (F.col("id") * 7919 % n) * 864)
+    events = spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), F.when(F.col("id") % 50 != 9, ts).alias("ts"),
+                                   F.lit("x").alias("event_type"), (F.col("id") % 5).cast("double").alias("value"))
+    events.coalesce(1).write.parquet(str(folder / "landed"))
+    part = next((folder / "landed").glob("*.parquet"))
+    (folder / "events.parquet").write_bytes(part.read_bytes())
+    return str(folder)
+
+
+def _values(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("name", ["stream_recon_outer", "stream_recon_outer_salted", "stream_sliding_pairs", "stream_recon_days", "stream_late_balance", "stream_state_rows",
+                                  "stream_split_csv"])
+def test_many_triggers_give_what_one_gives(spark, tmp_path, monkeypatch, name):
+    """A table in no order of time, replayed by time in bounded triggers: the rows of one batch."""
+    from ledgermatch.plans.catalog import QUERIES
+    from ledgermatch.streaming import replay
+    taken = []
+    for function in ("run_to_parquet", "run_split"):
+        def ran(*args, run=getattr(runner, function), **kwargs):
+            q = run(*args, **kwargs)
+            taken.append([p["numInputRows"] for p in q.recentProgress])
+            return q
+        monkeypatch.setattr(runner, function, ran)
+    sf_dir = _out_of_order(spark, tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        want = _values(QUERIES[name](spark, sf_dir))
+        monkeypatch.setattr(replay, "ROWS_PER_TRIGGER", 100)
+        assert _values(QUERIES[name](spark, sf_dir)) == want and want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    one, many = taken
+    assert len([n for n in many if n]) >= 4 and max(many) < max(one)
+
+
+def test_files_are_taken_by_time(spark, tmp_path):
+    """Modification times follow the names, and what is written next is later; a folder where they do not is not in order."""
+    import os
+    from ledgermatch.streaming import replay
+    df = spark.range(1000).select(F.timestamp_seconds(F.col("id") * 7919 % 1000).alias("ts"))
+    paths = [str(tmp_path / x) for x in "ab"]
+    assert [replay.land(df, p, "ts", replay.file_count(1000, 200)) for p in paths] == [replay.FILES_PER_TRIGGER] * 2
+    assert replay.kept_order(spark, paths) and not replay.kept_order(spark, paths[::-1])
+    ranges = [df.sparkSession.read.parquet(f).agg(F.min("ts"), F.max("ts")).first() for f in sorted(map(str, (tmp_path / "a").glob("*.parquet")), key=os.path.getmtime)]
+    assert len(ranges) == 20 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_sliding_pairs_hold_a_row_once(spark, tmp_path):
+    """Rows within the size that share no window are no pair; state has one row for each event, not one for each window."""
+    at = [(k, 7, t(0, k), 1.0) for k in range(60)]
+    drop(spark, str(tmp_path / "si"), at, SCHEMA_I, "a")
+    drop(spark, str(tmp_path / "se"), [(k, 7, t(0, k) + dt.timedelta(minutes=m), 1.0) for k in range(60) for m in (0, 40, 50, 59)], SCHEMA_E, "a")
+    si = runner.file_stream(spark, str(tmp_path / "si"), spark.createDataFrame([], SCHEMA_I).schema, recursive=True)
+    se = runner.file_stream(spark, str(tmp_path / "se"), spark.createDataFrame([], SCHEMA_E).schema, recursive=True)
+    s = reconcile_stream(si, se, ["user_id", "event_id"], WindowSpec("sliding", "1 hour", "15 minutes", "10 minutes"), how="inner", pairs_once=True)
+    q = runner.run_to_parquet(s, str(tmp_path / "o"), str(tmp_path / "ck"))
+    got = {(r.event_id, int((r.ts_external - r.ts_internal).total_seconds()) // 60) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {(k, m) for k in range(60) for m in (0, 40, 50, 59) if k + m < k // 15 * 15 + 60}
+    assert q.recentProgress[0]["stateOperators"][-1]["numRowsUpdated"] + q.recentProgress[0]["stateOperators"][0]["numRowsUpdated"] <= 60 + 240 + len(got)
