@@ -906,7 +906,7 @@ def q_stream_late_rows(spark, sf_dir):
 def q_stream_late_balance(spark, sf_dir):
     """Matched, unmatched, still open and late events of each side add up to all that came in."""
     base, schemas = _arrived(spark, sf_dir)
-    streams = [late.on_time_stream(spark, base, side, schemas[side]) for side in late.SIDES]
+    streams = [late.on_time_stream(spark, base, side, schemas[side], replay.FILES_PER_TRIGGER) for side in late.SIDES]
     s = reconcile_stream(*streams, _STREAM_KEYS, _HOUR, amount_tolerance=0.05)
     path = scratch_path(spark, "late-balance")
     with runner.rocksdb_state(spark):
