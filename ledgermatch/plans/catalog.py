@@ -940,10 +940,12 @@ def _stream_job(spark, sf_dir, fmt: str):
     internal = internal.withColumn("date", day.cast("string"))
     external = external.withColumn("date", F.date_add(day, F.when(F.col("event_id") % 5 == 1, 1).otherwise(0)).cast("string"))
     base = scratch_path(spark, f"stream-job-{fmt}")
-    for frame, side in ((internal, "internal"), (external, "external")):
-        frame.write.parquet(f"{base}/{side}")
+    files = replay.file_count(internal.count())
+    sources = {side: {"type": "file", "path": f"{base}/{side}"} for side in ("internal", "external")}
+    for frame, source in ((internal, sources["internal"]), (external, sources["external"])):
+        source["max_files_per_trigger"] = replay.land(frame, source["path"], "ts", files)
     config = {
-        "sources": {side: {"type": "file", "path": f"{base}/{side}"} for side in ("internal", "external")},
+        "sources": sources,
         "matching": {"match_on": ["user_id", "event_id", "date"], "internal_key": "amount", "external_key": "net_amount"},
         "tolerances": {"amount": 0.05},
         "window": {"type": "tumbling", "size": "1h", "grace": "10m"},

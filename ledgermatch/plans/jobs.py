@@ -100,7 +100,7 @@ def stream_source(spark: SparkSession, src, value_schema) -> DataFrame:
         opts = connectors.kafka_options(c["bootstrap_servers"], src.topic, src.group_id, c.get("security"))
         return connectors.read_kafka_stream(spark, opts, value_schema)
     if src.type in ("file", "parquet"):
-        return runner.file_stream(spark, src.path, value_schema, src.options.get("glob"),
+        return runner.file_stream(spark, src.path, value_schema, src.options.get("glob"), src.options.get("max_files_per_trigger"),
                                   recursive=bool(src.options.get("recursive", False)))
     raise ValueError(f"Unsupported stream source type: {src.type}")
 
