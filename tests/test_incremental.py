@@ -6,6 +6,8 @@ import shutil
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgermatch.operators import mart, staging
 from ledgermatch.plans import incremental
 from ledgermatch.sources import files
@@ -92,3 +94,30 @@ def test_a_broken_run_is_made_good(spark, tmp_path, loads, monkeypatch):
     shutil.rmtree(path)
     with pytest.raises(ValueError):
         incremental.run_load(spark, path, "2024-03-03", *_load(spark, *loads[2]), grain="week")
+
+
+def test_a_load_is_worked_out_once(spark, tmp_path, loads):
+    """The rows of a load are read for its landing only; which periods it touches is known from the folders."""
+    path, read = str(tmp_path / "state"), spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            read.add(1)
+            yield r
+
+    i, e = _load(spark, *loads[0])
+    frames = [spark.createDataFrame(df.rdd.mapPartitions(counted), df.schema) for df in (i, e)]
+    res = incremental.run_load(spark, path, "2024-03-01", *frames)
+    assert read.value == len(loads[0][0]) + len(loads[0][1])
+    assert _facts(res.fact) == _facts(mart.fct_reconciled(i, e, id_check="trusted")) and res.touched == ["2024-03-01", "none"]
+
+
+def test_the_mart_is_worked_out_once_for_all_loads_of_a_table(spark, monkeypatch):
+    from ledgermatch.plans import catalog
+    from ledgermatch.sinks import writers
+    plans = []
+    save = writers.save_table
+    monkeypatch.setattr(writers, "save_table", lambda df, *args, **kwargs: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), save(df, *args, **kwargs)))
+    out = catalog.QUERIES["sink_database_table"](spark, "/root/testdata/sf0.001")
+    assert _facts(out.withColumn("x", F.lit(0))) == _facts(catalog.QUERIES["fct_reconciled"](spark, "/root/testdata/sf0.001").withColumn("x", F.lit(0)))
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
